@@ -68,17 +68,15 @@ def render_chat(msgs: str | Column = "messages", add_generation_prompt: bool = F
     return body
 
 
-def expand_models(docs: DataFrame, models: DataFrame | list[str], partitions: int | None = None) -> DataFrame:
-    """Every document x every model.
+def expand_models(docs: DataFrame, models: list[str], partitions: int | None = None) -> DataFrame:
+    """Every document x every model of the sweep.
 
-    The model list is a handful of names (bounded by the sweep, not by data),
-    so it is broadcast; the product is then spread by (doc, model) so that a
-    few large documents do not serialise the model calls in one task.
+    The model list is configuration (a handful of names), so each document row
+    is exploded over it in place: no join and no shuffle.  ``partitions``
+    spreads the (doc, model) rows before the model calls so that a few large
+    documents do not serialise the calls in one task.
     """
-    if isinstance(models, list):
-        spark = docs.sparkSession
-        models = spark.createDataFrame([(m,) for m in models], "model string")
-    out = docs.crossJoin(F.broadcast(models))
+    out = docs.withColumn("model", F.explode(F.array(*[F.lit(m) for m in models])))
     if partitions:
         out = out.repartition(partitions, "doc_id", "model")
     return out

@@ -36,7 +36,10 @@ def _stats(keys: list[str], df: DataFrame, col: str) -> DataFrame:
     agg = df.groupBy(*keys).agg(F.count(s).alias("n_calls"), F.avg(s).alias("mean_s"), F.min(s).alias("min_s"),
                                 F.max(s).alias("max_s"), F.sum(s).alias("total_s"))
     med = exact_median(df, keys, col, "median_s")
-    return agg.join(med, keys, "left") if keys else agg.crossJoin(med)
+    if keys:
+        return agg.join(med, keys, "left")
+    one = F.lit(1).alias("_one")
+    return agg.select("*", one).join(med.select("*", one), "_one").drop("_one")
 
 
 def timing_summary(timings: DataFrame, by: str = "model", col: str = "seconds") -> DataFrame:

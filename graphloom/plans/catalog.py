@@ -285,4 +285,305 @@ def a2_timing_summary(spark, sf):
     s = timing_summary(V.timings(spark, sf))
     return s.select("regime", "model", "level", "n_calls",
                     *[F.round(c, 6).alias(c) for c in ("mean_s", "median_s", "min_s", "max_s", "total_s")])
-FLAGSHIP = "n1_chunk_text"
+
+
+# ================================================================ conformance
+from graphloom.functions.literals import FALSE_WORDS, NUM_RUN, THOUSANDS, FR_THOUSANDS_DEC, TRUE_WORDS  # noqa: E402
+from graphloom.operators import conform as C  # noqa: E402
+from graphloom.operators import graphstats as GS  # noqa: E402
+from graphloom.operators.ontology import (builtin_ontology, describe_ontology, ontology_terms,  # noqa: E402
+                                          vocab_drift)
+
+G_EQ = "{a}.run_id = {b}.run_id AND {a}.regime = {b}.regime AND {a}.model = {b}.model AND {a}.doc_id = {b}.doc_id"
+
+
+def geq(a: str, b: str) -> str:
+    return G_EQ.format(a=a, b=b)
+
+
+def _canon(spark, sf):
+    return C.canonicalise(V.kg_triples(spark, sf), builtin_ontology(spark))
+
+
+FLAGSHIP = "j4_property_share"
+
+
+@register("j4_property_share", with_views("""
+SELECT run_id, regime, model, count(*) AS n_statements,
+       sum(CASE WHEN st IN ('builtin','exact','case','alias') THEN 1 ELSE 0 END) AS n_known,
+       sum(CASE WHEN st = 'exact' THEN 1 ELSE 0 END) AS n_exact, sum(CASE WHEN st = 'case' THEN 1 ELSE 0 END) AS n_case,
+       sum(CASE WHEN st = 'alias' THEN 1 ELSE 0 END) AS n_alias, sum(CASE WHEN st = 'unknown' THEN 1 ELSE 0 END) AS n_unknown,
+       sum(CASE WHEN st = 'wrong_kind' THEN 1 ELSE 0 END) AS n_wrong_kind,
+       round(avg(CASE WHEN st IN ('builtin','exact','case','alias') THEN 1.0 ELSE 0.0 END), 6) AS known_share
+FROM (SELECT run_id, regime, model,
+             CASE WHEN p_match IN ('exact','case','alias') AND ((p_kind = 'object' AND o_kind = 'literal')
+                       OR (p_kind = 'data' AND o_kind <> 'literal')) THEN 'wrong_kind' ELSE p_match END AS st
+      FROM (SELECT * FROM canon UNION ALL BY NAME SELECT * FROM mcanon))
+GROUP BY run_id, regime, model""", "canon", "mcanon"))
+def j4_property_share(spark, sf):
+    onto = builtin_ontology(spark)
+    both = V.kg_triples(spark, sf).unionByName(V.model_triples(spark, sf))
+    return C.property_share(C.canonicalise(both, onto))
+
+
+@register("n3_canonicalise", with_views("""
+SELECT doc_id, p, p_canon, p_match, p_kind, o_canon, o_match, count(*) AS n
+FROM canon GROUP BY doc_id, p, p_canon, p_match, p_kind, o_canon, o_match""", "canon"))
+def n3_canonicalise(spark, sf):
+    return _canon(spark, sf).groupBy("doc_id", "p", "p_canon", "p_match", "p_kind", "o_canon", "o_match") \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("j3_check_types", with_views("""
+SELECT doc_id, stmt_idx, s, o, o_canon, o_match AS status FROM canon WHERE p_canon = 'rdf:type'""", "canon"))
+def j3_check_types(spark, sf):
+    return C.check_types(_canon(spark, sf)).select("doc_id", "stmt_idx", "s", "o", "o_canon", "status")
+
+
+DT_LOCAL_SQL = r"regexp_replace({c}, '^<?(?:[^#>]*#|[A-Za-z][\w.-]*:)?([^>]*)>?$', '\1')"
+
+J5_SQL = f"""
+SELECT doc_id, p_canon, domain_status, range_status, count(*) AS n FROM (
+ SELECT p.*,
+   CASE WHEN nd.n_dom IS NULL THEN 'none' WHEN coalesce(sat.n_sat, 0) >= 1 THEN 'ok'
+        WHEN ty.s_key IS NULL THEN 'untyped' ELSE 'violation' END AS domain_status,
+   CASE WHEN hr.prop IS NULL THEN 'none'
+        WHEN p.p_kind = 'object' THEN CASE WHEN p.o_kind = 'literal' THEN 'violation' WHEN os.prop IS NOT NULL THEN 'ok'
+                                           WHEN oty.s_key IS NULL THEN 'untyped' ELSE 'violation' END
+        WHEN p.o_kind <> 'literal' THEN 'violation'
+        WHEN p.o_datatype IS NULL THEN 'untyped_literal'
+        WHEN dk.prop IS NOT NULL THEN 'ok' ELSE 'violation' END AS range_status
+ FROM props p
+ LEFT JOIN n_dom nd ON p.prop = nd.prop
+ LEFT JOIN sat ON {geq('sat', 'p')} AND sat.s_key = p.s_key AND sat.prop = p.prop
+ LEFT JOIN typed ty ON {geq('ty', 'p')} AND ty.s_key = p.s_key
+ LEFT JOIN has_rng hr ON hr.prop = p.prop
+ LEFT JOIN osat os ON {geq('os', 'p')} AND os.o_key = p.o_key AND os.prop = p.prop
+ LEFT JOIN typed oty ON {geq('oty', 'p')} AND oty.s_key = p.o_key
+ LEFT JOIN dt_ok dk ON dk.prop = p.prop AND dk.dt = {DT_LOCAL_SQL.format(c='p.o_datatype')})
+GROUP BY doc_id, p_canon, domain_status, range_status"""
+
+J5_EXTRA = {
+    "props": "SELECT *, regexp_replace(p_canon, '^:', '') AS prop FROM canon WHERE p_match IN ('exact','case','alias')",
+    "n_dom": "SELECT property AS prop, count(*) AS n_dom FROM onto_domain GROUP BY property",
+    "sat": "SELECT t.run_id, t.regime, t.model, t.doc_id, t.s_key, d.property AS prop, count(DISTINCT t.cls) AS n_sat "
+           "FROM types t JOIN onto_domain d ON t.cls = d.cls GROUP BY ALL",
+    "typed": "SELECT DISTINCT run_id, regime, model, doc_id, s_key FROM types",
+    "osat": "SELECT DISTINCT t.run_id, t.regime, t.model, t.doc_id, t.s_key AS o_key, r.property AS prop "
+            "FROM types t JOIN onto_range r ON t.cls = r.rng WHERE r.rng NOT LIKE '%:%'",
+    "dat_rng": "SELECT property AS prop, regexp_replace(rng, '^[a-z]+:', '') AS rng_local FROM onto_range WHERE rng LIKE '%:%'",
+    "dt_ok": "SELECT prop, rng_local AS dt FROM dat_rng UNION SELECT d.prop, c.dt FROM dat_rng d JOIN range_compat c "
+             "ON d.rng_local = c.rng_local",
+    "has_rng": "SELECT DISTINCT property AS prop FROM onto_range",
+}
+
+
+@register("j5_check_domain_range", with_views(J5_SQL, "canon", "types", "onto_domain", "onto_range", "range_compat",
+                                              extra=J5_EXTRA))
+def j5_check_domain_range(spark, sf):
+    r = C.check_domain_range(_canon(spark, sf), builtin_ontology(spark))
+    return r.groupBy("doc_id", "p_canon", "domain_status", "range_status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("j6_check_restrictions", with_views(f"""
+SELECT e.doc_id, e.s_key, e.property, e.filler, st.s_key IS NOT NULL AS present
+FROM (SELECT run_id, regime, model, doc_id, s_key, r.property, min(r.filler) AS filler
+      FROM types t JOIN onto_restriction r ON t.cls = r.cls GROUP BY ALL) e
+LEFT JOIN (SELECT DISTINCT run_id, regime, model, doc_id, s_key, regexp_replace(p_canon, '^:', '') AS property
+           FROM canon WHERE p_match IN ('exact','case','alias')) st
+  ON {geq('e', 'st')} AND e.s_key = st.s_key AND e.property = st.property""", "canon", "types", "onto_restriction"))
+def j6_check_restrictions(spark, sf):
+    r = C.check_restrictions(_canon(spark, sf), builtin_ontology(spark))
+    return r.select("doc_id", "s_key", "property", "filler", "present")
+
+
+EDGES_SQL = "SELECT * FROM canon WHERE o_kind <> 'literal' AND p_canon <> 'rdf:type'"
+
+
+@register("j7_dangling_refs", with_views(f"""
+SELECT doc_id, o_key, count(*) AS n_refs FROM edges e
+WHERE NOT EXISTS (SELECT 1 FROM canon s WHERE {geq('s', 'e')} AND s.s_key = e.o_key)
+GROUP BY run_id, regime, model, doc_id, o_key""", "canon", extra={"edges": EDGES_SQL}))
+def j7_dangling_refs(spark, sf):
+    return C.dangling_refs(_canon(spark, sf)).select("doc_id", "o_key", "n_refs")
+
+
+@register("j8_isolated_individuals", with_views(f"""
+SELECT doc_id, s_key FROM (SELECT DISTINCT run_id, regime, model, doc_id, s_key FROM canon) s
+WHERE NOT EXISTS (SELECT 1 FROM ends x WHERE {geq('x', 's')} AND x.s_key = s.s_key)""", "canon",
+                                              extra={"edges": EDGES_SQL, "ends": "SELECT run_id, regime, model, doc_id, s_key FROM edges UNION ALL SELECT run_id, regime, model, doc_id, o_key FROM edges"}))
+def j8_isolated_individuals(spark, sf):
+    return C.isolated_individuals(_canon(spark, sf)).select("doc_id", "s_key")
+
+
+@register("j10_infer_types", with_views("SELECT doc_id, s_key, cls FROM types", "types"))
+def j10_infer_types(spark, sf):
+    return C.individual_types(_canon(spark, sf), builtin_ontology(spark)).select("doc_id", "s_key", "cls")
+
+
+@register("j11_vocab_drift", with_views("""
+SELECT coalesce(a.term, b.term) AS term,
+       CASE WHEN a.term IS NOT NULL AND b.term IS NOT NULL THEN 'both' WHEN a.term IS NOT NULL THEN 'only_a' ELSE 'only_b' END AS status,
+       CASE WHEN a.term IS NOT NULL AND b.term IS NULL THEN (SELECT min(b2.term) FROM tb b2 WHERE lower(b2.term) = lower(a.term))
+            WHEN b.term IS NOT NULL AND a.term IS NULL THEN (SELECT min(a2.term) FROM ta a2 WHERE lower(a2.term) = lower(b.term)) END AS ci_match
+FROM ta a FULL OUTER JOIN tb b ON a.term = b.term""", "canon", "onto_class", "onto_property", extra={
+    "ta": "SELECT DISTINCT p_local AS term FROM canon WHERE p_match <> 'builtin' UNION "
+          "SELECT DISTINCT o_key FROM canon WHERE p_canon = 'rdf:type'",
+    "tb": "SELECT name AS term FROM onto_class UNION SELECT name FROM onto_property"}))
+def j11_vocab_drift(spark, sf):
+    c = _canon(spark, sf)
+    a = c.where(F.col("p_match") != "builtin").select(F.col("p_local").alias("term")).unionByName(
+        c.where(F.col("p_canon") == C.RDF_TYPE).select(F.col("o_key").alias("term")))
+    return vocab_drift(a, ontology_terms(builtin_ontology(spark)))
+
+
+@register("n17_describe_ontology", with_views("""
+SELECT string_agg(line, '' ORDER BY sec, k, line) AS description FROM (
+  SELECT 0 AS sec, c.name AS k, '    - "' || c.name || '"' ||
+         coalesce(': subclass of ' || (SELECT string_agg(parent, ', ' ORDER BY parent) FROM onto_subclass s WHERE s.child = c.name), '')
+         || chr(10) AS line
+  FROM onto_class c WHERE c.name IN (SELECT o_canon FROM canon WHERE p_canon = 'rdf:type' AND o_canon IS NOT NULL)
+  UNION ALL
+  SELECT CASE WHEN p.kind = 'object' THEN 1 ELSE 2 END, p.name, '    - "' || p.name || '": ' ||
+         coalesce((SELECT string_agg(cls, '|' ORDER BY cls) FROM onto_domain d WHERE d.property = p.name), '?') || ' -> ' ||
+         coalesce((SELECT string_agg(rng, '|' ORDER BY rng) FROM onto_range r WHERE r.property = p.name), '?') || chr(10)
+  FROM onto_property p WHERE ':' || p.name IN (SELECT p_canon FROM canon)
+  UNION ALL SELECT 0, '', 'Classes :' || chr(10)
+  UNION ALL SELECT 1, '', chr(10) || 'Object Properties:' || chr(10)
+  UNION ALL SELECT 2, '', chr(10) || 'Data Properties:' || chr(10))""",
+                                                "canon", "onto_class", "onto_subclass", "onto_property", "onto_domain",
+                                                "onto_range"))
+def n17_describe_ontology(spark, sf):
+    c = _canon(spark, sf)
+    used_cls = c.where(F.col("p_canon") == C.RDF_TYPE).select(F.col("o_canon").alias("name"))
+    used_props = c.select(F.regexp_replace("p_canon", "^:", "").alias("name"))
+    return describe_ontology(builtin_ontology(spark), used_cls, used_props)
+
+
+def _re2(p: str) -> str:
+    """Java-regex code points (\\uXXXX) in RE2 form (\\x{XXXX})."""
+    return p.replace("\\u00a0", "\\x{00a0}").replace("\\u202f", "\\x{202f}")
+
+
+def _num_sql(c: str) -> str:
+    run = f"regexp_extract({c}, '{_re2(NUM_RUN)}', 1)"
+    plain = f"regexp_replace({run}, '[ \\x{{00a0}}\\x{{202f}}]', '', 'g')"
+    norm = (f"CASE WHEN regexp_matches({run}, '{_re2(THOUSANDS)}') THEN replace({plain}, ',', '') "
+            f"WHEN regexp_matches({run}, '{_re2(FR_THOUSANDS_DEC)}') THEN replace({plain}, ',', '.') ELSE {plain} END")
+    return f"CASE WHEN {run} <> '' THEN TRY_CAST({norm} AS DECIMAL(18,4)) END"
+
+
+NUM_RUN_SQL = _re2(NUM_RUN)
+
+
+def _bool_sql(c: str) -> str:
+    tw = ", ".join(q(w) for w in TRUE_WORDS)
+    fw = ", ".join(q(w) for w in FALSE_WORDS)
+    return f"CASE WHEN lower(trim({c})) IN ({tw}) THEN true WHEN lower(trim({c})) IN ({fw}) THEN false END"
+
+
+ISO_SQL = "^([0-9]{4})(?:-([0-9]{2})(?:-([0-9]{2})([t ][0-9]{2}:[0-9]{2}.*)?)?)?$"
+
+
+def _date_sql(c: str) -> str:
+    t = f"lower(trim({c}))"
+    g = lambda i: f"regexp_extract({t}, '{ISO_SQL}', {i})"
+    iso = (f"{g(1)} || '-' || CASE WHEN {g(2)} <> '' THEN {g(2)} ELSE '01' END || '-' || "
+           f"CASE WHEN {g(3)} <> '' THEN {g(3)} ELSE '01' END")
+    return f"CASE WHEN regexp_matches({t}, '{ISO_SQL}') THEN TRY_CAST({iso} AS DATE) END"
+
+
+def _prec_sql(c: str) -> str:
+    t = f"lower(trim({c}))"
+    g = lambda i: f"regexp_extract({t}, '{ISO_SQL}', {i})"
+    return (f"CASE WHEN {_date_sql(c)} IS NULL THEN NULL WHEN {g(4)} <> '' THEN 'second' WHEN {g(3)} <> '' THEN 'day' "
+            f"WHEN {g(2)} <> '' THEN 'month' ELSE 'year' END")
+
+
+N18_SQL = f"""
+SELECT doc_id, stmt_idx, value_type, CAST(v_decimal AS VARCHAR) AS v_decimal, CAST(v_date AS VARCHAR) AS v_date,
+       date_precision, v_bool, unit, parsed FROM (
+ SELECT *, CASE value_type WHEN 'decimal' THEN v_decimal IS NOT NULL WHEN 'date' THEN v_date IS NOT NULL
+                 WHEN 'boolean' THEN v_bool IS NOT NULL ELSE true END AS parsed FROM (
+  SELECT doc_id, stmt_idx, value_type,
+         CASE WHEN value_type = 'decimal' THEN {_num_sql('o')} END AS v_decimal,
+         CASE WHEN value_type = 'date' THEN {_date_sql('o')} END AS v_date,
+         CASE WHEN value_type = 'date' THEN {_prec_sql('o')} END AS date_precision,
+         CASE WHEN value_type = 'boolean' THEN {_bool_sql('o')} END AS v_bool,
+         CASE WHEN value_type IN ('decimal', 'integer') THEN nullif(trim(regexp_replace(regexp_replace(o, '{NUM_RUN_SQL}', '', 'g'), '\\s+', ' ', 'g')), '') END AS unit
+  FROM (SELECT l.*, CASE WHEN t IN ('decimal','real','float','double') THEN 'decimal'
+                         WHEN t IN ('integer','int','long','nonNegativeInteger') THEN 'integer'
+                         WHEN t IN ('dateTime','date','gYear','gYearMonth','gMonth','DateTime') THEN 'date'
+                         WHEN t = 'boolean' THEN 'boolean' ELSE 'string' END AS value_type
+        FROM (SELECT c.*, coalesce(r.rng_local, {DT_LOCAL_SQL.format(c='c.o_datatype')}) AS t
+              FROM canon c LEFT JOIN (SELECT ':' || property AS p_canon, min(regexp_replace(rng, '^[a-z]+:', '')) AS rng_local
+                                      FROM onto_range WHERE rng LIKE '%:%' GROUP BY property) r ON c.p_canon = r.p_canon
+              WHERE c.o_kind = 'literal') l)))"""
+
+
+@register("n18_type_literals", with_views(N18_SQL, "canon", "onto_range"))
+def n18_type_literals(spark, sf):
+    t = C.type_literals(_canon(spark, sf), builtin_ontology(spark))
+    return t.select("doc_id", "stmt_idx", "value_type", F.col("v_decimal").cast("string").alias("v_decimal"),
+                    F.col("v_date").cast("string").alias("v_date"), "date_precision", "v_bool", "unit", "parsed")
+
+
+@register("n21_derive_impassable", with_views(f"""
+SELECT doc_id, s_key, CAST(height AS VARCHAR) AS height, asserted_i = 1 AS asserted, height > 1.0 AS derived,
+       CASE WHEN height IS NULL THEN 'no_height' WHEN asserted_i IS NULL THEN 'no_assertion'
+            WHEN (height > 1.0) = (asserted_i = 1) THEN 'agree' ELSE 'conflict' END AS status
+FROM (SELECT run_id, regime, model, doc_id, s_key,
+             max(CASE WHEN p_canon = ':hasHeight' THEN {_num_sql('o')} END) AS height,
+             max(CASE WHEN p_canon = ':isImpassable' THEN CAST({_bool_sql('o')} AS INTEGER) END) AS asserted_i
+      FROM canon WHERE p_canon IN (':hasHeight', ':isImpassable') GROUP BY ALL)""", "canon"))
+def n21_derive_impassable(spark, sf):
+    d = C.derive_impassable(_canon(spark, sf), builtin_ontology(spark))
+    return d.select("doc_id", "s_key", F.col("height").cast("string").alias("height"), "asserted", "derived", "status")
+
+
+@register("j15_resolve_individuals", with_views(f"""
+SELECT i.doc_id, i.s_key, b.canonical, b.n_variants FROM inds i JOIN (
+  SELECT run_id, regime, model, doc_id, fold, min(s_key) AS canonical, count(*) AS n_variants FROM inds GROUP BY ALL) b
+ON {geq('i', 'b')} AND i.fold = b.fold""", "canon", extra={
+    "inds": f"SELECT *, regexp_replace(translate(lower(s_key), '{C.ACCENTED}', '{C.PLAIN}'), '[^a-z0-9]', '', 'g') AS fold "
+            f"FROM (SELECT run_id, regime, model, doc_id, s_key FROM canon UNION SELECT run_id, regime, model, doc_id, o_key "
+            f"FROM canon WHERE o_kind <> 'literal' AND p_canon <> 'rdf:type')"}))
+def j15_resolve_individuals(spark, sf):
+    return C.resolve_individuals(_canon(spark, sf)).select("doc_id", "s_key", "canonical", "n_variants")
+
+
+@register("a3_graph_stats", with_views("""
+SELECT doc_id, count(*) AS n_statements, count(DISTINCT s_key) AS n_individuals,
+       count(DISTINCT CASE WHEN p_canon = 'rdf:type' THEN coalesce(o_canon, o_key) END) AS n_classes,
+       count(DISTINCT p_canon) AS n_properties, sum(CASE WHEN o_kind = 'literal' THEN 1 ELSE 0 END) AS n_literals,
+       sum(CASE WHEN p_canon = 'rdf:type' THEN 1 ELSE 0 END) AS n_type_assertions
+FROM canon GROUP BY run_id, regime, model, doc_id""", "canon"))
+def a3_graph_stats(spark, sf):
+    return GS.graph_stats(_canon(spark, sf)).drop("run_id", "regime", "model")
+
+
+@register("a4_merge_graphs", with_views("""
+SELECT r.doc_id, r.model, r.n_raw, m.n_merged FROM
+ (SELECT doc_id, model, count(*) AS n_raw FROM model_triples GROUP BY ALL) r JOIN
+ (SELECT doc_id, model, count(*) AS n_merged FROM (SELECT DISTINCT regime, model, doc_id, s, p, o, o_kind, o_datatype, o_lang
+                                                  FROM model_triples) GROUP BY ALL) m
+ ON r.doc_id = m.doc_id AND r.model = m.model""", "model_triples"))
+def a4_merge_graphs(spark, sf):
+    t = V.model_triples(spark, sf)
+    raw = t.groupBy("doc_id", "model").agg(F.count(F.lit(1)).alias("n_raw"))
+    merged = GS.merge_graphs(t).groupBy("doc_id", "model").agg(F.count(F.lit(1)).alias("n_merged"))
+    return raw.join(merged, ["doc_id", "model"])
+
+
+A7_PROPS = ["startsAt", "endsAt", "hasCost", "isManagedBy", "realizedIn", "associatedTo", "hasMainContractor"]
+
+
+@register("a7_entity_table", with_views("SELECT m.doc_id, m.s_key, " + ", ".join(
+    f"string_agg(v.val, '|' ORDER BY v.val) FILTER (WHERE v.prop = '{p}') AS {p}" for p in A7_PROPS) + f"""
+FROM (SELECT DISTINCT run_id, regime, model, doc_id, s_key FROM types WHERE cls = 'restorationMeasure') m
+LEFT JOIN (SELECT *, regexp_replace(p_canon, '^:', '') AS prop, coalesce(o_key, o) AS val FROM canon) v
+  ON {geq('m', 'v')} AND m.s_key = v.s_key AND v.prop IN ({", ".join(q(p) for p in A7_PROPS)})
+GROUP BY m.run_id, m.regime, m.model, m.doc_id, m.s_key""", "canon", "types"))
+def a7_entity_table(spark, sf):
+    e = GS.entity_table(_canon(spark, sf), builtin_ontology(spark), "restorationMeasure", A7_PROPS)
+    return e.select("doc_id", "s_key", *A7_PROPS)

@@ -91,3 +91,97 @@ def with_views(sql: str, *names: str, extra: dict[str, str] | None = None) -> st
     if not parts:
         return sql
     return "WITH " + ",\n".join(parts) + "\n" + sql
+
+
+# ---------------------------------------------------------------- ontology tables
+def _values(rows, cols: str) -> str:
+    def lit(v):
+        return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
+    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    return f"SELECT * FROM (VALUES {body}) AS v({cols})"
+
+
+def _onto_views():
+    from graphloom import vocab
+    from graphloom.operators.conform import BUILTIN_TERMS, RANGE_COMPAT
+    cls = vocab.classes()
+    props = vocab.properties()
+    VIEWS["onto_class"] = _values([(n,) for n, *_ in cls], "name")
+    VIEWS["onto_subclass"] = _values([(n, p) for n, ps, *_ in cls for p in ps], "child, parent")
+    VIEWS["onto_property"] = _values([(n, k) for n, k, _, _ in props], "name, kind")
+    VIEWS["onto_domain"] = _values([(n, d) for n, _, ds, _ in props for d in ds], "property, cls")
+    VIEWS["onto_range"] = _values([(n, r) for n, _, _, rs in props for r in rs], "property, rng")
+    VIEWS["onto_restriction"] = _values(vocab.restrictions(), "cls, property, filler")
+    VIEWS["onto_alias"] = _values(vocab.aliases(), "alias, term")
+    VIEWS["builtin_terms"] = _values([(b.lower(), b) for b in BUILTIN_TERMS], "blkey, bcanon")
+    VIEWS["range_compat"] = _values(RANGE_COMPAT, "rng_local, dt")
+
+
+_onto_views()
+
+LOCAL_RE_SQL = r"^<?(?:[^#>]*#|[A-Za-z][\w.-]*:|:)?([^>]*)>?$"
+
+VIEWS["closure"] = """
+SELECT child, ancestor, min(depth) AS depth FROM (
+  WITH RECURSIVE c(child, ancestor, depth) AS (
+    SELECT child, parent, 1 FROM onto_subclass
+    UNION ALL
+    SELECT c.child, s.parent, c.depth + 1 FROM c JOIN onto_subclass s ON c.ancestor = s.child WHERE c.depth < 32)
+  SELECT * FROM c) GROUP BY child, ancestor"""
+DEPENDS["closure"] = ["onto_subclass"]
+
+VIEWS["closure_r"] = """
+SELECT child, ancestor, depth FROM closure UNION ALL SELECT name, name, 0 FROM onto_class"""
+DEPENDS["closure_r"] = ["closure", "onto_class"]
+
+VIEWS["plk"] = """
+SELECT lkey, canon, via, kind AS p_kind0 FROM (
+  SELECT lkey, canon, CASE WHEN prio = 0 THEN 'term' ELSE 'alias' END AS via,
+         row_number() OVER (PARTITION BY lkey ORDER BY prio, canon) AS rn FROM (
+    SELECT lower(name) AS lkey, name AS canon, 0 AS prio FROM onto_property
+    UNION ALL SELECT lower(a.alias), a.term, 1 FROM onto_alias a JOIN onto_property p ON a.term = p.name)) x
+JOIN onto_property p ON x.canon = p.name WHERE rn = 1"""
+DEPENDS["plk"] = ["onto_property", "onto_alias"]
+
+VIEWS["clk"] = """
+SELECT lkey, canon, via FROM (
+  SELECT lkey, canon, CASE WHEN prio = 0 THEN 'term' ELSE 'alias' END AS via,
+         row_number() OVER (PARTITION BY lkey ORDER BY prio, canon) AS rn FROM (
+    SELECT lower(name) AS lkey, name AS canon, 0 AS prio FROM onto_class
+    UNION ALL SELECT lower(a.alias), a.term, 1 FROM onto_alias a JOIN onto_class c ON a.term = c.name)) WHERE rn = 1"""
+DEPENDS["clk"] = ["onto_class", "onto_alias"]
+
+
+def canon_view(src: str, name: str = "canon") -> None:
+    """Register a CTE ``name`` = N3 canonicalisation of the triples CTE ``src``."""
+    VIEWS[name] = f"""
+SELECT t2.*, CASE WHEN t2.is_type THEN CASE WHEN c.canon IS NULL THEN 'unknown' WHEN c.via = 'alias' THEN 'alias'
+                 WHEN c.canon = t2.o_key THEN 'exact' ELSE 'case' END END AS o_match,
+       CASE WHEN t2.is_type THEN c.canon END AS o_canon
+FROM (
+  SELECT t1.*, coalesce(b.bcanon, ':' || pl.canon, t1.p) AS p_canon,
+         CASE WHEN b.bcanon IS NOT NULL THEN 'builtin' WHEN pl.canon IS NULL THEN 'unknown' WHEN pl.via = 'alias' THEN 'alias'
+              WHEN pl.canon = t1.p_local THEN 'exact' ELSE 'case' END AS p_match,
+         CASE WHEN b.bcanon IS NOT NULL THEN 'builtin' ELSE pl.p_kind0 END AS p_kind,
+         coalesce(b.bcanon, ':' || pl.canon, t1.p) = 'rdf:type' AS is_type
+  FROM (
+    SELECT t.*, regexp_replace(trim(p), '{LOCAL_RE_SQL}', '\\1') AS p_local,
+           regexp_replace(trim(s), '{LOCAL_RE_SQL}', '\\1') AS s_key,
+           CASE WHEN o_kind <> 'literal' THEN regexp_replace(trim(o), '{LOCAL_RE_SQL}', '\\1') END AS o_key,
+           CASE WHEN trim(p) = 'a' THEN 'rdf:type' ELSE lower(trim(p)) END AS p_low
+    FROM {src} t) t1
+  LEFT JOIN builtin_terms b ON t1.p_low = b.blkey
+  LEFT JOIN plk pl ON lower(t1.p_local) = pl.lkey AND b.bcanon IS NULL) t2
+LEFT JOIN clk c ON t2.is_type AND lower(t2.o_key) = c.lkey"""
+    DEPENDS[name] = [src, "builtin_terms", "plk", "clk"]
+
+
+canon_view("kg_triples", "canon")
+canon_view("model_triples", "mcanon")
+
+VIEWS["types"] = """
+SELECT DISTINCT run_id, regime, model, doc_id, s_key, r.ancestor AS cls
+FROM (SELECT DISTINCT run_id, regime, model, doc_id, s_key, o_canon AS cls FROM canon
+      WHERE p_canon = 'rdf:type' AND o_match <> 'unknown') a
+JOIN closure_r r ON a.cls = r.child"""
+DEPENDS["types"] = ["canon", "closure_r"]
