@@ -587,3 +587,81 @@ GROUP BY m.run_id, m.regime, m.model, m.doc_id, m.s_key""", "canon", "types"))
 def a7_entity_table(spark, sf):
     e = GS.entity_table(_canon(spark, sf), builtin_ontology(spark), "restorationMeasure", A7_PROPS)
     return e.select("doc_id", "s_key", *A7_PROPS)
+
+
+# ================================================================ Turtle, cleaning
+from graphloom.functions.cleaning import FENCE, PLACEHOLDER, RDFXML_HINT, TURTLE_HINT, clean_response, placeholder_count  # noqa: E402,E501
+from graphloom.operators import turtle as T  # noqa: E402
+
+G = ["run_id", "regime", "model", "doc_id"]
+
+TTL_LIT_SQL = ("'\"' || replace(replace(replace(replace(o, '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n'), chr(13), '\\r')"
+               " || '\"' || CASE WHEN o_datatype IS NOT NULL THEN '^^' || o_datatype WHEN o_lang IS NOT NULL THEN '@' || o_lang ELSE '' END")
+
+A8_SQL = f"""
+SELECT doc_id, s, md5(s || ' ' || string_agg(pp || ' ' || objs, ' ;' || chr(10) || '    ' ORDER BY pp, objs) || ' .') AS block_md5
+FROM (SELECT run_id, regime, model, doc_id, s, pp, string_agg(ot, ' , ' ORDER BY ot) AS objs
+      FROM (SELECT *, CASE WHEN p = 'rdf:type' THEN 'a' ELSE p END AS pp,
+                   CASE WHEN o_kind = 'literal' THEN {TTL_LIT_SQL} ELSE o END AS ot FROM kg_triples)
+      GROUP BY run_id, regime, model, doc_id, s, pp)
+GROUP BY run_id, regime, model, doc_id, s"""
+
+
+@register("a8_to_turtle", with_views(A8_SQL, "kg_triples"))
+def a8_to_turtle(spark, sf):
+    b = T.to_turtle(V.kg_triples(spark, sf), G)
+    return b.select("doc_id", "s", F.md5("turtle").alias("block_md5"))
+
+
+@register("g1_parse_graphs", with_views("""
+SELECT doc_id, s, p, o, o_kind, o_datatype, o_lang, 'ok' AS parse_status FROM kg_triples""", "kg_triples"))
+def g1_parse_graphs(spark, sf):
+    b = T.to_turtle(V.kg_triples(spark, sf), G, header=True)
+    parsed = T.parse_graphs(b.select(*G, F.col("turtle").alias("text")), "text", G)
+    return T.triples_of(parsed).select("doc_id", "s", "p", "o", "o_kind", "o_datatype", "o_lang", "parse_status")
+
+
+RESPONSE_SQL = """
+SELECT doc_id, lang, CASE lang
+  WHEN 'en' THEN 'Here is the graph:' || chr(10) || '```turtle' || chr(10) || '@prefix : <http://example.org/> .' || chr(10)
+                 || text || chr(10) || '```' || chr(10) || 'I hope this helps.'
+  WHEN 'de' THEN '```xml' || chr(10) || '<rdf:RDF>' || text || '</rdf:RDF>' || chr(10) || '```'
+  WHEN 'es' THEN '```' || chr(10) || text || chr(10) || '```' || chr(10) || 'and' || chr(10) || '```ttl' || chr(10) || text || chr(10) || '```'
+  ELSE text END AS response
+FROM corpus"""
+
+
+def _responses(spark, sf):
+    c = V.corpus(spark, sf)
+    nl = "\n"
+    r = (F.when(F.col("lang") == "en", F.concat(F.lit("Here is the graph:" + nl + "```turtle" + nl + "@prefix : <http://example.org/> ." + nl),
+                                              F.col("text"), F.lit(nl + "```" + nl + "I hope this helps.")))
+         .when(F.col("lang") == "de", F.concat(F.lit("```xml" + nl + "<rdf:RDF>"), F.col("text"), F.lit("</rdf:RDF>" + nl + "```")))
+         .when(F.col("lang") == "es", F.concat(F.lit("```" + nl), F.col("text"), F.lit(nl + "```" + nl + "and" + nl + "```ttl" + nl),
+                                              F.col("text"), F.lit(nl + "```")))
+         .otherwise(F.col("text")))
+    return c.select("doc_id", "lang", r.alias("response"))
+
+
+@register("n19_clean_response", with_views(f"""
+SELECT doc_id, format, md5(body) AS body_md5 FROM (
+  SELECT doc_id, body, CASE WHEN body IS NULL OR body = '' THEN 'empty' WHEN regexp_matches(body, {q(RDFXML_HINT)}) THEN 'rdfxml'
+                            WHEN regexp_matches(body, {q(TURTLE_HINT)}) THEN 'turtle' ELSE 'prose' END AS format
+  FROM (SELECT doc_id, trim(CASE WHEN len(f) > 0 THEN array_to_string(f, chr(10)) ELSE response END) AS body
+        FROM (SELECT doc_id, response, regexp_extract_all(response, {q(FENCE)}, 1) AS f FROM responses)))""",
+                                             "corpus", extra={"responses": RESPONSE_SQL}))
+def n19_clean_response(spark, sf):
+    r = _responses(spark, sf).withColumn("c", clean_response("response"))
+    return r.select("doc_id", F.col("c.format").alias("format"), F.md5("c.body").alias("body_md5"))
+
+
+@register("n20_flag_placeholders", with_views(f"""
+SELECT doc_id, len(regexp_extract_all(filled, {q('(' + PLACEHOLDER + ')')}, 1)) AS n_placeholders FROM (
+  SELECT doc_id, CASE WHEN lang = 'en' THEN replace({sql_text(P.GRAPH_TEMPLATE)}, ':<RestorationMeasureInstance>', ':doc_' || doc_id)
+                      WHEN lang = 'fr' THEN {sql_text(P.GRAPH_TEMPLATE)} ELSE text END AS filled FROM corpus)""", "corpus"))
+def n20_flag_placeholders(spark, sf):
+    c = V.corpus(spark, sf)
+    filled = (F.when(F.col("lang") == "en", F.replace(F.lit(P.GRAPH_TEMPLATE), F.lit(":<RestorationMeasureInstance>"),
+                                                      F.concat(F.lit(":doc_"), F.col("doc_id"))))
+              .when(F.col("lang") == "fr", F.lit(P.GRAPH_TEMPLATE)).otherwise(F.col("text")))
+    return c.select("doc_id", placeholder_count(filled).alias("n_placeholders"))
