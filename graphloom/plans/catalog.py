@@ -665,3 +665,242 @@ def n20_flag_placeholders(spark, sf):
                                                       F.concat(F.lit(":doc_"), F.col("doc_id"))))
               .when(F.col("lang") == "fr", F.lit(P.GRAPH_TEMPLATE)).otherwise(F.col("text")))
     return c.select("doc_id", placeholder_count(filled).alias("n_placeholders"))
+
+
+# ================================================================ components, mentions, grounding, evaluation, generation
+from graphloom.operators import evaluate as EV  # noqa: E402
+from graphloom.operators import generate as GEN  # noqa: E402
+from graphloom.operators import grounding as GR  # noqa: E402
+from graphloom.operators.components import components  # noqa: E402
+
+FLAGS = ["A", "N", "R"]
+
+
+@register("j9_components")
+def j9_components(spark, sf):
+    """Iterative (no SQL twin); checked against union-find in tests."""
+    return components(_canon(spark, sf)).select("doc_id", "node", "component")
+
+
+TOKENS_SQL = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '')"
+
+
+def _labels_sql():
+    from graphloom import vocab
+    rows = [(n, p, "en", "pref") for n, _, p, _, _ in vocab.classes() if p] + \
+           [(n, a, l, "alt") for n, _, _, a, l in vocab.classes() if a]
+    from graphloom.plans.oracle_views import _values
+    return f"""SELECT term, lang, kind, array_to_string(t, ' ') AS gram, len(t) AS n FROM (
+      SELECT term, lang, kind, list_filter(regexp_split_to_array(lower(label), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS t
+      FROM ({_values(rows, 'term, label, lang, kind')})) WHERE len(t) > 0"""
+
+
+@register("j12_link_mentions", with_views("""
+SELECT d.doc_id, len(d.toks) AS n_tokens, count(m.term) AS n_mentions,
+       string_agg(m.term || '@' || CAST(m.pos AS VARCHAR), ',' ORDER BY m.pos, m.n, m.term) AS mentions
+FROM (SELECT doc_id, """ + TOKENS_SQL + """ AS toks FROM corpus) d
+LEFT JOIN (SELECT g.doc_id, g.pos, g.n, l.term FROM (
+             SELECT doc_id, n, i AS pos, array_to_string(toks[i:i + n - 1], ' ') AS gram FROM (
+               SELECT doc_id, toks, n.n, unnest(range(1, len(toks) - n.n + 2)) AS i
+               FROM (SELECT doc_id, """ + TOKENS_SQL + """ AS toks FROM corpus) c, (SELECT unnest(range(1, 9)) AS n) n)) g
+           JOIN labels l ON g.gram = l.gram AND g.n = l.n) m ON d.doc_id = m.doc_id
+GROUP BY d.doc_id, len(d.toks)""", "corpus", extra={"labels": _labels_sql()}))
+def j12_link_mentions(spark, sf):
+    onto = builtin_ontology(spark)
+    c = V.corpus(spark, sf)
+    m = GR.link_mentions(c, onto)
+    per = m.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_mentions"), F.array_join(F.transform(F.array_sort(
+        F.collect_list(F.struct("pos", "n", "term"))), lambda x: F.concat(x["term"], F.lit("@"), x["pos"].cast("string"))),
+        ",").alias("mentions"))
+    base = c.select("doc_id", F.size(GR.tokens("text")).alias("n_tokens"))
+    return base.join(per, "doc_id", "left").fillna(0, ["n_mentions"])
+
+
+FIX_LIT_SQL = """
+SELECT c.doc_id, 'own' AS which, split_part(c.text, chr(10), 1) AS o FROM corpus c
+UNION ALL
+SELECT c.doc_id, 'other', split_part(n.text, chr(10), 1) FROM corpus c JOIN corpus n
+  ON CAST(n.doc_id AS BIGINT) = CAST(c.doc_id AS BIGINT) + 1"""
+
+
+def _fixture_literals(spark, sf):
+    c = V.corpus(spark, sf)
+    first = F.element_at(F.split(F.col("text"), "\n"), 1)
+    own = c.select("doc_id", F.lit("own").alias("which"), first.alias("o"))
+    nxt = c.select((F.col("doc_id").cast("bigint") - 1).cast("string").alias("doc_id"), first.alias("o")) \
+        .join(c.select("doc_id"), "doc_id").select("doc_id", F.lit("other").alias("which"), "o")
+    lits = own.unionByName(nxt)
+    return lits.select(F.lit("r1").alias("run_id"), F.lit("fixture").alias("regime"), F.lit("fixture").alias("model"),
+                       "doc_id", "which", F.concat(F.lit(":doc_"), "doc_id").alias("s"), F.lit("skos:prefLabel").alias("p"),
+                       "o", F.lit("literal").alias("o_kind"), F.lit(None).cast("string").alias("o_datatype"),
+                       F.lit(None).cast("string").alias("o_lang"))
+
+
+FOLD_SQL = "trim(regexp_replace(lower({c}), '\\s+', ' ', 'g'))"
+
+
+@register("j13_grounding", with_views(f"""
+SELECT l.doc_id, l.which, strpos({FOLD_SQL.format(c='c.text')}, {FOLD_SQL.format(c='l.o')}) > 0 AS grounded
+FROM lits l JOIN corpus c ON l.doc_id = c.doc_id""", "corpus", extra={"lits": FIX_LIT_SQL}))
+def j13_grounding(spark, sf):
+    g = GR.grounding(_fixture_literals(spark, sf), V.corpus(spark, sf))
+    return g.select("doc_id", "which", "grounded")
+
+
+def _example_triples(spark):
+    from graphloom.operators.turtle_reader import parse_turtle
+    tr, _ = parse_turtle(P.EXAMPLE_GRAPH)
+    # the worked example is one fixed asset of the prompts (a few statements)
+    return spark.createDataFrame([(s, p, o, k) for _, s, p, o, k, _, _ in tr], "s string, p string, o string, o_kind string")
+
+
+def _example_keys_sql():
+    from graphloom.operators.turtle_reader import parse_turtle
+    from graphloom.plans.oracle_views import _values
+    tr, _ = parse_turtle(P.EXAMPLE_GRAPH)
+    names = sorted({s for _, s, *_ in tr})
+    labels = sorted({o for _, s, p, o, k, *_ in tr if k == "literal" and p in ("skos:prefLabel", "rdfs:label")})
+    fold = "regexp_replace(translate(lower({c}), '" + C.ACCENTED + "', '" + C.PLAIN + "'), '[^a-z0-9]', '', 'g')"
+    loc = "regexp_replace(trim({c}), '" + "^<?(?:[^#>]*#|[A-Za-z][\\w.-]*:|:)?([^>]*)>?$" + "', '\\1')"
+    return (f"SELECT DISTINCT k FROM (SELECT {fold.format(c=loc.format(c='v'))} AS k FROM ({_values([(n,) for n in names], 'v')}) "
+            f"UNION ALL SELECT {fold.format(c='v')} FROM ({_values([(x,) for x in labels], 'v')})) WHERE k <> ''")
+
+
+LEAK_SQL = """
+SELECT doc_id, 'own' AS which, ':doc_' || doc_id AS s, split_part(text, chr(10), 1) AS o FROM corpus
+UNION ALL SELECT doc_id, 'example', ':HautRhin', 'Haut-Rhin' FROM corpus WHERE lang = 'es'"""
+
+
+@register("j14_example_leakage", with_views(f"""
+SELECT l.doc_id, l.which, l.s, l.o FROM leaklits l JOIN corpus c ON l.doc_id = c.doc_id
+WHERE regexp_replace(translate(lower(l.o), '{C.ACCENTED}', '{C.PLAIN}'), '[^a-z0-9]', '', 'g') IN (SELECT k FROM ex)
+  AND NOT coalesce(strpos({FOLD_SQL.format(c='c.text')}, {FOLD_SQL.format(c='l.o')}) > 0, false)""",
+                                          "corpus", extra={"leaklits": LEAK_SQL, "ex": _example_keys_sql()}))
+def j14_example_leakage(spark, sf):
+    c = V.corpus(spark, sf)
+    first = F.element_at(F.split(F.col("text"), "\n"), 1)
+    own = c.select("doc_id", F.lit("own").alias("which"), F.concat(F.lit(":doc_"), "doc_id").alias("s"), first.alias("o"))
+    ex = c.where(F.col("lang") == "es").select("doc_id", F.lit("example").alias("which"), F.lit(":HautRhin").alias("s"),
+                                               F.lit("Haut-Rhin").alias("o"))
+    t = own.unionByName(ex).withColumn("p", F.lit("skos:prefLabel")).withColumn("o_kind", F.lit("literal"))
+    leak = GR.example_leakage(t, c, _example_triples(spark))
+    return leak.select("doc_id", "which", "s", "o")
+
+
+# ---------------------------------------------------------------- A5 A6 W5 W6
+EVAL_SQL = """
+SELECT model, doc_id, tp, n_pred - tp AS fp, n_gold - tp AS fn,
+       round(CASE WHEN n_pred > 0 THEN tp / n_pred END, 6) AS precision,
+       round(CASE WHEN n_gold > 0 THEN tp / n_gold END, 6) AS recall,
+       round(CASE WHEN n_pred > 0 AND n_gold > 0 THEN
+             CASE WHEN tp > 0 THEN 2.0 * (tp / n_pred) * (tp / n_gold) / ((tp / n_pred) + (tp / n_gold)) ELSE 0.0 END END, 6) AS f1
+FROM (SELECT coalesce(p.model, g.model) AS model, coalesce(p.doc_id, g.doc_id) AS doc_id, coalesce(p.n_pred, 0) AS n_pred,
+             coalesce(g.n_gold, 0) AS n_gold, coalesce(t.tp, 0) AS tp
+      FROM (SELECT model, doc_id, count(*) AS n_pred FROM pset GROUP BY ALL) p
+      FULL OUTER JOIN (SELECT m.model, doc_id, count(*) AS n_gold FROM gset, (VALUES ('A'), ('R')) m(model) GROUP BY ALL) g
+        ON p.model = g.model AND p.doc_id = g.doc_id
+      LEFT JOIN (SELECT p.model, p.doc_id, count(*) AS tp FROM pset p JOIN gset g ON p.doc_id = g.doc_id AND p.k = g.k GROUP BY ALL) t
+        ON t.model = coalesce(p.model, g.model) AND t.doc_id = coalesce(p.doc_id, g.doc_id))"""
+EVAL_EXTRA = {
+    "pset": "SELECT DISTINCT model, doc_id, s || chr(1) || p || chr(1) || o AS k FROM model_triples WHERE model IN ('A','R')",
+    "gset": "SELECT DISTINCT doc_id, s || chr(1) || p || chr(1) || o AS k FROM model_triples WHERE model = 'N'",
+    "scores": EVAL_SQL,
+}
+
+
+def _scores(spark, sf):
+    mt = V.model_triples(spark, sf)
+    return EV.evaluate(mt, mt.where(F.col("model") == "N"), ["A", "R"])
+
+
+def _r6(df, cols):
+    return df.select(*[F.round(c, 6).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@register("a5_evaluate", with_views("SELECT * FROM scores", "model_triples", extra=EVAL_EXTRA))
+def a5_evaluate(spark, sf):
+    return _r6(_scores(spark, sf), ["precision", "recall", "f1"])
+
+
+@register("a6_leaderboard", with_views("""
+SELECT *, rank() OVER (ORDER BY micro_f1 DESC NULLS LAST, model) AS rank FROM (
+  SELECT model, sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn, round(avg(f1_raw), 6) AS macro_f1, count(*) AS n_docs,
+         round(CASE WHEN sum(tp) > 0 THEN 2.0 * sum(tp) / (2 * sum(tp) + sum(fp) + sum(fn)) ELSE 0.0 END, 6) AS micro_f1
+  FROM (SELECT *, CASE WHEN tp + fp > 0 AND tp + fn > 0 THEN CASE WHEN tp > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0.0 END END AS f1_raw
+        FROM scores) GROUP BY model)""", "model_triples", extra=EVAL_EXTRA))
+def a6_leaderboard(spark, sf):
+    s = EV.summarise(_scores(spark, sf))
+    s = s.select("model", "tp", "fp", "fn", F.round("macro_f1", 6).alias("macro_f1"), "n_docs",
+                 F.round(F.coalesce("micro_f1", F.lit(0.0)), 6).alias("micro_f1"))
+    return EV.leaderboard(s)
+
+
+@register("w5_compare_models", with_views("""
+SELECT doc_id, model_a, model_b, shared, only_a, only_b, round(shared / (shared + only_a + only_b), 6) AS jaccard FROM (
+  SELECT d.doc_id, pr.model_a, pr.model_b,
+         count(*) FILTER (WHERE a.k IS NOT NULL AND b.k IS NOT NULL) AS shared,
+         count(*) FILTER (WHERE a.k IS NOT NULL AND b.k IS NULL) AS only_a,
+         count(*) FILTER (WHERE a.k IS NULL AND b.k IS NOT NULL) AS only_b
+  FROM (SELECT DISTINCT doc_id, k FROM ks) d
+  CROSS JOIN (VALUES ('A', 'N'), ('A', 'R'), ('N', 'R')) pr(model_a, model_b)
+  LEFT JOIN ks a ON a.doc_id = d.doc_id AND a.k = d.k AND a.model = pr.model_a
+  LEFT JOIN ks b ON b.doc_id = d.doc_id AND b.k = d.k AND b.model = pr.model_b
+  GROUP BY ALL) WHERE shared + only_a + only_b > 0""", "model_triples", extra={
+    "ks": "SELECT DISTINCT model, doc_id, s || chr(1) || p || chr(1) || o AS k FROM model_triples"}))
+def w5_compare_models(spark, sf):
+    return _r6(EV.compare_models(V.model_triples(spark, sf), FLAGS), ["jaccard"])
+
+
+@register("w6_best_graph", with_views("""
+SELECT model, doc_id, f1 FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY f1 DESC NULLS LAST, model) AS rn
+                               FROM scores) WHERE rn = 1""", "model_triples", extra=EVAL_EXTRA))
+def w6_best_graph(spark, sf):
+    return EV.best_graph(_r6(_scores(spark, sf), ["f1"])).select("model", "doc_id", "f1")
+
+
+# ---------------------------------------------------------------- U1 U2 U4 A9
+@register("u1_generate", with_views(f"""
+SELECT doc_id, model, md5({_prompt_sql(PR.system_text('fine_tuned'), 'text')}) AS response, NULL::VARCHAR AS error
+FROM corpus CROSS JOIN {MODELS_SQL}""", "corpus"))
+def u1_generate(spark, sf):
+    pr = PR.expand_models(PR.build_prompts(V.corpus(spark, sf), "fine_tuned"), MODELS)
+    pr = pr.withColumn("prompt", PR.render_chat("messages", add_generation_prompt=True))
+    out = GEN.generate(pr.select("doc_id", "model", "prompt", "messages"), backend="hash", keys=["doc_id", "model"])
+    return out.select("doc_id", "model", "response", "error")
+
+
+@register("u4_extract_rules", with_views("""
+SELECT doc_id, ':doc_' || doc_id AS s, 'rdf:type' AS p, ':restorationMeasure' AS o FROM corpus""", "corpus"))
+def u4_extract_rules(spark, sf):
+    return GR.extract_rules(V.corpus(spark, sf), builtin_ontology(spark)).select("doc_id", "s", "p", "o")
+
+
+def _judge_sql():
+    head, tail = P.JUDGE_SYSTEM.split("{criterion}")
+    tail = tail.replace("{{", "{").replace("}}", "}")
+    system = f"{q(head)} || criterion || {q(tail)}"
+    user = "'Text:' || chr(10) || text || chr(10) || chr(10) || 'Graph:' || chr(10) || turtle"
+    prompt = ("'<|im_start|>system' || chr(10) || " + system + " || '<|im_end|>' || chr(10) || '<|im_start|>user' || chr(10) || "
+              + user + " || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10)")
+    crit = "(VALUES " + ", ".join(f"({q(c)})" for c in P.JUDGE_CRITERIA) + ") AS cr(criterion)"
+    return f"""SELECT doc_id, criterion, TRY_CAST(regexp_extract(md5({prompt}), '([0-5](?:\.[0-9]+)?)', 1) AS DOUBLE) AS score
+FROM (SELECT doc_id, text, ':doc_' || doc_id || ' a :restorationMeasure .' AS turtle FROM corpus) g CROSS JOIN {crit}"""
+
+
+def _judged(spark, sf):
+    c = V.corpus(spark, sf)
+    graphs = T.to_turtle(GR.extract_rules(c, builtin_ontology(spark)), G).select("regime", "model", "doc_id", "turtle")
+    return GEN.judge(graphs, c, backend="hash")
+
+
+@register("u2_judge", with_views(_judge_sql(), "corpus"))
+def u2_judge(spark, sf):
+    return _judged(spark, sf).select("doc_id", "criterion", "score")
+
+
+@register("a9_judge_summary", with_views(f"""
+SELECT criterion, round(avg(score), 6) AS mean_score, min(score) AS min_score, max(score) AS max_score, count(score) AS n_scored
+FROM ({_judge_sql()}) GROUP BY criterion""", "corpus"))
+def a9_judge_summary(spark, sf):
+    s = EV.judge_summary(_judged(spark, sf), keys=("criterion",))
+    return s.select("criterion", F.round("mean_score", 6).alias("mean_score"), "min_score", "max_score", "n_scored")
