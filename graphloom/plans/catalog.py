@@ -904,3 +904,61 @@ FROM ({_judge_sql()}) GROUP BY criterion""", "corpus"))
 def a9_judge_summary(spark, sf):
     s = EV.judge_summary(_judged(spark, sf), keys=("criterion",))
     return s.select("criterion", F.round("mean_score", 6).alias("mean_score"), "min_score", "max_score", "n_scored")
+
+
+# ================================================================ sources and sinks
+from graphloom.session import scratch_path  # noqa: E402
+from graphloom.sinks import writers as W  # noqa: E402
+from graphloom.sources import files as SRC  # noqa: E402
+
+
+@register("s1_read_corpus", with_views("SELECT doc_id, md5(text) AS text_md5 FROM corpus", "corpus"))
+def s1_read_corpus(spark, sf):
+    path = scratch_path(spark, "corpus")
+    W.write_corpus(V.corpus(spark, sf), path)
+    back = SRC.read_corpus(spark, path)
+    # the text writer ends each row with one newline
+    return back.select("doc_id", F.md5(F.regexp_replace("text", "\\n\\z", "")).alias("text_md5"))
+
+
+@register("k1_s3_graph_files", with_views("""
+SELECT doc_id, s, p, o, o_kind, o_datatype, o_lang FROM kg_triples""", "kg_triples"))
+def k1_s3_graph_files(spark, sf):
+    path = scratch_path(spark, "graphs")
+    W.write_graphs(T.to_turtle(V.kg_triples(spark, sf), G, header=True), path, fmt="turtle")
+    files = SRC.read_graphs(spark, path, glob="*.txt")
+    parsed = T.parse_graphs(files.select("regime", "model", F.col("doc_id").cast("string").alias("doc_id"),
+                                         "file_name", "text"), "text", ["regime", "model", "doc_id", "file_name"])
+    return T.triples_of(parsed).select("doc_id", "s", "p", "o", "o_kind", "o_datatype", "o_lang")
+
+
+@register("s4_read_chat_rows", with_views(f"""
+SELECT id, 'ok' AS status, md5(array_to_string(list_transform(messages,
+       lambda m: '<|im_start|>' || m.role || {NL} || m.content || '<|im_end|>' || {NL}), '')) AS text_md5
+FROM chat_messages""", "chat_messages"))
+def s4_read_chat_rows(spark, sf):
+    path = scratch_path(spark, "chat")
+    V.chat_rows(spark, sf).write.json(path)
+    p = parse_chat_rows(SRC.read_chat_rows(spark, path))
+    return p.select("id", "status", F.md5(PR.render_chat("messages")).alias("text_md5"))
+
+
+@register("k3_s5_timing_log", with_views("""
+SELECT model, file_name, round(seconds, 2) AS seconds FROM timings""", "timings"))
+def k3_s5_timing_log(spark, sf):
+    path = scratch_path(spark, "timings")
+    W.write_timings(V.timings(spark, sf), path)
+    t = SRC.read_timings(spark, path)
+    return t.select("model", F.col("log_file_name").alias("file_name"), F.round("seconds", 2).alias("seconds"))
+
+
+@register("k2_write_responses", with_views(f"""
+SELECT doc_id, model, md5({_prompt_sql(PR.system_text('fine_tuned'), 'text')}) AS response
+FROM corpus CROSS JOIN {MODELS_SQL}""", "corpus"))
+def k2_write_responses(spark, sf):
+    path = scratch_path(spark, "responses")
+    pr = PR.expand_models(PR.build_prompts(V.corpus(spark, sf), "fine_tuned"), MODELS)
+    pr = pr.withColumn("prompt", PR.render_chat("messages", add_generation_prompt=True))
+    ans = GEN.generate(pr.select("regime", "doc_id", "model", "prompt", "messages"), keys=["regime", "doc_id", "model"])
+    W.write_responses(ans, path)
+    return spark.read.parquet(path).select("doc_id", "model", "response")

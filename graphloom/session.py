@@ -66,3 +66,9 @@ def cut_lineage(df):
     """Reliable checkpoint into spark.checkpoint.dir (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder (never machine-local)."""
+    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/io/{name}-{uuid.uuid4().hex}"
