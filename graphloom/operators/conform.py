@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.session import local_table
+
 from graphloom.functions.literals import datatype_local, type_literal, value_type
 from graphloom.operators.ontology import GRAPH, Ontology, infer_types, subclass_closure
 
@@ -65,7 +67,7 @@ def canonicalise(triples: DataFrame, onto: Ontology) -> DataFrame:
     plk = _lookup(spark, onto.properties.select("name"), onto.aliases).join(
         onto.properties.select(F.col("name").alias("canon"), F.col("kind").alias("p_kind0")), "canon")
     clk = _lookup(spark, onto.classes.select("name"), onto.aliases)
-    builtin = spark.createDataFrame([(b.lower(), b) for b in BUILTIN_TERMS], "blkey string, bcanon string")
+    builtin = local_table(spark, [(b.lower(), b) for b in BUILTIN_TERMS], "blkey string, bcanon string")
 
     p_raw = F.trim(F.col("p"))
     t = triples.withColumn("_p_low", F.when(p_raw == "a", F.lit("rdf:type")).otherwise(F.lower(p_raw))) \
@@ -171,7 +173,7 @@ def check_domain_range(canon: DataFrame, onto: Ontology, strict: bool = False) -
                                                            F.col("property").alias("prop")).distinct() \
         .withColumn("_osat", F.lit(True))
     otyped = types.select(*GRAPH, F.col("s_key").alias("o_key")).distinct().withColumn("_otyped", F.lit(True))
-    compat = spark.createDataFrame(RANGE_COMPAT, "rng_local string, dt string")
+    compat = local_table(spark, RANGE_COMPAT, "rng_local string, dt string")
     dt_ok = dat_rng.join(F.broadcast(compat), "rng_local", "left") \
         .select("prop", F.explode(F.array_distinct(F.array("rng_local", F.coalesce("dt", "rng_local")))).alias("dt"))
     dt_ok = dt_ok.distinct().withColumn("_dsat", F.lit(True))

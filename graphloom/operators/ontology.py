@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom import vocab
+from graphloom.session import local_table
 
 GRAPH = ["run_id", "regime", "model", "doc_id"]
 
@@ -33,17 +34,17 @@ def builtin_ontology(spark: SparkSession) -> Ontology:
     """The ontology of ``vocab`` as DataFrames."""
     cls = vocab.classes()
     props = vocab.properties()
-    c = spark.createDataFrame([(n, p, a or None, l or None) for n, _, p, a, l in cls],
+    c = local_table(spark, [(n, p, a or None, l or None) for n, _, p, a, l in cls],
                               "name string, pref_label string, alt_label string, alt_lang string")
-    sub = spark.createDataFrame([(n, p) for n, ps, *_ in cls for p in ps], "child string, parent string")
-    pr = spark.createDataFrame([(n, k) for n, k, _, _ in props], "name string, kind string")
-    dom = spark.createDataFrame([(n, d) for n, _, ds, _ in props for d in ds], "property string, cls string")
-    rng = spark.createDataFrame([(n, r) for n, _, _, rs in props for r in rs], "property string, rng string")
-    res = spark.createDataFrame(vocab.restrictions(), "cls string, property string, filler string")
-    labels = spark.createDataFrame(
+    sub = local_table(spark, [(n, p) for n, ps, *_ in cls for p in ps], "child string, parent string")
+    pr = local_table(spark, [(n, k) for n, k, _, _ in props], "name string, kind string")
+    dom = local_table(spark, [(n, d) for n, _, ds, _ in props for d in ds], "property string, cls string")
+    rng = local_table(spark, [(n, r) for n, _, _, rs in props for r in rs], "property string, rng string")
+    res = local_table(spark, vocab.restrictions(), "cls string, property string, filler string")
+    labels = local_table(spark, 
         [(n, p, "en", "pref") for n, _, p, _, _ in cls if p] + [(n, a, l, "alt") for n, _, _, a, l in cls if a],
         "term string, label string, lang string, kind string")
-    al = spark.createDataFrame(vocab.aliases(), "alias string, term string")
+    al = local_table(spark, vocab.aliases(), "alias string, term string")
     return Ontology(c, sub, pr, dom, rng, res, labels, al)
 
 
@@ -129,8 +130,8 @@ def describe_ontology(onto: Ontology, classes: DataFrame | None = None, props: D
                        F.concat(F.lit('    - "'), "name", F.lit('": '), F.coalesce("d", F.lit("?")),
                                 F.lit(" -> "), F.coalesce("r", F.lit("?")), F.lit("\n")).alias("line"))
     titles = [(0, "Classes :"), (1, "Object Properties:"), (2, "Data Properties:")]
-    heads = onto.classes.sparkSession.createDataFrame(
-        [(sec, "", ("\n" if sec else "") + t + "\n") for sec, t in titles], "sec int, k string, line string")
+    heads = local_table(onto.classes.sparkSession,
+                        [(sec, "", ("\n" if sec else "") + t + "\n") for sec, t in titles], "sec int, k string, line string")
     allrows = cls_lines.unionByName(p_lines).unionByName(heads)
     # One ontology-sized group; sorted by (section, term) with the title first.
     return allrows.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sec", "k", "line"))),

@@ -751,7 +751,7 @@ def _example_triples(spark):
     from graphloom.operators.turtle_reader import parse_turtle
     tr, _ = parse_turtle(P.EXAMPLE_GRAPH)
     # the worked example is one fixed asset of the prompts (a few statements)
-    return spark.createDataFrame([(s, p, o, k) for _, s, p, o, k, _, _ in tr], "s string, p string, o string, o_kind string")
+    return local_table(spark, [(s, p, o, k) for _, s, p, o, k, _, _ in tr], "s string, p string, o string, o_kind string")
 
 
 def _example_keys_sql():
@@ -907,7 +907,7 @@ def a9_judge_summary(spark, sf):
 
 
 # ================================================================ sources and sinks
-from graphloom.session import scratch_path  # noqa: E402
+from graphloom.session import local_table, scratch_path  # noqa: E402
 from graphloom.sinks import writers as W  # noqa: E402
 from graphloom.sources import files as SRC  # noqa: E402
 

@@ -72,3 +72,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (never machine-local)."""
     import uuid
     return f"{checkpoint_dir(spark).rstrip('/')}/io/{name}-{uuid.uuid4().hex}"
+
+
+def local_table(spark: SparkSession, rows: list[tuple], schema: str):
+    """A small fixed table (ontology rows, a model sweep) built from literals
+    on the JVM side: no Python worker, known size, broadcast by the planner."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import _parse_datatype_string
+
+    st = _parse_datatype_string(schema)
+    names = [f.name for f in st.fields]
+    if not rows:
+        return spark.createDataFrame([], st)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)]) for r in rows]
+    return spark.range(1).select(F.explode(F.array(*structs)).alias("_r")).select(*[f"_r.{n}" for n in names])

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from graphloom.session import local_table
+
 from graphloom import vocab
 from graphloom.operators.ontology import Ontology
 from graphloom.operators.turtle import parse_graphs, triples_of
@@ -43,5 +45,5 @@ def read_ontology(spark: SparkSession, path: str) -> Ontology:
         .join(labels.where("kind = 'alt'").groupBy("term").agg(F.min(F.struct("label", "lang")).alias("a")),
               classes.name == F.col("term"), "left") \
         .select("name", "pref_label", F.col("a.label").alias("alt_label"), F.col("a.lang").alias("alt_lang"))
-    aliases = spark.createDataFrame(vocab.aliases(), "alias string, term string")
+    aliases = local_table(spark, vocab.aliases(), "alias string, term string")
     return Ontology(cls_tbl, sub, props, dom, rng, res, labels, aliases)
