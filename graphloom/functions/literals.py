@@ -102,8 +102,17 @@ def value_type(range_local: Column, dt_local: Column) -> Column:
 
 def type_literal(lex: Column, vtype: Column) -> Column:
     """struct(v_decimal, v_integer, v_date, date_precision, v_bool, unit, parsed)."""
-    num = parse_number(lex)
-    dat = parse_date(lex)
+    # fast paths: a clean number casts directly; an ISO day parses directly
+    trimmed = F.trim(lex)
+    dec_fast = trimmed.try_cast("decimal(18,4)")
+    iso_day = (F.length(trimmed) == 10) & (F.substr(trimmed, F.lit(5), F.lit(1)) == "-")
+    date_fast = F.when(iso_day, F.try_to_timestamp(trimmed, F.lit("yyyy-MM-dd")).cast("date"))
+    slow_num = parse_number(lex)
+    slow_dat = parse_date(lex)
+    num = F.struct(F.coalesce(dec_fast, slow_num["value"]).alias("value"),
+                   F.when(dec_fast.isNull(), slow_num["unit"]).alias("unit"))
+    dat = F.struct(F.coalesce(date_fast, slow_dat["value"]).alias("value"),
+                   F.when(date_fast.isNotNull(), F.lit("day")).otherwise(slow_dat["precision"]).alias("precision"))
     b = parse_bool(lex)
     is_dec = vtype == "decimal"
     is_int = vtype == "integer"

@@ -31,15 +31,22 @@ def components(canon: DataFrame, graph: list[str] | None = None, max_rounds: int
     nodes = canon.select(*graph, F.col("s_key").alias("node")).unionByName(
         edges.select(*graph, F.col("a").alias("node"))).distinct()
     labels = cut_lineage(nodes.withColumn("label", F.col("node")))
+    prev = None
     for r in range(max_rounds):
+        # smallest neighbour label per node (partial aggregate before the shuffle)
         nb = edges.join(labels.withColumnRenamed("node", "b"), [*graph, "b"]) \
-            .groupBy(*graph, F.col("a").alias("node")).agg(F.min("label").alias("nl"))
-        new = labels.join(nb, [*graph, "node"], "left") \
-            .select(*graph, "node", F.least("label", F.coalesce("nl", "label")).alias("label"),
-                    (F.coalesce("nl", "label") < F.col("label")).alias("_changed"))
+            .groupBy(*graph, F.col("a").alias("node")).agg(F.min("label").alias("label")) \
+            .withColumn("_old", F.lit(None).cast("string"))
+        # one aggregation merges the old label with the neighbours' (no join)
+        new = labels.withColumn("_old", F.col("label")).unionByName(nb) \
+            .groupBy(*graph, "node").agg(F.min("label").alias("label"), F.max("_old").alias("_old"))
+        new = new.withColumn("_changed", F.col("label") < F.col("_old"))
         new = cut_lineage(new) if (r + 1) % checkpoint_every == 0 else new.cache()
         changed = new.where("_changed").count()
-        labels = new.drop("_changed")
+        if prev is not None:
+            prev.unpersist()
+        prev = new
+        labels = new.drop("_changed", "_old")
         if changed == 0:
             break
     return labels.withColumnRenamed("label", "component")

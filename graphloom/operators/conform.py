@@ -40,9 +40,19 @@ PLAIN = "aaaaaaceeeeiiiinooooouuuuyyo"
 
 
 def local_name(term: str | Column) -> Column:
-    """':x', 'pre:x', '<...#x>', '<x>', '<:x>' -> 'x'."""
-    t = F.col(term) if isinstance(term, str) else term
-    return F.regexp_replace(F.trim(t), LOCAL_RE, "$1")
+    """':x', 'pre:x', '<...#x>', '<x>', '<:x>' -> 'x' (same result as LOCAL_RE,
+    with plain string functions: this runs on every statement)."""
+    t = F.trim(F.col(term) if isinstance(term, str) else term)
+    inner = F.regexp_replace(F.substr(t, F.lit(2)), ">$", "")  # <...> without brackets
+    bracket = (F.when(F.instr(inner, "#") > 0, F.substring_index(inner, "#", -1))
+               .when(inner.startswith(":"), F.substr(inner, F.lit(2)))
+               .when(inner.rlike("^[A-Za-z][\\w.-]*:"), F.substr(inner, F.instr(inner, ":") + 1))
+               .otherwise(inner))
+    colon = F.instr(t, ":")
+    plain = F.when(t.startswith(":"), F.substr(t, F.lit(2))) \
+        .when((colon > 1) & F.substr(t, F.lit(1), colon - 1).rlike("^[A-Za-z][\\w.-]*$"), F.substr(t, colon + 1)) \
+        .otherwise(t)
+    return F.when(t.startswith("<"), bracket).otherwise(plain)
 
 
 def _lookup(spark, terms: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -55,6 +65,28 @@ def _lookup(spark, terms: DataFrame, aliases: DataFrame) -> DataFrame:
                        F.when(F.col("b.prio") == 0, "term").otherwise("alias").alias("via"))
 
 
+def _fixed_lookups(spark, fixed: dict):
+    """``_lookup`` for the built-in ontology, as literal tables."""
+    kinds = dict(fixed["properties"])
+
+    def best(names):
+        rows: dict[str, tuple[int, str]] = {}
+        for n in names:
+            rows[n.lower()] = min(rows.get(n.lower(), (9, "")), (0, n)) if n.lower() in rows else (0, n)
+        for a, t in fixed["aliases"]:
+            if t in names and a.lower() not in rows:
+                rows[a.lower()] = (1, t)
+            elif t in names:
+                rows[a.lower()] = min(rows[a.lower()], (1, t))
+        return [(k, c, "term" if p == 0 else "alias") for k, (p, c) in sorted(rows.items())]
+
+    props = set(kinds)
+    plk = local_table(spark, [(k, c, v, kinds[c]) for k, c, v in best(props)],
+                      "lkey string, canon string, via string, p_kind0 string")
+    clk = local_table(spark, best(set(fixed["classes"])), "lkey string, canon string, via string")
+    return plk, clk
+
+
 def canonicalise(triples: DataFrame, onto: Ontology) -> DataFrame:
     """Canonical predicate and type-object terms with how they matched.
 
@@ -64,9 +96,12 @@ def canonicalise(triples: DataFrame, onto: Ontology) -> DataFrame:
     ``o_match`` (exact|case|alias|unknown).
     """
     spark = triples.sparkSession
-    plk = _lookup(spark, onto.properties.select("name"), onto.aliases).join(
-        onto.properties.select(F.col("name").alias("canon"), F.col("kind").alias("p_kind0")), "canon")
-    clk = _lookup(spark, onto.classes.select("name"), onto.aliases)
+    if onto.fixed is not None:
+        plk, clk = _fixed_lookups(spark, onto.fixed)
+    else:
+        plk = _lookup(spark, onto.properties.select("name"), onto.aliases).join(
+            onto.properties.select(F.col("name").alias("canon"), F.col("kind").alias("p_kind0")), "canon")
+        clk = _lookup(spark, onto.classes.select("name"), onto.aliases)
     builtin = local_table(spark, [(b.lower(), b) for b in BUILTIN_TERMS], "blkey string, bcanon string")
 
     p_raw = F.trim(F.col("p"))

@@ -28,6 +28,9 @@ class Ontology:
     restriction: DataFrame  # cls, property, filler
     labels: DataFrame       # term, label, lang, kind (pref|alt)
     aliases: DataFrame      # alias, term
+    # For the built-in ontology: the same facts as Python rows, so that small
+    # derived tables (closure, lookups) are literal tables, not Spark jobs.
+    fixed: dict | None = None
 
 
 def builtin_ontology(spark: SparkSession) -> Ontology:
@@ -45,7 +48,28 @@ def builtin_ontology(spark: SparkSession) -> Ontology:
         [(n, p, "en", "pref") for n, _, p, _, _ in cls if p] + [(n, a, l, "alt") for n, _, _, a, l in cls if a],
         "term string, label string, lang string, kind string")
     al = local_table(spark, vocab.aliases(), "alias string, term string")
-    return Ontology(c, sub, pr, dom, rng, res, labels, al)
+    fixed = {"classes": [n for n, *_ in cls], "properties": [(n, k) for n, k, _, _ in props],
+             "subclass": [(n, p) for n, ps, *_ in cls for p in ps], "aliases": vocab.aliases()}
+    return Ontology(c, sub, pr, dom, rng, res, labels, al, fixed)
+
+
+def _closure_rows(edges: list[tuple[str, str]], max_depth: int = 32) -> list[tuple[str, str, int]]:
+    """Shortest-path strict ancestors of a fixed (ontology-sized) edge list."""
+    parents: dict[str, set[str]] = {}
+    for c, p in edges:
+        parents.setdefault(c, set()).add(p)
+    out = []
+    for child in sorted(parents):
+        seen, frontier, depth = {}, set(parents[child]), 1
+        while frontier and depth <= max_depth:
+            nxt = set()
+            for a in sorted(frontier):
+                if a not in seen:
+                    seen[a] = depth
+                    nxt |= parents.get(a, set())
+            frontier, depth = nxt, depth + 1
+        out += [(child, a, d) for a, d in sorted(seen.items())]
+    return out
 
 
 def subclass_closure(onto: Ontology, reflexive: bool = False, max_depth: int = 32) -> DataFrame:
@@ -54,6 +78,12 @@ def subclass_closure(onto: Ontology, reflexive: bool = False, max_depth: int = 3
     A fixed-point loop of joins on the (small, broadcast) edge table; the
     stop test reads one count per round.  ``max_depth`` guards cycles.
     """
+    if onto.fixed is not None:
+        spark = onto.classes.sparkSession
+        rows = _closure_rows(onto.fixed["subclass"], max_depth)
+        if reflexive:
+            rows += [(n, n, 0) for n in onto.fixed["classes"]]
+        return local_table(spark, rows, "child string, ancestor string, depth int")
     edges = onto.subclass.select("child", F.col("parent").alias("ancestor")).distinct()
     closure = edges.withColumn("depth", F.lit(1))
     size = closure.count()

@@ -883,7 +883,7 @@ def _judge_sql():
     prompt = ("'<|im_start|>system' || chr(10) || " + system + " || '<|im_end|>' || chr(10) || '<|im_start|>user' || chr(10) || "
               + user + " || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10)")
     crit = "(VALUES " + ", ".join(f"({q(c)})" for c in P.JUDGE_CRITERIA) + ") AS cr(criterion)"
-    return f"""SELECT doc_id, criterion, TRY_CAST(regexp_extract(md5({prompt}), '([0-5](?:\.[0-9]+)?)', 1) AS DOUBLE) AS score
+    return f"""SELECT doc_id, criterion, TRY_CAST(regexp_extract(md5({prompt}), '([0-5](?:[.][0-9]+)?)', 1) AS DOUBLE) AS score
 FROM (SELECT doc_id, text, ':doc_' || doc_id || ' a :restorationMeasure .' AS turtle FROM corpus) g CROSS JOIN {crit}"""
 
 

@@ -63,9 +63,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Reliable checkpoint into spark.checkpoint.dir (survives executor loss)."""
+    """Reliable checkpoint into spark.checkpoint.dir (survives executor loss).
+
+    The input is persisted first so that the checkpoint job writes what the
+    counting job computed instead of computing it a second time.
+    """
+    from pyspark import StorageLevel
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    p = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = p.checkpoint(eager=True)
+    p.unpersist()
+    return out
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

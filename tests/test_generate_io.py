@@ -1,6 +1,8 @@
 import os
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from graphloom.functions import prompts as PR
@@ -17,6 +19,10 @@ class Boom:
         return "ok:" + str(options.get("temperature"))
 
 
+# ship the test backend to the Python workers by value
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def _prompts(spark, texts):
     df = spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(texts)], "doc_id string, text string")
     p = PR.build_prompts(df, "fine_tuned").withColumn("model", F.lit("m"))

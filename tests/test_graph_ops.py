@@ -47,7 +47,7 @@ def test_mentions_and_rules(spark):
                                   ("d2", "A vertical slot passage on the river.")], "doc_id string, text string")
     onto = builtin_ontology(spark)
     m = {(r.doc_id, r.term, r.pos) for r in link_mentions(docs, onto).collect()}
-    assert ("d1", "millWeir", 2) in m and ("d1", "weir", 2) in m and ("d1", "fishway", 6) in m
+    assert ("d1", "millWeir", 2) in m and ("d1", "weir", 2) in m and ("d1", "fishway", 7) in m
     assert ("d2", "verticalSlotPassage", 2) in m and ("d2", "river", 7) in m
     r = extract_rules(docs, onto)
     got = {(t.s, t.p, t.o) for t in r.where("doc_id = 'd1' AND s = ':doc_d1'").collect()}
