@@ -181,6 +181,10 @@ def check_domain_range(canon: DataFrame, onto: Ontology, strict: bool = False) -
     graph) | none (no domain declared).  Range for object properties the same
     on the object; for data properties: ok | violation | untyped_literal
     (no datatype written) | none.
+
+    Each typed individual is summarised once -- the properties whose domain
+    (and, separately, range) its types satisfy -- so the statements are
+    shuffled twice: once by subject, once by object.
     """
     spark = canon.sparkSession
     types = individual_types(canon, onto)
@@ -188,44 +192,44 @@ def check_domain_range(canon: DataFrame, onto: Ontology, strict: bool = False) -
         .withColumn("prop", F.regexp_replace("p_canon", "^:", ""))
     dom = onto.domain
     n_dom = dom.groupBy("property").agg(F.count(F.lit(1)).alias("n_dom"))
-    # (graph, individual, property) whose domain its types satisfy
-    sat = types.join(F.broadcast(dom), "cls").groupBy(*GRAPH, "s_key", "property") \
+    # per typed individual: properties whose domain it satisfies (ontology-bounded set)
+    sat = types.join(F.broadcast(dom), "cls", "left").groupBy(*GRAPH, "s_key", "property") \
         .agg(F.countDistinct("cls").alias("n_sat"))
-    typed = types.select(*GRAPH, "s_key").distinct().withColumn("_typed", F.lit(True))
-    t = props.join(F.broadcast(n_dom.withColumnRenamed("property", "prop")), "prop", "left") \
-        .join(sat.withColumnRenamed("property", "prop"), [*GRAPH, "s_key", "prop"], "left") \
-        .join(typed, [*GRAPH, "s_key"], "left")
-    need = F.col("n_dom") if strict else F.lit(1)
-    dstat = (F.when(F.col("n_dom").isNull(), "none").when(F.coalesce("n_sat", F.lit(0)) >= need, "ok")
-             .when(F.col("_typed").isNull(), "untyped").otherwise("violation"))
-    t = t.withColumn("domain_status", dstat).drop("n_dom", "n_sat", "_typed")
-
-    rng = onto.range.withColumn("rng_local", F.regexp_replace("rng", "^[a-z]+:", ""))
+    sat = sat.join(F.broadcast(n_dom), "property", "left")
+    ok_prop = F.when(F.col("property").isNotNull() & (F.col("n_sat") >= (F.col("n_dom") if strict else F.lit(1))),
+                     F.col("property"))
+    subj = sat.groupBy(*GRAPH, "s_key").agg(F.collect_set(ok_prop).alias("_dom_ok"))
+
+    rng = onto.range
     obj_rng = rng.where(~F.col("rng").contains(":")).select("property", F.col("rng").alias("cls"))
-    dat_rng = rng.where(F.col("rng").contains(":")).select(F.col("property").alias("prop"), "rng_local")
+    obj = types.join(F.broadcast(obj_rng), "cls", "left").groupBy(*GRAPH, F.col("s_key").alias("o_key")) \
+        .agg(F.collect_set("property").alias("_rng_ok"))
+
+    dat_rng = rng.where(F.col("rng").contains(":")).select(F.col("property").alias("prop"),
+                                                         F.regexp_replace("rng", "^[a-z]+:", "").alias("rng_local"))
     has_rng = rng.select(F.col("property").alias("prop")).distinct().withColumn("_has_rng", F.lit(True))
-    osat = types.join(F.broadcast(obj_rng), "cls").select(*GRAPH, F.col("s_key").alias("o_key"),
-                                                           F.col("property").alias("prop")).distinct() \
-        .withColumn("_osat", F.lit(True))
-    otyped = types.select(*GRAPH, F.col("s_key").alias("o_key")).distinct().withColumn("_otyped", F.lit(True))
     compat = local_table(spark, RANGE_COMPAT, "rng_local string, dt string")
     dt_ok = dat_rng.join(F.broadcast(compat), "rng_local", "left") \
         .select("prop", F.explode(F.array_distinct(F.array("rng_local", F.coalesce("dt", "rng_local")))).alias("dt"))
     dt_ok = dt_ok.distinct().withColumn("_dsat", F.lit(True))
-    t = t.join(F.broadcast(has_rng), "prop", "left") \
-        .join(osat, [*GRAPH, "o_key", "prop"], "left") \
-        .join(otyped, [*GRAPH, "o_key"], "left") \
+
+    t = props.join(F.broadcast(n_dom.withColumnRenamed("property", "prop")), "prop", "left") \
+        .join(subj, [*GRAPH, "s_key"], "left") \
+        .join(F.broadcast(has_rng), "prop", "left") \
+        .join(obj, [*GRAPH, "o_key"], "left") \
         .withColumn("dt", datatype_local(F.col("o_datatype"))) \
         .join(F.broadcast(dt_ok), ["prop", "dt"], "left")
+    dstat = (F.when(F.col("n_dom").isNull(), "none").when(F.array_contains("_dom_ok", F.col("prop")), "ok")
+             .when(F.col("_dom_ok").isNull(), "untyped").otherwise("violation"))
     is_lit = F.col("o_kind") == "literal"
     rstat = (F.when(F.col("_has_rng").isNull(), "none")
              .when(F.col("p_kind") == "object",
-                   F.when(is_lit, "violation").when(F.col("_osat").isNotNull(), "ok")
-                   .when(F.col("_otyped").isNull(), "untyped").otherwise("violation"))
+                   F.when(is_lit, "violation").when(F.array_contains("_rng_ok", F.col("prop")), "ok")
+                   .when(F.col("_rng_ok").isNull(), "untyped").otherwise("violation"))
              .when(~is_lit, "violation")
              .when(F.col("o_datatype").isNull(), "untyped_literal")
              .when(F.col("_dsat").isNotNull(), "ok").otherwise("violation"))
-    return t.withColumn("range_status", rstat).select(
+    return t.withColumn("domain_status", dstat).withColumn("range_status", rstat).select(
         *GRAPH, "stmt_idx", "s", "p_canon", "o", "domain_status", "range_status")
 
 

@@ -83,14 +83,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def local_table(spark: SparkSession, rows: list[tuple], schema: str):
-    """A small fixed table (ontology rows, a model sweep) built from literals
-    on the JVM side: no Python worker, known size, broadcast by the planner."""
-    from pyspark.sql import functions as F
+    """A small fixed table (ontology rows, a model sweep) as one SQL VALUES
+    clause: parsed once, planned as a local relation of known size (so it is
+    broadcast), no Python worker."""
     from pyspark.sql.types import _parse_datatype_string
 
     st = _parse_datatype_string(schema)
-    names = [f.name for f in st.fields]
     if not rows:
         return spark.createDataFrame([], st)
-    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)]) for r in rows]
-    return spark.range(1).select(F.explode(F.array(*structs)).alias("_r")).select(*[f"_r.{n}" for n in names])
+
+    def lit(v):
+        if v is None:
+            return "NULL"
+        if isinstance(v, bool):
+            return "true" if v else "false"
+        if isinstance(v, (int, float)):
+            return repr(v)
+        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    names = [f"_c{i}" for i in range(len(st.fields))]
+    values = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    cols = ", ".join(f"CAST({n} AS {f.dataType.simpleString()}) AS `{f.name}`" for n, f in zip(names, st.fields))
+    return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({', '.join(names)})")
