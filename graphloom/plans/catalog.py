@@ -301,8 +301,31 @@ def geq(a: str, b: str) -> str:
     return G_EQ.format(a=a, b=b)
 
 
+_STORED: dict = {}
+
+
+def _stored(spark, key: tuple, build) -> DataFrame:
+    """Write a derived table once per session under the shared checkpoint
+    folder (partitioned by regime, model, as the triples table is meant to
+    live on disk) and read it back; later queries scan Parquet instead of
+    re-deriving it."""
+    from graphloom.session import scratch_path
+    k = (id(spark.sparkContext), *key)
+    if k not in _STORED:
+        path = scratch_path(spark, key[0])
+        build().write.mode("overwrite").partitionBy("regime", "model").parquet(path)
+        _STORED[k] = path
+    return spark.read.parquet(_STORED[k])
+
+
+def _kg(spark, sf):
+    """The triples table of the kg_triples view (stored once per session)."""
+    return _stored(spark, ("kg_triples", sf), lambda: V.kg_triples(spark, sf)).select(*V.TRIPLE_COLS)
+
+
 def _canon(spark, sf):
-    return C.canonicalise(V.kg_triples(spark, sf), builtin_ontology(spark))
+    """N3 over the stored triples, itself stored: every check reads it."""
+    return _stored(spark, ("kg_canon", sf), lambda: C.canonicalise(_kg(spark, sf), builtin_ontology(spark)))
 
 
 FLAGSHIP = "j4_property_share"
@@ -609,14 +632,14 @@ GROUP BY run_id, regime, model, doc_id, s"""
 
 @register("a8_to_turtle", with_views(A8_SQL, "kg_triples"))
 def a8_to_turtle(spark, sf):
-    b = T.to_turtle(V.kg_triples(spark, sf), G)
+    b = T.to_turtle(_kg(spark, sf), G)
     return b.select("doc_id", "s", F.md5("turtle").alias("block_md5"))
 
 
 @register("g1_parse_graphs", with_views("""
 SELECT doc_id, s, p, o, o_kind, o_datatype, o_lang, 'ok' AS parse_status FROM kg_triples""", "kg_triples"))
 def g1_parse_graphs(spark, sf):
-    b = T.to_turtle(V.kg_triples(spark, sf), G, header=True)
+    b = T.to_turtle(_kg(spark, sf), G, header=True)
     parsed = T.parse_graphs(b.select(*G, F.col("turtle").alias("text")), "text", G)
     return T.triples_of(parsed).select("doc_id", "s", "p", "o", "o_kind", "o_datatype", "o_lang", "parse_status")
 
@@ -925,7 +948,7 @@ def s1_read_corpus(spark, sf):
 SELECT doc_id, s, p, o, o_kind, o_datatype, o_lang FROM kg_triples""", "kg_triples"))
 def k1_s3_graph_files(spark, sf):
     path = scratch_path(spark, "graphs")
-    W.write_graphs(T.to_turtle(V.kg_triples(spark, sf), G, header=True), path, fmt="turtle")
+    W.write_graphs(T.to_turtle(_kg(spark, sf), G, header=True), path, fmt="turtle")
     files = SRC.read_graphs(spark, path, glob="*.txt")
     parsed = T.parse_graphs(files.select("regime", "model", F.col("doc_id").cast("string").alias("doc_id"),
                                          "file_name", "text"), "text", ["regime", "model", "doc_id", "file_name"])
@@ -962,3 +985,24 @@ def k2_write_responses(spark, sf):
     ans = GEN.generate(pr.select("regime", "doc_id", "model", "prompt", "messages"), keys=["regime", "doc_id", "model"])
     W.write_responses(ans, path)
     return spark.read.parquet(path).select("doc_id", "model", "response")
+
+
+# ================================================================ end-to-end flow (§3.2): two-pass one-shot
+from graphloom.plans import lifecycles as LC  # noqa: E402
+
+
+def _open_prompt_sql(system_sql: str, user_sql: str) -> str:
+    return ("'<|im_start|>system' || chr(10) || " + system_sql + " || '<|im_end|>' || chr(10) || "
+            "'<|im_start|>user' || chr(10) || " + user_sql + " || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10)")
+
+
+@register("one_shot_two_pass", with_views(f"""
+SELECT doc_id, 'mistral:latest' AS model, md5({_open_prompt_sql(sql_text(PR.translate_text()), 'individuals')}) AS response
+FROM (SELECT doc_id, string_agg('Response for chunk ' || CAST(chunk_idx + 1 AS VARCHAR) || ':' || chr(10) || chr(10) || r1
+                                || chr(10) || chr(10), '' ORDER BY chunk_idx) AS individuals
+      FROM (SELECT doc_id, chunk_idx, md5({_open_prompt_sql(sql_text(PR.system_text('one_shot')), 'chunk')}) AS r1 FROM chunks)
+      GROUP BY doc_id)""", "corpus", extra={"chunks": CHUNK_SQL}))
+def one_shot_two_pass(spark, sf):
+    out = scratch_path(spark, "one_shot")
+    r = LC.one_shot(V.corpus(spark, sf), ["mistral:latest"], out, backend="hash")
+    return r.select("doc_id", "model", "response")

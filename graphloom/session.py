@@ -48,8 +48,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts, read from the session.
 
-    Raises when the cluster names none: a machine-local folder is never a safe
-    default once executors can be lost.
+    On a cluster the setting must name a shared folder; a machine-local
+    folder is never a safe default once executors can be lost, so an unset
+    value raises.  Only a local-mode session (tests, the bench, a smoke run)
+    with the setting unset gets a fresh scratch folder of its own.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -57,7 +59,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for lineage cuts")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for lineage cuts")
+        conf = tempfile.mkdtemp(prefix="graphloom-ckpt-", dir=os.environ.get("GRAPHLOOM_SCRATCH", "/tmp"))
+        spark.conf.set("spark.checkpoint.dir", conf)
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
