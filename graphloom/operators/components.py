@@ -26,11 +26,15 @@ def components(canon: DataFrame, graph: list[str] | None = None, max_rounds: int
     graph = graph or GRAPH
     e = canon.where((F.col("o_kind") != "literal") & (F.col("p_canon") != "rdf:type")) \
         .select(*graph, F.col("s_key").alias("a"), F.col("o_key").alias("b")).where("a <> b")
-    edges = e.unionByName(e.select(*graph, F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    edges = cut_lineage(edges)
-    nodes = canon.select(*graph, F.col("s_key").alias("node")).unionByName(
-        edges.select(*graph, F.col("a").alias("node"))).distinct()
-    labels = cut_lineage(nodes.withColumn("label", F.col("node")))
+    # both directions; repeated edges do not change a minimum, so no distinct
+    edges = cut_lineage(e.unionByName(e.select(*graph, F.col("b").alias("a"), F.col("a").alias("b"))))
+    # round 0 needs no join: every label starts as the node's own name, so the
+    # first labels are min(self, neighbours) straight from the edges
+    selfs = canon.select(*graph, F.col("s_key").alias("node"), F.col("s_key").alias("label"))
+    first = selfs.unionByName(edges.select(*graph, F.col("a").alias("node"), F.col("b").alias("label"))) \
+        .unionByName(edges.select(*graph, F.col("a").alias("node"), F.col("a").alias("label"))) \
+        .groupBy(*graph, "node").agg(F.min("label").alias("label"))
+    labels = cut_lineage(first)
     prev = None
     for r in range(max_rounds):
         # smallest neighbour label per node (partial aggregate before the shuffle)

@@ -193,8 +193,9 @@ def check_domain_range(canon: DataFrame, onto: Ontology, strict: bool = False) -
     dom = onto.domain
     n_dom = dom.groupBy("property").agg(F.count(F.lit(1)).alias("n_dom"))
     # per typed individual: properties whose domain it satisfies (ontology-bounded set)
+    # types holds each (individual, class) once, so a plain count is the number of distinct classes
     sat = types.join(F.broadcast(dom), "cls", "left").groupBy(*GRAPH, "s_key", "property") \
-        .agg(F.countDistinct("cls").alias("n_sat"))
+        .agg(F.count("cls").alias("n_sat"))
     sat = sat.join(F.broadcast(n_dom), "property", "left")
     ok_prop = F.when(F.col("property").isNotNull() & (F.col("n_sat") >= (F.col("n_dom") if strict else F.lit(1))),
                      F.col("property"))
