@@ -11,6 +11,7 @@ Hub individuals (very high degree) are split by AQE's skew-join handling.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +27,11 @@ def components(canon: DataFrame, graph: list[str] | None = None, max_rounds: int
     graph = graph or GRAPH
     e = canon.where((F.col("o_kind") != "literal") & (F.col("p_canon") != "rdf:type")) \
         .select(*graph, F.col("s_key").alias("a"), F.col("o_key").alias("b")).where("a <> b")
-    # both directions; repeated edges do not change a minimum, so no distinct
-    edges = cut_lineage(e.unionByName(e.select(*graph, F.col("b").alias("a"), F.col("a").alias("b"))))
+    # both directions; repeated edges do not change a minimum, so no distinct.
+    # Persisted, not checkpointed: its lineage is one scan and a filter, so a
+    # lost block is cheap to recompute; the growing label lineage is what gets cut.
+    edges = e.unionByName(e.select(*graph, F.col("b").alias("a"), F.col("a").alias("b"))) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     # round 0 needs no join: every label starts as the node's own name, so the
     # first labels are min(self, neighbours) straight from the edges
     selfs = canon.select(*graph, F.col("s_key").alias("node"), F.col("s_key").alias("label"))
@@ -53,6 +57,7 @@ def components(canon: DataFrame, graph: list[str] | None = None, max_rounds: int
         labels = new.drop("_changed", "_old")
         if changed == 0:
             break
+    edges.unpersist()
     return labels.withColumnRenamed("label", "component")
 
 
