@@ -17,7 +17,7 @@ def clean_response(text: str | Column) -> Column:
     t = F.col(text) if isinstance(text, str) else text
     fences = F.regexp_extract_all(t, F.lit(FENCE), 1)
     body = F.when(F.size(fences) > 0, F.array_join(fences, "\n")).otherwise(t)
-    body = F.trim(body)
+    body = F.regexp_replace(body, r"^\s+|\s+$", "")
     fmt = (F.when(body.isNull() | (body == ""), "empty")
            .when(body.rlike(RDFXML_HINT), "rdfxml")
            .when(body.rlike(TURTLE_HINT), "turtle")

@@ -670,7 +670,8 @@ def _responses(spark, sf):
 SELECT doc_id, format, md5(body) AS body_md5 FROM (
   SELECT doc_id, body, CASE WHEN body IS NULL OR body = '' THEN 'empty' WHEN regexp_matches(body, {q(RDFXML_HINT)}) THEN 'rdfxml'
                             WHEN regexp_matches(body, {q(TURTLE_HINT)}) THEN 'turtle' ELSE 'prose' END AS format
-  FROM (SELECT doc_id, trim(CASE WHEN len(f) > 0 THEN array_to_string(f, chr(10)) ELSE response END) AS body
+  FROM (SELECT doc_id, regexp_replace(CASE WHEN len(f) > 0 THEN array_to_string(f, chr(10)) ELSE response END,
+                                      '^\\s+|\\s+$', '', 'g') AS body
         FROM (SELECT doc_id, response, regexp_extract_all(response, {q(FENCE)}, 1) AS f FROM responses)))""",
                                              "corpus", extra={"responses": RESPONSE_SQL}))
 def n19_clean_response(spark, sf):

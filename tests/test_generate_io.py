@@ -75,16 +75,17 @@ def test_timings_append_and_read(spark, tmp_dir):
 
 
 def test_read_ontology(spark, tmp_dir):
-    ttl = """@prefix owl: <http://www.w3.org/2002/07/owl#> .
+    from graphloom.vocab import ONTO_NS as NS
+    ttl = f"""@prefix owl: <http://www.w3.org/2002/07/owl#> .
 @prefix rdfs: <http://www.w3.org/2000/01/rdf-schema#> .
 @prefix skos: <http://www.w3.org/2004/02/skos/core#> .
 @prefix xsd: <http://www.w3.org/2001/XMLSchema#> .
-<http://www.semanticweb.org/fethi/ontologies/2024/1/TetraOnto.owl#fishway> a owl:Class ;
-    rdfs:subClassOf [ a owl:Restriction ; owl:onProperty <http://www.semanticweb.org/fethi/ontologies/2024/1/TetraOnto.owl#hasCost> ;
-            owl:someValuesFrom xsd:decimal ], <http://www.semanticweb.org/fethi/ontologies/2024/1/TetraOnto.owl#restorationOperation> ;
+<{NS}fishway> a owl:Class ;
+    rdfs:subClassOf [ a owl:Restriction ; owl:onProperty <{NS}hasCost> ;
+            owl:someValuesFrom xsd:decimal ], <{NS}restorationOperation> ;
     skos:altLabel "passe à poissons"@fr ; skos:prefLabel "fishway"@en .
-<http://www.semanticweb.org/fethi/ontologies/2024/1/TetraOnto.owl#hasCost> a owl:DatatypeProperty ;
-    rdfs:domain <http://www.semanticweb.org/fethi/ontologies/2024/1/TetraOnto.owl#restorationMeasure> ; rdfs:range xsd:decimal .
+<{NS}hasCost> a owl:DatatypeProperty ;
+    rdfs:domain <{NS}restorationMeasure> ; rdfs:range xsd:decimal .
 """
     path = os.path.join(tmp_dir, "o.ttl")
     with open(path, "w", encoding="utf-8") as f:
