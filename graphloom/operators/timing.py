@@ -12,21 +12,20 @@ from graphloom.operators.ranking import global_rank
 def exact_median(df: DataFrame, keys: list[str], col: str, out_col: str = "median") -> DataFrame:
     """Exact median of ``col`` per ``keys`` without gathering a group in one task.
 
-    Rows are ranked in (keys, value) order across range partitions; a group's
-    middle rows are found from its first rank and size, then averaged (as
-    SQL ``median`` / ``quantile_cont(0.5)`` do for even sizes).
+    Rows are ranked in (keys, value) order across range partitions.  From each
+    group's first rank and size come the global ranks of its middle row(s)
+    (two per group); the ranked rows are joined to those ranks on the rank
+    itself -- a unique key, so a group holding a third of all rows is still
+    spread evenly -- and the one or two values are averaged, as SQL
+    ``median`` / ``quantile_cont(0.5)`` do for even sizes.
     """
     base = df.select(*keys, col).where(F.col(col).isNotNull()).withColumn("_uid", F.monotonically_increasing_id())
     r = global_rank(base, [*keys, col, "_uid"], out_col="_r")
-    if keys:
-        g = r.groupBy(*keys).agg(F.min("_r").alias("_first"), F.count(F.lit(1)).alias("_n"))
-        r = r.join(g, keys)
-    else:
-        r = r.withColumn("_first", F.lit(1)).withColumn("_n", F.col("_r_total"))
-    pos = F.col("_r") - F.col("_first") + 1
-    lo = F.floor((F.col("_n") + 1) / 2)
-    hi = F.floor(F.col("_n") / 2) + 1
-    mid = r.where((pos == lo) | (pos == hi))
+    g = r.groupBy(*keys).agg(F.min("_r").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    lo = F.col("_first") + F.floor((F.col("_n") + 1) / 2) - 1
+    hi = F.col("_first") + F.floor(F.col("_n") / 2)
+    targets = g.select(F.explode(F.array_distinct(F.array(lo, hi))).alias("_r"))
+    mid = r.join(targets, "_r")
     return mid.groupBy(*keys).agg(F.avg(col).alias(out_col))
 
 

@@ -33,3 +33,14 @@ def test_length_batches_hot_length(spark):
     order = sorted(rows, key=lambda x: (x[1], x[0]))
     assert got == {i: pos // 8 for pos, (i, _) in enumerate(order)}
     assert max(got.values()) == math.ceil(203 / 8) - 1
+
+
+def test_exact_median_hot_group(spark):
+    import pandas as pd
+
+    from graphloom.operators.timing import exact_median
+    rows = [("hot" if i % 5 else f"g{i % 7}", float((i * 37) % 101)) for i in range(700)]
+    df = spark.createDataFrame(rows, "model string, seconds double")
+    got = {r.model: r.median for r in exact_median(df, ["model"], "seconds").collect()}
+    want = pd.DataFrame(rows, columns=["model", "seconds"]).groupby("model").seconds.median().to_dict()
+    assert got == want
