@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,8 +68,6 @@ def truncate_tokens(df: DataFrame, n: int = 2048, text_col: str = "text", tokeni
                 .withColumn("truncated", F.col("n_tokens") > n)
                 .withColumn("text_capped", F.array_join(F.slice("_toks", 1, n), " "))
                 .drop("_toks"))
-    import pandas as pd
-
     @F.pandas_udf("struct<n_tokens:int,text_capped:string>")
     def _cap(s: pd.Series) -> pd.DataFrame:
         counts, texts = [], []

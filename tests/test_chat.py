@@ -39,3 +39,17 @@ def test_truncate_tokens(spark):
     r = truncate_tokens(df, n=2).collect()
     assert (r[0].n_tokens, r[0].truncated, r[0].text_capped) == (4, True, "a b")
     assert (r[1].n_tokens, r[1].truncated, r[1].text_capped) == (0, False, "")
+
+
+def test_truncate_with_real_tokenizer(spark):
+    from tokenizers import Tokenizer
+    from tokenizers.models import WordLevel
+    from tokenizers.pre_tokenizers import Whitespace
+
+    vocab = {w: i for i, w in enumerate(["[UNK]", "the", "weir", "is", "high", "."])}
+    tok = Tokenizer(WordLevel(vocab, unk_token="[UNK]"))
+    tok.pre_tokenizer = Whitespace()
+    df = spark.createDataFrame([("the weir is high .",), ("the",)], "text string")
+    r = truncate_tokens(df, n=3, tokenizer=tok).collect()
+    assert (r[0].n_tokens, r[0].truncated, r[0].text_capped) == (5, True, "the weir is")
+    assert (r[1].n_tokens, r[1].truncated) == (1, False)
