@@ -639,8 +639,10 @@ def a8_to_turtle(spark, sf):
 @register("g1_parse_graphs", with_views("""
 SELECT doc_id, s, p, o, o_kind, o_datatype, o_lang, 'ok' AS parse_status FROM kg_triples""", "kg_triples"))
 def g1_parse_graphs(spark, sf):
-    b = T.to_turtle(_kg(spark, sf), G, header=True)
-    parsed = T.parse_graphs(b.select(*G, F.col("turtle").alias("text")), "text", G)
+    from graphloom.vocab import PREFIXES
+    # blocks share one set of prefix declarations instead of repeating them
+    b = T.to_turtle(_kg(spark, sf), G)
+    parsed = T.parse_graphs(b.select(*G, F.col("turtle").alias("text")), "text", G, prefixes=PREFIXES)
     return T.triples_of(parsed).select("doc_id", "s", "p", "o", "o_kind", "o_datatype", "o_lang", "parse_status")
 
 
