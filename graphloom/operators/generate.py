@@ -60,7 +60,6 @@ def generate(prompts: DataFrame, backend="hash", options: dict | None = None, ke
     """
     opts = dict(options or {})
     keys = keys or [c for c in prompts.columns if c not in (prompt_col, messages_col)]
-    cols = [*keys, prompt_col]
     sel = prompts.select(*keys, prompt_col,
                          (F.to_json(messages_col) if messages_col and messages_col in prompts.columns
                           else F.lit(None).cast("string")).alias("_msgs"))
@@ -68,7 +67,6 @@ def generate(prompts: DataFrame, backend="hash", options: dict | None = None, ke
     schema = f"{key_schema}, response string, seconds double, error string"
 
     def run(batches):
-        import pandas as pd
         be = _backend(backend)
         for pdf in batches:
             resp, secs, errs = [], [], []
@@ -88,7 +86,6 @@ def generate(prompts: DataFrame, backend="hash", options: dict | None = None, ke
             out["response"], out["seconds"], out["error"] = resp, secs, errs
             yield out
 
-    del cols
     return sel.mapInPandas(run, schema)
 
 

@@ -44,10 +44,6 @@ NL = "chr(10)"
 MODELS_SQL = "(VALUES " + ", ".join(f"({q(m)})" for m in MODELS) + ") AS m(model)"
 
 
-def sql_concat(*parts: str) -> str:
-    return "(" + " || ".join(parts) + ")"
-
-
 def sql_text(s: str) -> str:
     """A Python string as a DuckDB expression (newlines via chr(10))."""
     pieces = s.split("\n")
