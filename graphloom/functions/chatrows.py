@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.functions.prompts import MESSAGE_TYPE, render_chat
+from graphloom.session import ship_package
 
 STATUS_OK = "ok"
 
@@ -68,6 +69,8 @@ def truncate_tokens(df: DataFrame, n: int = 2048, text_col: str = "text", tokeni
                 .withColumn("truncated", F.col("n_tokens") > n)
                 .withColumn("text_capped", F.array_join(F.slice("_toks", 1, n), " "))
                 .drop("_toks"))
+    ship_package(df.sparkSession)
+
     @F.pandas_udf("struct<n_tokens:int,text_capped:string>")
     def _cap(s: pd.Series) -> pd.DataFrame:
         counts, texts = [], []

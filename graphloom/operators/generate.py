@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from graphloom import prompt_texts as P
 from graphloom.functions.prompts import render_chat
+from graphloom.session import ship_package
 
 _BACKENDS: dict = {}
 
@@ -58,6 +59,7 @@ def generate(prompts: DataFrame, backend="hash", options: dict | None = None, ke
     U3: ``on_error='keep'`` records the exception text in ``error`` and goes
     on; ``'fail'`` stops the job naming the failing row.
     """
+    ship_package(prompts.sparkSession)
     opts = dict(options or {})
     keys = keys or [c for c in prompts.columns if c not in (prompt_col, messages_col)]
     sel = prompts.select(*keys, prompt_col,

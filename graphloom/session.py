@@ -110,3 +110,30 @@ def local_table(spark: SparkSession, rows: list[tuple], schema: str):
     values = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
     cols = ", ".join(f"CAST({n} AS {f.dataType.simpleString()}) AS `{f.name}`" for n, f in zip(names, st.fields))
     return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({', '.join(names)})")
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``graphloom`` importable in the executors' Python workers (the
+    code behind ``mapInPandas`` / pandas UDFs): zip the package once per
+    SparkContext and ``addPyFile`` it, as ``--py-files`` would on submit."""
+    import zipfile
+
+    import graphloom
+
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(graphloom.__file__)))
+    d = tempfile.mkdtemp(prefix="graphloom-pkg-")
+    z = os.path.join(d, "graphloom.zip")
+    with zipfile.ZipFile(z, "w") as f:
+        for dirpath, _, files in os.walk(os.path.join(root, "graphloom")):
+            for fn in files:
+                if fn.endswith(".py"):
+                    full = os.path.join(dirpath, fn)
+                    f.write(full, os.path.relpath(full, root))
+    sc.addPyFile(z)
+    _SHIPPED.add(id(sc))
