@@ -46,12 +46,11 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for lineage cuts, read from the session.
+    """The shared folder for lineage cuts and written tables.
 
-    On a cluster the setting must name a shared folder; a machine-local
-    folder is never a safe default once executors can be lost, so an unset
-    value raises.  Only a local-mode session (tests, the bench, a smoke run)
-    with the setting unset gets a fresh scratch folder of its own.
+    Read from the session (``spark.checkpoint.dir``) on every master.  Only
+    where nothing is set, a folder of its own under the warehouse is used: the
+    warehouse is the one other place that driver and executors share.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -59,10 +58,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for lineage cuts")
-        conf = tempfile.mkdtemp(prefix="graphloom-ckpt-", dir=os.environ.get("GRAPHLOOM_SCRATCH", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", conf)
+        conf = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
@@ -82,11 +78,19 @@ def cut_lineage(df):
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder (never machine-local)."""
+    """A fresh folder under the shared checkpoint folder."""
     import uuid
     return f"{checkpoint_dir(spark).rstrip('/')}/io/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df, name: str):
+    """Write ``df`` once to the shared folder and read it back: a lineage cut
+    that later reads can prune columns of."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_table(spark: SparkSession, rows: list[tuple], schema: str):
     """A small fixed table (ontology rows, a model sweep) as one SQL VALUES
     clause: parsed once, planned as a local relation of known size (so it is
@@ -112,9 +116,6 @@ def local_table(spark: SparkSession, rows: list[tuple], schema: str):
     return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({', '.join(names)})")
 
 
-_SHIPPED: set = set()
-
-
 def ship_package(spark: SparkSession) -> None:
     """Make ``graphloom`` importable in the executors' Python workers (the
     code behind ``mapInPandas`` / pandas UDFs): zip the package once per
@@ -124,7 +125,7 @@ def ship_package(spark: SparkSession) -> None:
     import graphloom
 
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if getattr(sc, "_graphloom_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(graphloom.__file__)))
     d = tempfile.mkdtemp(prefix="graphloom-pkg-")
@@ -136,4 +137,4 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(dirpath, fn)
                     f.write(full, os.path.relpath(full, root))
     sc.addPyFile(z)
-    _SHIPPED.add(id(sc))
+    sc._graphloom_shipped = True
