@@ -33,10 +33,69 @@ c AS (
   SELECT d.doc_id, d.size, x.source_size, x.target, x.whole,
          floor(x.target)::BIGINT - x.whole * x.source_size AS extra,
          coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('mix-1:' || coalesce(d.doc_id::VARCHAR, '-')), d.doc_id, d.size
-                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
   FROM d JOIN x ON d.source IS NOT DISTINCT FROM x.source)
 SELECT doc_id, size::BIGINT AS size, source_size, target,
-       (whole * size + greatest(0, least(size, extra - at)))::BIGINT AS taken
+       (whole * size + greatest(0, least(size, extra - before)))::BIGINT AS taken
 FROM c"""
 
-ORACLE = {"op8_water_filling": OP8}
+_FEATURES = (("f_symbols", 50, False), ("f_upper", 50, False), ("f_word_len", 100, True), ("f_dup_lines", 200, False),
+             ("f_repeats", 150, False))
+_FENCED = " AND ".join(
+    f"coalesce({c} <= coalesce(own.hi_{c}, la.hi_{c}, ev.hi_{c}), true)"
+    + (f" AND coalesce({c} >= coalesce(own.lo_{c}, la.lo_{c}, ev.lo_{c}), true)" if low else "")
+    for c, _, low in _FEATURES)
+_PIVOT = ", ".join(f"max(CASE WHEN feature = '{c}' THEN {x} END) AS {x}_{c}" for c, _, _ in _FEATURES for x in ("lo", "hi"))
+_FLOOR = "CASE feature " + " ".join(f"WHEN '{c}' THEN {r}" for c, r, _ in _FEATURES) + " END"
+_STACK = " UNION ALL ".join(f"SELECT lang, source, '{c}' AS feature, {c} AS x FROM f WHERE NOT base_failed" for c, _, _ in _FEATURES)
+
+OP1 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t,
+         {_WORDS.format('text')} AS w FROM documents),
+g AS (
+  SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS gram
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+again AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, gram) AS n FROM g) WHERE n > 1),
+r AS (SELECT rid, count(DISTINCT i + k) AS n FROM again, (SELECT unnest([0, 1, 2]) AS k) GROUP BY rid),
+b AS (
+  SELECT d.*, len(w)::BIGINT AS n_words,
+         (length(t) - len(regexp_extract_all(t, '[ 	-]')))::BIGINT AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS l,
+         coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+         len(regexp_extract_all(t, '\p{{Lu}}')) AS upper_chars
+  FROM d LEFT JOIN r USING (rid)),
+c AS (
+  SELECT *, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+         n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b),
+f AS (
+  SELECT *, coalesce(1000 * n_symbols // nullif(n_words, 0), 0) AS f_symbols,
+         coalesce(1000 * upper_chars // nullif(word_chars, 0), 0) AS f_upper,
+         coalesce(100 * word_chars // nullif(n_words, 0), 0) AS f_word_len,
+         coalesce(1000 * n_dup_lines // nullif(len(l), 0), 0) AS f_dup_lines,
+         coalesce(1000 * n_repeat_words // nullif(n_words, 0), 0) AS f_repeats FROM c),
+x AS (SELECT *, greatest(0, length(bin(x)) - 6) AS e FROM ({_STACK})),
+k AS (SELECT lang, source, feature, e * 32 + (x >> e) AS bucket, count(*) AS n FROM x GROUP BY ALL),
+s AS (
+  SELECT 2 AS level, lang, source, feature, bucket, n FROM k
+  UNION ALL SELECT 1, lang, NULL, feature, bucket, sum(n) FROM k GROUP BY lang, feature, bucket
+  UNION ALL SELECT 0, NULL, NULL, feature, bucket, sum(n) FROM k GROUP BY feature, bucket),
+u AS (
+  SELECT *, sum(n) OVER (PARTITION BY level, lang, source, feature ORDER BY bucket) AS up,
+         sum(n) OVER (PARTITION BY level, lang, source, feature) AS total,
+         (bucket - 32 * greatest(0, bucket // 32 - 1)) << greatest(0, bucket // 32 - 1) AS low FROM s),
+q AS (
+  SELECT level, lang, source, feature, max(total) AS docs,
+         min(low) FILTER (WHERE up * 100 >= total * 25) AS q25, min(low) FILTER (WHERE up * 100 >= total * 75) AS q75
+  FROM u GROUP BY ALL),
+z AS (SELECT *, q25 - 3 * greatest(q75 - q25, {_FLOOR}) AS lo, q75 + 3 * greatest(q75 - q25, {_FLOOR}) AS hi FROM q),
+p AS (SELECT level, lang, source, max(docs) AS docs, {_PIVOT} FROM z GROUP BY level, lang, source)
+SELECT f.doc_id, n_words, f.word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND {_FENCED} AS kept
+FROM f
+LEFT JOIN p own ON own.level = 2 AND own.docs >= 50 AND own.lang IS NOT DISTINCT FROM f.lang AND own.source IS NOT DISTINCT FROM f.source
+LEFT JOIN p la ON la.level = 1 AND la.docs >= 50 AND la.lang IS NOT DISTINCT FROM f.lang
+LEFT JOIN p ev ON ev.level = 0"""
+
+ORACLE = {"op1_quality_sketch": OP1, "op8_water_filling": OP8}

@@ -21,6 +21,12 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_dataset(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), "words", 1)
 
 
+def op1_quality_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from graphloom.llm.quality import judge
+
+    return judge(table(spark, sf_dir, "documents"))
+
+
 def op3_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from graphloom.llm.sharding import shard_documents
 
@@ -41,4 +47,4 @@ def op8_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op3_lpt_shards, op4_token_files, op7_nnls_packing, op8_water_filling)}
+QUERIES = {f.__name__: f for f in (op1_quality_sketch, op3_lpt_shards, op4_token_files, op7_nnls_packing, op8_water_filling)}
