@@ -47,4 +47,11 @@ def op8_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_sketch, op3_lpt_shards, op4_token_files, op7_nnls_packing, op8_water_filling)}
+def op10_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from graphloom.llm.near_dup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), 2)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_sketch, op3_lpt_shards, op4_token_files, op7_nnls_packing, op8_water_filling,
+                                 op10_odd_sketch_dedup)}
