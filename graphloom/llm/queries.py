@@ -27,6 +27,12 @@ def op1_quality_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
 
 
+def op2_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from graphloom.llm.subspace import vector_duplicates
+
+    return vector_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from graphloom.llm.sharding import shard_documents
 
@@ -53,5 +59,5 @@ def op10_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_sketch, op3_lpt_shards, op4_token_files, op7_nnls_packing, op8_water_filling,
+QUERIES = {f.__name__: f for f in (op1_quality_sketch, op2_subspace_join, op3_lpt_shards, op4_token_files, op7_nnls_packing, op8_water_filling,
                                  op10_odd_sketch_dedup)}
