@@ -41,6 +41,12 @@ def op3_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from graphloom.llm.secret_scan import scan_documents
+
+    return scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from graphloom.llm.packing import pack_documents
 
@@ -53,11 +59,18 @@ def op8_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from graphloom.llm.pii import scan_documents
+
+    return scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from graphloom.llm.near_dup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), 2)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_sketch, op2_subspace_join, op3_lpt_shards, op4_token_files, op7_nnls_packing, op8_water_filling,
+QUERIES = {f.__name__: f for f in (op1_quality_sketch, op2_subspace_join, op3_lpt_shards, op4_token_files,
+                                 op5_guess_cost_secrets, op7_nnls_packing, op8_water_filling, op9_boosted_pii,
                                  op10_odd_sketch_dedup)}

@@ -109,7 +109,7 @@ class Encoder:
         core, marks = got.groups()
         if self.lower:
             core = core.lower()
-        elif first not in "\x00\n":
+        elif self.spaced and first not in "\x00\n":
             core = " " + core
         ids = self.pieces.get(core)
         if ids is None:
