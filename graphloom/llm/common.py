@@ -39,3 +39,19 @@ def bind(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once per row (a lambda
     variable; a plain reference would be inlined where it is used)."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+#: Lookup tables up to this many rows (a few MB) are broadcast.
+BROADCAST_ROWS = 50_000
+SALTS = 64
+
+
+def lookup(big: DataFrame, small: DataFrame, same: Column, spread: Column) -> DataFrame:
+    """Left join of rows with a stored lookup table: broadcast where its counted
+    rows allow, else by key and salt (``spread`` deals the rows), so that one
+    common key is many tasks either way."""
+    if small.count() <= BROADCAST_ROWS:
+        return big.join(F.broadcast(small), same, "left")
+    dealt = small.withColumn("_s2", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return big.withColumn("_s1", F.pmod(F.xxhash64(spread), F.lit(SALTS))) \
+        .join(dealt, same & (F.col("_s1") == F.col("_s2")), "left").drop("_s1", "_s2")

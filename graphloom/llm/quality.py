@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from graphloom.llm.common import WORD, bind
+from graphloom.llm.common import WORD, bind, lookup
 from graphloom.session import stored
 
 #: feature -> (resolution, has a lower fence), in thousandths unless said.
@@ -31,9 +31,6 @@ FEATURES = {"f_symbols": (50, False), "f_upper": (50, False), "f_word_len": (100
             "f_dup_lines": (200, False), "f_repeats": (150, False)}
 SPREADS = 3
 LEAST = 50
-#: Fence tables up to this many rows (a few MB) are broadcast, larger ones joined by salted key.
-BROADCAST_ROWS = 50_000
-SALTS = 64
 
 
 def _split(text: Column) -> Column:
@@ -152,12 +149,7 @@ def judged(d: DataFrame) -> DataFrame:
     use = use.select(F.col("_lang").alias("_lk"), F.col("_source").alias("_sk"), "fence")
     same = F.col("_lang").eqNullSafe(F.col("_lk")) & F.col("_source").eqNullSafe(F.col("_sk"))
     use = stored(use, "quality-use")
-    if use.count() <= BROADCAST_ROWS:
-        j = d.join(F.broadcast(use), same, "left")
-    else:
-        salted = d.withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(SALTS)))
-        j = salted.join(use.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))),
-                        same & (F.col("_salt") == F.col("_s")), "left").drop("_salt", "_s")
+    j = lookup(d, use, same, F.col("_row"))
     ok = F.lit(True)
     for c, (_, low) in FEATURES.items():
         for x, on in (("lo", low), ("hi", True)):

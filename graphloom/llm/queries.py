@@ -47,6 +47,13 @@ def op5_guess_cost_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_boosted_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from graphloom.llm.urls import judge_urls
+
+    rules = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+    return judge_urls(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op7_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from graphloom.llm.packing import pack_documents
 
@@ -72,5 +79,5 @@ def op10_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_sketch, op2_subspace_join, op3_lpt_shards, op4_token_files,
-                                 op5_guess_cost_secrets, op7_nnls_packing, op8_water_filling, op9_boosted_pii,
+                                 op5_guess_cost_secrets, op6_boosted_urls, op7_nnls_packing, op8_water_filling, op9_boosted_pii,
                                  op10_odd_sketch_dedup)}
