@@ -8,13 +8,15 @@ is one aggregation over the sources' table that returns four numbers.
 A source then takes whole repetitions of every document and, for the fraction
 that remains, documents in seeded hash order until the target is met; the last
 of them is repeated in part (its first words), so a source's taken words are
-its target rounded down.  Cumulative sizes are prefix sums over equal ranges of
-the hash, so a source holding a third of all rows is many tasks.
+its target rounded down.  Where that order ends is found once per source: by
+prefix sums over equal ranges of the hash, then inside the one range that holds
+the end.  Documents only compare themselves with their source's end, so no row
+is sorted or moved and a source holding a third of all rows is many tasks.
 
 Defined results: a null source is a source of its own, last in order; a null or
-empty text has no words and takes none; repeated rows are separate documents
-(ties in hash order are told apart by size); an empty table gives no rows;
-further columns are kept by ``mix`` and ignored by ``plan_mix``.
+empty text has no words and takes none; repeated rows at the end of the order
+(same doc_id and size) share what is left evenly, rounded down; an empty table
+gives no rows; further columns are kept by ``mix`` and ignored by ``plan_mix``.
 """
 
 from __future__ import annotations
@@ -22,12 +24,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphloom.llm.common import n_words, salts_for
+from graphloom.llm.common import SPACES, lookup, n_words, salts_for
 from graphloom.operators.ranking import global_rank
 from graphloom.session import cut_lineage, stored
 
 WEIGHTS = (3, 1, 2)
-#: Rows that one prefix-sum task sorts, about.
+#: Documents of one hash range, about.
 RANGE_ROWS = 500_000
 
 
@@ -56,61 +58,84 @@ def seeded(seed: str, *cols: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(seed), *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in cols)))
 
 
-def plan_mix(docs: DataFrame, share: float = 1.5, epochs: float = 2.0, weights=WEIGHTS, seed: str = "mix-1",
-             keep: list[str] | None = None) -> DataFrame:
-    """-> doc_id, source, size, source_size, target, taken (and ``keep``)."""
-    keep = keep or []
-    d = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source",
-                           n_words(F.col("text")).alias("size"), *keep), "mix-docs")
-    by = d.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
+def _sized(docs: DataFrame, seed: str, *more: str) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").alias("_source"),
+                       n_words(F.col("text")).alias("size"), seeded(seed, "doc_id").alias("_h"), *more)
+
+
+def _ends(d: DataFrame, share: float, epochs: float, weights) -> DataFrame:
+    """Per source: its size, target, whole repetitions, and the place in hash
+    order (end) up to which documents are taken once more, with what the
+    documents at that place take."""
+    by = d.groupBy("_source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows"))
     # code point order is byte order of UTF-8; null last
-    ranked = global_rank(by.withColumn("_null", F.col("source").isNull()), ["_null", "source"], "_k")
+    ranked = global_rank(by.withColumn("_null", F.col("_source").isNull()), ["_null", "_source"], "_k")
     weight = F.element_at(F.array(*(F.lit(w) for w in weights)), (F.pmod(F.col("_k") - 1, F.lit(len(weights))) + 1).cast("int"))
-    sources = cut_lineage(ranked.select("source", "source_size", "_rows", weight.alias("weight")))
+    sources = cut_lineage(ranked.select("_source", "source_size", "_rows", weight.alias("weight")))
     words, rows = sources.agg(F.sum("source_size"), F.sum("_rows")).first()
-    targets = water_fill(sources, (words or 0) * float(share), epochs)
-    targets = targets.withColumn("_whole", F.coalesce(F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0)).cast("long")) \
-        .withColumn("_extra", F.floor("target").cast("long") - F.col("_whole") * F.col("source_size"))
+    t = water_fill(sources, (words or 0) * float(share), epochs).select("_source", "source_size", "target")
+    whole = F.coalesce(F.floor(F.col("target") / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0)).cast("long")
+    t = t.withColumn("whole", whole).withColumn("extra", F.floor("target").cast("long") - F.col("whole") * F.col("source_size"))
+    t = stored(t, "mix-targets")
 
     salts = salts_for(rows or 0, RANGE_ROWS)
-    h = d.withColumn("_h", seeded(seed, "doc_id"))
     # the first 7 hex digits cut the hash into equal ranges
-    h = h.withColumn("_salt", F.floor(F.conv(F.substring("_h", 1, 7), 16, 10).cast("long") * salts / F.lit(16 ** 7)).cast("long"))
-    sums = h.groupBy("source", "_salt").agg(F.sum("size").alias("_n"))
-    before = Window.partitionBy("source").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.select(F.col("source").alias("_s"), F.col("_salt").alias("_t"),
-                        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    bases = bases.join(targets.drop("_rows", "weight").withColumnRenamed("source", "_s2"), F.col("_s").eqNullSafe(F.col("_s2"))).drop("_s2")
-    within = Window.partitionBy("source", "_salt").orderBy("_h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    c = h.withColumn("_c", F.coalesce(F.sum("size").over(within), F.lit(0))) \
-        .join(bases, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_salt") == F.col("_t")))
-    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("_extra") - F.col("_base") - F.col("_c")))
-    return c.select("doc_id", "source", "size", "source_size", "target",
-                    (F.col("_whole") * F.col("size") + part).cast("long").alias("taken"), *keep)
-
-
-def mix(docs: DataFrame, **how) -> DataFrame:
+    cut = F.floor(F.conv(F.substring("_h", 1, 7), 16, 10).cast("long") * salts / F.lit(16 ** 7)).cast("long")
+    d = d.withColumn("_range", cut)
+    upto = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = d.groupBy("_source", "_range").agg(F.sum("size").alias("_n")).withColumn("_to", F.sum("_n").over(upto))
+    key = t.select(F.col("_source").alias("_s"), "extra")
+    ends = sums.join(key, F.col("_source").eqNullSafe(F.col("_s"))).where("_to - _n < extra and extra <= _to") \
+        .select("_s", F.col("_range").alias("_r"), "extra", (F.col("_to") - F.col("_n")).alias("_before"))
+    ends = stored(ends, "mix-ends")
+    inside = d.join(ends, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_r"))) \
+        .groupBy("_s", "extra", "_before", "_h", "doc_id", "size").agg(F.count(F.lit(1)).alias("_m"))
+    place = Window.partitionBy("_s").orderBy("_h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = inside.withColumn("_at", F.col("_before") + F.sum(F.col("size") * F.col("_m")).over(place) - F.col("size") * F.col("_m"))
+    end = inside.where("_at < extra and extra <= _at + size * _m") \
+        .select("_s", F.struct("_h", F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "size").alias("end"),
+                F.floor((F.col("extra") - F.col("_at")) / F.col("_m")).cast("long").alias("at_end"))
+    out = t.join(end, F.col("_source").eqNullSafe(F.col("_s")), "left").drop("_s").withColumnRenamed("_source", "_s")
+    return stored(out, "mix-plan")
+
+
+def _taken(d: DataFrame, plan: DataFrame) -> DataFrame:
+    """Join the plan to documents (with _source, _h, size): adds taken."""
+    j = lookup(d, plan, F.col("_source").eqNullSafe(F.col("_s")), F.col("_h"))
+    me = F.struct("_h", F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "size")
+    once = F.when(F.col("end").isNull() | (me > F.col("end")), F.lit(0)).when(me < F.col("end"), F.col("size")).otherwise(F.col("at_end"))
+    return j.withColumn("taken", (F.col("whole") * F.col("size") + once).cast("long"))
+
+
+def plan_mix(docs: DataFrame, share: float = 1.5, epochs: float = 2.0, weights=WEIGHTS, seed: str = "mix-1") -> DataFrame:
+    """-> doc_id, source, size, source_size, target, taken."""
+    d = stored(_sized(docs, seed), "mix-docs")
+    return _taken(d, _ends(d, share, epochs, weights)) \
+        .select("doc_id", F.col("_source").alias("source"), "size", "source_size", "target", "taken")
+
+
+def mix(docs: DataFrame, share: float = 1.5, epochs: float = 2.0, weights=WEIGHTS, seed: str = "mix-1") -> DataFrame:
     """The mix itself: each document as often as it is taken (whole
     repetitions, then the first words of a part), with the columns of
     ``docs``; ``n_chars`` follows the text.  Documents without words go once
     each: they cost nothing."""
-    names = docs.columns
-    packed = docs.select("doc_id", "source", "text", F.struct(*names).alias("_row"))
-    p = plan_mix(packed, keep=["_row"], **how)
+    plan = _ends(stored(_sized(docs, seed), "mix-docs"), share, epochs, weights)
+    p = _taken(_sized(docs.withColumn("_row", F.struct(*docs.columns)), seed, "_row"), plan)
     whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.nullif(F.col("size"), F.lit(0)))).otherwise(F.lit(1)).cast("int")
     part = F.when(F.col("size") > 0, F.col("taken") - whole * F.col("size")).otherwise(F.lit(0)).cast("int")
     text = F.col("_row.text")
-    # up to the end of the part's last word
-    cut = F.regexp_extract(text, F.concat(F.lit(r"^([\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){"), part.cast("string"), F.lit("})")), 1)
-    copies = F.concat(F.array_repeat(F.lit(0), whole), F.when(part > 0, F.array(F.lit(1))).otherwise(F.array().cast("array<int>")))
-    out = p.select("_row", F.when(part > 0, cut).alias("_cut"), F.explode(copies).alias("_part"))
-    new = F.when(F.col("_part") == 1, F.col("_cut")).otherwise(F.col("_row.text"))
+    copies = F.concat(F.array_repeat(F.lit(0), whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
+    out = p.select("_row", F.explode(copies).alias("_part"))
+    # the first words, with the space between them, up to the end of the last
+    words = F.split(F.regexp_replace(text, r"^[\x20\x09-\x0D]+", ""), r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
+    cut = F.rtrim(F.array_join(F.slice(words, 1, F.col("_part")), ""), F.lit(SPACES))
+    new = F.when(F.col("_part") > 0, cut).otherwise(text)
 
     def column(c: str) -> Column:
         if c == "text":
             return new.alias(c)
         if c == "n_chars":
-            return F.when(F.col("_part") == 1, F.length(F.col("_cut"))).otherwise(F.col("_row.n_chars")).cast(docs.schema[c].dataType).alias(c)
+            return F.when(F.col("_part") > 0, F.length(cut)).otherwise(F.col("_row.n_chars")).cast(docs.schema[c].dataType).alias(c)
         return F.col(f"_row.`{c}`").alias(c)
 
-    return out.select(*(column(c) for c in names))
+    return out.select(*(column(c) for c in docs.columns))

@@ -295,3 +295,19 @@ def near_duplicates(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
         .select("doc_id", "n_shingles", "component_id")
     without = sig.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return with_words.unionByName(without).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
+    """The documents without those that another of their group stands for, with
+    all columns.  Exact repeats of a row (same doc_id and text) go too; rows
+    without a doc_id cannot be told apart and stay."""
+    found = stored(near_duplicates(docs, k, percent), "near-duplicates")
+    drop = found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_drop")).distinct()
+    again = found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    few = drop.count() <= BROADCAST_IDS
+    left = docs.join(F.broadcast(drop) if few else drop, F.col("doc_id") == F.col("_drop"), "left_anti")
+    if again.isEmpty():
+        return left
+    again = again.select(F.col("doc_id").alias("_again"))
+    same = F.col("doc_id") == F.col("_again")
+    return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))

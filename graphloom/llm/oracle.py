@@ -29,14 +29,17 @@ t AS (
   FROM o, l),
 x AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM t),
+h AS (SELECT *, md5('mix-1:' || coalesce(doc_id::VARCHAR, '-')) AS h FROM d),
 c AS (
-  SELECT d.doc_id, d.size, x.source_size, x.target, x.whole,
+  SELECT h.doc_id, h.size, x.source_size, x.target, x.whole,
          floor(x.target)::BIGINT - x.whole * x.source_size AS extra,
-         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('mix-1:' || coalesce(d.doc_id::VARCHAR, '-')), d.doc_id, d.size
-                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
-  FROM d JOIN x ON d.source IS NOT DISTINCT FROM x.source)
+         count(*) OVER (PARTITION BY h.source, h, h.doc_id, h.size) AS m,
+         (sum(h.size) OVER (PARTITION BY h.source ORDER BY h, h.doc_id, h.size
+                            RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS upto
+  FROM h JOIN x ON h.source IS NOT DISTINCT FROM x.source)
 SELECT doc_id, size::BIGINT AS size, source_size, target,
-       (whole * size + greatest(0, least(size, extra - before)))::BIGINT AS taken
+       (whole * size + CASE WHEN upto <= extra THEN size WHEN upto - m * size >= extra THEN 0
+                            ELSE (extra - (upto - m * size)) // m END)::BIGINT AS taken
 FROM c"""
 
 _FEATURES = (("f_symbols", 50, False), ("f_upper", 50, False), ("f_word_len", 100, True), ("f_dup_lines", 200, False),
@@ -60,9 +63,11 @@ again AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, gr
 r AS (SELECT rid, count(DISTINCT i + k) AS n FROM again, (SELECT unnest([0, 1, 2]) AS k) GROUP BY rid),
 b AS (
   SELECT d.*, len(w)::BIGINT AS n_words,
-         (length(t) - len(regexp_extract_all(t, '[ 	-]')))::BIGINT AS word_chars,
+         (length(t) - len(regexp_extract_all(t, '[ 	-
+]')))::BIGINT AS word_chars,
          len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
-         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-]')) AS l,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS l,
          coalesce(r.n, 0)::BIGINT AS n_repeat_words,
          len(regexp_extract_all(t, '\p{{Lu}}')) AS upper_chars
   FROM d LEFT JOIN r USING (rid)),
