@@ -120,7 +120,7 @@ def mix(docs: DataFrame, share: float = 1.5, epochs: float = 2.0, weights=WEIGHT
     ``docs``; ``n_chars`` follows the text.  Documents without words go once
     each: they cost nothing."""
     plan = _ends(stored(_sized(docs, seed), "mix-docs"), share, epochs, weights)
-    p = _taken(_sized(docs.withColumn("_row", F.struct(*docs.columns)), seed, "_row"), plan)
+    p = _taken(_sized(docs.withColumn("_row", F.struct(*(F.col(f"`{c}`") for c in docs.columns))), seed, "_row"), plan)
     whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.nullif(F.col("size"), F.lit(0)))).otherwise(F.lit(1)).cast("int")
     part = F.when(F.col("size") > 0, F.col("taken") - whole * F.col("size")).otherwise(F.lit(0)).cast("int")
     text = F.col("_row.text")

@@ -305,9 +305,9 @@ def one_of_each(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
     drop = found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_drop")).distinct()
     again = found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     few = drop.count() <= BROADCAST_IDS
-    left = docs.join(F.broadcast(drop) if few else drop, F.col("doc_id") == F.col("_drop"), "left_anti")
+    left = docs.join(F.broadcast(drop) if few else drop, docs["doc_id"] == drop["_drop"], "left_anti")
     if again.isEmpty():
         return left
     again = again.select(F.col("doc_id").alias("_again"))
-    same = F.col("doc_id") == F.col("_again")
+    same = left["doc_id"] == again["_again"]
     return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))

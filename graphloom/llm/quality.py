@@ -68,7 +68,7 @@ def features(docs: DataFrame, keep: list[str]) -> DataFrame:
     """Base counts and features of every document, beside ``keep`` columns
     (renamed so that none clashes)."""
     t = F.coalesce(F.col("text"), F.lit(""))
-    d = docs.select(F.struct(*keep).alias("_row"), F.col("lang").alias("_lang"), F.col("source").alias("_source"),
+    d = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("_row"), F.col("lang").alias("_lang"), F.col("source").alias("_source"),
                     t.alias("_text"), _split(t).alias("_w"))
     lines = F.filter(F.split("_text", "\n", -1), lambda x: x.rlike(WORD))
     d = d.select("_row", "_lang", "_source", F.size("_w").cast("long").alias("n_words"),
