@@ -150,14 +150,13 @@ def cheapest(value, ranks):
     n = len(value)
     for cuts in range(2 ** (n - 1)):
         at = [0, *(i + 1 for i in range(n - 1) if cuts >> i & 1), n]
-        total, brute = 0.0, False
+        total = 0.0
         for k, (a, b) in enumerate(zip(at, at[1:])):
             c = segment(a, b)
             plain, others = c[0], c[1:]
             structured = min(others, default=math.inf) + (math.log10(2) if k else 0)
             total += min(plain, structured)
         best = min(best, total)
-    del brute
     return best
 
 
@@ -188,7 +187,7 @@ def test_personal_base_spans_against_plain_patterns(spark):
     rows = list(enumerate(noise(rng, pieces, 500) + [None, "", "1" * 100_000, "a" * 100_000 + "@", "1." * 50_000, "+1" + " " * 50_000]))
     got = scan_documents(docs(spark, rows + [rows[0]], extra=True)).collect()
     assert len(got) == len(rows) + 1
-    slow = {len(rows) - 4}  # a plain pattern is quadratic there; it has one digit run and no spans
+    slow = {len(rows) - 4}  # the plain patterns are quadratic there; one run of digits has no spans
     for r in got:
         spans = plain_spans(dict(rows)[r.doc_id] or "", PERSONAL) if r.doc_id not in slow else []
         assert r.base_sha256 == hashlib.sha256(",".join("%s:%d:%d" % s for s in spans).encode()).hexdigest(), rows[r.doc_id][1][:200]
