@@ -131,19 +131,20 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return j.select("a", "b", "sa", "sb").mapInArrow(check, "a binary, b binary")
 
 
-def _runs(batches: Iterator, names: list[str], keys: int):
-    """Consecutive rows with the same first ``keys`` columns, as lists of the rest."""
+def _runs(batches: Iterator, names: list[str], keys: int, with_key: bool = False):
+    """Consecutive rows with the same first ``keys`` columns, as lists of the
+    rest (``with_key``: each after its key)."""
     now, rows = None, []
     for b in batches:
         cols = [b.column(i).to_pylist() for i in range(len(names))]
         for r in zip(*cols):
             if r[:keys] != now:
                 if rows:
-                    yield rows
+                    yield (now, rows) if with_key else rows
                 now, rows = r[:keys], []
             rows.append(r[keys:])
     if rows:
-        yield rows
+        yield (now, rows) if with_key else rows
 
 
 def _tile_pairs(rows: list, band: int, i: int, j: int, percent: int, most: int):

@@ -29,7 +29,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm.near_dup import _runs
@@ -39,7 +39,10 @@ from graphloom.session import ship_package, stored
 BLOCK_DIMS = 16
 #: Pivots of a block: about a quarter of the root of the classes, at most this many.
 MOST_PIVOTS = 4096
-CHUNK = 2048
+#: A tile's chunk of block coordinates, and the rows of it compared at once.
+CHUNK, STRIP = 8192, 1024
+#: A tile's chunk of whole vectors.
+WHOLE_CHUNK = 1024
 #: Pairs whose whole vectors are compared at once.
 AT_ONCE = 50_000
 SLACK = 1e-9
@@ -112,15 +115,20 @@ def _rotated(classes: DataFrame) -> DataFrame:
     return classes.mapInArrow(turn, "cls binary, low long, n long, vec binary, dim int, rot binary")
 
 
+PACKED = "dim int, block int, cell int, home boolean, n long, ids binary, coords binary"
+
+
 def _cells(classes: DataFrame, pivots: dict, reach: float) -> DataFrame:
-    """One row per block and cell that a class is at home in or visits."""
+    """The classes at home in, or visiting, each block's cells; those that an
+    Arrow batch holds of a cell travel as one row (ids, single-precision
+    coordinates)."""
     def deal(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         for b in batches:
-            cls, dims = b.column(0).to_pylist(), np.asarray(b.column(1))
-            rot = b.column(2).to_pylist()
+            cls, dims = np.array(b.column(0).to_pylist(), "V16"), np.asarray(b.column(1))
+            rot, rows = b.column(2).to_pylist(), []
             for d in np.unique(dims):
                 at = np.flatnonzero(dims == d)
                 x, p = np.array([np.frombuffer(rot[k], "<f8") for k in at]), pivots[int(d)]
@@ -133,16 +141,17 @@ def _cells(classes: DataFrame, pivots: dict, reach: float) -> DataFrame:
                     # distance to the plane between home and the other pivot; equal pivots have none
                     visit = far - far[np.arange(len(at)), home][:, None] <= 2 * radius * apart + 1e-9
                     visit &= np.arange(len(p)) > home[:, None]
-                    visit[np.arange(len(at)), home] = True
-                    i, cell = np.nonzero(visit)
-                    coords = [y[k].astype("<f4").tobytes() for k in range(len(at))]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(i), d), pa.int32()), pa.array(np.full(len(i), block), pa.int32()),
-                         pa.array(cell, pa.int32()), pa.array(home[i] == cell), pa.array([cls[at[k]] for k in i], pa.binary()),
-                         pa.array([coords[k] for k in i], pa.binary())], names=["dim", "block", "cell", "home", "cls", "coords"])
+                    y4 = y.astype("<f4")
+                    for cell in range(len(p)):
+                        for is_home, k in ((True, np.flatnonzero(home == cell)), (False, np.flatnonzero(visit[:, cell]))):
+                            if len(k):
+                                rows.append((int(d), block, cell, is_home, len(k), cls[at[k]].tobytes(), y4[k].tobytes()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], t) for i, t in enumerate(
+                    (pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.binary(), pa.binary()))],
+                names=["dim", "block", "cell", "home", "n", "ids", "coords"])
 
-    return classes.select("cls", "dim", "rot").mapInArrow(
-        deal, "dim int, block int, cell int, home boolean, cls binary, coords binary")
+    return classes.select("cls", "dim", "rot").mapInArrow(deal, PACKED)
 
 
 KEYS = ["dim", "block", "cell", "i", "j"]
@@ -160,6 +169,28 @@ def _tiled(rows: DataFrame, chunk: int, cols: list[str]) -> DataFrame:
         .repartition(*KEYS).sortWithinPartitions(*KEYS)
 
 
+def _packed_tiles(packs: DataFrame, chunk: int) -> DataFrame:
+    """Tiles of a chunk of a cell's home rows (i) with a later chunk of them or
+    a chunk of its visitors (j); ``part`` is the side that a row is on.
+    Visitors do not meet each other: they meet where one of them is at home."""
+    cell = KEYS[:3]
+
+    def chunks(home) -> Column:
+        return F.ceil(F.coalesce(F.sum(F.when(F.col("home") == home, F.col("n"))), F.lit(0)) / chunk).cast("long")
+
+    size = packs.groupBy(*cell).agg(chunks(True).alias("nh"), chunks(False).alias("nv")).where("nh > 0")
+    d = packs.join(size, cell)
+    c = F.pmod(F.xxhash64("ids"), F.when(F.col("home"), F.col("nh")).otherwise(F.col("nv")))
+    nh, zero = F.col("nh"), F.lit(0).cast("long")
+    at_home = F.transform(F.sequence(zero, nh + F.col("nv") - 1), lambda j: F.struct(
+        F.when(j < nh, F.least(c, j)).otherwise(c).alias("i"), F.when(j < nh, F.greatest(c, j)).otherwise(j).alias("j"),
+        ((j < nh) & (j < c)).alias("part")))
+    visiting = F.transform(F.sequence(zero, nh - 1), lambda i: F.struct(i.alias("i"), (nh + c).alias("j"), F.lit(True).alias("part")))
+    d = d.withColumn("_t", F.explode(F.when(F.col("home"), at_home).otherwise(visiting)))
+    return d.select(*cell, "_t.i", "_t.j", "_t.part", "home", "ids", "coords") \
+        .repartition(*KEYS).sortWithinPartitions(*KEYS)
+
+
 def _near(rows: list, x, budget: float):
     """Index pairs (a < b in place) of a tile within the block's budget, of
     which at least one is at home."""
@@ -178,20 +209,45 @@ def _near(rows: list, x, budget: float):
 
 
 def _flag(reach: float):
+    """Per tile: the vectors with a candidate there."""
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        names = [*KEYS, "side", "home", "cls", "coords", *(f"{k}_" for k in KEYS)]
-        for rows in _runs(batches, names, 5):
-            d, block, cell = rows[0][-5:-2]
+        names = [*KEYS, "part", "home", "ids", "coords"]
+        for (d, block, cell, i, j), rows in _runs(batches, names, 5, True):
             s, e = _blocks(d)[block]
-            x = np.array([np.frombuffer(r[3], "<f4") for r in rows])
-            p, q = _near(rows, x, reach * (e - s) / d + 1e-5)
-            k = np.unique(np.concatenate([p, q]))
+            budget = np.float32(reach * (e - s) / d + 1e-5)
+
+            def side(part, rows=rows, width=e - s):
+                got = [r for r in rows if r[0] == part]
+                ids = np.frombuffer(b"".join(r[2] for r in got), "V16")
+                home = np.repeat([r[1] for r in got], [len(r[2]) // 16 for r in got]).astype(bool)
+                return ids, home, np.frombuffer(b"".join(r[3] for r in got), "<f4").reshape(-1, width)
+
+            a_ids, a_home, a = side(False)
+            b_ids, b_home, b = (a_ids, a_home, a) if i == j else side(True)
+            a_found, b_found = np.zeros(len(a), bool), np.zeros(len(b), bool)
+            b_sq = (b * b).sum(1) - budget
+            for at in range(0, len(a), STRIP):
+                x = a[at:at + STRIP]
+                # |x|^2 + |y|^2 - 2xy <= budget
+                gap = x @ b.T
+                gap *= -2
+                gap += b_sq
+                gap += (x * x).sum(1)[:, None]
+                close = gap <= 0
+                if i == j:
+                    close &= np.arange(at, at + len(x))[:, None] < np.arange(len(b))
+                a_found[at:at + len(x)] |= close.any(1)
+                b_found |= close.any(0)
+            if i == j:
+                a_found |= b_found
+                b_found[:] = False
+            ids = a_ids[a_found].tolist() + b_ids[b_found].tolist()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(k), v), pa.int32()) for v in (d, block, cell)]
-                + [pa.array([rows[v][1] for v in k], pa.bool_()), pa.array([rows[v][2] for v in k], pa.binary())],
+                [pa.array(np.full(len(ids), v), pa.int32()) for v in (d, block, cell)]
+                + [pa.array(np.concatenate([a_home[a_found], b_home[b_found]]), pa.bool_()), pa.array(ids, pa.binary())],
                 names=["dim", "block", "cell", "home", "cls"])
 
     return run
@@ -263,10 +319,10 @@ def vector_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "v
         pivots[r["dim"]] = np.array([np.frombuffer(x["rot"], "<f8") for x in rows])
 
     cells = stored(_cells(classes, pivots, reach), "cells")
-    flagged = stored(_tiled(cells, CHUNK, ["coords"]).mapInArrow(
+    flagged = stored(_packed_tiles(cells, CHUNK).mapInArrow(
         _flag(reach), "dim int, block int, cell int, home boolean, cls binary").distinct(), "flagged")
     whole = flagged.join(classes.select("cls", "n", "vec", "rot"), "cls")
-    found = stored(_tiled(whole, CHUNK // 2, ["n", "vec", "rot"]).mapInArrow(
+    found = stored(_tiled(whole, WHOLE_CHUNK, ["n", "vec", "rot"]).mapInArrow(
         _link(reach, cosine), "a binary, b binary, links long"), "vector-links")
     comps = connected_components(found.where("b is not null").select("a", "b"))
 

@@ -124,6 +124,8 @@ def test_vectors_against_brute_force(spark, monkeypatch, chunk):
     from graphloom.llm import subspace
 
     monkeypatch.setattr(subspace, "CHUNK", chunk)
+    monkeypatch.setattr(subspace, "STRIP", 5)
+    monkeypatch.setattr(subspace, "WHOLE_CHUNK", chunk)
     rng = np.random.RandomState(3)
     rows = [rng.standard_normal(64).tolist() for _ in range(150)]
     for c in range(5):  # clusters whose cosines lie on both sides of 0.95
