@@ -31,14 +31,14 @@ DATE_TYPES = ["dateTime", "date", "gYear", "gYearMonth", "gMonth", "DateTime"]
 
 
 def parse_number(lex: Column) -> Column:
-    """struct(value DECIMAL(18,4), unit STRING) from a number with separators/currency/unit."""
+    """struct(value DECIMAL(38,18), unit STRING) from a number with separators/currency/unit."""
     run = F.regexp_extract(lex, NUM_RUN, 1)
     unit = F.trim(F.regexp_replace(F.regexp_replace(lex, NUM_RUN, ""), r"\s+", " "))
     plain = F.regexp_replace(run, r"[ \u00a0\u202f]", "")
     norm = (F.when(run.rlike(THOUSANDS), F.regexp_replace(plain, ",", ""))
             .when(run.rlike(FR_THOUSANDS_DEC), F.regexp_replace(plain, ",", "."))
             .otherwise(plain))
-    value = F.when(run != "", norm.try_cast("decimal(18,4)"))
+    value = F.when(run != "", norm.try_cast("decimal(38,18)"))
     return F.struct(value.alias("value"), F.when(unit != "", unit).alias("unit"))
 
 
@@ -104,7 +104,7 @@ def type_literal(lex: Column, vtype: Column) -> Column:
     """struct(v_decimal, v_integer, v_date, date_precision, v_bool, unit, parsed)."""
     # fast paths: a clean number casts directly; an ISO day parses directly
     trimmed = F.trim(lex)
-    dec_fast = trimmed.try_cast("decimal(18,4)")
+    dec_fast = trimmed.try_cast("decimal(38,18)")
     iso_day = (F.length(trimmed) == 10) & (F.substr(trimmed, F.lit(5), F.lit(1)) == "-")
     date_fast = F.when(iso_day, F.try_to_timestamp(trimmed, F.lit("yyyy-MM-dd")).cast("date"))
     slow_num = parse_number(lex)
@@ -119,7 +119,8 @@ def type_literal(lex: Column, vtype: Column) -> Column:
     is_date = vtype == "date"
     is_bool = vtype == "boolean"
     v_dec = F.when(is_dec, num["value"])
-    v_int = F.when(is_int & (num["value"] == F.floor(num["value"])), num["value"].cast("bigint"))
+    whole = num["value"].cast("decimal(20,0)")
+    v_int = F.when(is_int, F.coalesce(trimmed.try_cast("bigint"), F.when(whole == num["value"], whole.try_cast("bigint"))))
     v_date = F.when(is_date, dat["value"])
     v_bool = F.when(is_bool, b)
     parsed = (F.when(is_dec, v_dec.isNotNull()).when(is_int, v_int.isNotNull()).when(is_date, v_date.isNotNull())

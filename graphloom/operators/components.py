@@ -1,68 +1,28 @@
 """Weakly connected components of each graph (stronger form of J8).
 
-Iterative minimum-label propagation over the object-property edges: every
-individual starts with its own name as label and takes the smallest label
-among itself and its neighbours until nothing changes.  Each round is one
-join keyed by (graph, node) and one aggregation; the stop test reads a
-single count.  Lineage is cut with a reliable checkpoint every few rounds,
-so a lost executor recomputes from the last checkpoint, not from round 0.
-Hub individuals (very high degree) are split by AQE's skew-join handling.
+The rounds grow with the logarithm of a component's size and there is no limit
+on them (``operators.linking``); individuals without an edge are components of
+their own.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.operators.linking import connected_components
 from graphloom.operators.ontology import GRAPH
-from graphloom.session import cut_lineage
 
 
-def components(canon: DataFrame, graph: list[str] | None = None, max_rounds: int = 64,
-               checkpoint_every: int = 3) -> DataFrame:
+def components(canon: DataFrame, graph: list[str] | None = None) -> DataFrame:
     """-> (graph..., node, component) for every individual that is a subject
     or the object of an object-property edge; ``component`` is the smallest
     node name of its component."""
     graph = graph or GRAPH
     e = canon.where((F.col("o_kind") != "literal") & (F.col("p_canon") != "rdf:type")) \
-        .select(*graph, F.col("s_key").alias("a"), F.col("o_key").alias("b")).where("a <> b")
-    # both directions; repeated edges do not change a minimum, so no distinct.
-    # Persisted, not checkpointed: its lineage is one scan and a filter, so a
-    # lost block is cheap to recompute; the growing label lineage is what gets cut.
-    edges = e.unionByName(e.select(*graph, F.col("b").alias("a"), F.col("a").alias("b"))) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    # round 0 needs no join: every label starts as the node's own name, so the
-    # first labels are min(self, neighbours) straight from the edges
-    selfs = canon.select(*graph, F.col("s_key").alias("node"), F.col("s_key").alias("label"))
-    first = selfs.unionByName(edges.select(*graph, F.col("a").alias("node"), F.col("b").alias("label"))) \
-        .unionByName(edges.select(*graph, F.col("a").alias("node"), F.col("a").alias("label"))) \
-        .groupBy(*graph, "node").agg(F.min("label").alias("label"))
-    labels = cut_lineage(first)
-    prev = None
-    for r in range(max_rounds):
-        # smallest neighbour label per node (partial aggregate before the shuffle)
-        nb = edges.join(labels.withColumnRenamed("node", "b"), [*graph, "b"]) \
-            .groupBy(*graph, F.col("a").alias("node")).agg(F.min("label").alias("label")) \
-            .withColumn("_old", F.lit(None).cast("string"))
-        # one aggregation merges the old label with the neighbours' (no join)
-        new = labels.withColumn("_old", F.col("label")).unionByName(nb) \
-            .groupBy(*graph, "node").agg(F.min("label").alias("label"), F.max("_old").alias("_old"))
-        new = new.withColumn("_changed", F.col("label") < F.col("_old"))
-        new = cut_lineage(new) if (r + 1) % checkpoint_every == 0 else new.cache()
-        changed = new.where("_changed").count()
-        if prev is not None:
-            prev.unpersist()
-        prev = new
-        labels = new.drop("_changed", "_old")
-        if changed == 0:
-            break
-    edges.unpersist()
-    return labels.withColumnRenamed("label", "component")
-
-
-def component_stats(comp: DataFrame, graph: list[str] | None = None) -> DataFrame:
-    """Per graph: number of components and size of the largest."""
-    graph = graph or GRAPH
-    sizes = comp.groupBy(*graph, "component").agg(F.count(F.lit(1)).alias("size"))
-    return sizes.groupBy(*graph).agg(F.count(F.lit(1)).alias("n_components"), F.max("size").alias("largest"))
+        .select(*graph, F.col("s_key").alias("a"), F.col("o_key").alias("b"))
+    comp = connected_components(e, graph)
+    # nodes with an edge are in comp; the others are subjects, or point at themselves
+    nodes = canon.select(*graph, F.col("s_key").alias("node")).distinct()
+    alone = nodes.join(comp, [*graph, "node"], "left_anti").withColumn("component", F.col("node"))
+    return comp.unionByName(alone)

@@ -4,8 +4,9 @@ N3 canonicalise, J3 types, J4 properties, J5 domain/range, J6 restrictions,
 J7 dangling references, J8 isolated individuals, N18 typed literals,
 N21 height rule, J15 individual resolution.
 
-Every join with the ontology broadcasts the ontology side (a few hundred
-rows, fixed by the ontology, not the corpus).  Joins between graph data are
+Joins with the ontology carry no hint: the built-in tables are local relations
+of known size, which Spark broadcasts by its own threshold, and a large one
+read from a file is not forced on every task.  Joins between graph data are
 keyed by (graph, individual), never by graph alone, so one huge graph still
 spreads over many tasks.
 """
@@ -32,16 +33,14 @@ RANGE_COMPAT = [("real", "decimal"), ("real", "integer"), ("real", "float"), ("r
                 ("double", "decimal"), ("double", "float"), ("double", "integer"), ("dateTime", "date"),
                 ("dateTime", "gYear"), ("dateTime", "gYearMonth")]
 
-LOCAL_RE = r"^<?(?:[^#>]*#|[A-Za-z][\w.-]*:|:)?([^>]*)>?$"
-
 # FIXED VALUES: accented letters and their plain forms, used to fold individual names.
 ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿœ"
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyyo"
 
 
 def local_name(term: str | Column) -> Column:
-    """':x', 'pre:x', '<...#x>', '<x>', '<:x>' -> 'x' (same result as LOCAL_RE,
-    with plain string functions: this runs on every statement)."""
+    """':x', 'pre:x', '<...#x>', '<x>', '<:x>' -> 'x' (plain string
+    functions: this runs on every statement)."""
     t = F.trim(F.col(term) if isinstance(term, str) else term)
     inner = F.regexp_replace(F.substr(t, F.lit(2)), ">$", "")  # <...> without brackets
     bracket = (F.when(F.instr(inner, "#") > 0, F.substring_index(inner, "#", -1))
@@ -109,9 +108,8 @@ def canonicalise(triples: DataFrame, onto: Ontology) -> DataFrame:
         .withColumn("p_local", local_name("p")) \
         .withColumn("s_key", local_name("s")) \
         .withColumn("o_key", F.when(F.col("o_kind") != "literal", local_name("o")))
-    t = t.join(F.broadcast(builtin), t._p_low == builtin.blkey, "left")
-    t = t.join(F.broadcast(plk.select(F.col("lkey").alias("_plk"), F.col("canon").alias("_pc"),
-                                      F.col("via").alias("_pv"), "p_kind0")),
+    t = t.join(builtin, t._p_low == builtin.blkey, "left")
+    t = t.join(plk.select(F.col("lkey").alias("_plk"), F.col("canon").alias("_pc"), F.col("via").alias("_pv"), "p_kind0"),
                (F.lower("p_local") == F.col("_plk")) & F.col("bcanon").isNull(), "left")
     p_match = (F.when(F.col("bcanon").isNotNull(), "builtin")
                .when(F.col("_pc").isNull(), "unknown")
@@ -121,8 +119,7 @@ def canonicalise(triples: DataFrame, onto: Ontology) -> DataFrame:
         .withColumn("p_canon", F.coalesce("bcanon", F.concat(F.lit(":"), "_pc"), "p")) \
         .withColumn("p_kind", F.when(F.col("bcanon").isNotNull(), "builtin").otherwise(F.col("p_kind0")))
     is_type = F.col("p_canon") == RDF_TYPE
-    t = t.join(F.broadcast(clk.select(F.col("lkey").alias("_clk"), F.col("canon").alias("_cc"),
-                                      F.col("via").alias("_cv"))),
+    t = t.join(clk.select(F.col("lkey").alias("_clk"), F.col("canon").alias("_cc"), F.col("via").alias("_cv")),
                is_type & (F.lower("o_key") == F.col("_clk")), "left")
     o_match = (F.when(~is_type, F.lit(None)).when(F.col("_cc").isNull(), "unknown")
                .when(F.col("_cv") == "alias", "alias").when(F.col("_cc") == F.col("o_key"), "exact")
@@ -194,32 +191,34 @@ def check_domain_range(canon: DataFrame, onto: Ontology, strict: bool = False) -
     n_dom = dom.groupBy("property").agg(F.count(F.lit(1)).alias("n_dom"))
     # per typed individual: properties whose domain it satisfies (ontology-bounded set)
     # types holds each (individual, class) once, so a plain count is the number of distinct classes
-    sat = types.join(F.broadcast(dom), "cls", "left").groupBy(*GRAPH, "s_key", "property") \
+    sat = types.join(dom, "cls", "left").groupBy(*GRAPH, "s_key", "property") \
         .agg(F.count("cls").alias("n_sat"))
-    sat = sat.join(F.broadcast(n_dom), "property", "left")
+    sat = sat.join(n_dom, "property", "left")
     ok_prop = F.when(F.col("property").isNotNull() & (F.col("n_sat") >= (F.col("n_dom") if strict else F.lit(1))),
                      F.col("property"))
     subj = sat.groupBy(*GRAPH, "s_key").agg(F.collect_set(ok_prop).alias("_dom_ok"))
 
     rng = onto.range
     obj_rng = rng.where(~F.col("rng").contains(":")).select("property", F.col("rng").alias("cls"))
-    obj = types.join(F.broadcast(obj_rng), "cls", "left").groupBy(*GRAPH, F.col("s_key").alias("o_key")) \
+    obj = types.join(obj_rng, "cls", "left").groupBy(*GRAPH, F.col("s_key").alias("o_key")) \
         .agg(F.collect_set("property").alias("_rng_ok"))
 
     dat_rng = rng.where(F.col("rng").contains(":")).select(F.col("property").alias("prop"),
                                                          F.regexp_replace("rng", "^[a-z]+:", "").alias("rng_local"))
     has_rng = rng.select(F.col("property").alias("prop")).distinct().withColumn("_has_rng", F.lit(True))
     compat = local_table(spark, RANGE_COMPAT, "rng_local string, dt string")
-    dt_ok = dat_rng.join(F.broadcast(compat), "rng_local", "left") \
+    dt_ok = dat_rng.join(compat, "rng_local", "left") \
         .select("prop", F.explode(F.array_distinct(F.array("rng_local", F.coalesce("dt", "rng_local")))).alias("dt"))
     dt_ok = dt_ok.distinct().withColumn("_dsat", F.lit(True))
 
-    t = props.join(F.broadcast(n_dom.withColumnRenamed("property", "prop")), "prop", "left") \
-        .join(subj, [*GRAPH, "s_key"], "left") \
-        .join(F.broadcast(has_rng), "prop", "left") \
-        .join(obj, [*GRAPH, "o_key"], "left") \
+    t = props.join(n_dom.withColumnRenamed("property", "prop"), "prop", "left") \
+        .join(subj, [*GRAPH, "s_key"], "left").join(has_rng, "prop", "left")
+    # literals have no key on the object side: they skip that join instead of meeting under null
+    named = t.where("o_key is not null").join(obj, [*GRAPH, "o_key"], "left")
+    literal = t.where("o_key is null").withColumn("_rng_ok", F.lit(None).cast("array<string>"))
+    t = named.unionByName(literal) \
         .withColumn("dt", datatype_local(F.col("o_datatype"))) \
-        .join(F.broadcast(dt_ok), ["prop", "dt"], "left")
+        .join(dt_ok, ["prop", "dt"], "left")
     dstat = (F.when(F.col("n_dom").isNull(), "none").when(F.array_contains("_dom_ok", F.col("prop")), "ok")
              .when(F.col("_dom_ok").isNull(), "untyped").otherwise("violation"))
     is_lit = F.col("o_kind") == "literal"
@@ -235,16 +234,27 @@ def check_domain_range(canon: DataFrame, onto: Ontology, strict: bool = False) -
 
 
 def check_restrictions(canon: DataFrame, onto: Ontology) -> DataFrame:
-    """Expected properties from someValuesFrom restrictions on each
-    individual's (inferred) classes, and whether the graph states one.
-    Coverage, not errors: absence is not falsity (open world)."""
+    """Expected (property, filler) from the someValuesFrom restrictions on
+    each individual's (inferred) classes: ``present`` if the graph states the
+    property for it, ``filled`` if with an object of the filler's class, or of
+    its datatype.  Coverage, not errors: absence is not falsity (open world)."""
     types = individual_types(canon, onto)
-    exp = types.join(F.broadcast(onto.restriction), "cls") \
-        .groupBy(*GRAPH, "s_key", "property").agg(F.min("filler").alias("filler"))
+    exp = types.join(onto.restriction, "cls").select(*GRAPH, "s_key", "property", "filler").distinct()
     stated = canon.where(F.col("p_match").isin("exact", "case", "alias")) \
-        .select(*GRAPH, "s_key", F.regexp_replace("p_canon", "^:", "").alias("property")).distinct() \
-        .withColumn("present", F.lit(True))
-    return exp.join(stated, [*GRAPH, "s_key", "property"], "left").fillna(False, ["present"])
+        .select(*GRAPH, "s_key", F.regexp_replace("p_canon", "^:", "").alias("property"),
+                F.when(F.col("o_kind") != "literal", F.col("o_key")).alias("o_key"),
+                datatype_local(F.col("o_datatype")).alias("_dt")).distinct()
+    found = exp.join(stated, [*GRAPH, "s_key", "property"])
+    of = types.select(*GRAPH, F.col("s_key").alias("o_key"), F.col("cls").alias("filler"), F.lit(True).alias("_is"))
+    # literals have no class: only statements with an individual meet the types
+    by_class = found.where("o_key is not null").join(of, [*GRAPH, "o_key", "filler"], "left")
+    by_type = found.where("o_key is null").withColumn(
+        "_is", F.col("_dt").isNotNull() & (F.regexp_replace("filler", "^[a-z]+:", "") == F.col("_dt")))
+    seen = by_class.select(*GRAPH, "s_key", "property", "filler", "_is") \
+        .unionByName(by_type.select(*GRAPH, "s_key", "property", "filler", "_is")) \
+        .groupBy(*GRAPH, "s_key", "property", "filler").agg(F.max(F.coalesce("_is", F.lit(False))).alias("filled"))
+    return exp.join(seen.withColumn("present", F.lit(True)), [*GRAPH, "s_key", "property", "filler"], "left") \
+        .fillna(False, ["present", "filled"])
 
 
 def _edges(canon: DataFrame) -> DataFrame:
@@ -255,9 +265,9 @@ def _edges(canon: DataFrame) -> DataFrame:
 def dangling_refs(canon: DataFrame) -> DataFrame:
     """Object IRIs never described as a subject in the same graph."""
     subjects = canon.select(*GRAPH, F.col("s_key").alias("o_key")).distinct()
-    e = _edges(canon)
-    return e.join(subjects, [*GRAPH, "o_key"], "left_anti").groupBy(*GRAPH, "o_key") \
-        .agg(F.count(F.lit(1)).alias("n_refs"))
+    # counted before the join: a popular object is one row there
+    refs = _edges(canon).groupBy(*GRAPH, "o_key").agg(F.count(F.lit(1)).alias("n_refs"))
+    return refs.join(subjects, [*GRAPH, "o_key"], "left_anti")
 
 
 def isolated_individuals(canon: DataFrame) -> DataFrame:
@@ -275,7 +285,7 @@ def type_literals(canon: DataFrame, onto: Ontology) -> DataFrame:
         .select(F.concat(F.lit(":"), "property").alias("p_canon"),
                 F.regexp_replace("rng", "^[a-z]+:", "").alias("rng_local"))
     rng = rng.groupBy("p_canon").agg(F.min("rng_local").alias("rng_local"))
-    lit = canon.where(F.col("o_kind") == "literal").join(F.broadcast(rng), "p_canon", "left")
+    lit = canon.where(F.col("o_kind") == "literal").join(rng, "p_canon", "left")
     vt = value_type(F.col("rng_local"), datatype_local(F.col("o_datatype")))
     lit = lit.withColumn("value_type", vt).withColumn("tv", type_literal(F.col("o"), F.col("value_type")))
     return lit.select("*", "tv.*").drop("tv", "rng_local")
@@ -285,32 +295,41 @@ def derive_impassable(canon: DataFrame, onto: Ontology, threshold: float = 1.0)
     """A structure is impassable when its height is strictly greater
     than ``threshold`` metres; compare with the asserted ``isImpassable``.
 
-    One aggregation keyed by (graph, individual) instead of a self join.
+    One aggregation keyed by (graph, individual) instead of a self join.  A
+    height without a unit is in metres; ``cm`` and ``mm`` are converted, and an
+    individual whose only heights have another unit gets ``unknown_unit``.
     """
     typed = type_literals(canon.where(F.col("p_canon").isin(":hasHeight", ":isImpassable")), onto)
+    unit = F.lower(F.trim("unit"))
+    scale = (F.when(unit.isNull() | unit.isin("m", "metre", "metres", "meter", "meters", "mètre", "mètres"), F.lit(1))
+             .when(unit == "cm", F.lit(100)).when(unit == "mm", F.lit(1000)))
+    is_height = F.col("p_canon") == ":hasHeight"
     g = typed.groupBy(*GRAPH, "s_key").agg(
-        F.max(F.when(F.col("p_canon") == ":hasHeight", F.col("v_decimal"))).alias("height"),
+        F.max(F.when(is_height, (F.col("v_decimal") / scale).cast("decimal(38,18)"))).alias("height"),
+        F.max((is_height & F.col("v_decimal").isNotNull() & scale.isNull()).cast("int")).alias("_odd_unit"),
         F.max(F.when(F.col("p_canon") == ":isImpassable", F.col("v_bool").cast("int"))).alias("_asserted"))
     derived = F.when(F.col("height").isNotNull(), F.col("height") > F.lit(threshold))
     asserted = F.col("_asserted") == 1
-    status = (F.when(derived.isNull(), "no_height").when(F.col("_asserted").isNull(), "no_assertion")
+    status = (F.when(derived.isNull() & (F.col("_odd_unit") == 1), "unknown_unit").when(derived.isNull(), "no_height").when(F.col("_asserted").isNull(), "no_assertion")
               .when(derived == asserted, "agree").otherwise("conflict"))
     return g.select(*GRAPH, "s_key", "height", asserted.alias("asserted"), derived.alias("derived"),
                     status.alias("status"))
 
 
 def fold_name(c: str | Column) -> Column:
-    """Case, accents and punctuation folded away."""
+    """Case, accents and punctuation folded away; letters and digits of every
+    script stay."""
     x = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(F.translate(F.lower(x), ACCENTED, PLAIN), "[^a-z0-9]", "")
+    return F.regexp_replace(F.translate(F.lower(x), ACCENTED, PLAIN), r"[^\p{L}\p{N}]", "")
 
 
 def resolve_individuals(canon: DataFrame) -> DataFrame:
     """Map each individual of a graph to the smallest name sharing its
-    folded key; returns (graph, s_key, canonical, n_variants)."""
+    folded key; returns (graph, s_key, canonical, n_variants).  A name without
+    a letter or digit folds to nothing and stands for itself."""
     inds = canon.select(*GRAPH, "s_key").unionByName(
         _edges(canon).select(*GRAPH, F.col("o_key").alias("s_key"))).distinct() \
-        .withColumn("fold", fold_name("s_key"))
+        .withColumn("fold", F.coalesce(F.nullif(fold_name("s_key"), F.lit("")), F.col("s_key")))
     best = inds.groupBy(*GRAPH, "fold").agg(F.min("s_key").alias("canonical"),
                                             F.count(F.lit(1)).alias("n_variants"))
     return inds.join(best, [*GRAPH, "fold"]).drop("fold")

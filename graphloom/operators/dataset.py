@@ -25,17 +25,24 @@ def shuffle_take(df: DataFrame, id_col: str = "id", seed: int = 65, n: int = 143
     return top.withColumn("pick", F.row_number().over(Window.orderBy("_h", id_col))).drop("_h")
 
 
+def _ranked(df: DataFrame, slim: DataFrame, order: list[str], id_col: str) -> DataFrame:
+    """Rank the slim rows (id and order only, nothing else is stored) and join
+    the rank back on the unique id."""
+    r = global_rank(slim, order, out_col="_r").select(id_col, "_r", "_r_total")
+    return df.join(r, id_col)
+
+
 def train_test_split(df: DataFrame, id_col: str = "id", test_size: float = 0.1, seed: int = 65) -> DataFrame:
     """Exact split; the first ceil(test_size * n) rows in hash order are ``test``."""
-    r = global_rank(df.withColumn("_h", hash_order(id_col, seed)), ["_h", id_col], out_col="_r")
+    r = _ranked(df, df.select(id_col, hash_order(id_col, seed).alias("_h")), ["_h", id_col], id_col)
     n_test = F.ceil(F.col("_r_total") * F.lit(test_size))
     return r.withColumn("split", F.when(F.col("_r") <= n_test, "test").otherwise("train")) \
-            .drop("_h", "_r", "_r_total")
+            .drop("_r", "_r_total")
 
 
 def length_batches(df: DataFrame, length_col: str, id_col: str = "id", size: int = 8) -> DataFrame:
     """Batches of ``size`` rows of similar length: rows ordered by
     (length, id), batch = position div size.  Hot lengths are split across
     range partitions by the id, so no length value lands in one task."""
-    r = global_rank(df, [length_col, id_col], out_col="_r")
+    r = _ranked(df, df.select(*dict.fromkeys([id_col, length_col])), [length_col, id_col], id_col)
     return r.withColumn("batch_id", F.floor((F.col("_r") - 1) / size).cast("bigint")).drop("_r", "_r_total")

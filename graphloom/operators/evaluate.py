@@ -8,8 +8,6 @@ exact and label-normalised keys) are ours.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,12 +15,23 @@ from graphloom.operators.conform import fold_name, local_name
 
 
 def triple_key(how: str = "exact") -> Column:
-    """``exact``: the triple as written; ``normalised``: local names folded
-    (case, accents, punctuation), so invented spellings of one name meet."""
+    """``exact``: the triple as written, with the object's kind, datatype and
+    language; ``normalised``: names folded (case, accents, punctuation), so
+    invented spellings of one name meet, and literals by their value: numbers
+    as numbers (2.10 is 2.1, not 21), other text by case and white space."""
+    kind = F.when(F.col("o_kind") == "literal", "literal").otherwise("node")
     if how == "exact":
-        return F.concat_ws("\u0001", "s", "p", "o")
+        return F.concat_ws("\u0001", "s", "p", "o", "o_kind", F.coalesce("o_datatype", F.lit("")), F.coalesce("o_lang", F.lit("")))
     if how == "normalised":
-        return F.concat_ws("\u0001", fold_name(local_name("s")), F.lower(local_name("p")), fold_name(local_name("o")))
+        number = F.trim("o").try_cast("decimal(38,18)")
+        literal = F.coalesce(number.cast("string"), F.lower(F.trim(F.regexp_replace("o", r"\s+", " "))))
+
+        def name(c: str) -> Column:
+            n = local_name(c)
+            return F.coalesce(F.nullif(fold_name(n), F.lit("")), n)
+
+        return F.concat_ws("\u0001", name("s"), F.lower(local_name("p")), kind,
+                           F.when(F.col("o_kind") == "literal", literal).otherwise(name("o")))
     raise ValueError(how)
 
 
@@ -113,7 +122,3 @@ def judge_summary(scores: DataFrame, keys=("regime", "model", "criterion")) -> D
     a partial (map-side) aggregate."""
     return scores.groupBy(*keys).agg(F.avg("score").alias("mean_score"), F.min("score").alias("min_score"),
                                      F.max("score").alias("max_score"), F.count("score").alias("n_scored"))
-
-
-def union_all(dfs: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), dfs)

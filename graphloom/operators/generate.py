@@ -40,9 +40,43 @@ class EchoBackend:
 BUILTIN = {"hash": HashBackend, "echo": EchoBackend}
 
 
-def _backend(spec):
-    """One backend object per Python worker process and spec."""
-    key = spec if isinstance(spec, str) else id(spec)
+class JudgeBackend:
+    """Deterministic offline judge for checks of the parsing and the policy:
+    the first hex digit of md5(prompt) picks a score, in or out of range, or
+    one of the answers that models give instead."""
+
+    def generate(self, prompt: str, messages_json: str | None, options: dict) -> str:
+        n = int(hashlib.md5(prompt.encode("utf-8")).hexdigest()[0], 16)
+        if n < 12:
+            return '{"score": %.1f}' % (n / 2)
+        return {12: '```json\n{"score": 3}\n```', 13: "Score: 4 of 5", 14: '{"note": 4}', 15: ""}[n]
+
+
+class PickyBackend:
+    """Answers like ``hash`` but fails on prompts whose md5 starts with a digit
+    under ``fail_below`` (an option), for checks of the failure policy."""
+
+    def generate(self, prompt: str, messages_json: str | None, options: dict) -> str:
+        h = hashlib.md5(prompt.encode("utf-8")).hexdigest()
+        if int(h[0], 16) < int(options.get("fail_below", 4)):
+            raise ValueError("refused " + h[0])
+        return h
+
+
+BUILTIN |= {"judge": JudgeBackend, "picky": PickyBackend}
+
+
+def _backend_key(spec) -> str:
+    """What a backend is kept under in a worker: its name, or a digest of the
+    factory's content, the same in every task."""
+    if isinstance(spec, str):
+        return spec
+    from pyspark import cloudpickle
+    return hashlib.md5(cloudpickle.dumps(spec)).hexdigest()
+
+
+def _backend(spec, key: str):
+    """One backend object per Python worker process and key."""
     if key not in _BACKENDS:
         _BACKENDS[key] = BUILTIN[spec]() if isinstance(spec, str) else spec()
     return _BACKENDS[key]
@@ -55,7 +89,9 @@ def generate(prompts: DataFrame, backend="hash", options: dict | None = None, ke
     ``backend`` is a builtin name or a zero-argument factory returning an
     object with ``generate(prompt, messages_json, options) -> str`` (a local
     model, or a client of a model server).  ``options`` (max tokens,
-    temperature, top_p, repetition penalty...) are passed through.
+    temperature, top_p, repetition penalty...) are passed through.  A backend
+    with ``generate_batch(prompts, messages, options) -> list`` gets an Arrow
+    batch at once; if that raises, its rows are tried one by one.
     U3: ``on_error='keep'`` records the exception text in ``error`` and goes
     on; ``'fail'`` stops the job naming the failing row.
     """
@@ -68,10 +104,23 @@ def generate(prompts: DataFrame, backend="hash", options: dict | None = None, ke
     key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in prompts.schema.fields if f.name in keys)
     schema = f"{key_schema}, response string, seconds double, error string"
 
+    name = _backend_key(backend)
+
     def run(batches):
-        be = _backend(backend)
+        be = _backend(backend, name)
         for pdf in batches:
             resp, secs, errs = [], [], []
+            if hasattr(be, "generate_batch") and len(pdf):
+                t0 = time.time()
+                try:
+                    got = list(be.generate_batch(list(pdf.iloc[:, len(keys)]), list(pdf.iloc[:, len(keys) + 1]), opts))
+                except Exception:  # noqa: BLE001 - the rows below tell which one fails
+                    got = None
+                if got is not None and len(got) == len(pdf):
+                    out = pdf.iloc[:, :len(keys)].copy()
+                    out["response"], out["seconds"], out["error"] = got, (time.time() - t0) / len(pdf), None
+                    yield out
+                    continue
             for row in pdf.itertuples(index=False):
                 prompt, msgs = row[len(keys)], row[len(keys) + 1]
                 t0 = time.time()
@@ -91,20 +140,38 @@ def generate(prompts: DataFrame, backend="hash", options: dict | None = None, ke
     return sel.mapInPandas(run, schema)
 
 
+def path_exists(spark, path: str) -> bool:
+    """Does a path exist in its own file system?"""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def unanswered(prompts: DataFrame, path: str, keys: list[str]) -> DataFrame:
+    """Prompts that have no answer in the Parquet table at ``path`` yet: new
+    ones, and those whose answers so far are errors.  A table that exists but
+    cannot be read raises."""
+    spark = prompts.sparkSession
+    if not path_exists(spark, path):
+        return prompts
+    done = spark.read.parquet(path).where("error is null").select(*keys)
+    return prompts.join(done, keys, "left_anti")
+
+
+def latest_answers(answers: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key: its answer, or its error while it has none."""
+    ok = answers.where("error is null")
+    return ok.unionByName(answers.where("error is not null").join(ok.select(*keys), keys, "left_anti").dropDuplicates(keys))
+
+
 def generate_once(prompts: DataFrame, path: str, keys: list[str], **kw) -> DataFrame:
-    """U1 with a lineage cut: answer only prompts whose keys are not yet in the
-    Parquet table at ``path`` (resume after a failure), append them, and
-    return the whole table read back.  A retried task or a second action never
-    calls the model again for rows already saved."""
+    """U1 with a lineage cut: answer only prompts without an answer in the
+    Parquet table at ``path`` (resume after a failure; rows that failed are
+    tried again), append them, and return the table read back, one row per
+    key.  A retried task or a second action never calls the model again for
+    answers already saved."""
     spark = prompts.sparkSession
-    todo = prompts
-    try:
-        done = spark.read.parquet(path).select(*keys)
-        todo = prompts.join(done, keys, "left_anti")
-    except Exception:  # noqa: BLE001 - first run: nothing saved yet
-        pass
-    generate(todo, keys=keys, **kw).write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    generate(unanswered(prompts, path, keys), keys=keys, **kw).write.mode("append").parquet(path)
+    return latest_answers(spark.read.parquet(path), keys)
 
 
 def judge_prompts(graphs: DataFrame, docs: DataFrame, graph_col: str = "turtle",
@@ -122,14 +189,21 @@ def judge_prompts(graphs: DataFrame, docs: DataFrame, graph_col: str = "turtle",
     return j.withColumn("messages", msgs).withColumn("prompt", render_chat("messages", True)).drop("text")
 
 
-SCORE_RE = r"([0-5](?:\.[0-9]+)?)"
+FENCES = r"(?s)^\s*```[A-Za-z]*\s*\n(.*?)\n\s*```\s*$"
 
 
 def parse_score(response: str = "response"):
-    """U2 (answer side): score from ``{"score": x}``, else the first 0-5 number."""
-    js = F.get_json_object(F.col(response), "$.score").try_cast("double")
-    rx = F.regexp_extract(F.col(response), SCORE_RE, 1)
-    return F.coalesce(js, F.when(rx != "", rx.try_cast("double")))
+    """U2 (answer side): struct(score, status) from the strict JSON answer
+    ``{"score": x}`` with x from 0 to 5, code fences removed.  Everything else
+    has no score and says why: empty | not_json | no_score | out_of_range."""
+    raw = F.trim(F.coalesce(F.col(response), F.lit("")))
+    body = F.when(raw.rlike(FENCES), F.regexp_extract(raw, FENCES, 1)).otherwise(raw)
+    text = F.get_json_object(body, "$.score")
+    x = text.try_cast("double")
+    is_json = F.try_parse_json(body).isNotNull() & F.trim(body).startswith("{")
+    status = (F.when(body == "", "empty").when(~is_json, "not_json").when(x.isNull() | F.isnan(x), "no_score")
+              .when((x < 0) | (x > 5), "out_of_range").otherwise("ok"))
+    return F.struct(F.when(status == "ok", x).alias("score"), status.alias("status"))
 
 
 def judge(graphs: DataFrame, docs: DataFrame, backend="hash", keys: list[str] | None = None,
@@ -138,4 +212,5 @@ def judge(graphs: DataFrame, docs: DataFrame, backend="hash", keys: list[str] |
     keys = keys or ["regime", "model", "doc_id"]
     pr = judge_prompts(graphs, docs, graph_col, criteria).select(*keys, "criterion", "prompt", "messages")
     ans = generate(pr, backend=backend, keys=[*keys, "criterion"])
-    return ans.withColumn("score", parse_score())
+    s = parse_score()
+    return ans.withColumn("score", s["score"]).withColumn("score_status", s["status"])

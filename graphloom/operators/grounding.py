@@ -3,7 +3,7 @@ their source text, J14 leakage of the worked example, U4 rule extraction."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.operators.conform import fold_name, local_name
@@ -25,28 +25,24 @@ def label_table(onto: Ontology) -> DataFrame:
                       F.size("_t").alias("n")).where(F.col("n") > 0)
 
 
-def link_mentions(docs: DataFrame, onto: Ontology, max_n: int = 8) -> DataFrame:
+def link_mentions(docs: DataFrame, onto: Ontology) -> DataFrame:
     """Token n-grams of each text equal to an ontology label.
 
-    Tokens are exploded once with their position; the next ``max_n - 1``
-    tokens come from ``lead`` over the document's own rows (one window per
-    document); only positions whose token starts some label survive a
-    broadcast join with the label table (its size is fixed by the ontology),
-    and there the n-gram is compared with the whole label.
-    Returns (doc_id, pos, n, mention, term, label_lang, label_kind).
+    Each token is exploded with the tokens after it, as many as the longest
+    label has; a token that starts no label is dropped by the join with the
+    label table, and there the n-gram is compared with the whole label.  No
+    token is shuffled.  Returns (doc_id, pos, n, mention, term, label_lang,
+    label_kind).
     """
-    labels = label_table(onto).where(F.col("n") <= max_n) \
-        .withColumn("first", F.element_at(F.split("gram", " "), 1))
-    toks = docs.select("doc_id", F.posexplode(tokens("text")).alias("p0", "tok"))
-    w = Window.partitionBy("doc_id").orderBy("p0")
-    nxt = [F.lead("tok", k).over(w).alias(f"_t{k}") for k in range(1, max_n)]
-    toks = toks.select("doc_id", (F.col("p0") + 1).alias("pos"), "tok", *nxt)
-    cand = toks.join(F.broadcast(labels.select("first", "gram", "n", "term", F.col("lang").alias("label_lang"),
-                                               F.col("kind").alias("label_kind"))),
-                     toks.tok == F.col("first"))
-    window_toks = F.array("tok", *[f"_t{k}" for k in range(1, max_n)])
-    mention = F.array_join(F.slice(window_toks, 1, F.col("n")), " ")
-    hit = cand.where((mention == F.col("gram")) & (F.size(F.array_compact(F.slice(window_toks, 1, F.col("n")))) == F.col("n")))
+    labels = label_table(onto).withColumn("first", F.element_at(F.split("gram", " "), 1))
+    longest = labels.agg(F.max("n")).first()[0] or 1
+    # the outer transform holds the token array as a variable: it is made once per text
+    places = F.element_at(F.transform(F.array(tokens("text")), lambda t: F.transform(t, lambda x, i: F.struct(
+        (i + 1).alias("pos"), x.alias("tok"), F.slice(t, i + 1, F.lit(longest)).alias("after")))), 1)
+    toks = docs.select("doc_id", F.explode(places).alias("_t")).select("doc_id", "_t.*")
+    cand = toks.join(labels.select("first", "gram", "n", "term", F.col("lang").alias("label_lang"),
+                                   F.col("kind").alias("label_kind")), toks.tok == F.col("first"))
+    hit = cand.where((F.size("after") >= F.col("n")) & (F.array_join(F.slice("after", 1, F.col("n")), " ") == F.col("gram")))
     return hit.select("doc_id", "pos", "n", F.col("gram").alias("mention"), "term", "label_lang", "label_kind")
 
 
@@ -57,10 +53,13 @@ def fold_text(c: str | Column) -> Column:
 
 def grounding(triples: DataFrame, docs: DataFrame) -> DataFrame:
     """Is each literal of a graph found in its source text (case and
-    whitespace folded)?  Whole texts, joined to their graphs by doc_id."""
-    lit = triples.where(F.col("o_kind") == "literal")
-    j = lit.join(docs.select("doc_id", fold_text("text").alias("_ft")), "doc_id")
-    return j.withColumn("grounded", F.instr("_ft", fold_text("o")) > 0).drop("_ft")
+    whitespace folded)?  Whole texts, joined by doc_id to the distinct values
+    of their graphs; the statements then join the value's finding."""
+    lit = triples.where(F.col("o_kind") == "literal").withColumn("_fo", fold_text("o"))
+    values = lit.select("doc_id", "_fo").distinct()
+    found = values.join(docs.select("doc_id", fold_text("text").alias("_ft")), "doc_id") \
+        .select("doc_id", "_fo", (F.instr("_ft", F.col("_fo")) > 0).alias("grounded"))
+    return lit.join(found, ["doc_id", "_fo"]).drop("_fo")
 
 
 def grounding_share(grounded: DataFrame) -> DataFrame:
@@ -80,8 +79,8 @@ def example_keys(example_triples: DataFrame) -> DataFrame:
 def example_leakage(triples: DataFrame, docs: DataFrame, example_triples: DataFrame) -> DataFrame:
     """Statements whose subject name or label equals (folded) an
     individual of the worked example, unless the value is grounded in the
-    document's own text.  The example is one fixed graph: broadcast."""
-    keys = F.broadcast(example_keys(example_triples))
+    document's own text."""
+    keys = example_keys(example_triples)
     t = triples.withColumn("_k", F.when((F.col("o_kind") == "literal") &
                                         F.col("p").isin("skos:prefLabel", "rdfs:label"), fold_name("o"))
                            .otherwise(fold_name(local_name("s"))))
@@ -105,8 +104,11 @@ def extract_rules(docs: DataFrame, onto: Ontology, regime: str = "rules", model:
     ``startsAt``/``endsAt``.  Joins and regular expressions only.
     """
     m = link_mentions(docs, onto).where(F.col("label_kind").isNotNull())
+    # two terms may share a label, and one term two: the term is part of the name, once each
+    m = m.select("doc_id", "pos", "n", "mention", "term").distinct()
     ind = F.concat(F.lit(":m_"), F.col("doc_id"), F.lit("_"), F.col("pos").cast("string"), F.lit("_"),
-                   F.col("n").cast("string"))
+                   F.col("n").cast("string"), F.lit("_"), F.col("term"))
+    at = F.col("pos").cast("bigint") * (1 << 22) + F.pmod(F.xxhash64("n", "term"), F.lit(1 << 20)) * 4
     meas = F.concat(F.lit(":doc_"), F.col("doc_id"))
 
     def row(s, p, o, kind="iri", dt=None, idx=F.lit(0)):
@@ -115,9 +117,9 @@ def extract_rules(docs: DataFrame, onto: Ontology, regime: str = "rules", model:
                         idx.cast("bigint").alias("stmt_idx"))
 
     ment = m.select("doc_id", F.explode(F.array(
-        row(ind, "rdf:type", F.concat(F.lit(":"), F.col("term")), idx=F.col("pos") * 100 + F.col("n") * 3),
-        row(ind, "skos:prefLabel", F.col("mention"), "literal", idx=F.col("pos") * 100 + F.col("n") * 3 + 1),
-        row(meas, ":includes", ind, idx=F.col("pos") * 100 + F.col("n") * 3 + 2))).alias("t"))
+        row(ind, "rdf:type", F.concat(F.lit(":"), F.col("term")), idx=at),
+        row(ind, "skos:prefLabel", F.col("mention"), "literal", idx=at + 1),
+        row(meas, ":includes", ind, idx=at + 2))).alias("t"))
     costs = F.regexp_extract_all(F.col("text"), F.lit(COST_RE), 1)
     years = F.transform(F.regexp_extract_all(F.col("text"), F.lit(YEAR_RE), 1), lambda y: y.cast("int"))
     d = docs.select("doc_id", costs.alias("costs"), years.alias("years"))

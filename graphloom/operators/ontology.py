@@ -1,8 +1,8 @@
 """Ontology as data: tables (S2 default), subclass closure and type inference
 (J10), vocabulary drift (J11), rendered description (N17).
 
-Ontology tables hold a few hundred rows whatever the corpus size, so they are
-broadcast explicitly wherever they meet graph data.
+The built-in tables are local relations of a few hundred rows; joins with them
+carry no hint, so that an ontology read from a file is judged by its own size.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graphloom import vocab
-from graphloom.session import local_table
+from graphloom.session import cut_lineage, local_table
 
 GRAPH = ["run_id", "regime", "model", "doc_id"]
 
@@ -44,16 +44,14 @@ def builtin_ontology(spark: SparkSession) -> Ontology:
     dom = local_table(spark, [(n, d) for n, _, ds, _ in props for d in ds], "property string, cls string")
     rng = local_table(spark, [(n, r) for n, _, _, rs in props for r in rs], "property string, rng string")
     res = local_table(spark, vocab.restrictions(), "cls string, property string, filler string")
-    labels = local_table(spark, 
-        [(n, p, "en", "pref") for n, _, p, _, _ in cls if p] + [(n, a, l, "alt") for n, _, _, a, l in cls if a],
-        "term string, label string, lang string, kind string")
+    labels = local_table(spark, vocab.labels(), "term string, label string, lang string, kind string")
     al = local_table(spark, vocab.aliases(), "alias string, term string")
     fixed = {"classes": [n for n, *_ in cls], "properties": [(n, k) for n, k, _, _ in props],
              "subclass": [(n, p) for n, ps, *_ in cls for p in ps], "aliases": vocab.aliases()}
     return Ontology(c, sub, pr, dom, rng, res, labels, al, fixed)
 
 
-def _closure_rows(edges: list[tuple[str, str]], max_depth: int = 32) -> list[tuple[str, str, int]]:
+def _closure_rows(edges: list[tuple[str, str]]) -> list[tuple[str, str, int]]:
     """Shortest-path strict ancestors of a fixed (ontology-sized) edge list."""
     parents: dict[str, set[str]] = {}
     for c, p in edges:
@@ -61,7 +59,7 @@ def _closure_rows(edges: list[tuple[str, str]], max_depth: int = 32) -> list[tup
     out = []
     for child in sorted(parents):
         seen, frontier, depth = {}, set(parents[child]), 1
-        while frontier and depth <= max_depth:
+        while frontier:
             nxt = set()
             for a in sorted(frontier):
                 if a not in seen:
@@ -72,26 +70,26 @@ def _closure_rows(edges: list[tuple[str, str]], max_depth: int = 32) -> list[tup
     return out
 
 
-def subclass_closure(onto: Ontology, reflexive: bool = False, max_depth: int = 32) -> DataFrame:
+def subclass_closure(onto: Ontology, reflexive: bool = False) -> DataFrame:
     """(child, ancestor, depth) for every strict ancestor (depth = shortest path).
 
-    A fixed-point loop of joins on the (small, broadcast) edge table; the
-    stop test reads one count per round.  ``max_depth`` guards cycles.
+    A loop of joins on the edge table until a round adds nothing; a cycle
+    adds its members once and then nothing, so it ends too.
     """
     if onto.fixed is not None:
         spark = onto.classes.sparkSession
-        rows = _closure_rows(onto.fixed["subclass"], max_depth)
+        rows = _closure_rows(onto.fixed["subclass"])
         if reflexive:
             rows += [(n, n, 0) for n in onto.fixed["classes"]]
         return local_table(spark, rows, "child string, ancestor string, depth int")
     edges = onto.subclass.select("child", F.col("parent").alias("ancestor")).distinct()
     closure = edges.withColumn("depth", F.lit(1))
     size = closure.count()
-    for _ in range(max_depth):
-        step = closure.alias("c").join(F.broadcast(edges.alias("e")), F.col("c.ancestor") == F.col("e.child")) \
+    while True:
+        step = closure.alias("c").join(edges.alias("e"), F.col("c.ancestor") == F.col("e.child")) \
             .select(F.col("c.child"), F.col("e.ancestor"), (F.col("c.depth") + 1).alias("depth"))
         closure = closure.unionByName(step).groupBy("child", "ancestor").agg(F.min("depth").alias("depth"))
-        closure = closure.cache()
+        closure = cut_lineage(closure)
         n = closure.count()
         if n == size:
             break
@@ -106,7 +104,7 @@ def subclass_closure(onto: Ontology, reflexive: bool = False, max_depth: int = 3
 def infer_types(typed: DataFrame, closure: DataFrame, cls_col: str = "cls") -> DataFrame:
     """Asserted types (graph cols, s, cls) widened by the reflexive closure."""
     keys = [c for c in typed.columns if c != cls_col]
-    t = typed.join(F.broadcast(closure.select(F.col("child").alias(cls_col), "ancestor")), cls_col)
+    t = typed.join(closure.select(F.col("child").alias(cls_col), "ancestor"), cls_col)
     return t.select(*keys, F.col("ancestor").alias(cls_col)).distinct()
 
 

@@ -405,15 +405,19 @@ def j5_check_domain_range(spark, sf):
 
 
 @register("j6_check_restrictions", with_views(f"""
-SELECT e.doc_id, e.s_key, e.property, e.filler, st.s_key IS NOT NULL AS present
-FROM (SELECT run_id, regime, model, doc_id, s_key, r.property, min(r.filler) AS filler
-      FROM types t JOIN onto_restriction r ON t.cls = r.cls GROUP BY ALL) e
-LEFT JOIN (SELECT DISTINCT run_id, regime, model, doc_id, s_key, regexp_replace(p_canon, '^:', '') AS property
+SELECT e.doc_id, e.s_key, e.property, e.filler, count(st.s_key) > 0 AS present,
+       coalesce(bool_or(CASE WHEN st.o_kind = 'literal' THEN regexp_replace(e.filler, '^[a-z]+:', '') = {DT_LOCAL_SQL.format(c='st.o_datatype')}
+                             ELSE ot.cls IS NOT NULL END), false) AS filled
+FROM (SELECT DISTINCT run_id, regime, model, doc_id, s_key, r.property, r.filler
+      FROM types t JOIN onto_restriction r ON t.cls = r.cls) e
+LEFT JOIN (SELECT *, regexp_replace(p_canon, '^:', '') AS property
            FROM canon WHERE p_match IN ('exact','case','alias')) st
-  ON {geq('e', 'st')} AND e.s_key = st.s_key AND e.property = st.property""", "canon", "types", "onto_restriction"))
+  ON {geq('e', 'st')} AND e.s_key = st.s_key AND e.property = st.property
+LEFT JOIN types ot ON {geq('ot', 'st')} AND ot.s_key = st.o_key AND ot.cls = e.filler
+GROUP BY e.run_id, e.regime, e.model, e.doc_id, e.s_key, e.property, e.filler""", "canon", "types", "onto_restriction"))
 def j6_check_restrictions(spark, sf):
     r = C.check_restrictions(_canon(spark, sf), builtin_ontology(spark))
-    return r.select("doc_id", "s_key", "property", "filler", "present")
+    return r.select("doc_id", "s_key", "property", "filler", "present", "filled")
 
 
 EDGES_SQL = "SELECT * FROM canon WHERE o_kind <> 'literal' AND p_canon <> 'rdf:type'"
@@ -489,7 +493,7 @@ def _num_sql(c: str) -> str:
     plain = f"regexp_replace({run}, '[ \\x{{00a0}}\\x{{202f}}]', '', 'g')"
     norm = (f"CASE WHEN regexp_matches({run}, '{_re2(THOUSANDS)}') THEN replace({plain}, ',', '') "
             f"WHEN regexp_matches({run}, '{_re2(FR_THOUSANDS_DEC)}') THEN replace({plain}, ',', '.') ELSE {plain} END")
-    return f"CASE WHEN {run} <> '' THEN TRY_CAST({norm} AS DECIMAL(18,4)) END"
+    return f"CASE WHEN {run} <> '' THEN TRY_CAST({norm} AS DECIMAL(38,18)) END"
 
 
 NUM_RUN_SQL = _re2(NUM_RUN)
@@ -564,7 +568,7 @@ def n21_derive_impassable(spark, sf):
 SELECT i.doc_id, i.s_key, b.canonical, b.n_variants FROM inds i JOIN (
   SELECT run_id, regime, model, doc_id, fold, min(s_key) AS canonical, count(*) AS n_variants FROM inds GROUP BY ALL) b
 ON {geq('i', 'b')} AND i.fold = b.fold""", "canon", extra={
-    "inds": f"SELECT *, regexp_replace(translate(lower(s_key), '{C.ACCENTED}', '{C.PLAIN}'), '[^a-z0-9]', '', 'g') AS fold "
+    "inds": f"SELECT *, coalesce(nullif(regexp_replace(translate(lower(s_key), '{C.ACCENTED}', '{C.PLAIN}'), '[^\\p{{L}}\\p{{N}}]', '', 'g'), ''), s_key) AS fold "
             f"FROM (SELECT run_id, regime, model, doc_id, s_key FROM canon UNION SELECT run_id, regime, model, doc_id, o_key "
             f"FROM canon WHERE o_kind <> 'literal' AND p_canon <> 'rdf:type')"}))
 def j15_resolve_individuals(spark, sf):
@@ -730,8 +734,7 @@ TOKENS_SQL = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')
 
 def _labels_sql():
     from graphloom import vocab
-    rows = [(n, p, "en", "pref") for n, _, p, _, _ in vocab.classes() if p] + \
-           [(n, a, l, "alt") for n, _, _, a, l in vocab.classes() if a]
+    rows = vocab.labels()
     from graphloom.plans.oracle_views import _values
     return f"""SELECT term, lang, kind, array_to_string(t, ' ') AS gram, len(t) AS n FROM (
       SELECT term, lang, kind, list_filter(regexp_split_to_array(lower(label), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS t
@@ -745,7 +748,7 @@ FROM (SELECT doc_id, """ + TOKENS_SQL + """ AS toks FROM corpus) d
 LEFT JOIN (SELECT g.doc_id, g.pos, g.n, l.term FROM (
              SELECT doc_id, n, i AS pos, array_to_string(toks[i:i + n - 1], ' ') AS gram FROM (
                SELECT doc_id, toks, n.n, unnest(range(1, len(toks) - n.n + 2)) AS i
-               FROM (SELECT doc_id, """ + TOKENS_SQL + """ AS toks FROM corpus) c, (SELECT unnest(range(1, 9)) AS n) n)) g
+               FROM (SELECT doc_id, """ + TOKENS_SQL + """ AS toks FROM corpus) c, (SELECT DISTINCT n FROM labels) n)) g
            JOIN labels l ON g.gram = l.gram AND g.n = l.n) m ON d.doc_id = m.doc_id
 GROUP BY d.doc_id, len(d.toks)""", "corpus", extra={"labels": _labels_sql()}))
 def j12_link_mentions(spark, sf):
@@ -803,7 +806,7 @@ def _example_keys_sql():
     tr, _ = parse_turtle(P.EXAMPLE_GRAPH)
     names = sorted({s for _, s, *_ in tr})
     labels = sorted({o for _, s, p, o, k, *_ in tr if k == "literal" and p in ("skos:prefLabel", "rdfs:label")})
-    fold = "regexp_replace(translate(lower({c}), '" + C.ACCENTED + "', '" + C.PLAIN + "'), '[^a-z0-9]', '', 'g')"
+    fold = "regexp_replace(translate(lower({c}), '" + C.ACCENTED + "', '" + C.PLAIN + "'), '[^\\p{{L}}\\p{{N}}]', '', 'g')"
     loc = "regexp_replace(trim({c}), '" + "^<?(?:[^#>]*#|[A-Za-z][\\w.-]*:|:)?([^>]*)>?$" + "', '\\1')"
     return (f"SELECT DISTINCT k FROM (SELECT {fold.format(c=loc.format(c='v'))} AS k FROM ({_values([(n,) for n in names], 'v')}) "
             f"UNION ALL SELECT {fold.format(c='v')} FROM ({_values([(x,) for x in labels], 'v')})) WHERE k <> ''")
@@ -816,7 +819,7 @@ UNION ALL SELECT doc_id, 'example', ':HautRhin', 'Haut-Rhin' FROM corpus WHERE l
 
 @register("j14_example_leakage", with_views(f"""
 SELECT l.doc_id, l.which, l.s, l.o FROM leaklits l JOIN corpus c ON l.doc_id = c.doc_id
-WHERE regexp_replace(translate(lower(l.o), '{C.ACCENTED}', '{C.PLAIN}'), '[^a-z0-9]', '', 'g') IN (SELECT k FROM ex)
+WHERE regexp_replace(translate(lower(l.o), '{C.ACCENTED}', '{C.PLAIN}'), '[^\\p{{L}}\\p{{N}}]', '', 'g') IN (SELECT k FROM ex)
   AND NOT coalesce(strpos({FOLD_SQL.format(c='c.text')}, {FOLD_SQL.format(c='l.o')}) > 0, false)""",
                                           "corpus", extra={"leaklits": LEAK_SQL, "ex": _example_keys_sql()}))
 def j14_example_leakage(spark, sf):
@@ -845,8 +848,8 @@ FROM (SELECT coalesce(p.model, g.model) AS model, coalesce(p.doc_id, g.doc_id) A
       LEFT JOIN (SELECT p.model, p.doc_id, count(*) AS tp FROM pset p JOIN gset g ON p.doc_id = g.doc_id AND p.k = g.k GROUP BY ALL) t
         ON t.model = coalesce(p.model, g.model) AND t.doc_id = coalesce(p.doc_id, g.doc_id))"""
 EVAL_EXTRA = {
-    "pset": "SELECT DISTINCT model, doc_id, s || chr(1) || p || chr(1) || o AS k FROM model_triples WHERE model IN ('A','R')",
-    "gset": "SELECT DISTINCT doc_id, s || chr(1) || p || chr(1) || o AS k FROM model_triples WHERE model = 'N'",
+    "pset": "SELECT DISTINCT model, doc_id, (s, p, o, o_kind, o_datatype, o_lang) AS k FROM model_triples WHERE model IN ('A','R')",
+    "gset": "SELECT DISTINCT doc_id, (s, p, o, o_kind, o_datatype, o_lang) AS k FROM model_triples WHERE model = 'N'",
     "scores": EVAL_SQL,
 }
 
@@ -926,19 +929,21 @@ def _judge_sql():
     prompt = ("'<|im_start|>system' || chr(10) || " + system + " || '<|im_end|>' || chr(10) || '<|im_start|>user' || chr(10) || "
               + user + " || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10)")
     crit = "(VALUES " + ", ".join(f"({q(c)})" for c in P.JUDGE_CRITERIA) + ") AS cr(criterion)"
-    return f"""SELECT doc_id, criterion, TRY_CAST(regexp_extract(md5({prompt}), '([0-5](?:[.][0-9]+)?)', 1) AS DOUBLE) AS score
-FROM (SELECT doc_id, text, ':doc_' || doc_id || ' a :restorationMeasure .' AS turtle FROM corpus) g CROSS JOIN {crit}"""
+    return f"""SELECT doc_id, criterion, CASE WHEN n <= 10 THEN n / 2.0 WHEN n = 12 THEN 3.0 END::DOUBLE AS score,
+       CASE WHEN n <= 10 OR n = 12 THEN 'ok' WHEN n = 11 THEN 'out_of_range' WHEN n = 13 THEN 'not_json' WHEN n = 14 THEN 'no_score' ELSE 'empty' END AS score_status
+FROM (SELECT doc_id, criterion, strpos('0123456789abcdef', substr(md5({prompt}), 1, 1)) - 1 AS n
+FROM (SELECT doc_id, text, ':doc_' || doc_id || ' a :restorationMeasure .' AS turtle FROM corpus) g CROSS JOIN {crit})"""
 
 
 def _judged(spark, sf):
     c = V.corpus(spark, sf)
     graphs = T.to_turtle(GR.extract_rules(c, builtin_ontology(spark)), G).select("regime", "model", "doc_id", "turtle")
-    return GEN.judge(graphs, c, backend="hash")
+    return GEN.judge(graphs, c, backend="judge")
 
 
 @register("u2_judge", with_views(_judge_sql(), "corpus"))
 def u2_judge(spark, sf):
-    return _judged(spark, sf).select("doc_id", "criterion", "score")
+    return _judged(spark, sf).select("doc_id", "criterion", "score", "score_status")
 
 
 @register("a9_judge_summary", with_views(f"""
@@ -955,13 +960,17 @@ from graphloom.sinks import writers as W  # noqa: E402
 from graphloom.sources import files as SRC  # noqa: E402
 
 
-@register("s1_read_corpus", with_views("SELECT doc_id, md5(text) AS text_md5 FROM corpus", "corpus"))
+@register("s1_read_corpus", with_views("""
+SELECT lpad(doc_id, 7, '0') AS doc_id, lpad(doc_id, 7, '0') || '.txt' AS file_name, 'fr' AS lang, md5(text) AS text_md5 FROM corpus
+UNION ALL SELECT doc_id || '_en', doc_id || '_en.txt', 'en', md5(text) FROM corpus WHERE lang = 'es'""", "corpus"))
 def s1_read_corpus(spark, sf):
     path = scratch_path(spark, "corpus")
-    W.write_corpus(V.corpus(spark, sf), path)
+    c = V.corpus(spark, sf)  # ids that only survive as strings, and ids that name the language
+    W.write_corpus(c.withColumn("doc_id", F.lpad("doc_id", 7, "0")).unionByName(
+        c.where("lang = 'es'").withColumn("doc_id", F.concat("doc_id", F.lit("_en")))), path)
     back = SRC.read_corpus(spark, path)
     # the text writer ends each row with one newline
-    return back.select("doc_id", F.md5(F.regexp_replace("text", "\\n\\z", "")).alias("text_md5"))
+    return back.select("doc_id", "file_name", "lang", F.md5(F.regexp_replace("text", "\\n\\z", "")).alias("text_md5"))
 
 
 @register("k1_s3_graph_files", with_views("""
@@ -1017,12 +1026,12 @@ def _open_prompt_sql(system_sql: str, user_sql: str) -> str:
 
 
 @register("one_shot_two_pass", with_views(f"""
-SELECT doc_id, 'mistral:latest' AS model, md5({_open_prompt_sql(sql_text(PR.translate_text()), 'individuals')}) AS response
-FROM (SELECT doc_id, string_agg('Response for chunk ' || CAST(chunk_idx + 1 AS VARCHAR) || ':' || chr(10) || chr(10) || r1
+SELECT doc_id, model, md5({_open_prompt_sql(sql_text(PR.translate_text()), 'individuals')}) AS response
+FROM {MODELS_SQL}, (SELECT doc_id, string_agg('Response for chunk ' || CAST(chunk_idx + 1 AS VARCHAR) || ':' || chr(10) || chr(10) || r1
                                 || chr(10) || chr(10), '' ORDER BY chunk_idx) AS individuals
       FROM (SELECT doc_id, chunk_idx, md5({_open_prompt_sql(sql_text(PR.system_text('one_shot')), 'chunk')}) AS r1 FROM chunks)
       GROUP BY doc_id)""", "corpus", extra={"chunks": CHUNK_SQL}))
 def one_shot_two_pass(spark, sf):
     out = scratch_path(spark, "one_shot")
-    r = LC.one_shot(V.corpus(spark, sf), ["mistral:latest"], out, backend="hash")
+    r = LC.one_shot(V.corpus(spark, sf), MODELS, out, backend="hash")
     return r.select("doc_id", "model", "response")

@@ -42,21 +42,28 @@ def one_shot(corpus: DataFrame, models: list[str], out: str, backend="hash", chu
     p1 = p1.withColumn("prompt", PR.render_chat("messages", add_generation_prompt=True))
     k1 = [*KEYS, "chunk_idx"]
     pass1 = generate_once(p1.select(*k1, "prompt", "messages"), f"{out}/pass1", k1, backend=backend, options=options)
-    assembled = assemble_responses(pass1.withColumn("response", F.coalesce("response", F.lit(""))),
-                                   keys=("regime", "model", "doc_id"))
+    # a document with a failed chunk is not translated from what is left of it: its error goes on
+    failed = pass1.where("error is not null").groupBy(*KEYS).agg(
+        F.min(F.concat(F.lit("chunk "), (F.col("chunk_idx") + 1).cast("string"), F.lit(": "), F.col("error"))).alias("error"))
+    assembled = assemble_responses(pass1.join(failed.select(*KEYS), KEYS, "left_anti"), keys=("regime", "model", "doc_id"))
     p2 = PR.build_translate_prompts(assembled).withColumn("prompt", PR.render_chat("messages", True))
-    return generate_once(p2.select(*KEYS, "prompt", "messages"), f"{out}/pass2", KEYS, backend=backend,
-                         options=options)
+    pass2 = generate_once(p2.select(*KEYS, "prompt", "messages"), f"{out}/pass2", KEYS, backend=backend, options=options)
+    lost = failed.select(*KEYS, F.lit(None).cast("string").alias("response"), F.lit(None).cast("double").alias("seconds"), "error")
+    return pass2.unionByName(lost)
 
 
 def fine_tuned(corpus: DataFrame, model: str, out: str, backend="hash", max_tokens: int | None = None,
                options: dict | None = None) -> DataFrame:
-    """§3.3 inference: fixed system sentence -> open ChatML prompt (optionally
-    capped) -> answer -> cut at the assistant marker -> cleaned body."""
+    """§3.3 inference: user text (optionally capped) -> fixed system sentence
+    -> open ChatML prompt -> answer -> cut at the assistant marker -> cleaned
+    body.  The cap never touches the frame or the opened assistant turn, and a
+    text within it keeps its line breaks."""
+    if max_tokens:
+        capped = truncate_tokens(corpus, max_tokens, "text")
+        corpus = capped.withColumn("text", F.when(F.col("truncated"), F.col("text_capped")).otherwise(F.col("text"))) \
+            .drop("n_tokens", "truncated", "text_capped")
     pr = PR.build_prompts(corpus, "fine_tuned").withColumn("model", F.lit(model))
     pr = pr.withColumn("prompt", PR.render_chat("messages", add_generation_prompt=True))
-    if max_tokens:
-        pr = truncate_tokens(pr, max_tokens, "prompt").withColumn("prompt", F.col("text_capped"))
     ans = generate_once(pr.select(*KEYS, "prompt", "messages"), f"{out}/responses", KEYS, backend=backend,
                         options=options)
     cut = ans.withColumn("_c", strip_prompt_echo("response", "between"))
@@ -73,7 +80,7 @@ def read_answers(answers: DataFrame, text_col: str = "response", known_props: li
     return triples_of(parsed), parsed
 
 
-def training_rows(rows: DataFrame, out: str, seed: int = 65, take: int = 143, test_size: float = 0.1,
+def training_rows(rows: DataFrame, out: str, take: int, seed: int = 65, test_size: float = 0.1,
                   max_tokens: int = 2048, batch: int = 1) -> DataFrame:
     """§3.3 training side: shuffle-take -> validate raw JSON -> ChatML text ->
     token cap -> split -> length batches -> Parquet."""

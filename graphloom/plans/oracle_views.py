@@ -122,12 +122,14 @@ _onto_views()
 LOCAL_RE_SQL = r"^<?(?:[^#>]*#|[A-Za-z][\w.-]*:|:)?([^>]*)>?$"
 
 VIEWS["closure"] = """
-SELECT child, ancestor, min(depth) AS depth FROM (
-  WITH RECURSIVE c(child, ancestor, depth) AS (
-    SELECT child, parent, 1 FROM onto_subclass
-    UNION ALL
-    SELECT c.child, s.parent, c.depth + 1 FROM c JOIN onto_subclass s ON c.ancestor = s.child WHERE c.depth < 32)
-  SELECT * FROM c) GROUP BY child, ancestor"""
+SELECT child, ancestor, depth FROM (
+  WITH RECURSIVE c(child, ancestor, depth) USING KEY (child, ancestor) AS (
+    SELECT DISTINCT child, parent, 1 FROM onto_subclass
+    UNION
+    SELECT c.child, s.parent, min(c.depth) + 1 FROM c JOIN onto_subclass s ON c.ancestor = s.child
+    LEFT JOIN recurring.c k ON k.child = c.child AND k.ancestor = s.parent
+    WHERE k.child IS NULL GROUP BY c.child, s.parent)
+  SELECT * FROM c)"""
 DEPENDS["closure"] = ["onto_subclass"]
 
 VIEWS["closure_r"] = """

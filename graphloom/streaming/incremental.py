@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from graphloom.functions import prompts as PR
 from graphloom.functions.text import doc_key
-from graphloom.operators.generate import generate
+from graphloom.operators.generate import generate, path_exists
 
 
 def text_stream(spark: SparkSession, folder: str, glob: str = "*.txt", max_files: int = 64) -> DataFrame:
@@ -35,11 +35,10 @@ def answer_batch(batch: DataFrame, responses_path: str, regime: str, models: lis
     pr = PR.expand_models(PR.build_prompts(batch, regime), models)
     pr = pr.withColumn("prompt", PR.render_chat("messages", add_generation_prompt=True))
     keys = ["regime", "doc_id", "model"]
-    try:
-        done = spark.read.parquet(responses_path).select(*keys)
+    if path_exists(spark, responses_path):  # only this regime's and these models' partitions are read
+        done = spark.read.parquet(responses_path).where((F.col("regime") == regime) & F.col("model").isin(models)) \
+            .where("error is null").select(*keys)
         pr = pr.join(done, keys, "left_anti")
-    except Exception:  # noqa: BLE001 - nothing answered yet
-        pass
     out = generate(pr.select(*keys, "prompt", "messages"), backend=backend, options=options, keys=keys)
     out.write.mode("append").partitionBy("regime", "model").parquet(responses_path)
 

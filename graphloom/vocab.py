@@ -299,6 +299,22 @@ def _rows(text: str) -> list[tuple[str, ...]]:
     return [tuple(c.strip() for c in line.split("|")) for line in text.strip().splitlines() if line.strip()]
 
 
+# FIXED VALUES: further alternative labels.  class | label | language
+MORE_LABELS_TEXT = """
+pre-barrage | prébarrage | fr
+dam | barrage | fr
+barrier | barrière | fr
+barrier | obstacle | fr
+"""
+
+
+def labels() -> list[tuple[str, str, str, str]]:
+    """(class, label, language, pref|alt), every label of the ontology."""
+    cls = classes()
+    return [(n, p, "en", "pref") for n, _, p, _, _ in cls if p] + [(n, a, lang, "alt") for n, _, _, a, lang in cls if a] \
+        + [(n, a, lang, "alt") for n, a, lang in _rows(MORE_LABELS_TEXT)]
+
+
 def classes() -> list[tuple[str, list[str], str, str, str]]:
     return [(n, [p for p in ps.split(",") if p], pref, alt, lang) for n, ps, pref, alt, lang in _rows(CLASSES_TEXT)]
 

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from graphloom.plans import catalog
 from tools.check_oracle import TABLES, canon
 
 SF = "/root/testdata/sf0.001"
@@ -16,7 +17,8 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle_or_reason():
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.QUERIES) <= set(E.queries())
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
 
 
 @pytest.mark.skipif(os.environ.get("GRAPHLOOM_FAST") == "1", reason="full oracle sweep")
@@ -25,8 +27,8 @@ def test_oracle_sweep_sf0001(spark):
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     bad = []
-    for name, sql in E.oracle_sql().items():
-        df = E.queries()[name](spark, SF)
+    for name, sql in catalog.ORACLE.items():
+        df = catalog.QUERIES[name](spark, SF)
         res = con.execute(sql)
         c1, m1 = canon(df.columns, [tuple(r) for r in df.collect()])
         c2, m2 = canon([d[0] for d in res.description], res.fetchall())

@@ -95,3 +95,40 @@ def test_read_ontology(spark, tmp_dir):
     assert [tuple(r) for r in o.restriction.collect()] == [("fishway", "hasCost", "xsd:decimal")]
     assert [tuple(r) for r in o.range.collect()] == [("hasCost", "xsd:decimal")]
     assert {tuple(r) for r in o.classes.collect()} == {("fishway", "fishway", "passe à poissons", "fr")}
+
+
+def test_failed_rows_are_tried_again(spark, tmp_dir):
+    from graphloom.operators.generate import generate_once
+    p = spark.createDataFrame([(i, f"prompt {i}") for i in range(40)], "k long, prompt string")
+    path = os.path.join(tmp_dir, "answers")
+    first = generate_once(p, path, ["k"], backend="picky", messages_col=None)
+    bad = first.where("error is not null").count()
+    assert 0 < bad < 40 and first.count() == 40
+    again = generate_once(p, path, ["k"], backend="hash", messages_col=None)
+    assert again.count() == 40 and again.where("error is not null").count() == 0
+    assert spark.read.parquet(path).count() == 40 + bad
+
+
+def test_an_unreadable_table_of_answers_raises(spark, tmp_dir):
+    from graphloom.operators.generate import generate_once
+    path = os.path.join(tmp_dir, "broken")
+    os.makedirs(path)
+    with open(os.path.join(path, "part-0.parquet"), "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        generate_once(spark.createDataFrame([(1, "p")], "k long, prompt string"), path, ["k"], messages_col=None)
+
+
+def test_batch_backend(spark):
+    from graphloom.operators.generate import generate
+    p = spark.createDataFrame([(1, "aB"), (2, "Cd")], "k long, prompt string").coalesce(1)
+    make = lambda: type("B", (), {"generate_batch": lambda s, a, m, o: [x.upper() for x in a]})()
+    assert {r.k: r.response for r in generate(p, make, keys=["k"], messages_col=None).collect()} == {1: "AB", 2: "CD"}
+
+
+def test_scores_are_strict(spark):
+    from graphloom.operators.generate import parse_score
+    answers = ['{"score": 4}', "Score: 10", "On criterion 2 of 3: 4", '{"score": 9}', '```json\n{"score": 3.5}\n```', '{"note": 1}', "", None]
+    df = spark.createDataFrame([(i, a) for i, a in enumerate(answers)], "i long, response string")
+    got = [(r.s.score, r.s.status) for r in df.orderBy("i").select(parse_score().alias("s")).collect()]
+    assert got == [(4.0, "ok"), (None, "not_json"), (None, "not_json"), (None, "out_of_range"), (3.5, "ok"), (None, "no_score"), (None, "empty"), (None, "empty")]

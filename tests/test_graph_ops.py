@@ -33,7 +33,8 @@ def test_components_match_union_find(spark):
     rng = random.Random(7)
     nodes = [f"n{i:03d}" for i in range(120)]
     edges = [(rng.choice(nodes), rng.choice(nodes)) for _ in range(90)]
-    edges += [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(100, 119)]  # a long chain
+    nodes += [f"c{i:03d}" for i in range(300)]
+    edges += [(f"c{i:03d}", f"c{i + 1:03d}") for i in range(299)]  # a long chain
     rows = [("r", "z", "m", "g", a, ":link", b, "iri") for a, b in edges]
     rows += [("r", "z", "m", "g", n, "rdf:type", "dam", "iri") for n in nodes]
     df = spark.createDataFrame(rows, SCHEMA)
@@ -55,6 +56,31 @@ def test_mentions_and_rules(spark):
     assert (":doc_d1", ":startsAt", "2010") in got and (":doc_d1", ":endsAt", "2012") in got
 
 
+def test_normalised_keys(spark):
+    rows = [("A", "d", ":SeuilX", ":hasHeight", "2.1", "literal"), ("A", "d", ":Плотина", ":p", ":b", "iri"), ("A", "d", ":a", ":p", "Text  Here", "literal"),
+            ("G", "d", ":seuil_x", ":hasHeight", "2.10", "literal"), ("G", "d", ":Река", ":p", ":b", "iri"), ("G", "d", ":a", ":p", "text here", "literal"),
+            ("B", "d", ":SeuilX", ":hasHeight", "21", "literal")]
+    t = spark.createDataFrame([(*r, None, None) for r in rows],
+                              "model string, doc_id string, s string, p string, o string, o_kind string, o_datatype string, o_lang string")
+    sc = {r.model: r.tp for r in EV.evaluate(t, t.where("model = 'G'"), ["A", "B"], "normalised").collect()}
+    assert sc == {"A": 2, "B": 0}
+
+
+def test_labels_of_both_languages(spark):
+    docs = spark.createDataFrame([("f", "Le barrage, la barrière et le prébarrage."), ("e", "An obstacle; a pre-dam.")], "doc_id string, text string")
+    got = {(r.doc_id, r.term, r.label_lang) for r in link_mentions(docs, builtin_ontology(spark)).collect()}
+    assert {("f", "dam", "fr"), ("f", "barrier", "fr"), ("f", "pre-barrage", "fr"), ("e", "barrier", "en"), ("e", "barrier", "fr"), ("e", "pre-barrage", "en")} <= got
+
+
+def test_closure_of_a_deep_and_cyclic_hierarchy(spark):
+    from graphloom.operators.ontology import subclass_closure
+    from dataclasses import replace
+    chain = [(f"k{i}", f"k{i + 1}") for i in range(50)] + [("k50", "k0")]
+    onto = replace(builtin_ontology(spark), fixed=None, subclass=spark.createDataFrame(chain, "child string, parent string"))
+    got = {(r.child, r.ancestor): r.depth for r in subclass_closure(onto).collect()}
+    assert len(got) == 51 * 51 and got[("k0", "k50")] == 50 and got[("k0", "k0")] == 51
+
+
 def test_grounding(spark):
     docs = spark.createDataFrame([("d", "Travaux  du Seuil\nde Kembs")], "doc_id string, text string")
     t = spark.createDataFrame([("d", "seuil DE kembs", "literal"), ("d", "Haut-Rhin", "literal")],
@@ -65,7 +91,8 @@ def test_grounding(spark):
 def test_evaluate_and_agreement(spark):
     rows = [("A", "d", ":a", ":p", ":b"), ("A", "d", ":a", ":p", ":c"), ("B", "d", ":a", ":p", ":b"),
             ("G", "d", ":a", ":p", ":b"), ("G", "d", ":x", ":p", ":y"), ("G", "e", ":q", ":p", ":r")]
-    t = spark.createDataFrame(rows, "model string, doc_id string, s string, p string, o string")
+    t = spark.createDataFrame([(*r, "iri", None, None) for r in rows],
+                              "model string, doc_id string, s string, p string, o string, o_kind string, o_datatype string, o_lang string")
     sc = {(r.model, r.doc_id): (r.tp, r.fp, r.fn) for r in EV.evaluate(t, t.where("model = 'G'"), ["A", "B"]).collect()}
     assert sc == {("A", "d"): (1, 1, 1), ("B", "d"): (1, 0, 1), ("A", "e"): (0, 0, 1), ("B", "e"): (0, 0, 1)}
     ag = {(r.model_a, r.model_b): (r.shared, r.only_a, r.only_b) for r in EV.compare_models(t, ["A", "B"]).collect()}

@@ -38,7 +38,24 @@ def test_training_rows(spark, tmp_dir):
     rows = [(i, json.dumps({"messages": [{"role": "user", "content": "q " * (i % 7 + 1)},
                                          {"role": "assistant", "content": "a"}]})) for i in range(300)]
     df = spark.createDataFrame(rows, "id long, raw string")
-    t = LC.training_rows(df, os.path.join(tmp_dir, "tr"))
+    t = LC.training_rows(df, os.path.join(tmp_dir, "tr"), take=143)
     assert t.count() == 143
     assert t.where("split = 'test'").count() == 15
     assert t.select("batch_id").distinct().count() == 143
+
+
+def test_a_failed_chunk_is_carried_as_an_error(spark, tmp_dir):
+    docs = spark.createDataFrame([(f"d{i}", f"text {i} " * 600) for i in range(12)], "doc_id string, text string")
+    r = LC.one_shot(docs, ["qwen2:7b"], os.path.join(tmp_dir, "bad"), backend="picky", options={"fail_below": 3})
+    rows = {x.doc_id: x for x in r.collect()}
+    assert len(rows) == 12
+    failed = {x.doc_id for x in spark.read.parquet(os.path.join(tmp_dir, "bad", "pass1")).where("error is not null").collect()}
+    assert failed and all(rows[d].response is None and rows[d].error.startswith("chunk ") for d in failed)
+
+
+def test_the_cap_keeps_the_opened_turn(spark, tmp_dir):
+    docs = spark.createDataFrame([("long", "one two\nthree four five"), ("short", "a\nb")], "doc_id string, text string")
+    r = LC.fine_tuned(docs, "m", os.path.join(tmp_dir, "cap"), backend="echo", max_tokens=3)
+    assert {x.doc_id: x.cut_status for x in r.collect()} == {"long": "ok", "short": "ok"}
+    saved = {x.doc_id: x.response for x in spark.read.parquet(os.path.join(tmp_dir, "cap", "responses")).collect()}
+    assert "one two three<" in saved["long"] and "a\nb<" in saved["short"]
