@@ -24,8 +24,9 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.llm.quality import bucket
 from graphloom.llm.spans import digest, joined, ordered
-from graphloom.session import ship_package
+from graphloom.session import ship_package, stored
 
 KINDS = ("assign", "access", "hex", "guess")
 #: Words of the rank table, and log10 guesses from which a value is reported.
@@ -137,9 +138,17 @@ def find_secrets(text: str, ranks: dict[str, int], hard: float = HARD) -> tuple[
 
 def word_ranks(docs: DataFrame, ranked: int = RANKED) -> dict[str, int]:
     """Rank of the corpus's most frequent words of ASCII letters, over all texts;
-    ties by word.  The result is bounded by ``ranked``."""
+    ties by word.  The result is bounded by ``ranked``.  A histogram of the
+    counts (a few thousand buckets at most) tells which words can be among
+    them, so that not every task sends its own first ``ranked``."""
     w = docs.select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("w")).where("length(w) between 3 and 24")
-    top = w.groupBy("w").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "w").limit(ranked).collect()
+    counts = stored(w.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "word-counts")
+    need, least = ranked, 1
+    for r in counts.groupBy(bucket(F.col("n")).alias("b")).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("least")).orderBy(F.desc("b")).collect():
+        need, least = need - r["words"], r["least"]
+        if need <= 0:
+            break
+    top = counts.where(F.col("n") >= least).orderBy(F.desc("n"), "w").limit(ranked).collect()
     return {r["w"]: i + 1 for i, r in enumerate(top)}
 
 
