@@ -63,7 +63,18 @@ class PickyBackend:
         return h
 
 
-BUILTIN |= {"judge": JudgeBackend, "picky": PickyBackend}
+class GraphBackend:
+    """Answers with a small fenced graph named after md5(prompt); with the
+    option ``echo`` the prompt comes first, as local generation returns it."""
+
+    def generate(self, prompt: str, messages_json: str | None, options: dict) -> str:
+        h = hashlib.md5(prompt.encode("utf-8")).hexdigest()
+        body = f':m_{h[:8]} a :restorationMeasure ;\n  :hasCost "{int(h[0], 16) * 1000}"^^xsd:decimal .'
+        answer = f"Here is the graph:\n```turtle\n{body}\n```"
+        return prompt + answer if options.get("echo") else answer
+
+
+BUILTIN |= {"judge": JudgeBackend, "picky": PickyBackend, "graph": GraphBackend}
 
 
 def _backend_key(spec) -> str:

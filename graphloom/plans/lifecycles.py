@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 from graphloom.functions import prompts as PR
 from graphloom.functions.chatrows import parse_chat_rows, truncate_tokens, with_chat_text
 from graphloom.functions.cleaning import clean_response
-from graphloom.functions.text import chunk_text, strip_prompt_echo
+from graphloom.functions.text import chunk_text, strip_prompt_echo, with_prefix_header
 from graphloom.operators.dataset import length_batches, shuffle_take, train_test_split
 from graphloom.operators.generate import generate_once
 from graphloom.operators.responses import assemble_responses
 from graphloom.operators.turtle import parse_graphs, triples_of
+from graphloom.session import stored
+from graphloom.sinks.writers import write_graphs, write_timings
+from graphloom.vocab import PREFIXES
 
 KEYS = ["regime", "model", "doc_id"]
 
@@ -72,12 +75,19 @@ def fine_tuned(corpus: DataFrame, model: str, out: str, backend="hash", max_toke
                 F.col("_c.status").alias("cut_status"), "seconds", "error")
 
 
-def read_answers(answers: DataFrame, text_col: str = "response", known_props: list[str] | None = None):
-    """Answers -> cleaned body -> (triples, diagnostics) via the tolerant reader."""
-    body = answers.withColumn("_b", clean_response(F.col(text_col))).select(
-        *[c for c in KEYS if c in answers.columns], F.col("_b.body").alias("text"))
-    parsed = parse_graphs(body, "text", [c for c in KEYS if c in answers.columns], known_props)
-    return triples_of(parsed), parsed
+def save_graphs(answers: DataFrame, out: str, text_col: str = "response", known_props: list[str] | None = None) -> DataFrame:
+    """The end of every flow: answers -> cleaned body (N19) with the prefix
+    header (N5) -> triples and diagnostics (G1), parsed once -> graphs by
+    (regime, model) under ``out/graphs`` (K1) and one timing line per call
+    under ``out/timings`` (K3).  A rerun replaces what it carries.  Returns the
+    triples as saved; answers that failed have none."""
+    body = answers.where("error is null").withColumn("_b", clean_response(F.col(text_col))) \
+        .select(*KEYS, with_prefix_header(F.col("_b.body")).alias("text"))
+    parsed = stored(parse_graphs(body, "text", KEYS, known_props, prefixes=PREFIXES), "parsed")
+    write_graphs(triples_of(parsed), f"{out}/graphs")
+    calls = answers.where("error is null").withColumn("file_name", F.concat("doc_id", F.lit(".txt")))
+    write_timings(calls, f"{out}/timings", mode="overwrite")
+    return answers.sparkSession.read.parquet(f"{out}/graphs")
 
 
 def training_rows(rows: DataFrame, out: str, take: int, seed: int = 65, test_size: float = 0.1,
