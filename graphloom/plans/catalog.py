@@ -978,9 +978,7 @@ SELECT doc_id, s, p, o, o_kind, o_datatype, o_lang FROM kg_triples""", "kg_tripl
 def k1_s3_graph_files(spark, sf):
     path = scratch_path(spark, "graphs")
     W.write_graphs(T.to_turtle(_kg(spark, sf), G, header=True), path, fmt="turtle")
-    files = SRC.read_graphs(spark, path, glob="*.txt")
-    parsed = T.parse_graphs(files.select("regime", "model", F.col("doc_id").cast("string").alias("doc_id"),
-                                         "file_name", "text"), "text", ["regime", "model", "doc_id", "file_name"])
+    parsed = T.parse_graphs(SRC.read_packed_graphs(spark, path), "text", ["regime", "model", "doc_id"])
     return T.triples_of(parsed).select("doc_id", "s", "p", "o", "o_kind", "o_datatype", "o_lang")
 
 
