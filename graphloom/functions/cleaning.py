@@ -13,11 +13,12 @@ PLACEHOLDER = r":<[^>\s]*>|<\"[^\"]*\">|<add [^>]*>"
 
 def clean_response(text: str | Column) -> Column:
     """struct(body, format): the fenced bodies joined (prose around them
-    dropped), else the whole text; format = turtle | rdfxml | prose | empty."""
+    dropped), else the whole text, without prefix lines that repeat an earlier
+    one; format = turtle | rdfxml | prose | empty."""
     t = F.col(text) if isinstance(text, str) else text
     fences = F.regexp_extract_all(t, F.lit(FENCE), 1)
     body = F.when(F.size(fences) > 0, F.array_join(fences, "\n")).otherwise(t)
-    body = F.regexp_replace(body, r"^\s+|\s+$", "")
+    body = drop_repeated_prefixes(F.regexp_replace(body, r"^\s+|\s+$", ""))
     fmt = (F.when(body.isNull() | (body == ""), "empty")
            .when(body.rlike(RDFXML_HINT), "rdfxml")
            .when(body.rlike(TURTLE_HINT), "turtle")
@@ -25,6 +26,18 @@ def clean_response(text: str | Column) -> Column:
     return F.struct(body.alias("body"), fmt.alias("format"))
 
 
+PREFIX_LINE = r"^\s*(?:@prefix|PREFIX)\s"
+
+
+def drop_repeated_prefixes(body: Column) -> Column:
+    """The body without ``@prefix`` / ``PREFIX`` lines equal to an earlier line."""
+    lines = F.split(body, "\n", -1)
+    # only prefix lines look back, and a body has a handful of them
+    first = F.element_at(F.transform(F.array(lines), lambda a: F.filter(
+        a, lambda x, i: F.when(x.rlike(PREFIX_LINE), F.array_position(a, x) == i + 1).otherwise(True))), 1)
+    return F.when(body.rlike("(?m)" + PREFIX_LINE), F.array_join(first, "\n")).otherwise(body)
+
+
 def flag_placeholders(triples: DataFrame) -> DataFrame:
     """Template placeholders left unfilled (``:<StructureInstance>``,
     ``<"StartDateTime">``, ``<add ...>``) in subject, predicate or object."""

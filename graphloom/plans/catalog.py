@@ -649,7 +649,7 @@ def g1_parse_graphs(spark, sf):
 RESPONSE_SQL = """
 SELECT doc_id, lang, CASE lang
   WHEN 'en' THEN 'Here is the graph:' || chr(10) || '```turtle' || chr(10) || '@prefix : <http://example.org/> .' || chr(10)
-                 || text || chr(10) || '```' || chr(10) || 'I hope this helps.'
+                 || text || chr(10) || '@prefix : <http://example.org/> .' || chr(10) || '```' || chr(10) || 'I hope this helps.'
   WHEN 'de' THEN '```xml' || chr(10) || '<rdf:RDF>' || text || '</rdf:RDF>' || chr(10) || '```'
   WHEN 'es' THEN '```' || chr(10) || text || chr(10) || '```' || chr(10) || 'and' || chr(10) || '```ttl' || chr(10) || text || chr(10) || '```'
   ELSE text END AS response
@@ -660,7 +660,7 @@ def _responses(spark, sf):
     c = V.corpus(spark, sf)
     nl = "\n"
     r = (F.when(F.col("lang") == "en", F.concat(F.lit("Here is the graph:" + nl + "```turtle" + nl + "@prefix : <http://example.org/> ." + nl),
-                                              F.col("text"), F.lit(nl + "```" + nl + "I hope this helps.")))
+                                              F.col("text"), F.lit(nl + "@prefix : <http://example.org/> ." + nl + "```" + nl + "I hope this helps.")))
          .when(F.col("lang") == "de", F.concat(F.lit("```xml" + nl + "<rdf:RDF>"), F.col("text"), F.lit("</rdf:RDF>" + nl + "```")))
          .when(F.col("lang") == "es", F.concat(F.lit("```" + nl), F.col("text"), F.lit(nl + "```" + nl + "and" + nl + "```ttl" + nl),
                                               F.col("text"), F.lit(nl + "```")))
@@ -672,9 +672,10 @@ def _responses(spark, sf):
 SELECT doc_id, format, md5(body) AS body_md5 FROM (
   SELECT doc_id, body, CASE WHEN body IS NULL OR body = '' THEN 'empty' WHEN regexp_matches(body, {q(RDFXML_HINT)}) THEN 'rdfxml'
                             WHEN regexp_matches(body, {q(TURTLE_HINT)}) THEN 'turtle' ELSE 'prose' END AS format
-  FROM (SELECT doc_id, regexp_replace(CASE WHEN len(f) > 0 THEN array_to_string(f, chr(10)) ELSE response END,
-                                      '^\\s+|\\s+$', '', 'g') AS body
-        FROM (SELECT doc_id, response, regexp_extract_all(response, {q(FENCE)}, 1) AS f FROM responses)))""",
+  FROM (SELECT doc_id, array_to_string(list_filter(l, lambda x, i: NOT regexp_matches(x, '^\\s*(@prefix|PREFIX)\\s') OR list_position(l, x) = i), chr(10)) AS body
+  FROM (SELECT doc_id, string_split(regexp_replace(CASE WHEN len(f) > 0 THEN array_to_string(f, chr(10)) ELSE response END,
+                                      '^\\s+|\\s+$', '', 'g'), chr(10)) AS l
+        FROM (SELECT doc_id, response, regexp_extract_all(response, {q(FENCE)}, 1) AS f FROM responses))))""",
                                              "corpus", extra={"responses": RESPONSE_SQL}))
 def n19_clean_response(spark, sf):
     r = _responses(spark, sf).withColumn("c", clean_response("response"))

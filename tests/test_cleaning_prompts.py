@@ -37,3 +37,13 @@ def test_expand_models_and_regimes(spark):
     assert GRAPH_TEMPLATE in z and "{ontology}" not in z and "{template}" not in z
     t = PR.translate_text()
     assert ":PasseAPoissons" in t and "{example}" not in t
+
+
+def test_repeated_prefix_lines_are_dropped(spark):
+    from pyspark.sql import functions as F
+
+    from graphloom.functions.cleaning import clean_response
+    t = "@prefix : <http://a/> .\n:x a :y .\n@prefix : <http://a/> .\n@prefix b: <http://b/> .\n:x a :y ."
+    df = spark.createDataFrame([(1, t), (2, "no prefix\nno prefix"), (3, None)], "i int, t string")
+    got = {r.i: r.b for r in df.select("i", clean_response(F.col("t"))["body"].alias("b")).collect()}
+    assert got == {1: "@prefix : <http://a/> .\n:x a :y .\n@prefix b: <http://b/> .\n:x a :y .", 2: "no prefix\nno prefix", 3: None}
