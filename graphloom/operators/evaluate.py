@@ -35,26 +35,37 @@ def triple_key(how: str = "exact") -> Column:
     raise ValueError(how)
 
 
-def evaluate(pred: DataFrame, gold: DataFrame, models: list[str], how: str = "exact") -> DataFrame:
-    """A5: per (model, doc): tp, fp, fn, precision, recall, f1.
+def evaluate(pred: DataFrame, gold: DataFrame, models: list, how: str = "exact", by: tuple = ("model",)) -> DataFrame:
+    """A5: per (by..., doc): tp, fp, fn, precision, recall, f1.
 
     Sets of triples on ``triple_key(how)``.  ``models`` is the sweep (as in
     J1): a model that answered nothing for a gold document scores fn = |gold|.
-    No step pairs rows beyond the (doc, key) equi-join.
+    ``by`` keeps runs and regimes apart, e.g. ("run_id", "regime", "model");
+    the sweep then lists such tuples.  No step pairs rows beyond the (doc, key)
+    equi-join.
     """
-    p = pred.where(F.col("model").isin(models)).select("model", "doc_id", triple_key(how).alias("k")).distinct()
+    by, sweep = list(by), [m if isinstance(m, tuple) else (m,) for m in models]
+    member = F.lit(False)
+    for run in sweep:
+        one = F.lit(True)
+        for c, v in zip(by, run):
+            one = one & (F.col(c) == v)
+        member = member | one
+    key = [*by, "doc_id"]
+    p = pred.where(member).select(*key, triple_key(how).alias("k")).distinct()
     g = gold.select("doc_id", triple_key(how).alias("k")).distinct()
-    tp = p.join(g, ["doc_id", "k"], "left_semi").groupBy("model", "doc_id").agg(F.count(F.lit(1)).alias("tp"))
-    pn = p.groupBy("model", "doc_id").agg(F.count(F.lit(1)).alias("n_pred"))
+    tp = p.join(g, ["doc_id", "k"], "left_semi").groupBy(*key).agg(F.count(F.lit(1)).alias("tp"))
+    pn = p.groupBy(*key).agg(F.count(F.lit(1)).alias("n_pred"))
     gn = g.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_gold"))
-    # every (sweep model, gold document), exploded in place from the literal list
-    gm = gn.withColumn("model", F.explode(F.array(*[F.lit(m) for m in models])))
-    out = pn.join(gm, ["model", "doc_id"], "full_outer").join(tp, ["model", "doc_id"], "left") \
+    # every (sweep entry, gold document), exploded in place from the literal list
+    runs = F.array(*(F.struct(*(F.lit(v).alias(c) for c, v in zip(by, run))) for run in sweep))
+    gm = gn.withColumn("_run", F.explode(runs)).select("doc_id", "n_gold", "_run.*")
+    out = pn.join(gm, key, "full_outer").join(tp, key, "left") \
         .fillna(0, ["tp", "n_pred", "n_gold"])
     prec = F.when(F.col("n_pred") > 0, F.col("tp") / F.col("n_pred"))
     rec = F.when(F.col("n_gold") > 0, F.col("tp") / F.col("n_gold"))
     f1 = F.when((prec + rec) > 0, 2 * prec * rec / (prec + rec)).when(prec.isNotNull() & rec.isNotNull(), F.lit(0.0))
-    return out.select("model", "doc_id", "tp", (F.col("n_pred") - F.col("tp")).alias("fp"),
+    return out.select(*key, "tp", (F.col("n_pred") - F.col("tp")).alias("fp"),
                       (F.col("n_gold") - F.col("tp")).alias("fn"), prec.alias("precision"), rec.alias("recall"),
                       f1.alias("f1"))
 
@@ -70,6 +81,16 @@ def summarise(scores: DataFrame, keys=("model",)) -> DataFrame:
         "micro_f1", F.when(mp + mr > 0, 2 * mp * mr / (mp + mr)))
 
 
+def board(scores: DataFrame, conformance: DataFrame, calls: DataFrame, keys=("regime", "model")) -> DataFrame:
+    """One row per (regime, model) with its scores (``summarise``), mean
+    share of known properties (``conform.property_share``) and mean seconds per
+    call, ranked.  Every input has one row per key after its aggregation."""
+    s = summarise(scores, keys)
+    c = conformance.groupBy(*keys).agg(F.avg("known_share").alias("mean_conformance"))
+    t = calls.groupBy(*keys).agg(F.avg("seconds").alias("mean_seconds"))
+    return leaderboard(s.join(c, list(keys), "left").join(t, list(keys), "left"), keys=keys)
+
+
 def leaderboard(metrics: DataFrame, score: str = "micro_f1", keys=("model",)) -> DataFrame:
     """Board of (regime, model) rows ranked by ``score`` (desc, ties by
     model).  The board holds one row per (regime, model), so the global rank

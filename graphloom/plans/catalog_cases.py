@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from graphloom.functions import prompts as PR
 from graphloom.operators import conform as C
+from graphloom.operators import evaluate as EV
 from graphloom.operators import generate as GEN
 from graphloom.operators import grounding as GR
 from graphloom.operators.components import components
@@ -45,7 +46,7 @@ def j9_long_paths(spark, sf):
 # ---------------------------------------------------------------- N18: wide, united, worded and failing values
 @register("n18_wide_literals", """
 SELECT o_orderkey, form, v_decimal, v_integer, v_date, unit, parsed FROM (
-  SELECT o_orderkey, 'six' AS form, (o_orderkey % 1000000 / 1000000::DECIMAL(38,18))::DECIMAL(38,18)::VARCHAR AS v_decimal, NULL::BIGINT AS v_integer, NULL AS v_date, NULL AS unit, true AS parsed FROM orders
+  SELECT o_orderkey, 'six' AS form, ('0.' || lpad((o_orderkey % 1000000)::VARCHAR, 6, '0') || '000000000000') AS v_decimal, NULL::BIGINT AS v_integer, NULL AS v_date, NULL AS unit, true AS parsed FROM orders
   UNION ALL SELECT o_orderkey, 'long', NULL, 123456700000000000 + o_orderkey, NULL, NULL, true FROM orders
   UNION ALL SELECT o_orderkey, 'cost', ((1 + o_orderkey % 999) * 1000)::DECIMAL(38,18)::VARCHAR, NULL, NULL, '€ HT', true FROM orders
   UNION ALL SELECT o_orderkey, 'worded', NULL, NULL, strftime(make_date(year(o_orderdate), 3, 12), '%Y-%m-%d'), NULL, true FROM orders
@@ -163,6 +164,72 @@ def n20_placeholder_statements(spark, sf):
     return flag_placeholders(t).select("doc_id", "s", "o", "placeholder")
 
 
+# ---------------------------------------------------------------- A5 and A6 over regimes, literals by value
+# Two regimes state the order totals of each customer: one as the reference graph writes them, one with other
+# spellings; the second model leaves out what was ordered after 1996.
+_RUNS = [("r1", "zero_shot", "A"), ("r1", "zero_shot_template", "A"), ("r2", "zero_shot", "B")]
+_RUN_VALUES = ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in _RUNS)
+RUN_SETS = {
+    "rgold": "SELECT o_custkey::VARCHAR AS doc_id, o_orderkey AS k FROM orders",
+    "rpred": f"""SELECT v.*, o_custkey::VARCHAR AS doc_id, o_orderkey AS k,
+                        v.regime = 'zero_shot' AS same
+                 FROM orders, (VALUES {_RUN_VALUES}) v(run_id, regime, model) WHERE v.model = 'A' OR year(o_orderdate) <= 1996""",
+    "rscores": f"""
+SELECT how, run_id, regime, model, doc_id, tp, n_pred - tp AS fp, n_gold - tp AS fn FROM (
+  SELECT h.how, r.run_id, r.regime, r.model, g.doc_id, g.n_gold, coalesce(p.n, 0) AS n_pred,
+         CASE WHEN h.how = 'normalised' THEN coalesce(p.n, 0) ELSE coalesce(p.same, 0) END AS tp
+  FROM (SELECT doc_id, count(*) AS n_gold FROM rgold GROUP BY doc_id) g, (VALUES ('exact'), ('normalised')) h(how),
+       (VALUES {_RUN_VALUES}) r(run_id, regime, model)
+  LEFT JOIN (SELECT run_id, regime, model, doc_id, count(*) AS n, sum(same::INT) AS same FROM rpred GROUP BY ALL) p
+    ON p.run_id = r.run_id AND p.regime = r.regime AND p.model = r.model AND p.doc_id = g.doc_id)""",
+}
+
+
+def _run_triples(spark, sf):
+    """(gold, predictions): names and numbers spelt alike in one regime only."""
+    o = _orders(spark, sf)
+    k, doc = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string").alias("doc_id")
+    total = F.col("o_totalprice").cast("decimal(20,2)").cast("string")
+    null = F.lit(None).cast("string")
+    gold = o.select(doc, F.concat(F.lit(":Order"), k).alias("s"), F.lit(":hasCost").alias("p"), total.alias("o"), F.lit("literal").alias("o_kind"),
+                    F.lit("xsd:decimal").alias("o_datatype"), null.alias("o_lang"))
+    runs = F.explode(F.array(*(F.struct(*(F.lit(v).alias(c) for c, v in zip(("run_id", "regime", "model"), r))) for r in _RUNS)))
+    same = F.col("r.regime") == "zero_shot"
+    pred = o.withColumn("r", runs).where((F.col("r.model") == "A") | (F.year("o_orderdate") <= 1996)).select(
+        "r.*", doc, F.when(same, F.concat(F.lit(":Order"), k)).otherwise(F.concat(F.lit(":order_"), k)).alias("s"), F.lit(":hasCost").alias("p"),
+        F.when(same, total).otherwise(F.concat(total, F.lit("0"))).alias("o"), F.lit("literal").alias("o_kind"),
+        F.when(same, F.lit("xsd:decimal")).alias("o_datatype"), null.alias("o_lang"))
+    return gold, pred
+
+
+def _run_scores(spark, sf):
+    gold, pred = _run_triples(spark, sf)
+    by = ("run_id", "regime", "model")
+    return [EV.evaluate(pred, gold, _RUNS, how, by).withColumn("how", F.lit(how)) for how in ("exact", "normalised")]
+
+
+@register("a5_runs_and_regimes", with_views("SELECT how, run_id, regime, model, doc_id, tp, fp, fn FROM rscores", extra=RUN_SETS))
+def a5_runs_and_regimes(spark, sf):
+    exact, normal = _run_scores(spark, sf)
+    return exact.unionByName(normal).select("how", "run_id", "regime", "model", "doc_id", "tp", "fp", "fn")
+
+
+@register("a6_board", with_views(f"""
+SELECT *, rank() OVER (ORDER BY micro_f1 DESC NULLS LAST, regime, model) AS rank FROM (
+  SELECT s.regime, s.model, s.micro_f1, c.conf AS mean_conformance, t.mean_seconds FROM (
+    SELECT regime, model, round(2.0 * sum(tp) / (2 * sum(tp) + sum(fp) + sum(fn)), 6) AS micro_f1 FROM rscores WHERE how = 'normalised' GROUP BY ALL) s
+  JOIN (SELECT regime, model, 1.0::DOUBLE AS conf FROM (VALUES {_RUN_VALUES}) r(run_id, regime, model)) c USING (regime, model)
+  JOIN (SELECT regime, model, round(avg(o_totalprice / 1000), 6) AS mean_seconds FROM orders, (VALUES {_RUN_VALUES}) r(run_id, regime, model)
+        WHERE model = 'A' OR year(o_orderdate) <= 1996 GROUP BY ALL) t USING (regime, model))""", extra=RUN_SETS))
+def a6_board(spark, sf):
+    _, pred = _run_triples(spark, sf)
+    canon = C.canonicalise(pred.withColumn("stmt_idx", F.lit(0)), builtin_ontology(spark))
+    calls = _orders(spark, sf).withColumn("r", F.explode(F.array(*(F.struct(F.lit(b).alias("regime"), F.lit(c).alias("model")) for _, b, c in _RUNS)))) \
+        .where((F.col("r.model") == "A") | (F.year("o_orderdate") <= 1996)).select("r.*", (F.col("o_totalprice") / 1000).alias("seconds"))
+    b = EV.board(_run_scores(spark, sf)[1], C.property_share(canon), calls)
+    return b.select("regime", "model", F.round("micro_f1", 6).alias("micro_f1"), "mean_conformance", F.round("mean_seconds", 6).alias("mean_seconds"), "rank")
+
+
 # ---------------------------------------------------------------- the flows, from texts to saved graphs and timings
 def _flow_sql(regime: str) -> str:
     return with_views(f"""
