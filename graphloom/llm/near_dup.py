@@ -83,21 +83,20 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
-    """(cls, shingles) of the given classes (rep_id, tkey), made from their texts."""
+    """(cid, shingles) of the given classes (cid, rep_id, tkey), made from their texts."""
     def again(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        import xxhash
 
         for b in batches:
-            s = [shingle_set(t.as_py(), k) for t in b.column(2)]
-            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(x) for x in s], pa.binary()),
-                                              pa.array([x.tobytes() for x in s], pa.binary())], names=["cls", "shingles"])
+            sets = pa.array([shingle_set(t.as_py(), k).tobytes() for t in b.column(1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), sets], names=["cid", "shingles"])
 
-    want = classes.select(F.col("rep_id").alias("_d"), F.col("tkey").alias("_t"))
+    want = classes.select("cid", F.col("rep_id").alias("_d"), F.col("tkey").alias("_t"))
     t = _texts(docs)
     same = (t["tkey"] == F.col("_t")) & t["doc_id"].eqNullSafe(F.col("_d"))
     few = classes.count() <= BROADCAST_IDS
-    return stored(t.join(F.broadcast(want) if few else want, same, "left_semi").mapInArrow(again, "cls binary, shingles binary"), "shingle-sets")
+    found = t.join(F.broadcast(want) if few else want, same).select("cid", "text")
+    return stored(found.mapInArrow(again, "cid long, shingles binary"), "shingle-sets")
 
 
 def _longs(c: str, n: int) -> Column:
@@ -126,9 +125,9 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 ok.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([t.column(0), t.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    j = pairs.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), "a") \
-        .join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb")), "b")
-    return j.select("a", "b", "sa", "sb").mapInArrow(check, "a binary, b binary")
+    j = pairs.join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa")), "a") \
+        .join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb")), "b")
+    return j.select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
 
 
 def _runs(batches: Iterator, names: list[str], keys: int, with_key: bool = False):
@@ -147,10 +146,10 @@ def _runs(batches: Iterator, names: list[str], keys: int, with_key: bool = False
         yield (now, rows) if with_key else rows
 
 
-def _tile_pairs(rows: list, band: int, i: int, j: int, percent: int, most: int):
-    """Index pairs of a tile that have to be confirmed: of different components,
-    sharing no earlier band, near by size and by odd sketch.
-    rows: (side, cls, comp, n, odd, bands, ...)"""
+def _tile_pairs(rows: list, bk: int, i: int, j: int, percent: int, most: int):
+    """Index pairs of a tile of bucket ``bk`` that have to be confirmed: of
+    different components, sharing no earlier band, near by size and by odd
+    sketch.  rows: (side, cid, comp, n, odd, bands, ...)"""
     import numpy as np
 
     side = np.array([r[0] for r in rows])
@@ -159,6 +158,7 @@ def _tile_pairs(rows: list, band: int, i: int, j: int, percent: int, most: int):
     n = np.array([r[3] for r in rows], np.int64)
     odd = np.array([np.frombuffer(r[4], "<u8") for r in rows])
     keys = np.array([np.frombuffer(r[5], "<i8") for r in rows])
+    band = int(np.flatnonzero(keys[0].byteswap() == bk)[0])  # the keys' bytes are read in order by _longs
     out = []
     for x in at:
         y = to[to > x] if i == j else to
@@ -178,10 +178,9 @@ def _flag(most: int, percent: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for rows in _runs(batches, TILE, 4):
-            _, band, i, j = rows[0][-4:]
-            found = {k for x, y in _tile_pairs(rows, band, i, j, percent, most) for k in (x, *y.tolist())}
-            yield pa.RecordBatch.from_arrays([pa.array([rows[k][1] for k in found], pa.binary())], names=["cls"])
+        for (bk, i, j), rows in _runs(batches, TILE, 3, True):
+            found = {k for x, y in _tile_pairs(rows, bk, i, j, percent, most) for k in (x, *y.tolist())}
+            yield pa.RecordBatch.from_arrays([pa.array([rows[k][1] for k in found], pa.int64())], names=["cid"])
 
     return run
 
@@ -193,9 +192,8 @@ def _link(most: int, percent: int):
         import numpy as np
         import pyarrow as pa
 
-        for rows in _runs(batches, TILE, 4):
-            _, band, i, j = rows[0][-4:]
-            todo = _tile_pairs(rows, band, i, j, percent, most)
+        for (bk, i, j), rows in _runs(batches, TILE, 3, True):
+            todo = _tile_pairs(rows, bk, i, j, percent, most)
             if not todo:
                 continue
             sets = [np.frombuffer(r[6], "<u8") for r in rows]
@@ -223,23 +221,22 @@ def _link(most: int, percent: int):
                         b.append(rows[y][1])
                         root[find(y)] = find(x)
                 mark[mine] = 0
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
 
-TILE = ["bk", "band", "i", "j", "side", "cls", "comp", "n", "odd", "bands", "shingles", "bk2", "band2", "i2", "j2"]
+TILE = ["bk", "i", "j", "side", "cid", "comp", "n", "odd", "bands", "shingles"]
 
 
 def _tiled(rows: DataFrame) -> DataFrame:
-    """Rows of buckets (bk, band, chunks, ...) dealt to the tiles they belong to,
-    each tile's rows one after another."""
-    side = F.pmod(F.xxhash64("cls"), F.col("chunks"))
+    """Rows of buckets (bk, chunks, ...) dealt to the tiles they belong to, each
+    tile's rows one after another."""
+    side = F.pmod(F.xxhash64("cid"), F.col("chunks"))
     d = rows.withColumn("side", side)
     d = d.withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     d = d.withColumn("i", F.least("side", "_o")).withColumn("j", F.greatest("side", "_o"))
-    d = d.select(*TILE[:-4], *(F.col(c).alias(f"{c}2") for c in TILE[:4]))
-    return d.repartition("bk", "band", "i", "j").sortWithinPartitions("bk", "band", "i", "j")
+    return d.select(*TILE).repartition("bk", "i", "j").sortWithinPartitions("bk", "i", "j")
 
 
 def near_duplicates(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
@@ -253,43 +250,45 @@ def near_duplicates(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
     classes = sig.where("n_shingles > 0").groupBy("cls").agg(
         rep.alias("_r"), F.min("doc_id").alias("low"), F.max("n_shingles").alias("n"),
         F.min("bands").alias("bands"), F.min("odd").alias("odd")) \
-        .select("cls", F.col("_r.doc_id").alias("rep_id"), F.col("_r.tkey").alias("tkey"), "low", "n", "bands", "odd")
+        .select(F.monotonically_increasing_id().alias("cid"), "cls", F.col("_r.doc_id").alias("rep_id"),
+                F.col("_r.tkey").alias("tkey"), "low", "n", "bands", "odd")  # cid is fixed by being stored
     classes = stored(classes, "classes")
 
-    entries = classes.select("cls", F.posexplode(_longs("bands", BANDS)).alias("band", "bk"))
-    buckets = entries.groupBy("bk", "band").agg(F.min("cls").alias("hub"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    members = stored(entries.join(buckets, ["bk", "band"]), "members")
-    side = classes.select("cls", "n", _longs("odd", BITS // 64).alias("odd"))
-    star = members.where("hub <> cls").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
+    # a key tells its band too; two longs are all that is shuffled of a band
+    entries = classes.select("cid", F.explode(_longs("bands", BANDS)).alias("bk"))
+    buckets = entries.groupBy("bk").agg(F.min("cid").alias("hub"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    members = stored(entries.join(buckets, "bk"), "members")
+    side = classes.select("cid", "n", _longs("odd", BITS // 64).alias("odd"))
+    star = members.where("hub <> cid").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
     near = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (_flips("oa", "ob") <= most)
-    star = star.join(side.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("odd").alias("oa")), "a") \
-        .join(side.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("odd").alias("ob")), "b") \
+    star = star.join(side.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("odd").alias("oa")), "a") \
+        .join(side.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("odd").alias("ob")), "b") \
         .where(near).select("a", "b")
     star = stored(star, "star")
-    ends = star.select(F.col("a").alias("cls")).unionByName(star.select(F.col("b").alias("cls"))).distinct()
-    links = stored(_confirm(star, _sets(docs, classes.join(ends, "cls", "left_semi"), k), percent), "links")
+    ends = star.select(F.col("a").alias("cid")).unionByName(star.select(F.col("b").alias("cid"))).distinct()
+    links = stored(_confirm(star, _sets(docs, classes.join(ends, "cid", "left_semi"), k), percent), "links")
     comps = stored(connected_components(links), "components")
 
     # buckets that the star has left apart; of two members the star is the only pair
-    of = comps.select(F.col("node").alias("cls"), F.col("component").alias("_c"))
-    known = members.where("m > 2").join(of, "cls", "left").withColumn("comp", F.coalesce("_c", "cls")).drop("_c")
-    apart = known.groupBy("bk", "band").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo <> _hi")
-    apart = stored(known.join(apart.select("bk", "band"), ["bk", "band"], "left_semi"), "apart")
+    of = comps.select(F.col("node").alias("cid"), F.col("component").alias("_c"))
+    known = members.where("m > 2").join(of, "cid", "left").withColumn("comp", F.coalesce("_c", "cid")).drop("_c")
+    apart = known.groupBy("bk").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo <> _hi")
+    apart = stored(known.join(apart.select("bk"), "bk", "left_semi"), "apart")
     if not apart.isEmpty():
-        rows = apart.join(classes.select("cls", "n", "odd", "bands"), "cls") \
+        rows = apart.join(classes.select("cid", "n", "odd", "bands"), "cid") \
             .withColumn("chunks", F.ceil(F.col("m") / CHUNK_ROWS).cast("long")).withColumn("shingles", F.lit(None).cast("binary"))
-        flagged = stored(_tiled(rows).mapInArrow(_flag(most, percent), "cls binary").distinct(), "flagged")
+        flagged = stored(_tiled(rows).mapInArrow(_flag(most, percent), "cid long").distinct(), "flagged")
         if not flagged.isEmpty():
-            sets = _sets(docs, classes.join(flagged, "cls", "left_semi"), k)
-            rows = rows.drop("shingles", "chunks").join(sets, "cls")
-            size = rows.groupBy("bk", "band").agg(F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS),
-                                                             F.ceil(F.sum("n") / CHUNK_SHINGLES)).cast("long").alias("chunks"))
-            more = _tiled(rows.join(size, ["bk", "band"])).mapInArrow(_link(most, percent), "a binary, b binary")
+            sets = _sets(docs, classes.join(flagged, "cid", "left_semi"), k)
+            rows = rows.drop("shingles", "chunks").join(sets, "cid")
+            size = rows.groupBy("bk").agg(F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS),
+                                                     F.ceil(F.sum("n") / CHUNK_SHINGLES)).cast("long").alias("chunks"))
+            more = _tiled(rows.join(size, "bk")).mapInArrow(_link(most, percent), "a long, b long")
             links = links.unionByName(stored(more, "more-links"))
             comps = stored(connected_components(links), "components")
 
-    roots = classes.select("cls", "low").join(comps.select(F.col("node").alias("cls"), F.col("component").alias("root")), "cls", "left") \
-        .withColumn("root", F.coalesce("root", "cls"))
+    roots = classes.select("cid", "cls", "low").join(comps.select(F.col("node").alias("cid"), F.col("component").alias("root")), "cid", "left") \
+        .withColumn("root", F.coalesce("root", "cid"))
     lowest = roots.groupBy("root").agg(F.min("low").alias("component_id"))
     named = roots.join(lowest, "root").select("cls", "component_id")
     with_words = sig.where("n_shingles > 0").select("doc_id", "n_shingles", "cls").join(named, "cls") \
