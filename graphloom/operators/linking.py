@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.session import cut_lineage
+from graphloom.session import stored
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -44,10 +44,10 @@ def connected_components(edges: DataFrame, keys: list[str] | None = None) -> Dat
     keys = keys or []
     e = edges.where("a is not null and b is not null and a <> b") \
         .select(*keys, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    e = cut_lineage(e)
+    e = stored(e, "edges")
     before = _mark(e)
     while before[0]:
-        e = cut_lineage(_small_star(_large_star(e, keys), keys))
+        e = stored(_small_star(_large_star(e, keys), keys), "edges")
         now = _mark(e)
         if now == before:
             break
