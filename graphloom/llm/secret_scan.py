@@ -3,7 +3,8 @@ stand in a credential context.
 
 Base patterns find assignments, access keys and long hex strings.  The method
 looks at every other value that a credential word introduces ("pwd: ...",
-"login is ..."): the cheapest way to segment the value into known words, dates,
+"user_auth=...", "login is ..."), whole, up to a space or the closing quote,
+however long: the cheapest way to segment the value into known words, dates,
 repeats, keyboard walks and brute-force stretches is its guess cost (log10 of
 the number of guesses), and a value that takes ``HARD`` or more is reported as
 kind ``guess``.  Known words are ranked by their count over the whole corpus
@@ -40,14 +41,17 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 #: Words that introduce a credential, then how a value follows.
 CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "key", "credential", "login", "auth", "pin")
 CONTEXT = re.compile(
-    r"""(?i:\b(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?:api|access|private|secret)[_ -]?key|credentials?|login|auth|pin))"""
-    r"""["']?\x20*(?:[:=]>?|->|\x20is\x20)\x20*(["']?)([^\s"'<>]{4,256})\1""", re.A)
+    r"""(?i:(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?:api|access|private|secret)[_ -]?key|credentials?|login|auth|pin))"""
+    # a quoted value ends at its own quote, another one at any quote or markup; <...> is a blank to fill in
+    r"""["']?\x20*(?:[:=]>?|->|\x20is\x20)\x20*(?:"(?!<)([^\s"]{4,})|'(?!<)([^\s']{4,})|([^\s"'<>]{4,}))""", re.A)
 
 ROWS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz")
 WALKS = "\n".join(ROWS + tuple(r[::-1] for r in ROWS))
 YEAR = re.compile(r"(?:19|20)\d\d$")
 DATE = re.compile(r"(?:\d{1,2}([-/._]?)\d{1,2}\1(?:19|20)\d\d|(?:19|20)\d\d([-/._]?)\d{1,2}\2\d{1,2})$")
 LONGEST_WORD = 24
+#: The longest segment but for repeats.
+REACH = 26
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -78,13 +82,52 @@ def word_cost(word: str, ranks: dict[str, int]) -> float | None:
     return math.log10(rank) + math.log10(cases)
 
 
-def guess_cost(value: str, ranks: dict[str, int]) -> float:
-    """log10 of the guesses that the cheapest segmentation of ``value`` takes."""
+def _repeat_end(c1: float, i1: int, c2: float, i2: int, unit: int) -> float:
+    """Up to which end a repeat begun at ``i2`` for ``c2`` is cheaper than one
+    begun before it, at ``i1`` for ``c1``: the logarithm of the number of times
+    levels out, so the earlier one wins from some end on if it starts cheaper."""
+    if c2 <= c1:
+        return math.inf
+    more = 10 ** min(c2 - c1, 300.0) - 1
+    return i2 + (i2 - i1) / more if more else math.inf
+
+
+def prefix_costs(value: str, ranks: dict[str, int], hard: float = math.inf) -> list[float]:
+    """Guess cost of each prefix of ``value``.  Only costs under ``hard`` matter:
+    the rest stays infinite once no prefix within a segment's reach is under it
+    (a repeat may be longer, but each of its times is a prefix of its own)."""
     n, per_char = len(value), math.log10(alphabet(value))
     low = value.lower()
     best = [0.0] + [math.inf] * n
-    for i in range(n):
-        if best[i] == math.inf:
+    last = 0  # the last prefix under hard
+    runs: dict[tuple[int, int], list] = {}  # (unit, end modulo unit) -> [first start, cost of the unit, starts worth keeping]
+    for i in range(n + 1):
+        for unit in range(1, min(8, i // 2) + 1):  # repeats that end here, by the cheapest start
+            block, key = value[i - unit:i], (unit, i % unit)
+            if not value.startswith(block, i - 2 * unit):
+                runs.pop(key, None)
+                continue
+            run = runs.get(key)
+            if run is None:
+                cost = word_cost(block, ranks)
+                run = runs[key] = [i - 2 * unit, unit * per_char if cost is None else cost, []]
+            first, cost, starts = run
+            new = i - (3 if unit == 1 else 2) * unit
+            if new >= first and best[new] < hard:
+                c = best[new] + (math.log10(2) if new else 0) + cost
+                # a start that is beaten by the one below it before the new one is beaten by it, is never the cheapest
+                while len(starts) > 1 and _repeat_end(*starts[-2], *starts[-1], unit) <= _repeat_end(*starts[-1], c, new, unit):
+                    starts.pop()
+                starts.append((c, new))
+            while len(starts) > 1 and _repeat_end(*starts[-2], *starts[-1], unit) <= i:
+                starts.pop()
+            if starts:
+                best[i] = min(best[i], starts[-1][0] + math.log10((i - starts[-1][1]) // unit))
+        if best[i] < hard:
+            last = i
+        elif i - last > REACH:
+            break
+        if i == n or best[i] >= hard:
             continue
         start = best[i] + (math.log10(2) if i else 0)  # one more segment
 
@@ -97,7 +140,7 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
             cost = word_cost(value[i:j], ranks)
             if cost is not None:
                 reach(j, cost)
-        for j in range(i + 3, min(n, i + 26) + 1):  # a walk along keys or letters
+        for j in range(i + 3, min(n, i + REACH) + 1):  # a walk along keys or letters
             if low[i:j] not in WALKS:
                 break
             reach(j, math.log10(len(WALKS) * (j - i)))
@@ -106,14 +149,13 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
                 reach(j, math.log10(120))
             elif DATE.match(value[i:j]):
                 reach(j, math.log10(365 * 120) + (math.log10(4) if not value[i:j].isdigit() else 0))
-        for unit in range(1, min(8, (n - i) // 2) + 1):
-            times, block = 1, value[i:i + unit]
-            while value.startswith(block, i + times * unit):
-                times += 1
-                if times * unit >= 3:
-                    cost = word_cost(block, ranks)
-                    reach(i + times * unit, (unit * per_char if cost is None else cost) + math.log10(times))
-    return best[n]
+    return best
+
+
+def guess_cost(value: str, ranks: dict[str, int], hard: float = math.inf) -> float:
+    """log10 of the guesses that the cheapest segmentation of ``value`` takes;
+    from ``hard`` on only that it is not less."""
+    return prefix_costs(value, ranks, hard)[-1]
 
 
 def context_values(text: str) -> Iterator[tuple[int, int]]:
@@ -122,8 +164,8 @@ def context_values(text: str) -> Iterator[tuple[int, int]]:
     if not any(k in low for k in CONTEXT_WORDS):
         return
     for m in CONTEXT.finditer(text):
-        s, e = m.span(2)
-        e -= len(m[2]) - len(m[2].rstrip(".,;:!?)]}"))
+        s, e = m.span(m.lastindex)
+        e = s + len(text[s:e].rstrip(".,;:!?)]}"))
         if e - s >= 4:
             yield s, e
 
@@ -132,7 +174,7 @@ def find_secrets(text: str, ranks: dict[str, int], hard: float = HARD) -> tuple[
     """-> base spans, all spans, each in order."""
     base = base_spans(text)
     more = [("guess", s, e) for s, e in context_values(text)
-            if not any(a <= s and e <= b for _, a, b in base) and guess_cost(text[s:e], ranks) >= hard]
+            if not any(a <= s and e <= b for _, a, b in base) and guess_cost(text[s:e], ranks, hard) >= hard]
     return ordered(base, KINDS), ordered(base + more, KINDS)
 
 

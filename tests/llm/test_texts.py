@@ -178,6 +178,34 @@ def test_hard_values_in_credential_context_are_added(spark):
     assert got == {1: "guess:5:18", 2: "", 3: "", 4: "guess:9:21", 5: "", 6: "", 7: ""}
 
 
+def test_long_values_and_prefixed_names_in_credential_context():
+    from graphloom.llm.secret_scan import HARD, context_values, find_secrets, guess_cost
+
+    rng = random.Random(12)
+    for n in (300, 100_000):
+        secret = "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789+/-_") for _ in range(n - 1)) + "Z"
+        for before, after in (('pwd: "', '" end'), ("auth='", "'"), ("pwd: ", " end"), ("my_pwd: ", ""), ("user_auth=", "\n"), ('the-login is "', '"')):
+            at = len(before)
+            assert find_secrets(before + secret + after, {})[1] == [("guess", at, at + n)]
+        # cheap however long: one character or one word again and again, then a word
+        for easy in ("o" * n, "dragon" * (n // 6) + "welcome"):
+            assert guess_cost(easy, {"dragon": 3, "welcome": 2}, HARD) < HARD
+            assert find_secrets("pwd: " + easy, {"dragon": 3, "welcome": 2})[1] == []
+    assert list(context_values('pwd: "<your password>" xpwd: abcdefgh')) == []
+
+
+def test_guess_cost_of_repeats_against_every_segmentation():
+    from graphloom.llm.secret_scan import guess_cost
+
+    rng = random.Random(13)
+    ranks = {"aba": 1, "abab": 90, "bab": 5000, "aab": 2}
+    for _ in range(60):
+        value = "".join(rng.choice("ab") * rng.choice((1, 1, 2, 4)) for _ in range(5))[:11]
+        cost = cheapest(value, ranks)
+        assert guess_cost(value, ranks) == pytest.approx(cost)
+        assert (guess_cost(value, ranks, 2.0) >= 2.0) == (cost >= 2.0 or cost == pytest.approx(2.0))
+
+
 def test_personal_base_spans_against_plain_patterns(spark):
     from graphloom.llm.pii import scan_documents
 
