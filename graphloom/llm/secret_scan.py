@@ -7,9 +7,14 @@ looks at every other value that a credential word introduces ("pwd: ...",
 however long: the cheapest way to segment the value into known words, dates,
 repeats, keyboard walks and brute-force stretches is its guess cost (log10 of
 the number of guesses), and a value that takes ``HARD`` or more is reported as
-kind ``guess``.  Known words are ranked by their count over the whole corpus
-(the first ``RANKED`` of them, a bounded table sent to the tasks); a
-placeholder such as "password: changeme" is cheap, a random one is not.
+kind ``guess``.  Known words are all words of 3 to ``LONGEST_WORD`` letters, in
+any script, ranked by their count over the whole corpus outside such values (a
+secret is not known by having been given away); a placeholder such as
+"password: changeme" is cheap, a random one is not.
+
+Most values are decided without the words: too cheap by themselves, or too dear
+even if every run of letters were the most frequent word.  Only the others
+travel: their runs of letters are joined with the ranked words.
 
 Defined results: a null text is empty; an empty or clean text has no spans; base
 spans are never removed; repeated rows give repeated results; an empty table
@@ -20,18 +25,19 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.quality import bucket
+from graphloom.llm.common import lookup
 from graphloom.llm.spans import digest, joined, ordered
+from graphloom.operators.ranking import global_rank
 from graphloom.session import ship_package, stored
 
 KINDS = ("assign", "access", "hex", "guess")
-#: Words of the rank table, and log10 guesses from which a value is reported.
-RANKED = 20_000
+#: Log10 guesses from which a value is reported.
 HARD = 8.0
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
@@ -50,6 +56,7 @@ WALKS = "\n".join(ROWS + tuple(r[::-1] for r in ROWS))
 YEAR = re.compile(r"(?:19|20)\d\d$")
 DATE = re.compile(r"(?:\d{1,2}([-/._]?)\d{1,2}\1(?:19|20)\d\d|(?:19|20)\d\d([-/._]?)\d{1,2}\2\d{1,2})$")
 LONGEST_WORD = 24
+NOT_LETTERS = r"[^\p{L}\p{M}]+"
 #: The longest segment but for repeats.
 REACH = 26
 
@@ -72,7 +79,19 @@ def alphabet(value: str) -> int:
                + 100 * (not value.isascii()))
 
 
-def word_cost(word: str, ranks: dict[str, int]) -> float | None:
+def is_letter(c: str) -> bool:
+    return c.isalpha() or unicodedata.category(c)[0] == "M"
+
+
+class AnyWord:
+    """Ranks by which every run of letters is the most frequent word: a cost by
+    these is never above the true one."""
+
+    def get(self, word: str) -> int | None:
+        return 1 if len(word) >= 3 and all(map(is_letter, word)) else None
+
+
+def word_cost(word: str, ranks: dict[str, int] | AnyWord) -> float | None:
     low = word.lower()
     rank = ranks.get(low)
     if rank is None:
@@ -92,7 +111,7 @@ def _repeat_end(c1: float, i1: int, c2: float, i2: int, unit: int) -> float:
     return i2 + (i2 - i1) / more if more else math.inf
 
 
-def prefix_costs(value: str, ranks: dict[str, int], hard: float = math.inf) -> list[float]:
+def prefix_costs(value: str, ranks: dict[str, int] | AnyWord, hard: float = math.inf) -> list[float]:
     """Guess cost of each prefix of ``value``.  Only costs under ``hard`` matter:
     the rest stays infinite once no prefix within a segment's reach is under it
     (a repeat may be longer, but each of its times is a prefix of its own)."""
@@ -152,7 +171,7 @@ def prefix_costs(value: str, ranks: dict[str, int], hard: float = math.inf) -> l
     return best
 
 
-def guess_cost(value: str, ranks: dict[str, int], hard: float = math.inf) -> float:
+def guess_cost(value: str, ranks: dict[str, int] | AnyWord, hard: float = math.inf) -> float:
     """log10 of the guesses that the cheapest segmentation of ``value`` takes;
     from ``hard`` on only that it is not less."""
     return prefix_costs(value, ranks, hard)[-1]
@@ -178,37 +197,125 @@ def find_secrets(text: str, ranks: dict[str, int], hard: float = HARD) -> tuple[
     return ordered(base, KINDS), ordered(base + more, KINDS)
 
 
-def word_ranks(docs: DataFrame, ranked: int = RANKED) -> dict[str, int]:
-    """Rank of the corpus's most frequent words of ASCII letters, over all texts;
-    ties by word.  The result is bounded by ``ranked``.  A histogram of the
-    counts (a few thousand buckets at most) tells which words can be among
-    them, so that not every task sends its own first ``ranked``."""
-    w = docs.select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("w")).where("length(w) between 3 and 24")
-    counts = stored(w.groupBy("w").agg(F.count(F.lit(1)).alias("n")), "word-counts")
-    need, least = ranked, 1
-    for r in counts.groupBy(bucket(F.col("n")).alias("b")).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("least")).orderBy(F.desc("b")).collect():
-        need, least = need - r["words"], r["least"]
-        if need <= 0:
-            break
-    top = counts.where(F.col("n") >= least).orderBy(F.desc("n"), "w").limit(ranked).collect()
-    return {r["w"]: i + 1 for i, r in enumerate(top)}
+def without_words(value: str, hard: float) -> bool | None:
+    """Is the value reported, whatever the known words are?  None: they decide."""
+    if guess_cost(value, AnyWord(), hard) >= hard:
+        return True
+    return False if guess_cost(value, {}, hard) < hard else None
 
 
-def scan_documents(docs: DataFrame, hard: float = HARD) -> DataFrame:
-    """-> doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_guess."""
-    ship_package(docs.sparkSession)
-    ranks = docs.sparkSession.sparkContext.broadcast(word_ranks(docs))  # at most RANKED words
+def letter_runs(value: str, hard: float) -> set[str]:
+    """What could be a word of a segmentation under ``hard``, in lower case."""
+    out = set()
+    for i, cost in enumerate(prefix_costs(value, AnyWord(), hard)):
+        if cost < hard:
+            for j in range(i + 1, min(len(value), i + LONGEST_WORD) + 1):
+                if not is_letter(value[j - 1]):
+                    break
+                if j >= i + 3:
+                    out.add(value[i:j].lower())
+    return out
+
+
+def word_ranks(docs: DataFrame, values: DataFrame) -> DataFrame:
+    """(w, rank) of all words by their count over all texts without ``values``
+    (column value, as often as they occur); ties by word."""
+    def words(t: DataFrame, sign: int) -> DataFrame:
+        return t.select(F.explode(F.split(F.lower(t.columns[0]), NOT_LETTERS)).alias("w"), F.lit(sign).alias("k"))
+
+    w = words(docs.select("text"), 1).unionByName(words(values, -1)).where(f"length(w) between 3 and {LONGEST_WORD}")
+    counts = stored(w.groupBy("w").agg(F.sum("k").alias("n")).where("n > 0"), "word-counts")
+    return global_rank(counts, [F.desc("n"), F.asc("w")]).select("w", "rank")
 
-    def scan(batches: Iterator) -> Iterator:
+
+RESULT = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_guess long"
+
+
+def _scan(hard: float):
+    """Texts -> result by what needs no words, the values left open and all
+    values in credential context."""
+    def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        place = pa.struct([("s", pa.int64()), ("e", pa.int64()), ("value", pa.string())])
         for b in batches:
-            found = [find_secrets(t.as_py() or "", ranks.value, hard) for t in b.column(1)]
+            found, left, own = [], [], []
+            for t in b.column(1):
+                text = t.as_py() or ""
+                base, more, todo, values = base_spans(text), [], [], list(context_values(text))
+                for s, e in values:
+                    if not any(x <= s and e <= y for _, x, y in base):
+                        sure = without_words(text[s:e], hard)
+                        if sure:
+                            more.append(("guess", s, e))
+                        elif sure is None:
+                            todo.append({"s": s, "e": e, "value": text[s:e]})
+                found.append((ordered(base, KINDS), ordered(base + more, KINDS)))
+                left.append(todo)
+                own.append([text[s:e] for s, e in values])
             n = {k: pa.array([sum(x[0] == k for x in every) for _, every in found], pa.int64()) for k in KINDS}
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), n["assign"], n["access"], n["hex"], pa.array([digest(base) for base, _ in found], pa.string()),
-                 pa.array([joined(every) for _, every in found], pa.string()), n["guess"]],
-                names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess"])
+                 pa.array([joined(every) for _, every in found], pa.string()), n["guess"], pa.array(left, pa.list_(place)),
+                 pa.array(own, pa.list_(pa.string()))],
+                names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_guess", "left", "own"])
+
+    return run
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        scan, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_guess long")
+
+def _hard_values(values: DataFrame, docs: DataFrame, own: DataFrame, hard: float) -> DataFrame:
+    """Those of ``values`` (vid, value; each once) that take ``hard`` or more by the ranked words."""
+    def runs(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for b in batches:
+            for vid, value in zip(b.column(0), b.column(1)):
+                w = sorted(letter_runs(value.as_py(), hard))
+                yield pa.RecordBatch.from_arrays([pa.array([vid.as_py()] * len(w), pa.int64()), pa.array(w, pa.string())], names=["vid", "part"])
+
+    def decide(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for b in batches:
+            out = [v for v, known in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
+                   if guess_cost(v, {k["w"]: k["rank"] for k in known or ()}, hard) >= hard]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["hard_value"])
+
+    parts = stored(values.select("vid", "value").mapInArrow(runs, "vid long, part string"), "value-parts")
+    ranked = stored(word_ranks(docs, own).join(parts.select(F.col("part").alias("w")).distinct(), "w", "left_semi"), "value-words")
+    known = lookup(parts, ranked, F.col("part") == F.col("w"), F.col("vid")).where("w is not null") \
+        .groupBy("vid").agg(F.collect_list(F.struct("w", "rank")).alias("known"))
+    return stored(values.join(known, "vid", "left").select("value", "known").mapInArrow(decide, "hard_value string"), "hard-values")
+
+
+def _add_guesses(batches: Iterator) -> Iterator:
+    """Result columns and ``more`` -> result columns."""
+    import pyarrow as pa
+
+    for b in batches:
+        spans, n = [], []
+        for old, more in zip(b.column(5).to_pylist(), b.column(7).to_pylist()):
+            parts = [x.split(":") for x in old.split(",") if x]
+            every = ordered([(k, int(s), int(e)) for k, s, e in parts] + [("guess", m["s"], m["e"]) for m in more or ()], KINDS)
+            spans.append(joined(every))
+            n.append(sum(x[0] == "guess" for x in every))
+        yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(spans, pa.string()), pa.array(n, pa.int64())], names=b.schema.names[:7])
+
+
+def scan_documents(docs: DataFrame, hard: float = HARD) -> DataFrame:
+    """-> doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_guess."""
+    ship_package(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
+        .mapInArrow(_scan(hard), f"{RESULT}, left array<struct<s: long, e: long, value: string>>, own array<string>")
+    rows = stored(rows.withColumn("rid", F.monotonically_increasing_id()), "secret-rows")  # rid is fixed by being stored
+    names = rows.columns[:7]
+    left = rows.where(F.size("left") > 0)
+    places = left.select("rid", F.explode("left").alias("_p")).select("rid", "_p.*")
+    values = stored(places.select("value").distinct().withColumn("vid", F.monotonically_increasing_id()), "open-values")
+    if values.isEmpty():
+        return rows.select(*names)
+    found = _hard_values(values, docs, rows.select(F.explode("own").alias("value")), hard)
+    more = lookup(places, found, F.col("value") == F.col("hard_value"), F.col("rid")).where("hard_value is not null") \
+        .groupBy("rid").agg(F.collect_list(F.struct("s", "e")).alias("more"))
+    added = left.join(more, "rid", "left").select(*names, "more").mapInArrow(_add_guesses, RESULT)
+    return rows.where(F.size("left") == 0).select(*names).unionByName(added)

@@ -206,6 +206,22 @@ def test_guess_cost_of_repeats_against_every_segmentation():
         assert (guess_cost(value, ranks, 2.0) >= 2.0) == (cost >= 2.0 or cost == pytest.approx(2.0))
 
 
+def test_every_word_of_the_corpus_is_known(spark):
+    """Words past the 20,000 most frequent, and words in other scripts; what is
+    said in credential context only is not known by that."""
+    from graphloom.llm.secret_scan import scan_documents
+
+    rng = random.Random(14)
+    many = list({"".join(rng.choice("bcdfghjklmnp") for _ in range(7)) for _ in range(22_000)})
+    rows = [(i, " ".join(many[i::20] * 2)) for i in range(20)]
+    rows += [(100, "a quixotry Здравствуйте"), (101, "login is quixotry"), (102, "pwd: здравствуйте!"), (103, "pwd: vqxzwtry"), (104, "my_pwd=vqxzwtry"),
+             (105, "login is quixotry, auth: vqxzwtry, pwd: xK9#mQ2$vL7!x"), (105, "login is quixotry, auth: vqxzwtry, pwd: xK9#mQ2$vL7!x"), (106, "passwd=vqxzwtry, pwd: vqxzwtry")]
+    got = sorted((r.doc_id, r.spans, r.n_guess) for r in scan_documents(docs(spark, rows)).collect() if r.doc_id >= 100)
+    last = (105, "guess:25:33,guess:40:53", 2)
+    assert got == [(100, "", 0), (101, "", 0), (102, "", 0), (103, "guess:5:13", 1), (104, "guess:7:15", 1), last, last,
+                   (106, "assign:0:15,guess:22:30", 1)]
+
+
 def test_personal_base_spans_against_plain_patterns(spark):
     from graphloom.llm.pii import scan_documents
 
