@@ -8,9 +8,16 @@ candidate on its format and context; a threshold calibrated on held-out rows for
 ``PRECISION`` selects which are redacted, as kind ``learned``.
 
 The classifier is fitted on the candidates of a bounded sample of documents
-(``SAMPLE_DOCS``, by hash order), labelled by whether a checked pattern covers
-the candidate; it is then applied to every whole text.  A sample without both
-labels gives no model, and the base spans alone.
+(``SAMPLE_DOCS``, by hash order) and applied to every whole text.  What the base
+patterns decide by (@, +, check digits, octets) is not among the features, or
+the trees would only learn the patterns again.  Positive are candidates that a
+checked pattern covers, the same in an unchecked spelling, and generated ones of
+each kind that no pattern knows (spelt-out addresses, national phone numbers,
+IBANs, account numbers).  An uncovered candidate counts as negative only where
+neither its form nor its context speaks for personal data; ``doubtful`` ones are
+not in the fit at all, so that however many there are, they are not taken for
+clean.  Generated negatives (dates, versions, amounts, times after the same
+words) keep the context alone from deciding.
 
 Defined results: a null text is empty; clean texts have no spans and are
 returned unchanged by ``redact``; repeated rows give repeated results; an empty
@@ -20,7 +27,9 @@ by ``redact_documents``.
 
 from __future__ import annotations
 
+import random
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -47,9 +56,12 @@ GENERATORS = (
     re.compile(r"[0-9]{1,4}(?:[.:][0-9]{1,4}){2,}"),
     re.compile(r"\b[A-Z]{2}[0-9]{2}\x20?(?:[A-Z0-9]{4}\x20?){2,7}[A-Z0-9]{1,4}\b"),
 )
-WORD_BEFORE = re.compile(r"(\w+)\W*$")
-CONTEXT = (("mail", "contact", "write", "correo", "courriel"), ("phone", "tel", "call", "fax", "mobile", "ruf"),
+#: Words of a candidate's context; those of four letters and more also as the start of a word.
+CONTEXT = (("mail", "email", "contact", "write", "correo", "courriel"), ("phone", "tel", "telephone", "telefon", "call", "fax", "mobile", "ruf"),
            ("card", "visa", "credit", "iban", "account", "konto", "carte"), ("ip", "host", "server", "addr", "ssn", "id"))
+DATE = re.compile(r"(?:19|20)[0-9]{2}[./-][0-9]{1,2}[./-][0-9]{1,2}|[0-9]{1,2}[./-][0-9]{1,2}[./-](?:19|20)[0-9]{2}")
+DOMAIN_END = re.compile(r"(?:\.|\((?:dot)\)|\[dot\])\x20?[A-Za-z]{2,}$")
+IBAN = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}")
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -98,21 +110,113 @@ def candidates(text: str) -> list[tuple[int, int]]:
     return sorted({m.span() for g in GENERATORS for m in g.finditer(text)})
 
 
+def valid_iban(s: str) -> bool:
+    t = s.replace(" ", "")
+    return bool(IBAN.fullmatch(t)) and int("".join(str(int(c, 36)) for c in t[4:] + t[:4])) % 97 == 1
+
+
+def context_flags(text: str, start: int) -> list[float]:
+    """Which groups of ``CONTEXT`` the whole words of the 40 characters before have."""
+    at = max(0, start - 40)
+    while 0 < at < start and text[at - 1].isalnum() and text[at].isalnum():  # a word that the edge cuts
+        at += 1
+    found = re.findall(r"\w+", text[at:start].lower())
+    return [float(any(w == k or len(k) > 3 and w.startswith(k) for w in found for k in group)) for group in CONTEXT]
+
+
+#: Places of features that are asked for by name.
+DIGITS, DATED, FLAGS = 1, -6, slice(-4, None)
+
+
 def features(text: str, start: int, end: int) -> list[float]:
-    """Format and context of a candidate."""
-    s, before, after = text[start:end], text[max(0, start - 40):start], text[end:end + 1]
+    """Format and context of a candidate, without what the base patterns decide by."""
+    s, before, after = text[start:end], text[max(0, start - 1):start], text[end:end + 1]
     d = only_digits(s[:400])
     groups = re.findall("[0-9]+", s[:400])
-    w = WORD_BEFORE.search(before)
-    word = w[1].lower() if w else ""
     return [
         min(len(s), 400), len(d), len(d) / max(1, min(len(s), 400)), sum(c.isalpha() for c in s[:400]), s.count("."), s.count("-"),
-        s.count(" "), s.count("@"), s.count("+"), s.count("("), s.count("/") + s.count(":"), len(groups),
-        max(map(len, groups), default=0), min(map(len, groups), default=0), float(12 <= len(d) <= 19 and luhn(d)),
-        float(len(groups) == 4 and all(len(g) <= 3 and int(g) <= 255 for g in groups)),
-        float(bool(re.search(r"\.[A-Za-z]{2,}$", s[-64:]))), float(before[-1:].isalnum()), float(after.isalnum()),
-        float(before[-1:] in "+.-@/=_"), *(float(any(k in word for k in c)) for c in CONTEXT),
-        float(bool(re.fullmatch(r"(?:19|20)[0-9]{2}[./-][0-9]{1,2}[./-][0-9]{1,2}|[0-9]{1,2}[./-][0-9]{1,2}[./-](?:19|20)[0-9]{2}", s)))]
+        s.count(" "), s.count("(") + s.count("["), s.count("/") + s.count(":"), len(groups),
+        max(map(len, groups), default=0), min(map(len, groups), default=0), float(bool(DOMAIN_END.search(s[-64:]))),
+        float(before.isalnum()), float(after.isalnum()), float(before in tuple(".-/=_")),
+        float(bool(DATE.fullmatch(s))), float(valid_iban(s)), *context_flags(text, start)]
+
+
+def doubtful(text: str, start: int, end: int, x: list[float]) -> bool:
+    """Does form or context speak for personal data, though no pattern covers it?"""
+    s = text[start:end]
+    if DATE.fullmatch(s) or x[DIGITS] < 9 and not s[:2].isalpha() and "at" not in s and "@" not in s:
+        return False  # neither a date nor a short number is personal in any context
+    return any(x[FLAGS]) or valid_iban(s) or bool(DOMAIN_END.search(s[-64:]))
+
+
+def disguised(text: str, start: int, end: int, turn: int) -> tuple[str, int, int]:
+    """The text with a covered candidate in a spelling that no pattern covers."""
+    s = text[start:end]
+    if "@" in s:
+        s = s.replace("@", SPELT_AT[turn % len(SPELT_AT)])
+    s = s.lstrip("+")
+    return text[:start] + s + text[end:], start, start + len(s)
+
+
+SPELT_AT = (" (at) ", "(at)", " [at] ", "[at]", " @ ")
+FILLER = "the of and with for is see this our new der die und mit para con les des pour total code order number part from today".split()
+FEWEST = 100
+
+
+def generated(kind: str, n: int) -> list[tuple[list[float], bool]]:
+    """Features and label of ``n`` texts with a candidate of a kind, the same for every run."""
+    rng = random.Random(kind)
+
+    def digits(k: int) -> str:
+        return "".join(rng.choices("0123456789", k=k))
+
+    def word(low: int = 3, high: int = 9) -> str:
+        return "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(low, high)))
+
+    def grouped(s: str, by: int, gap: str) -> str:
+        return gap.join(s[i:i + by] for i in range(0, len(s), by))
+
+    def iban() -> str:
+        head = rng.choice(("DE", "FR", "GB", "ES", "IT", "NL", "AT", "CH", "PL"))
+        body = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ", k=rng.choice((0, 0, 4)))) + digits(rng.randint(11, 22))
+        check = 98 - int("".join(str(int(c, 36)) for c in body + head + "00")) % 97
+        return grouped(f"{head}{check:02d}{body}", *rng.choice(((4, " "), (99, ""))))
+
+    def spelt() -> str:
+        dot = rng.choice((".", ".", " (dot) ", "(dot)", "[dot]"))
+        user = word() + rng.choice(("", "." + word(), digits(2), digits(5)))
+        return user + rng.choice(SPELT_AT) + dot.join([word(), *([word()] if rng.random() < .5 else []), rng.choice(("com", "org", "net", "de", "fr", "example"))])
+
+    def phone() -> str:
+        a, b, c = digits(3), digits(3), digits(4)
+        return rng.choice((f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}", f"0{a} {b}{digits(rng.randint(3, 5))}", f"0{a}/{b}{digits(rng.randint(3, 5))}", f"{a}{b}{c}", f"1 ({a}) {b}-{c}"))
+
+    def date() -> str:
+        y, m, d = f"20{digits(2)}", f"{rng.randint(1, 12):02d}", f"{rng.randint(1, 28):02d}"
+        gap = rng.choice("./-")
+        return gap.join(rng.choice(((y, m, d), (d, m, y))))
+
+    makers = {
+        "spelt": (spelt, (0, None)), "phone": (phone, (1,)), "iban": (iban, (2, None)),
+        "account": (lambda: grouped(digits(rng.randint(9, 18)), *rng.choice(((4, " "), (3, " "), (99, ""), (4, "-")))), (2,)),
+        "no date": (date, (0, 1, 2, 3, None)),
+        "no number": (lambda: rng.choice((f"{digits(1)} {digits(3)} {digits(3)}", f"{digits(2)}:{digits(2)}:{digits(2)}", ".".join(digits(rng.randint(1, 2)) for _ in range(3)),
+                                          digits(rng.randint(7, 8)))), (0, 1, 2, 3, None)),
+        "no address": (lambda: f"{word()}{rng.choice((' @ ', '@', ' (at) '))}{rng.choice((word(), digits(1)))}", (0, 1, 2, None)),
+        "no account": (lambda: rng.choice((digits(rng.randint(9, 18)), f"{word(2, 2).upper()}{digits(2)} {grouped(digits(13), 4, ' ')}")), (None,)),
+    }
+    make, groups = makers[kind]
+    out = []
+    for _ in range(n):
+        group = rng.choice(groups)
+        said = [] if group is None else [rng.choice(CONTEXT[group])] + rng.choices(FILLER, k=rng.randint(0, 2))
+        before = " ".join(rng.choices(FILLER, k=rng.randint(0, 4)) + said) + rng.choice((" ", " ", ": "))
+        value = make()
+        text = before + value + rng.choice((" ", ".", ", ", "")) + " ".join(rng.choices(FILLER, k=2))
+        for s, e in candidates(text):
+            if s >= len(before) - 1 and 2 * (e - s) > len(value):
+                out.append((features(text, s, e), not kind.startswith("no ")))
+    return out
 
 
 def covered(span: tuple[int, int], base: list) -> bool:
@@ -144,6 +248,41 @@ def fit(x, y, precision: float = PRECISION) -> Model | None:
     return Model(trees, calibrated_threshold(trees.score(x[held]), y[held], precision))
 
 
+def examples(text: str) -> list[tuple[list[float], bool]]:
+    """Features and label of a text's candidates, as far as they have a label."""
+    base, out, doubt, clean = base_spans(text), [], [], []
+    for turn, c in enumerate(candidates(text)):
+        x = features(text, *c)
+        if covered(c, base):
+            near = max(0, c[0] - 100)  # all of the context
+            out += [(x, True), (features(*disguised(text[near:c[1] + 1], c[0] - near, c[1] - near, turn)), True)]
+        elif doubtful(text, *c, x):
+            doubt.append(c)
+        else:
+            clean.append((c, x))
+    starts, reach = [s for s, _ in doubt], [0]
+    for _, e in doubt:
+        reach.append(max(reach[-1], e))
+    # a part of a doubtful candidate is no sure negative
+    return out + [(x, False) for (s, e), x in clean if reach[bisect_right(starts, e - 1)] <= s]
+
+
+def fit_examples(x: list, y: list) -> Model | None:
+    """Fit on the sample's examples and the generated ones."""
+    out = list(zip(x, y))
+    for k, (row, label) in enumerate(zip(x, y)):
+        if not label and (row[DIGITS] < 9 or row[DATED]):  # negative after the words of any group
+            flags = [0.0] * len(CONTEXT)
+            flags[k % len(CONTEXT)] = 1.0
+            out.append(([*row[:FLAGS.start], *flags], False))
+    most = max(FEWEST, (len(out) - sum(y)) // 10)  # positives keep a share beside any number of negatives
+    for kind in ("spelt", "phone", "iban", "account"):
+        out += generated(kind, most)
+    for kind in ("no date", "no number", "no address", "no account"):
+        out += generated(kind, FEWEST)
+    return fit([r for r, _ in out], [v for _, v in out])
+
+
 def train(docs: DataFrame) -> Model | None:
     """The model of a bounded sample of documents, the same for every run."""
     ship_package(docs.sparkSession)
@@ -159,18 +298,16 @@ def train(docs: DataFrame) -> Model | None:
         for b in batches:
             x, y, h = [], [], []
             for key, t in zip(b.column(0).to_pylist(), b.column(1)):
-                text = t.as_py() or ""
-                base = base_spans(text)
-                for c in candidates(text):
-                    x.append(features(text, *c))
-                    y.append(covered(c, base))
+                for row, label in examples(t.as_py() or ""):
+                    x.append(row)
+                    y.append(label)
                     h.append(key)
             yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.bool_())],
                                              names=["h", "x", "y"])
 
     sample = docs.select(order.alias("h"), "text").where(F.col("h") <= last)
     got = sample.mapInArrow(rows, "h long, x array<double>, y boolean").orderBy("h", "x").limit(SAMPLE_CANDIDATES).collect()
-    return fit([r["x"] for r in got], [r["y"] for r in got])
+    return fit_examples([r["x"] for r in got], [r["y"] for r in got])
 
 
 def find_personal(text: str, model: Model | None) -> tuple[list, list]:

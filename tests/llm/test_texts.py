@@ -279,6 +279,35 @@ def test_learned_spans_and_redaction(spark):
     assert text[1002].text == "clean text, nothing here" and text[1003].text is None
 
 
+def test_learned_kinds_that_no_pattern_covers(spark):
+    """Spelt-out addresses, national phone numbers, IBANs and account numbers are
+    learned, however many of them stand unlabelled in the sample; dates, amounts
+    and versions are not, not even after the same words."""
+    from graphloom.llm import pii
+
+    rng = random.Random(15)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    found = ["call (415) 555-0132 now", "write to someone (at) mail.example.com today", "iban DE89 3700 4400 0532 0130 00 please",
+             "our account no. 4711 0815 2343 holds it", "phone, in the office: 415-555-0132", "reach jo.doe [at] example [dot] org"]
+    clean = ["call on 2024/05/06 now", "total 1 415 366 units", "version 1.2.3 is out", "write at 12:30:45", "the account of 12.03.2021", "meet @ noon", "clean text"]
+    rows = [(i, t) for i, t in enumerate(found + clean)]
+    rows += [(100 + i, ["call +4 (152) %s-%s now" % (digits(3), digits(4)), "write to u%s@mail.example.com today" % digits(5), "code 2021/%s/11 end" % digits(2),
+                        "total 1 %s %s units" % (digits(3), digits(3)), "ask u%s (at) mail.example.com first" % digits(3)][i % 5]) for i in range(1000)]
+    got = {r.doc_id: r for r in pii.scan_documents(docs(spark, rows)).collect()}
+    spans = [{tuple(map(int, s.split(":")[1:])) for s in got[i].spans.split(",") if s.startswith("learned")} for i in range(len(found))]
+    for text, value, mine in zip(found, ["(415) 555-0132", "someone (at) mail.example.com", "DE89 3700 4400 0532 0130 00", "4711 0815 2343", "415-555-0132",
+                                         "jo.doe [at] example [dot] org"], spans):
+        assert (text.index(value), text.index(value) + len(value)) in mine, text
+    assert [t for i, t in enumerate(clean) if got[len(found) + i].n_learned] == []
+    assert sum(got[i].n_learned > 0 for i in range(100, 1100) if i % 5 == 4) == 200
+    assert pii.redact_documents(docs(spark, rows[2:3] + rows[100:])).where("doc_id = 2").first().text == "iban <PII> please"
+    # the rows of test_learned_spans_and_redaction
+    plain = [(i, ["call +%s (%s) %s-%s0 now" % (digits(1), digits(3), digits(3), digits(3)), "code 20%s/%s/%s end" % (digits(2), digits(2), digits(2)),
+                  "write to u%s@mail.example.com today" % digits(5), "total 1 %s %s units" % (digits(3), digits(3))][i % 4]) for i in range(400)]
+    got = {r.doc_id: r.spans for r in pii.scan_documents(docs(spark, plain + [(1000, found[0]), (1001, found[1])])).collect()}
+    assert "learned:5:19" in got[1000] and "learned:9:38" in got[1001]
+
+
 def test_one_label_gives_no_model():
     from graphloom.llm.pii import fit
 
