@@ -8,7 +8,8 @@ candidate on its format and context; a threshold calibrated on held-out rows for
 ``PRECISION`` selects which are redacted, as kind ``learned``.
 
 The classifier is fitted on the candidates of a bounded sample of documents
-(``SAMPLE_DOCS``, by hash order) and applied to every whole text.  What the base
+(``SAMPLE_DOCS``, by hash order), at most ``PER_LABEL`` of each label in the hash
+order of document and span, and applied to every whole text.  What the base
 patterns decide by (@, +, check digits, octets) is not among the features, or
 the trees would only learn the patterns again.  Positive are candidates that a
 checked pattern covers, the same in an unchecked spelling, and generated ones of
@@ -36,11 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm.spans import digest, joined, ordered, replaced
-from graphloom.session import ship_package
+from graphloom.session import ship_package, stored
 
 KINDS = ("email", "ip", "card", "phone", "learned")
 SAMPLE_DOCS = 20_000
-SAMPLE_CANDIDATES = 50_000
+#: Examples of the sample in the fit, of each label.
+PER_LABEL = 25_000
 PRECISION = 0.98
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -131,12 +133,12 @@ DIGITS, DATED, FLAGS = 1, -6, slice(-4, None)
 def features(text: str, start: int, end: int) -> list[float]:
     """Format and context of a candidate, without what the base patterns decide by."""
     s, before, after = text[start:end], text[max(0, start - 1):start], text[end:end + 1]
-    d = only_digits(s[:400])
-    groups = re.findall("[0-9]+", s[:400])
+    d = only_digits(s)
+    groups = re.findall("[0-9]+", s)
     return [
-        min(len(s), 400), len(d), len(d) / max(1, min(len(s), 400)), sum(c.isalpha() for c in s[:400]), s.count("."), s.count("-"),
+        len(s), len(d), len(d) / max(1, len(s)), sum(c.isalpha() for c in s), s.count("."), s.count("-"),
         s.count(" "), s.count("(") + s.count("["), s.count("/") + s.count(":"), len(groups),
-        max(map(len, groups), default=0), min(map(len, groups), default=0), float(bool(DOMAIN_END.search(s[-64:]))),
+        max(map(len, groups), default=0), min(map(len, groups), default=0), float(bool(DOMAIN_END.search(s))),
         float(before.isalnum()), float(after.isalnum()), float(before in tuple(".-/=_")),
         float(bool(DATE.fullmatch(s))), float(valid_iban(s)), *context_flags(text, start)]
 
@@ -146,7 +148,7 @@ def doubtful(text: str, start: int, end: int, x: list[float]) -> bool:
     s = text[start:end]
     if DATE.fullmatch(s) or x[DIGITS] < 9 and not s[:2].isalpha() and "at" not in s and "@" not in s:
         return False  # neither a date nor a short number is personal in any context
-    return any(x[FLAGS]) or valid_iban(s) or bool(DOMAIN_END.search(s[-64:]))
+    return any(x[FLAGS]) or valid_iban(s) or bool(DOMAIN_END.search(s))
 
 
 def disguised(text: str, start: int, end: int, turn: int) -> tuple[str, int, int]:
@@ -248,14 +250,14 @@ def fit(x, y, precision: float = PRECISION) -> Model | None:
     return Model(trees, calibrated_threshold(trees.score(x[held]), y[held], precision))
 
 
-def examples(text: str) -> list[tuple[list[float], bool]]:
-    """Features and label of a text's candidates, as far as they have a label."""
+def examples(text: str) -> list[tuple[list[float], bool, int, int]]:
+    """Features, label and span of a text's candidates, as far as they have a label."""
     base, out, doubt, clean = base_spans(text), [], [], []
     for turn, c in enumerate(candidates(text)):
         x = features(text, *c)
         if covered(c, base):
             near = max(0, c[0] - 100)  # all of the context
-            out += [(x, True), (features(*disguised(text[near:c[1] + 1], c[0] - near, c[1] - near, turn)), True)]
+            out += [(x, True, *c), (features(*disguised(text[near:c[1] + 1], c[0] - near, c[1] - near, turn)), True, *c)]
         elif doubtful(text, *c, x):
             doubt.append(c)
         else:
@@ -264,7 +266,7 @@ def examples(text: str) -> list[tuple[list[float], bool]]:
     for _, e in doubt:
         reach.append(max(reach[-1], e))
     # a part of a doubtful candidate is no sure negative
-    return out + [(x, False) for (s, e), x in clean if reach[bisect_right(starts, e - 1)] <= s]
+    return out + [(x, False, s, e) for (s, e), x in clean if reach[bisect_right(starts, e - 1)] <= s]
 
 
 def fit_examples(x: list, y: list) -> Model | None:
@@ -296,17 +298,15 @@ def train(docs: DataFrame) -> Model | None:
         import pyarrow as pa
 
         for b in batches:
-            x, y, h = [], [], []
-            for key, t in zip(b.column(0).to_pylist(), b.column(1)):
-                for row, label in examples(t.as_py() or ""):
-                    x.append(row)
-                    y.append(label)
-                    h.append(key)
-            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.bool_())],
-                                             names=["h", "x", "y"])
+            out = [(key, *e) for key, t in zip(b.column(0).to_pylist(), b.column(1)) for e in examples(t.as_py() or "")]
+            h, x, y, start, end = zip(*out) if out else [()] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.bool_()),
+                                              pa.array(start, pa.int64()), pa.array(end, pa.int64())], names=["h", "x", "y", "s", "e"])
 
     sample = docs.select(order.alias("h"), "text").where(F.col("h") <= last)
-    got = sample.mapInArrow(rows, "h long, x array<double>, y boolean").orderBy("h", "x").limit(SAMPLE_CANDIDATES).collect()
+    found = sample.mapInArrow(rows, "h long, x array<double>, y boolean, s long, e long")
+    found = stored(found.select("x", "y", F.xxhash64("h", "s", "e").alias("o")), "pii-examples")
+    got = [r for label in (True, False) for r in found.where(F.col("y") == label).orderBy("o", "x").limit(PER_LABEL).collect()]
     return fit_examples([r["x"] for r in got], [r["y"] for r in got])
 
 

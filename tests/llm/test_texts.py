@@ -308,6 +308,20 @@ def test_learned_kinds_that_no_pattern_covers(spark):
     assert "learned:5:19" in got[1000] and "learned:9:38" in got[1001]
 
 
+def test_sample_keeps_both_labels_and_whole_candidates(spark, monkeypatch):
+    """Documents full of numbers do not push the other label out of the sample."""
+    from graphloom.llm import pii
+
+    seen = []
+    monkeypatch.setattr(pii, "PER_LABEL", 50)
+    monkeypatch.setattr(pii, "fit_examples", lambda x, y: seen.append(Counter(y)))
+    heavy = " ".join(f"n {i}.{i + 1}.{i + 2}" for i in range(100, 400))
+    pii.train(docs(spark, [(i, heavy) for i in range(20)] + [(50 + i, f"write to u{i}@mail.example.com") for i in range(5)]))
+    assert seen == [Counter({False: 50, True: 10})]
+    a, b = "x " + "1" * 450 + " y", "x " + "1" * 450 + "-" + "1" * 450 + " y"
+    assert pii.features(a, 2, 452)[1] == 450 and pii.features(b, 2, 903)[1] == 900 and pii.features(b, 2, 903) != pii.features(b, 2, 803)
+
+
 def test_one_label_gives_no_model():
     from graphloom.llm.pii import fit
 
