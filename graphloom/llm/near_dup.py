@@ -242,6 +242,11 @@ def _tiled(rows: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
     """-> doc_id, n_shingles, component_id, kept for every document: links are
     pairs whose sets of k-word shingles have a similarity of ``percent`` or more."""
+    return _judged(docs, k, percent).drop("tkey")
+
+
+def _judged(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """``near_duplicates`` with the key of the text, which tells apart the texts of a repeated doc_id."""
     ship_package(docs.sparkSession)
     most = most_flips(percent / 100, BITS, BANDS * ROWS, SIGMAS)
     sig = stored(_signatures(docs, k), "signatures")
@@ -291,9 +296,9 @@ def near_duplicates(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
         .withColumn("root", F.coalesce("root", "cid"))
     lowest = roots.groupBy("root").agg(F.min("low").alias("component_id"))
     named = roots.join(lowest, "root").select("cls", "component_id")
-    with_words = sig.where("n_shingles > 0").select("doc_id", "n_shingles", "cls").join(named, "cls") \
-        .select("doc_id", "n_shingles", "component_id")
-    without = sig.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    with_words = sig.where("n_shingles > 0").select("doc_id", "tkey", "n_shingles", "cls").join(named, "cls") \
+        .select("doc_id", "tkey", "n_shingles", "component_id")
+    without = sig.where("n_shingles = 0").select("doc_id", "tkey", "n_shingles", F.col("doc_id").alias("component_id"))
     return with_words.unionByName(without).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
@@ -301,11 +306,12 @@ def one_of_each(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
     """The documents without those that another of their group stands for, with
     all columns.  Exact repeats of a row (same doc_id and text) go too; rows
     without a doc_id cannot be told apart and stay."""
-    found = stored(near_duplicates(docs, k, percent), "near-duplicates")
-    drop = found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_drop")).distinct()
+    found = stored(_judged(docs, k, percent), "near-duplicates")
+    drop = found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_drop"), F.col("tkey").alias("_dropped")).distinct()
     again = found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     few = drop.count() <= BROADCAST_IDS
-    left = docs.join(F.broadcast(drop) if few else drop, docs["doc_id"] == drop["_drop"], "left_anti")
+    row = (docs["doc_id"] == drop["_drop"]) & (F.xxhash64(docs["text"]) == drop["_dropped"])
+    left = docs.join(F.broadcast(drop) if few else drop, row, "left_anti")
     if again.isEmpty():
         return left
     again = again.select(F.col("doc_id").alias("_again"))

@@ -145,3 +145,12 @@ def test_no_vectors(spark):
     from graphloom.llm.subspace import vector_duplicates
 
     assert vector_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_one_of_each_where_a_doc_id_has_two_texts(spark):
+    """Text A of document 7 stands for its group though text B of 7 is a copy of document 3."""
+    from graphloom.llm.near_dup import one_of_each
+
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    d = docs(spark, [(3, b), (7, a), (7, b), (9, a), (7, a)])
+    assert sorted((r.doc_id, r.text) for r in one_of_each(d, 5).collect()) == [(3, b), (7, a)]
