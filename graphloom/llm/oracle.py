@@ -5,6 +5,39 @@ from __future__ import annotations
 #: Words of a text, as a list.
 _WORDS = "regexp_extract_all(coalesce({}, ''), '[^\\x20\\x09-\\x0D]+')"
 
+#: op12 by plain counting: every phrase of one to five words in a table, cuts by joins.
+OP12 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+         string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^ \x09]+') AS w FROM d),
+g AS (
+  SELECT lang, k, list_slice(w, i, i + k - 1) AS g FROM (
+    SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, range(1, 6) AS t(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, g, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::HUGEINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, g, f AS a FROM f WHERE k >= 2 AND f >= 100),
+cuts AS (
+  SELECT c.lang, c.g, c.a, x.f AS l, y.f AS r, n.n, j,
+         (1000::HUGEINT * c.a * n.n) // (x.f::HUGEINT * y.f::HUGEINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+  JOIN f x ON x.lang = c.lang AND x.g = list_slice(c.g, 1, c.j)
+  JOIN f y ON y.lang = c.lang AND y.g = list_slice(c.g, c.j + 1, c.k)
+  JOIN n ON n.lang = c.lang),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+inner_parts AS (
+  SELECT lang, list_slice(g, s, s + m - 1) AS g, max(a) AS longest FROM (
+    SELECT lang, g, a, m, unnest(range(1, k - m + 2)) AS s FROM c, range(2, 5) AS t(m) WHERE m < k) GROUP BY ALL),
+kept AS (
+  SELECT best.lang, array_to_string(best.g, ' ') AS phrase, a, l, r, n, score FROM best
+  LEFT JOIN inner_parts i ON i.lang = best.lang AND i.g = best.g
+  WHERE i.longest IS NULL OR 100 * i.longest < 100 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+       phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM kept QUALIFY rank <= 2000"""
+
 OP8 = f"""
 WITH d AS (
   SELECT doc_id, source, len({_WORDS.format('text')}) AS size FROM documents),
@@ -103,4 +136,4 @@ LEFT JOIN p own ON own.level = 2 AND own.docs >= 50 AND own.lang IS NOT DISTINCT
 LEFT JOIN p la ON la.level = 1 AND la.docs >= 50 AND la.lang IS NOT DISTINCT FROM f.lang
 LEFT JOIN p ev ON ev.level = 0"""
 
-ORACLE = {"op1_quality_sketch": OP1, "op8_water_filling": OP8}
+ORACLE = {"op12_stream_collocations": OP12, "op1_quality_sketch": OP1, "op8_water_filling": OP8}

@@ -78,6 +78,28 @@ def op10_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), 2)
 
 
+def op11_agenda_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from graphloom.llm.pieces import encode_documents
+
+    return encode_documents(table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model")).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), "library_agrees")
+
+
+def op12_stream_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from graphloom.llm.collocations import phrase_scores, top_phrases
+
+    return top_phrases(phrase_scores(table(spark, sf_dir, "documents"), 100, 100), 2000).select(
+        "lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op13_trie_pair_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from graphloom.llm.variants import count_words, variant_forms
+
+    return variant_forms(count_words(table(spark, sf_dir, "documents"), 7, 2, 31), 10)
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_sketch, op2_subspace_join, op3_lpt_shards, op4_token_files,
                                  op5_guess_cost_secrets, op6_boosted_urls, op7_nnls_packing, op8_water_filling, op9_boosted_pii,
-                                 op10_odd_sketch_dedup)}
+                                 op10_odd_sketch_dedup, op11_agenda_pieces, op12_stream_collocations, op13_trie_pair_variants)}
