@@ -8,7 +8,8 @@ Joins with the ontology carry no hint: the built-in tables are local relations
 of known size, which Spark broadcasts by its own threshold, and a large one
 read from a file is not forced on every task.  Joins between graph data are
 keyed by (graph, individual), never by graph alone, so one huge graph still
-spreads over many tasks.
+spreads over many tasks; individuals that hold much of the statements themselves
+are found by a sketch and their rows dealt over all tasks (``skew.split_join``).
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from graphloom.session import local_table
 
 from graphloom.functions.literals import datatype_local, type_literal, value_type
 from graphloom.operators.ontology import GRAPH, Ontology, infer_types, subclass_closure
+from graphloom.operators.skew import hot_keys, split_join
 
 RDF_TYPE = "rdf:type"
 
@@ -211,10 +213,11 @@ def check_domain_range(canon: DataFrame, onto: Ontology, strict: bool = False) -
         .select("prop", F.explode(F.array_distinct(F.array("rng_local", F.coalesce("dt", "rng_local")))).alias("dt"))
     dt_ok = dt_ok.distinct().withColumn("_dsat", F.lit(True))
 
-    t = props.join(n_dom.withColumnRenamed("property", "prop"), "prop", "left") \
-        .join(subj, [*GRAPH, "s_key"], "left").join(has_rng, "prop", "left")
+    hot_s, hot_o = hot_keys(props, [*GRAPH, "s_key"], [*GRAPH, "o_key"])
+    t = props.join(n_dom.withColumnRenamed("property", "prop"), "prop", "left")
+    t = split_join(t, subj, [*GRAPH, "s_key"], "left", hot_s).join(has_rng, "prop", "left")
     # literals have no key on the object side: they skip that join instead of meeting under null
-    named = t.where("o_key is not null").join(obj, [*GRAPH, "o_key"], "left")
+    named = split_join(t.where("o_key is not null"), obj, [*GRAPH, "o_key"], "left", hot_o)
     literal = t.where("o_key is null").withColumn("_rng_ok", F.lit(None).cast("array<string>"))
     t = named.unionByName(literal) \
         .withColumn("dt", datatype_local(F.col("o_datatype"))) \
@@ -244,10 +247,13 @@ def check_restrictions(canon: DataFrame, onto: Ontology) -> DataFrame:
         .select(*GRAPH, "s_key", F.regexp_replace("p_canon", "^:", "").alias("property"),
                 F.when(F.col("o_kind") != "literal", F.col("o_key")).alias("o_key"),
                 datatype_local(F.col("o_datatype")).alias("_dt")).distinct()
-    found = exp.join(stated, [*GRAPH, "s_key", "property"])
-    of = types.select(*GRAPH, F.col("s_key").alias("o_key"), F.col("cls").alias("filler"), F.lit(True).alias("_is"))
+    hot_p, hot_o = hot_keys(stated, [*GRAPH, "s_key", "property"], [*GRAPH, "o_key"])
+    found = split_join(stated, exp, [*GRAPH, "s_key", "property"], "inner", hot_p)
+    of = types.select(*GRAPH, F.col("s_key").alias("o_key"), F.col("cls").alias("filler"))
     # literals have no class: only statements with an individual meet the types
-    by_class = found.where("o_key is not null").join(of, [*GRAPH, "o_key", "filler"], "left")
+    by_class = split_join(found.where("o_key is not null").withColumnRenamed("filler", "wanted"),
+                          of.groupBy(*GRAPH, "o_key").agg(F.collect_set("filler").alias("_classes")), [*GRAPH, "o_key"], "left", hot_o) \
+        .withColumnRenamed("wanted", "filler").withColumn("_is", F.array_contains("_classes", F.col("filler")))
     by_type = found.where("o_key is null").withColumn(
         "_is", F.col("_dt").isNotNull() & (F.regexp_replace("filler", "^[a-z]+:", "") == F.col("_dt")))
     seen = by_class.select(*GRAPH, "s_key", "property", "filler", "_is") \
@@ -332,13 +338,16 @@ def resolve_individuals(canon: DataFrame) -> DataFrame:
         .withColumn("fold", F.coalesce(F.nullif(fold_name("s_key"), F.lit("")), F.col("s_key")))
     best = inds.groupBy(*GRAPH, "fold").agg(F.min("s_key").alias("canonical"),
                                             F.count(F.lit(1)).alias("n_variants"))
-    return inds.join(best, [*GRAPH, "fold"]).drop("fold")
+    return split_join(inds, best, [*GRAPH, "fold"], "inner").drop("fold")
 
 
 def apply_resolution(canon: DataFrame, mapping: DataFrame) -> DataFrame:
     """Rewrite s_key/o_key with the canonical names of ``resolve_individuals``."""
     m = mapping.select(*GRAPH, "s_key", "canonical")
-    out = canon.join(m, [*GRAPH, "s_key"], "left").withColumn("s_key", F.coalesce("canonical", "s_key")).drop("canonical")
+    hot_s, hot_o = hot_keys(canon, [*GRAPH, "s_key"], [*GRAPH, "o_key"])
+    out = split_join(canon, m, [*GRAPH, "s_key"], "left", hot_s).withColumn("s_key", F.coalesce("canonical", "s_key")).drop("canonical")
     mo = m.withColumnRenamed("s_key", "o_key").withColumnRenamed("canonical", "o_canonical")
-    return out.join(mo, [*GRAPH, "o_key"], "left").withColumn("o_key", F.coalesce("o_canonical", "o_key")) \
-        .drop("o_canonical")
+    # literals have no key: they skip the join instead of meeting under null
+    named = split_join(out.where("o_key is not null"), mo, [*GRAPH, "o_key"], "left", hot_o)
+    literal = out.where("o_key is null").withColumn("o_canonical", F.lit(None).cast("string"))
+    return named.unionByName(literal).withColumn("o_key", F.coalesce("o_canonical", "o_key")).drop("o_canonical")

@@ -4,7 +4,9 @@ Alternating large-star / small-star rounds (Kiveris et al., "Connected
 Components in MapReduce and Beyond"): each round rewires edges towards the
 smallest neighbour, so the number of rounds grows with the logarithm of the
 component size, not with its diameter.  There is no round limit: the loop ends
-when a round leaves the edge set as it was.
+when a round leaves the edge set as it was.  The pass that compares the edge
+sets of two rounds also sketches their frequent ends, and the next round's joins
+deal the edges of such hubs over all tasks.
 """
 
 from __future__ import annotations
@@ -12,27 +14,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.operators.skew import hot_limit, sketch_of, split_join
 from graphloom.session import stored
 
 
-def _mark(edges: DataFrame) -> tuple:
-    """Order-insensitive fingerprint of a (distinct) edge set: two scalars."""
-    r = edges.agg(F.count(F.lit(1)).alias("n"),
-                  F.sum(F.xxhash64(*edges.columns).cast("decimal(38,0)")).alias("h")).first()
-    return r["n"], r["h"]
+def _mark(edges: DataFrame, keys: list[str]) -> tuple:
+    """Order-insensitive fingerprint of a (distinct) edge set, two scalars, and
+    the hashes of the ends that hold much of it."""
+    r = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*edges.columns).cast("decimal(38,0)")).alias("h"),
+                  sketch_of([*keys, "a"]).alias("ta"), sketch_of([*keys, "b"]).alias("tb")).first()
+    limit = hot_limit(r["n"], int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return (r["n"], r["h"]), sorted({x["item"] for t in ("ta", "tb") for x in r[t] or [] if x["count"] > limit})
 
 
-def _large_star(e: DataFrame, keys: list[str]) -> DataFrame:
+def _large_star(e: DataFrame, keys: list[str], hot: list[int]) -> DataFrame:
     both = e.select(*keys, "a", "b").unionByName(e.select(*keys, F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy(*keys, "a").agg(F.min(F.least("a", "b")).alias("_m"))
-    return both.where("b > a").join(low, [*keys, "a"]).select(*keys, F.col("b").alias("a"), F.col("_m").alias("b")) \
+    return split_join(both.where("b > a"), low, [*keys, "a"], "inner", hot).select(*keys, F.col("b").alias("a"), F.col("_m").alias("b")) \
         .where("a <> b").distinct()
 
 
-def _small_star(e: DataFrame, keys: list[str]) -> DataFrame:
+def _small_star(e: DataFrame, keys: list[str], hot: list[int]) -> DataFrame:
     down = e.select(*keys, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     low = down.groupBy(*keys, "a").agg(F.min("b").alias("_m"))
-    moved = down.join(low, [*keys, "a"]).where("b <> _m").select(*keys, F.col("b").alias("a"), F.col("_m").alias("b"))
+    moved = split_join(down, low, [*keys, "a"], "inner", hot).where("b <> _m").select(*keys, F.col("b").alias("a"), F.col("_m").alias("b"))
     return moved.unionByName(low.select(*keys, "a", F.col("_m").alias("b"))).distinct()
 
 
@@ -45,10 +50,10 @@ def connected_components(edges: DataFrame, keys: list[str] | None = None) -> Dat
     e = edges.where("a is not null and b is not null and a <> b") \
         .select(*keys, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     e = stored(e, "edges")
-    before = _mark(e)
+    before, hot = _mark(e, keys)
     while before[0]:
-        e = stored(_small_star(_large_star(e, keys), keys), "edges")
-        now = _mark(e)
+        e = stored(_small_star(_large_star(e, keys, hot), keys, hot), "edges")
+        now, hot = _mark(e, keys)
         if now == before:
             break
         before = now
