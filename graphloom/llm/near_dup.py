@@ -35,27 +35,37 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.shingles import Sketcher, most_flips, shingle_set
+from graphloom.llm.shingles import Sketcher, keep_words, most_flips, shingle_set
 from graphloom.operators.linking import connected_components
+from graphloom.operators.skew import hot_keys, split_join
 from graphloom.session import ship_package, stored
 
 BANDS, ROWS, BITS = 32, 5, 512
 SIGMAS = 5.2
 #: A tile holds at most two chunks of so many classes, or bytes of sets.
 CHUNK_ROWS, CHUNK_SHINGLES = 1024, 1_000_000
-#: Id lists up to this length (tens of MB) are broadcast, longer ones joined by shuffle.
-BROADCAST_IDS = 1_000_000
+#: Id lists up to this length (a few MB) are broadcast, longer ones joined by shuffle.
+BROADCAST_IDS = 200_000
+#: Rows of an Arrow batch worked on at once.
+SLICE = 500
 
 SIGNED = "doc_id long, tkey long, n_shingles long, cls binary, bands binary, odd binary"
 
 
+def _slices(batches: Iterator) -> Iterator:
+    for b in batches:
+        for k in range(0, b.num_rows, SLICE):
+            yield b.slice(k, SLICE)
+
+
 def _signatures(docs: DataFrame, k: int) -> DataFrame:
     def sign(batches: Iterator) -> Iterator:
         import pyarrow as pa
         import xxhash
 
+        keep_words()
         sk = Sketcher(BANDS, ROWS, BITS)
-        for b in batches:
+        for b in _slices(batches):
             n, cls, bands, odd = [], [], [], []
             for text in b.column(2):
                 s = shingle_set(text.as_py(), k)
@@ -87,7 +97,8 @@ def _sets(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
     def again(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for b in batches:
+        keep_words()
+        for b in _slices(batches):
             sets = pa.array([shingle_set(t.as_py(), k).tobytes() for t in b.column(1)], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), sets], names=["cid", "shingles"])
 
@@ -117,7 +128,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        for t in batches:
+        for t in _slices(batches):
             ok = []
             for x, y in zip(t.column(2), t.column(3)):
                 x, y = np.frombuffer(x.as_py(), "<u8"), np.frombuffer(y.as_py(), "<u8")
@@ -134,7 +145,7 @@ def _runs(batches: Iterator, names: list[str], keys: int, with_key: bool = False
     """Consecutive rows with the same first ``keys`` columns, as lists of the
     rest (``with_key``: each after its key)."""
     now, rows = None, []
-    for b in batches:
+    for b in _slices(batches):
         cols = [b.column(i).to_pylist() for i in range(len(names))]
         for r in zip(*cols):
             if r[:keys] != now:
@@ -262,11 +273,13 @@ def _judged(docs: DataFrame, k: int, percent: int) -> DataFrame:
     # a key tells its band too; two longs are all that is shuffled of a band
     entries = classes.select("cid", F.explode(_longs("bands", BANDS)).alias("bk"))
     buckets = entries.groupBy("bk").agg(F.min("cid").alias("hub"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    members = stored(entries.join(buckets, "bk"), "members")
+    # (a bucket that holds much of the rows is dealt over all tasks in each of these joins)
+    hot_bk = hot_keys(entries, ["bk"])[0]
+    members = stored(split_join(entries, stored(buckets, "buckets"), ["bk"], "inner", hot_bk), "members")
     side = classes.select("cid", "n", _longs("odd", BITS // 64).alias("odd"))
     star = members.where("hub <> cid").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
     near = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (_flips("oa", "ob") <= most)
-    star = star.join(side.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("odd").alias("oa")), "a") \
+    star = split_join(stored(star, "star-pairs"), side.select(F.col("cid").alias("a"), F.col("n").alias("na"), F.col("odd").alias("oa")), ["a"], "inner") \
         .join(side.select(F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("odd").alias("ob")), "b") \
         .where(near).select("a", "b")
     star = stored(star, "star")
@@ -278,7 +291,7 @@ def _judged(docs: DataFrame, k: int, percent: int) -> DataFrame:
     of = comps.select(F.col("node").alias("cid"), F.col("component").alias("_c"))
     known = members.where("m > 2").join(of, "cid", "left").withColumn("comp", F.coalesce("_c", "cid")).drop("_c")
     apart = known.groupBy("bk").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo <> _hi")
-    apart = stored(known.join(apart.select("bk"), "bk", "left_semi"), "apart")
+    apart = stored(split_join(known, apart.select("bk"), ["bk"], "left_semi", hot_bk), "apart")
     if not apart.isEmpty():
         rows = apart.join(classes.select("cid", "n", "odd", "bands"), "cid") \
             .withColumn("chunks", F.ceil(F.col("m") / CHUNK_ROWS).cast("long")).withColumn("shingles", F.lit(None).cast("binary"))
@@ -296,7 +309,7 @@ def _judged(docs: DataFrame, k: int, percent: int) -> DataFrame:
         .withColumn("root", F.coalesce("root", "cid"))
     lowest = roots.groupBy("root").agg(F.min("low").alias("component_id"))
     named = roots.join(lowest, "root").select("cls", "component_id")
-    with_words = sig.where("n_shingles > 0").select("doc_id", "tkey", "n_shingles", "cls").join(named, "cls") \
+    with_words = split_join(sig.where("n_shingles > 0").select("doc_id", "tkey", "n_shingles", "cls"), named, ["cls"], "inner") \
         .select("doc_id", "tkey", "n_shingles", "component_id")
     without = sig.where("n_shingles = 0").select("doc_id", "tkey", "n_shingles", F.col("doc_id").alias("component_id"))
     return with_words.unionByName(without).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -33,6 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.llm.worker import only
 from graphloom.session import ship_package
 
 BLANK = "▁"
@@ -293,6 +294,7 @@ _VOCABULARIES: dict[str, MergeVocabulary] = {}
 
 def vocabulary(path: str) -> MergeVocabulary:
     """One vocabulary per Python worker and file."""
+    only(f"pieces {path}", lambda: _VOCABULARIES.pop(path, None))
     if path not in _VOCABULARIES:
         _VOCABULARIES[path] = MergeVocabulary(path)
     return _VOCABULARIES[path]

@@ -3,7 +3,8 @@
 Base patterns with their checks (octets, Luhn, digit counts) find e-mail
 addresses, IP addresses, card and phone numbers; those always stay.  High-recall
 generators propose further, overlapping spans (spelt-out addresses, any grouped
-or long number, dotted numbers, account numbers).  Boosted trees score each
+or long number and the single numbers of a longer run, dotted numbers, account
+numbers, hardware addresses).  Boosted trees score each
 candidate on its format and context; a threshold calibrated on held-out rows for
 ``PRECISION`` selects which are redacted, as kind ``learned``.
 
@@ -14,7 +15,7 @@ patterns decide by (@, +, check digits, octets) is not among the features, or
 the trees would only learn the patterns again.  Positive are candidates that a
 checked pattern covers, the same in an unchecked spelling, and generated ones of
 each kind that no pattern knows (spelt-out addresses, national phone numbers,
-IBANs, account numbers).  An uncovered candidate counts as negative only where
+IBANs, account, social security and device numbers).  An uncovered candidate counts as negative only where
 neither its form nor its context speaks for personal data; ``doubtful`` ones are
 not in the fit at all, so that however many there are, they are not taken for
 clean.  Generated negatives (dates, versions, amounts, times after the same
@@ -30,7 +31,7 @@ from __future__ import annotations
 
 import random
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -57,7 +58,11 @@ GENERATORS = (
     re.compile(r"\+?\(?[0-9](?:[\x20()./-]{0,2}[0-9]){6,}"),
     re.compile(r"[0-9]{1,4}(?:[.:][0-9]{1,4}){2,}"),
     re.compile(r"\b[A-Z]{2}[0-9]{2}\x20?(?:[A-Z0-9]{4}\x20?){2,7}[A-Z0-9]{1,4}\b"),
+    re.compile(r"\b[0-9A-Fa-f]{2}(?:[:-][0-9A-Fa-f]{2}){5}\b"),  # hardware addresses
+    re.compile(r"(?<![0-9A-Za-z:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Za-z:])"),  # long IP addresses
 )
+#: A run of more digits is several numbers: its groups are proposed each by itself.
+ONE_NUMBER = 19
 #: Words of a candidate's context; those of four letters and more also as the start of a word.
 CONTEXT = (("mail", "email", "contact", "write", "correo", "courriel"), ("phone", "tel", "telephone", "telefon", "call", "fax", "mobile", "ruf"),
            ("card", "visa", "credit", "iban", "account", "konto", "carte"), ("ip", "host", "server", "addr", "ssn", "id"))
@@ -102,14 +107,26 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-HAS_CANDIDATE = re.compile(r"[0-9][0-9\x20()./:-]|@|\(at\)|\[at\]")
+HAS_CANDIDATE = re.compile(r"[0-9][0-9\x20()./:-]|@|\(at\)|\[at\]|[0-9A-Fa-f]{2}[:-][0-9A-Fa-f]{2}[:-]")
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
     """Overlapping spans that might be personal data."""
     if not HAS_CANDIDATE.search(text):
         return []
-    return sorted({m.span() for g in GENERATORS for m in g.finditer(text)})
+    found = {m.span() for g in GENERATORS for m in g.finditer(text)}
+    for s, e in list(found):
+        if e - s > ONE_NUMBER and len(only_digits(text[s:e])) > ONE_NUMBER:
+            found.update(parts(text, s, e))
+    return sorted(found)
+
+
+def parts(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """The numbers that a long run may hold: unbroken ones, and four groups of four."""
+    groups = [m.span() for m in re.compile("[0-9]+").finditer(text, start, end)]
+    yield from ((s, e) for s, e in groups if 9 <= e - s <= ONE_NUMBER)
+    fours = [e - s == 4 for s, e in groups]
+    yield from ((groups[k][0], groups[k + 3][1]) for k in range(len(groups) - 3) if all(fours[k:k + 4]))
 
 
 def valid_iban(s: str) -> bool:
@@ -127,7 +144,7 @@ def context_flags(text: str, start: int) -> list[float]:
 
 
 #: Places of features that are asked for by name.
-DIGITS, DATED, FLAGS = 1, -6, slice(-4, None)
+DIGITS, CARD_BESIDE, DATED, FLAGS = 1, -7, -6, slice(-4, None)
 
 
 def features(text: str, start: int, end: int) -> list[float]:
@@ -139,14 +156,22 @@ def features(text: str, start: int, end: int) -> list[float]:
         len(s), len(d), len(d) / max(1, len(s)), sum(c.isalpha() for c in s), s.count("."), s.count("-"),
         s.count(" "), s.count("(") + s.count("["), s.count("/") + s.count(":"), len(groups),
         max(map(len, groups), default=0), min(map(len, groups), default=0), float(bool(DOMAIN_END.search(s))),
-        float(before.isalnum()), float(after.isalnum()), float(before in tuple(".-/=_")),
-        float(bool(DATE.fullmatch(s))), float(valid_iban(s)), *context_flags(text, start)]
+        float(before.isalnum()), float(after.isalnum()), float(before in tuple(".-/=_")), float(card_in_run(text, start, end, d)),
+        float(bool(DATE.search(s))), float(valid_iban(s)), *context_flags(text, start)]
+
+
+def card_in_run(text: str, start: int, end: int, digits: str) -> bool:
+    """Does the form of a card number (first digit, length, check digit) stand
+    beside another number?  The base patterns take such a run as one number."""
+    if len(digits) not in (15, 16) or digits[0] not in "3456" or not luhn(digits):
+        return False
+    return text[max(0, start - 2):start].strip()[-1:].isdigit() or text[end:end + 2].strip()[:1].isdigit()
 
 
 def doubtful(text: str, start: int, end: int, x: list[float]) -> bool:
     """Does form or context speak for personal data, though no pattern covers it?"""
     s = text[start:end]
-    if DATE.fullmatch(s) or x[DIGITS] < 9 and not s[:2].isalpha() and "at" not in s and "@" not in s:
+    if x[DATED] or x[DIGITS] < 9 and not s[:2].isalpha() and "at" not in s and "@" not in s:
         return False  # neither a date nor a short number is personal in any context
     return any(x[FLAGS]) or valid_iban(s) or bool(DOMAIN_END.search(s))
 
@@ -184,6 +209,10 @@ def generated(kind: str, n: int) -> list[tuple[list[float], bool]]:
         check = 98 - int("".join(str(int(c, 36)) for c in body + head + "00")) % 97
         return grouped(f"{head}{check:02d}{body}", *rng.choice(((4, " "), (99, ""))))
 
+    def card() -> str:
+        body = rng.choice("3456") + digits(14)
+        return next(body + c for c in "0123456789" if luhn(body + c))
+
     def spelt() -> str:
         dot = rng.choice((".", ".", " (dot) ", "(dot)", "[dot]"))
         user = word() + rng.choice(("", "." + word(), digits(2), digits(5)))
@@ -196,10 +225,16 @@ def generated(kind: str, n: int) -> list[tuple[list[float], bool]]:
     def date() -> str:
         y, m, d = f"20{digits(2)}", f"{rng.randint(1, 12):02d}", f"{rng.randint(1, 28):02d}"
         gap = rng.choice("./-")
-        return gap.join(rng.choice(((y, m, d), (d, m, y))))
+        day = gap.join(rng.choice(((y, m, d), (d, m, y))))
+        return day + rng.choice(("", "", f" {rng.randrange(24):02d}:{digits(2)}", f" {rng.randrange(24):02d}:{digits(2)}:{digits(2)}", f" - {y}"))
 
     makers = {
         "spelt": (spelt, (0, None)), "phone": (phone, (1,)), "iban": (iban, (2, None)),
+        "cards": (lambda: f"{card()} {rng.choice((card(), digits(4)))}", (2, None, None)),
+        "no cards": (lambda: f"{digits(16)} {digits(16)}", (None,)),
+        "ssn": (lambda: f"{digits(3)}-{digits(2)}-{digits(4)}", (3, 3, None)),
+        "device": (lambda: rng.choice((":".join(f"{rng.randrange(256):02x}" for _ in range(6)), "-".join(f"{rng.randrange(256):02X}" for _ in range(6)),
+                                       ":".join(f"{rng.randrange(65536):x}" for _ in range(8)))), (3, None)),
         "account": (lambda: grouped(digits(rng.randint(9, 18)), *rng.choice(((4, " "), (3, " "), (99, ""), (4, "-")))), (2,)),
         "no date": (date, (0, 1, 2, 3, None)),
         "no number": (lambda: rng.choice((f"{digits(1)} {digits(3)} {digits(3)}", f"{digits(2)}:{digits(2)}:{digits(2)}", ".".join(digits(rng.randint(1, 2)) for _ in range(3)),
@@ -216,15 +251,33 @@ def generated(kind: str, n: int) -> list[tuple[list[float], bool]]:
         value = make()
         text = before + value + rng.choice((" ", ".", ", ", "")) + " ".join(rng.choices(FILLER, k=2))
         for s, e in candidates(text):
-            if s >= len(before) - 1 and 2 * (e - s) > len(value):
-                out.append((features(text, s, e), not kind.startswith("no ")))
+            if s >= len(before) - 1 and (2 * (e - s) > len(value) or kind == "cards"):
+                x = features(text, s, e)
+                if kind.endswith("cards") and (kind == "cards") != bool(x[CARD_BESIDE]):
+                    continue  # other parts of such a run, and numbers that pass by chance, are in no label
+                out.append((x, not kind.startswith("no ")))
     return out
 
 
-def covered(span: tuple[int, int], base: list) -> bool:
-    """Is half of the span or more inside one base span?"""
-    s, e = span
-    return any(2 * (min(e, b) - max(s, a)) >= e - s for _, a, b in base)
+class Cover:
+    """Base spans by start, for asking what they cover."""
+
+    def __init__(self, base: list):
+        self.spans = sorted((s, e) for _, s, e in base)
+        self.starts, self.reach = [s for s, _ in self.spans], []
+        for _, e in self.spans:
+            self.reach.append(max(e, self.reach[-1]) if self.reach else e)
+
+    def __contains__(self, span: tuple[int, int]) -> bool:
+        """Is half of the span or more inside one base span?"""
+        s, e = span
+        j = bisect_left(self.starts, e) - 1
+        while j >= 0 and self.reach[j] > s:
+            a, b = self.spans[j]
+            if 2 * (min(e, b) - max(s, a)) >= e - s:
+                return True
+            j -= 1
+        return False
 
 
 class Model:
@@ -246,16 +299,16 @@ def fit(x, y, precision: float = PRECISION) -> Model | None:
     held = np.arange(len(y)) % 4 == 3
     if y[~held].min() == y[~held].max():
         return None
-    trees = BoostedTrees().fit(x[~held], y[~held])
+    trees = BoostedTrees(trees=80).fit(x[~held], y[~held])
     return Model(trees, calibrated_threshold(trees.score(x[held]), y[held], precision))
 
 
 def examples(text: str) -> list[tuple[list[float], bool, int, int]]:
     """Features, label and span of a text's candidates, as far as they have a label."""
-    base, out, doubt, clean = base_spans(text), [], [], []
+    base, out, doubt, clean = Cover(base_spans(text)), [], [], []
     for turn, c in enumerate(candidates(text)):
         x = features(text, *c)
-        if covered(c, base):
+        if c in base:
             near = max(0, c[0] - 100)  # all of the context
             out += [(x, True, *c), (features(*disguised(text[near:c[1] + 1], c[0] - near, c[1] - near, turn)), True, *c)]
         elif doubtful(text, *c, x):
@@ -278,9 +331,9 @@ def fit_examples(x: list, y: list) -> Model | None:
             flags[k % len(CONTEXT)] = 1.0
             out.append(([*row[:FLAGS.start], *flags], False))
     most = max(FEWEST, (len(out) - sum(y)) // 10)  # positives keep a share beside any number of negatives
-    for kind in ("spelt", "phone", "iban", "account"):
+    for kind in ("spelt", "phone", "iban", "account", "ssn", "device", "cards"):
         out += generated(kind, most)
-    for kind in ("no date", "no number", "no address", "no account"):
+    for kind in ("no date", "no number", "no address", "no account", "no cards"):
         out += generated(kind, FEWEST)
     return fit([r for r, _ in out], [v for _, v in out])
 
@@ -316,7 +369,8 @@ def find_personal(text: str, model: Model | None) -> tuple[list, list]:
     if model:
         import numpy as np
 
-        todo = [c for c in candidates(text) if not covered(c, base)]
+        cover = Cover(base)
+        todo = [c for c in candidates(text) if c not in cover]
         if todo:
             good = model.trees.score(np.array([features(text, *c) for c in todo])) >= model.threshold
             more = [("learned", *c) for c, g in zip(todo, good) if g]
@@ -324,7 +378,7 @@ def find_personal(text: str, model: Model | None) -> tuple[list, list]:
 
 
 def scan_documents(docs: DataFrame) -> DataFrame:
-    """-> doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_learned."""
+    """-> doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_learned, n_spans (all kinds)."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs))
 
     def scan(batches: Iterator) -> Iterator:
@@ -335,11 +389,12 @@ def scan_documents(docs: DataFrame) -> DataFrame:
             n = {k: pa.array([sum(x[0] == k for x in every) for _, every in found], pa.int64()) for k in KINDS}
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *(n[k] for k in KINDS[:4]), pa.array([digest(base) for base, _ in found], pa.string()),
-                 pa.array([joined(every) for _, every in found], pa.string()), n["learned"]],
-                names=["doc_id", *(f"n_{k}" for k in KINDS[:4]), "base_sha256", "spans", "n_learned"])
+                 pa.array([joined(every) for _, every in found], pa.string()), n["learned"],
+                 pa.array([len(every) for _, every in found], pa.int64())],
+                names=["doc_id", *(f"n_{k}" for k in KINDS[:4]), "base_sha256", "spans", "n_learned", "n_spans"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        scan, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_learned long")
+        scan, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_learned long, n_spans long")
 
 
 def placeholder(kind: str) -> str:

@@ -5,10 +5,13 @@ from __future__ import annotations
 
 import numpy as np
 
+from graphloom.llm.worker import only
+
 _U = np.uint64
 _MIX1, _MIX2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 _STEP = _U(0x9E3779B97F4A7C15)
-WORDS_KEPT = 500_000
+#: Words whose hash is kept (about 150 bytes each).
+WORDS_KEPT = 200_000
 #: Shingles hashed by all functions at once, at most.
 BLOCK = 4096
 
@@ -37,6 +40,11 @@ class _Words(dict):
 _WORDS = _Words()
 
 
+def keep_words() -> None:
+    """At the start of a task: this worker's tables are the words' hashes."""
+    only("shingles", _WORDS.clear)
+
+
 def shingle_set(text: bytes | None, k: int) -> np.ndarray:
     """Distinct k-word shingles of a UTF-8 text, sorted: A-Z lower-cased, words
     are runs without space and \\x09-\\x0D (which is what bytes.split takes).

@@ -17,6 +17,8 @@ import struct
 import sys
 from array import array
 
+from graphloom.llm.worker import only
+
 #: White space other than the blank and the line feed; \x1c-\x1f are space to
 #: Python's expressions only.
 _OTHER, _ODD = re.compile(r"[^\S \n]"), re.compile("[\x1c-\x1f]")
@@ -25,7 +27,8 @@ _CUT = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: pre-tokenizer here cuts it between the two and nowhere else, and no
 #: normaliser but lower-casing changes it.
 _PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
-UNITS_KEPT = 500_000
+#: Units of a generation, and cores, that are kept (about 150 bytes each).
+UNITS_KEPT = 350_000
 LONGEST_KEPT = 64
 
 
@@ -96,6 +99,14 @@ class Encoder:
         ids = [t.id for t in self.model.tokenize("".join(map(self.chars.__getitem__, piece)))]
         return array("I", ids).tobytes() if sys.byteorder == "little" else struct.pack(f"<{len(ids)}I", *ids)
 
+    def kept_piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if len(self.pieces) > UNITS_KEPT:
+                self.pieces.clear()
+            ids = self.pieces[piece] = self.piece(piece)
+        return ids
+
     def unit(self, unit: str | bytes) -> bytes | None:
         """Ids of a plain unit; None where the whole tokenizer has to look."""
         first, text = unit[:1], unit
@@ -111,14 +122,10 @@ class Encoder:
             core = core.lower()
         elif self.spaced and first not in "\x00\n":
             core = " " + core
-        ids = self.pieces.get(core)
-        if ids is None:
-            if len(self.pieces) > UNITS_KEPT:
-                self.pieces.clear()
-            ids = self.pieces[core] = self.piece(core)
+        ids = self.kept_piece(core)
         if marks:
-            ids += self.piece(marks)
-        return self.piece("\n") + ids if first == "\n" else ids
+            ids += self.kept_piece(marks)
+        return self.kept_piece("\n") + ids if first == "\n" else ids
 
     def encode(self, text: str | None) -> bytes:
         """Ids of one text; a null text is empty."""
@@ -157,6 +164,7 @@ _ENCODERS: dict[tuple, Encoder] = {}
 def encoder(path: str, units: str) -> Encoder:
     """One encoder per Python worker, file and way of cutting."""
     key = (path, units)
+    only(f"tokens {key}", lambda: _ENCODERS.pop(key, None))
     if key not in _ENCODERS:
         _ENCODERS[key] = Encoder(path, units)
     return _ENCODERS[key]
