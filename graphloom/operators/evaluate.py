@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from graphloom.session import stored
+
 from graphloom.operators.conform import fold_name, local_name
 
 
@@ -101,33 +103,33 @@ def leaderboard(metrics: DataFrame, score: str = "micro_f1", keys=("model",)) ->
 
 def compare_models(triples: DataFrame, models: list[str], how: str = "exact") -> DataFrame:
     """Agreement of every pair of sweep models on each document:
-    shared, only-left, only-right triples and Jaccard.
+    shared, only-left, only-right triples and Jaccard, for a sweep of any size.
 
-    Rows are never paired: each (doc, triple) gets a bit mask of the models
-    that stated it, then conditional sums over the masks give every pair.
+    Rows are never paired: each (doc, triple) becomes the set of models that
+    state it, equal sets of a document are counted, and only those counts are
+    expanded to pairs.  What a model states alone is its total less what is shared.
     """
-    idx = {m: i for i, m in enumerate(models)}
-    bit = F.lit(0)
-    for m, i in idx.items():
-        bit = F.when(F.col("model") == m, F.lit(1 << i)).otherwise(bit)
-    t = triples.where(F.col("model").isin(models)).select("doc_id", triple_key(how).alias("k"), bit.alias("b"))
-    masks = t.groupBy("doc_id", "k").agg(F.bit_or("b").alias("mask"))
-    aggs = []
-    pairs = [(a, b) for a in models for b in models if idx[a] < idx[b]]
-    for a, b in pairs:
-        ba, bb = 1 << idx[a], 1 << idx[b]
-        has_a = (F.col("mask").bitwiseAND(F.lit(ba)) != 0)
-        has_b = (F.col("mask").bitwiseAND(F.lit(bb)) != 0)
-        aggs += [F.sum((has_a & has_b).cast("int")).alias(f"i_{idx[a]}_{idx[b]}"),
-                 F.sum((has_a & ~has_b).cast("int")).alias(f"l_{idx[a]}_{idx[b]}"),
-                 F.sum((~has_a & has_b).cast("int")).alias(f"r_{idx[a]}_{idx[b]}")]
-    per_doc = masks.groupBy("doc_id").agg(*aggs)
-    rows = F.explode(F.array(*[F.struct(F.lit(a).alias("model_a"), F.lit(b).alias("model_b"),
-                                        F.col(f"i_{idx[a]}_{idx[b]}").alias("shared"),
-                                        F.col(f"l_{idx[a]}_{idx[b]}").alias("only_a"),
-                                        F.col(f"r_{idx[a]}_{idx[b]}").alias("only_b")) for a, b in pairs]))
-    out = per_doc.select("doc_id", rows.alias("x")).select("doc_id", "x.*")
-    out = out.where((F.col("shared") + F.col("only_a") + F.col("only_b")) > 0)
+    sweep = F.array(*map(F.lit, models))
+    t = triples.where(F.col("model").isin(models)).select("doc_id", triple_key(how).alias("k"), "model")
+    sets = t.groupBy("doc_id", "k").agg(F.collect_set("model").alias("set"))
+    # in the order of the sweep, so that equal sets are equal arrays
+    hist = sets.groupBy("doc_id", F.filter(sweep, lambda m: F.array_contains("set", m)).alias("set")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    hist = stored(hist, "model-sets")
+
+    def pairs(names):
+        return F.flatten(F.transform(names, lambda a, i: F.transform(
+            F.slice(names, i + 2, F.size(names)), lambda b: F.struct(a.alias("model_a"), b.alias("model_b")))))
+
+    totals = hist.select("doc_id", F.explode("set").alias("model"), "n").groupBy("doc_id", "model").agg(F.sum("n").alias("n"))
+    of = totals.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("model", "n"))).alias("of"))
+    both = hist.select("doc_id", F.explode(pairs(F.col("set"))).alias("x"), "n").groupBy("doc_id", "x").agg(F.sum("n").alias("shared"))
+    asked = of.select("doc_id", "of", F.explode(pairs(sweep)).alias("x"))
+    out = asked.join(both, ["doc_id", "x"], "left").select(
+        "doc_id", "x.*", F.coalesce("shared", F.lit(0)).alias("shared"),
+        F.coalesce(F.col("of")[F.col("x.model_a")], F.lit(0)).alias("n_a"), F.coalesce(F.col("of")[F.col("x.model_b")], F.lit(0)).alias("n_b"))
+    out = out.where(F.col("n_a") + F.col("n_b") > 0)
+    out = out.select("doc_id", "model_a", "model_b", "shared", (F.col("n_a") - F.col("shared")).alias("only_a"), (F.col("n_b") - F.col("shared")).alias("only_b"))
     return out.withColumn("jaccard", F.col("shared") / (F.col("shared") + F.col("only_a") + F.col("only_b")))
 
 

@@ -6,8 +6,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.functions.literals import MONTHS_EN, MONTHS_FR, parse_date, parse_number
 from graphloom.operators.conform import fold_name, local_name
 from graphloom.operators.ontology import GRAPH, Ontology
+from graphloom.operators.skew import split_join
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
@@ -25,20 +27,33 @@ def label_table(onto: Ontology) -> DataFrame:
                       F.size("_t").alias("n")).where(F.col("n") > 0)
 
 
+#: First tokens of labels that are looked for inside the row, at most.
+MOST_FIRSTS = 20_000
+
+
 def link_mentions(docs: DataFrame, onto: Ontology) -> DataFrame:
     """Token n-grams of each text equal to an ontology label.
 
-    Each token is exploded with the tokens after it, as many as the longest
-    label has; a token that starts no label is dropped by the join with the
-    label table, and there the n-gram is compared with the whole label.  No
-    token is shuffled.  Returns (doc_id, pos, n, mention, term, label_lang,
-    label_kind).
+    The text's token array is walked inside its row, and only tokens that begin
+    a label leave it, with as many tokens after them as the longest label has;
+    those meet the labels of their first token and are compared whole.  No other
+    token becomes a row and none is shuffled.  (An ontology of more than
+    ``MOST_FIRSTS`` first tokens is met by a join instead of inside the row.)
+    Returns (doc_id, pos, n, mention, term, label_lang, label_kind).
     """
     labels = label_table(onto).withColumn("first", F.element_at(F.split("gram", " "), 1))
     longest = labels.agg(F.max("n")).first()[0] or 1
+    firsts = [r[0] for r in labels.select("first").distinct().limit(MOST_FIRSTS + 1).collect()]
+
+    def begins(t):
+        at = F.transform(t, lambda x, i: F.struct((i + 1).alias("pos"), x.alias("tok")))
+        if len(firsts) <= MOST_FIRSTS:
+            at = F.filter(at, lambda s: s["tok"].isin(firsts))
+        return F.transform(at, lambda s: F.struct(s["pos"].alias("pos"), s["tok"].alias("tok"),
+                                                  F.slice(t, s["pos"], F.lit(longest)).alias("after")))
+
     # the outer transform holds the token array as a variable: it is made once per text
-    places = F.element_at(F.transform(F.array(tokens("text")), lambda t: F.transform(t, lambda x, i: F.struct(
-        (i + 1).alias("pos"), x.alias("tok"), F.slice(t, i + 1, F.lit(longest)).alias("after")))), 1)
+    places = F.element_at(F.transform(F.array(tokens("text")), begins), 1)
     toks = docs.select("doc_id", F.explode(places).alias("_t")).select("doc_id", "_t.*")
     cand = toks.join(labels.select("first", "gram", "n", "term", F.col("lang").alias("label_lang"),
                                    F.col("kind").alias("label_kind")), toks.tok == F.col("first"))
@@ -62,6 +77,61 @@ def grounding(triples: DataFrame, docs: DataFrame) -> DataFrame:
     return lit.join(found, ["doc_id", "_fo"]).drop("_fo")
 
 
+#: Numbers and dates as texts write them; what N18 parses, cut out of running text.
+TEXT_NUMBER = (r"(?<![0-9.,])-?(?:[0-9]{1,3}(?:[ ,\u00a0\u202f][0-9]{3})+(?:\.[0-9]+)?|[0-9]{1,3}(?:[ \u00a0\u202f][0-9]{3})*,[0-9]+|[0-9]+(?:\.[0-9]+)?)"
+               r"(?![0-9]|[.,][0-9])")
+_NAMES = "|".join(MONTHS_EN + MONTHS_FR)
+TEXT_DATE = (rf"(?i)(?<![0-9-])[0-9]{{4}}-[0-9]{{2}}(?:-[0-9]{{2}})?(?![0-9-])"
+             rf"|(?<![0-9])(?:[0-9]{{1,2}}(?:er)?\s+)?(?:{_NAMES})\s+(?:[0-9]{{1,2}}(?:st|nd|rd|th)?,?\s+)?[0-9]{{4}}(?![0-9])")
+TEXT_YEAR = r"(?<![0-9.,])[0-9]{4}(?![0-9]|[.,][0-9])"
+
+
+def _date_keys(value: Column, precision: Column) -> Column:
+    """A date as (precision, start) and as every coarser one that holds it."""
+    day, month, year = (F.date_format(value, f) for f in ("yyyy-MM-dd", "yyyy-MM", "yyyy"))
+    return F.when(precision == "year", F.array(year)).when(precision == "month", F.array(month, year)) \
+        .when(value.isNotNull(), F.array(day, month, year))
+
+
+def text_values(docs: DataFrame) -> DataFrame:
+    """The typed spans of whole texts, each once: (doc_id, kind, value) with kind
+    ``number`` (plain decimal) or ``date`` (yyyy, yyyy-MM or yyyy-MM-dd; a day
+    also stands as its month and year, a four-digit number as a year)."""
+    spans = lambda p: F.regexp_extract_all(F.col("text"), F.lit(p), 0)
+    kinds = F.explode(F.concat(
+        F.transform(spans(TEXT_NUMBER), lambda x: F.struct(F.lit("number").alias("kind"), x.alias("lex"))),
+        F.transform(spans(TEXT_DATE), lambda x: F.struct(F.lit("date").alias("kind"), x.alias("lex"))),
+        F.transform(spans(TEXT_YEAR), lambda x: F.struct(F.lit("date").alias("kind"), x.alias("lex")))))
+    found = docs.select("doc_id", kinds.alias("x")).select("doc_id", "x.*").distinct()
+    number = found.where("kind = 'number'").select("doc_id", "kind", parse_number(F.col("lex"))["value"].cast("string").alias("value"))
+    # (the array holds the parsed date as a value: it is not parsed again for each key)
+    keys = F.flatten(F.transform(F.array(parse_date(F.col("lex"))), lambda d: _date_keys(d["value"], d["precision"])))
+    dates = found.where("kind = 'date'").select("doc_id", "kind", F.explode(keys).alias("value"))
+    return number.where("value is not null").unionByName(dates).distinct()
+
+
+def grounding_by_value(typed: DataFrame, docs: DataFrame) -> DataFrame:
+    """J13 by value: literals typed by N18 (``type_literals``: value_type,
+    v_decimal, v_integer, v_date, date_precision) are grounded if their text holds
+    the same number or date, however written; what has no typed value is looked
+    for as text (``grounding``).  Values meet the texts' spans by equality on
+    (doc_id, kind, value)."""
+    typed_as = F.struct(F.coalesce(F.col("v_decimal"), F.col("v_integer").cast("decimal(38,18)")).cast("string").alias("number"),
+                        F.col("v_date").alias("day"), F.col("date_precision").alias("precision"))
+
+    def key(t):
+        date = F.element_at(_date_keys(t["day"], t["precision"]), 1)
+        return F.when(t["number"].isNotNull(), F.struct(F.lit("number").alias("kind"), t["number"].alias("value"))) \
+            .when(date.isNotNull(), F.struct(F.lit("date").alias("kind"), date.alias("value")))
+
+    lit = typed.withColumn("_k", F.element_at(F.transform(F.array(typed_as), key), 1)) \
+        .withColumns({"kind": F.col("_k.kind"), "value": F.col("_k.value")}).drop("_k")
+    by_value = split_join(lit.where("kind is not null"), text_values(docs).withColumn("_in", F.lit(True)), ["doc_id", "kind", "value"], "left")
+    by_value = by_value.withColumn("grounded", F.coalesce("_in", F.lit(False))).drop("_in", "kind", "value")
+    by_text = grounding(lit.where("kind is null").drop("kind", "value"), docs)
+    return by_value.unionByName(by_text.select(*by_value.columns))
+
+
 def grounding_share(grounded: DataFrame) -> DataFrame:
     return grounded.groupBy(*GRAPH).agg(F.count(F.lit(1)).alias("n_literals"),
                                         F.sum(F.col("grounded").cast("int")).alias("n_grounded"),

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from graphloom.operators.skew import split_join
 from graphloom.session import cut_lineage
 
 _LOW33 = (1 << 33) - 1
@@ -44,3 +45,12 @@ def global_rank(df: DataFrame, order_cols: list, out_col: str = "rank", partitio
     return out.withColumn(out_col, F.col("_off") + F.col("_pos") + 1) \
               .withColumnRenamed("_total", f"{out_col}_total") \
               .drop("_mid", "_pid", "_pos", "_n", "_off")
+
+
+def rank_within(df: DataFrame, group: list[str], order_cols: list, out_col: str = "rank") -> DataFrame:
+    """Add ``out_col`` = 1-based position of the row in its group by
+    ``order_cols``, without gathering a group: the global position less that of
+    the group's first row.  Rows equal in all of them are interchangeable."""
+    ranked = global_rank(df, [*group, *order_cols], "_g").drop("_g_total")
+    first = ranked.groupBy(*group).agg(F.min("_g").alias("_first"))
+    return split_join(ranked, first, group, "inner").withColumn(out_col, F.col("_g") - F.col("_first") + 1).drop("_g", "_first")

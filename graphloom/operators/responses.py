@@ -38,3 +38,26 @@ def running_context(df: DataFrame, keys=("doc_id", "model"), idx_col: str = "chu
     w = Window.partitionBy(*keys).orderBy(idx_col).rowsBetween(Window.unboundedPreceding, -1)
     pre = F.lit(prefix if prefix is not None else "")
     return df.withColumn(out_col, F.concat(pre, F.array_join(F.collect_list(line).over(w), "")))
+
+
+def context_offsets(df: DataFrame, keys=("doc_id", "model"), idx_col: str = "chunk_idx", text_col: str = "response",
+                    prefix: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """W1 in linear size: (texts, offsets).  ``texts`` has one row per keys, the
+    prefix and all framed answers in chunk order (``whole``); ``offsets`` one row
+    per chunk with the length ``upto`` of the part of it that is the chunk's
+    context (``context_of`` reads it)."""
+    head, tail = P.CONTEXT_FRAME.split("{i}")
+    mid, end = tail.split("{r}")
+    line = F.concat(F.lit(head), (F.col(idx_col) + 1).cast("string"), F.lit(mid), F.col(text_col), F.lit(end))
+    pre = prefix if prefix is not None else ""
+    lines = df.select(*keys, idx_col, line.alias("_l"))
+    texts = lines.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(idx_col).alias("i"), F.col("_l").alias("t")))).alias("_p")) \
+        .select(*keys, F.concat(F.lit(pre), F.array_join(F.col("_p.t"), "")).alias("whole"))
+    w = Window.partitionBy(*keys).orderBy(idx_col).rowsBetween(Window.unboundedPreceding, -1)
+    upto = F.coalesce(F.sum(F.length("_l")).over(w), F.lit(0)) + len(pre)
+    return texts, lines.select(*keys, idx_col, upto.cast("long").alias("upto"))
+
+
+def context_of(whole: str = "whole", upto: str = "upto"):
+    """The context of a chunk, from its document's text and its offset."""
+    return F.substr(F.col(whole), F.lit(1), F.col(upto).cast("int"))

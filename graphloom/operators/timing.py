@@ -2,62 +2,78 @@
 
 from __future__ import annotations
 
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphloom.operators.ranking import global_rank
+from graphloom.session import cut_lineage, stored
 
 
-def exact_median(df: DataFrame, keys: list[str], col: str, out_col: str = "median") -> DataFrame:
-    """Exact median of ``col`` per ``keys`` without gathering a group in one task.
-
-    Rows are ranked in (keys, value) order across range partitions.  From each
-    group's first rank and size come the global ranks of its middle row(s)
-    (two per group); the ranked rows are joined to those ranks on the rank
-    itself -- a unique key, so a group holding a third of all rows is still
-    spread evenly -- and the one or two values are averaged, as SQL
-    ``median`` / ``quantile_cont(0.5)`` do for even sizes.
+def weighted_medians(ranged: DataFrame, keys: list[str], col: str, out_col: str) -> DataFrame:
+    """Median of ``col`` per ``keys`` from a histogram (keys.., col, n) in range
+    partitions by value (``_pid``).
+
+    The counts by partition tell in which partitions a group's middle ranks lie;
+    only those are then looked into, so no task holds more of a group than one
+    partition.  Even sizes average the two middle values, as SQL ``median`` does.
     """
-    base = df.select(*keys, col).where(F.col(col).isNotNull()).withColumn("_uid", F.monotonically_increasing_id())
-    r = global_rank(base, [*keys, col, "_uid"], out_col="_r")
-    g = r.groupBy(*keys).agg(F.min("_r").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    lo = F.col("_first") + F.floor((F.col("_n") + 1) / 2) - 1
-    hi = F.col("_first") + F.floor(F.col("_n") / 2)
-    targets = g.select(F.explode(F.array_distinct(F.array(lo, hi))).alias("_r"))
-    mid = r.join(targets, "_r")
-    return mid.groupBy(*keys).agg(F.avg(col).alias(out_col))
+    sums = ranged.groupBy(*keys, "_pid").agg(F.sum("n").alias("_m"))
+    of = Window.partitionBy(*keys)
+    upto = of.orderBy("_pid")
+    sums = sums.withColumns({"_all": F.sum("_m").over(of), "_before": F.sum("_m").over(upto) - F.col("_m")})
+    lo, hi = F.floor((F.col("_all") + 1) / 2), F.floor(F.col("_all") / 2) + 1
+    inside = lambda r, before, n: (r > before) & (r <= before + n)
+    at = sums.withColumns({"_lo": lo, "_hi": hi}) \
+        .where(inside(F.col("_lo"), F.col("_before"), F.col("_m")) | inside(F.col("_hi"), F.col("_before"), F.col("_m"))) \
+        .select(*keys, "_pid", "_before", "_lo", "_hi")
+    rows = ranged.join(at, [*keys, "_pid"]).groupBy(*keys, "_pid", "_before", "_lo", "_hi", col).agg(F.sum("n").alias("n"))
+    here = Window.partitionBy(*keys, "_pid").orderBy(col)
+    before = F.col("_before") + F.sum("n").over(here) - F.col("n")
+    rows = rows.withColumn("_b", before)
+    pick = lambda r: F.max(F.when(inside(F.col(r), F.col("_b"), F.col("n")), F.col(col)))
+    return rows.groupBy(*keys).agg(((pick("_lo") + pick("_hi")) / 2).alias(out_col))
+
 
+def _histogram(df: DataFrame, keys: list[str], col: str) -> DataFrame:
+    """Counts of each distinct value, map side first, in range partitions by value."""
+    hist = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("n"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(hist.repartitionByRange(parts, col, *keys)).withColumn("_pid", F.spark_partition_id())
 
-def _stats(keys: list[str], df: DataFrame, col: str) -> DataFrame:
-    s = F.col(col)
-    agg = df.groupBy(*keys).agg(F.count(s).alias("n_calls"), F.avg(s).alias("mean_s"), F.min(s).alias("min_s"),
-                                F.max(s).alias("max_s"), F.sum(s).alias("total_s"))
-    med = exact_median(df, keys, col, "median_s")
-    return agg.join(med, keys, "left")
+
+def exact_median(df: DataFrame, keys: list[str], col: str, out_col: str = "median") -> DataFrame:
+    """Exact median of ``col`` per ``keys``; no group is gathered in one task."""
+    return weighted_medians(_histogram(df, keys, col), keys, col, out_col)
 
 
 def timing_summary(timings: DataFrame, by: str = "model", col: str = "seconds") -> DataFrame:
     """A2: count, mean, exact median, min, max, total seconds.
 
     ``by='model'``: one row per (regime, model) (``level='model'``), per
-    regime (``level='regime'``, model null) and overall (``level='all'``).
-    Each call row is tagged once per level, so the three levels share one
-    aggregation and one ranking pass (grouping-set style) instead of three.
-    ``by='file'``: one row per (regime, file_name).
+    regime (``level='regime'``, model null) and overall (``level='all'``).  All
+    three come from one aggregation and one histogram: the sums of the upper
+    levels are sums of the lower ones, their medians are read from the same
+    partitions.  ``by='file'``: one row per (regime, file_name).
     """
-    if by == "file":
-        return _stats(["regime", "file_name"], timings, col)
-    if by != "model":
+    if by not in ("model", "file"):
         raise ValueError(by)
-    nul = F.lit(None).cast("string")
-    tagged = timings.select(col, F.explode(F.array(
-        F.struct(F.lit("model").alias("level"), F.col("regime").alias("regime"), F.col("model").alias("model")),
-        F.struct(F.lit("regime").alias("level"), F.col("regime").alias("regime"), nul.alias("model")),
-        F.struct(F.lit("all").alias("level"), nul.alias("regime"), nul.alias("model")))).alias("g")) \
-        .select(col, "g.level", F.coalesce("g.regime", F.lit("\u0000")).alias("regime"),
-                F.coalesce("g.model", F.lit("\u0000")).alias("model"))
-    out = _stats(["level", "regime", "model"], tagged, col)
+    second = "model" if by == "model" else "file_name"
+    # no key is null inside: a null joins with nothing
+    t = timings.select(*[F.coalesce(F.col(c), F.lit("\u0000")).alias(c) for c in ("regime", second)], F.col(col).alias("_v"))
+    v = F.col("_v")
+    base = stored(t.groupBy("regime", second).agg(F.count(v).alias("n_calls"), F.sum(v).alias("total_s"), F.min(v).alias("min_s"),
+                                                  F.max(v).alias("max_s")), "timing-sums")
+    hist = _histogram(t, ["regime", second], "_v").withColumn("_every", F.lit(""))
     back = lambda c: F.when(F.col(c) != "\u0000", F.col(c)).alias(c)
-    return out.select(back("regime"), back("model"), "level", "n_calls", "mean_s", "median_s", "min_s", "max_s",
-                      "total_s")
+    stats = [(F.col("total_s") / F.col("n_calls")).alias("mean_s"), "median_s", "min_s", "max_s", "total_s"]
+    if by == "file":
+        out = base.join(weighted_medians(hist, ["regime", second], "_v", "median_s"), ["regime", second], "left")
+        return out.select(back("regime"), back(second), "n_calls", *stats)
+    out = None
+    for level, keys in (("model", ["regime", "model"]), ("regime", ["regime"]), ("all", ["_every"])):
+        rows = base.withColumn("_every", F.lit("")).groupBy(*keys).agg(
+            F.sum("n_calls").alias("n_calls"), F.sum("total_s").alias("total_s"), F.min("min_s").alias("min_s"), F.max("max_s").alias("max_s"))
+        rows = rows.join(weighted_medians(hist, keys, "_v", "median_s"), keys, "left")
+        have = [back(c) if c in keys else F.lit(None).cast("string").alias(c) for c in ("regime", "model")]
+        rows = rows.select(*have, F.lit(level).alias("level"), "n_calls", *stats)
+        out = rows if out is None else out.unionByName(rows)
+    return out

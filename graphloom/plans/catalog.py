@@ -688,14 +688,14 @@ def n19_clean_response(spark, sf):
 
 @register("n20_flag_placeholders", with_views(f"""
 SELECT doc_id, len(regexp_extract_all(filled, {q('(' + PLACEHOLDER + ')')}, 1)) AS n_placeholders FROM (
-  SELECT doc_id, CASE WHEN lang = 'en' THEN replace({sql_text(P.GRAPH_TEMPLATE)}, ':<RestorationMeasureInstance>', ':doc_' || doc_id)
-                      WHEN lang = 'fr' THEN {sql_text(P.GRAPH_TEMPLATE)} ELSE text END AS filled FROM corpus)""", "corpus"))
+  SELECT doc_id, text || CASE WHEN lang = 'en' THEN replace({sql_text(P.GRAPH_TEMPLATE)}, ':<RestorationMeasureInstance>', ':doc_' || doc_id)
+                      WHEN lang = 'fr' THEN {sql_text(P.GRAPH_TEMPLATE)} ELSE '' END AS filled FROM corpus)""", "corpus"))
 def n20_flag_placeholders(spark, sf):
     c = V.corpus(spark, sf)
     filled = (F.when(F.col("lang") == "en", F.replace(F.lit(P.GRAPH_TEMPLATE), F.lit(":<RestorationMeasureInstance>"),
                                                       F.concat(F.lit(":doc_"), F.col("doc_id"))))
-              .when(F.col("lang") == "fr", F.lit(P.GRAPH_TEMPLATE)).otherwise(F.col("text")))
-    return c.select("doc_id", placeholder_count(filled).alias("n_placeholders"))
+              .when(F.col("lang") == "fr", F.lit(P.GRAPH_TEMPLATE)).otherwise(F.lit("")))
+    return c.select("doc_id", placeholder_count(F.concat("text", filled)).alias("n_placeholders"))
 
 
 # ================================================================ components, mentions, grounding, evaluation, generation
@@ -767,19 +767,25 @@ def j12_link_mentions(spark, sf):
     return base.join(per, "doc_id", "left").fillna(0, ["n_mentions"])
 
 
+# every line of every text, and every line of the text after it
 FIX_LIT_SQL = """
-SELECT c.doc_id, 'own' AS which, split_part(c.text, chr(10), 1) AS o FROM corpus c
+WITH lines AS (SELECT DISTINCT doc_id, o FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS o FROM corpus)
+               WHERE regexp_matches(o, '[^ \\t\\r\\f\\x0B]'))
+SELECT doc_id, 'own' AS which, o FROM lines
 UNION ALL
-SELECT c.doc_id, 'other', split_part(n.text, chr(10), 1) FROM corpus c JOIN corpus n
-  ON CAST(n.doc_id AS BIGINT) = CAST(c.doc_id AS BIGINT) + 1"""
+SELECT c.doc_id, 'other', n.o FROM (SELECT DISTINCT doc_id FROM corpus) c JOIN lines n ON CAST(n.doc_id AS BIGINT) = CAST(c.doc_id AS BIGINT) + 1"""
 
 
-def _fixture_literals(spark, sf):
+def _lines(spark, sf):
     c = V.corpus(spark, sf)
-    first = F.element_at(F.split(F.col("text"), "\n"), 1)
-    own = c.select("doc_id", F.lit("own").alias("which"), first.alias("o"))
-    nxt = c.select((F.col("doc_id").cast("bigint") - 1).cast("string").alias("doc_id"), first.alias("o")) \
-        .join(c.select("doc_id"), "doc_id").select("doc_id", F.lit("other").alias("which"), "o")
+    return c.select("doc_id", F.explode(F.split(F.col("text"), "\n")).alias("o")).where(F.col("o").rlike("[^ \\t\\r\\f\\x0B]")).distinct()
+
+
+def _fixture_literals(spark, sf):
+    c, lines = V.corpus(spark, sf), _lines(spark, sf)
+    own = lines.select("doc_id", F.lit("own").alias("which"), "o")
+    nxt = lines.select((F.col("doc_id").cast("bigint") - 1).cast("string").alias("doc_id"), "o") \
+        .join(c.select("doc_id").distinct(), "doc_id").select("doc_id", F.lit("other").alias("which"), "o")
     lits = own.unionByName(nxt)
     return lits.select(F.lit("r1").alias("run_id"), F.lit("fixture").alias("regime"), F.lit("fixture").alias("model"),
                        "doc_id", "which", F.concat(F.lit(":doc_"), "doc_id").alias("s"), F.lit("skos:prefLabel").alias("p"),
@@ -791,11 +797,11 @@ FOLD_SQL = "trim(regexp_replace(lower({c}), '\\s+', ' ', 'g'))"
 
 
 @register("j13_grounding", with_views(f"""
-SELECT l.doc_id, l.which, strpos({FOLD_SQL.format(c='c.text')}, {FOLD_SQL.format(c='l.o')}) > 0 AS grounded
+SELECT l.doc_id, l.which, md5(l.o) AS literal_md5, strpos({FOLD_SQL.format(c='c.text')}, {FOLD_SQL.format(c='l.o')}) > 0 AS grounded
 FROM lits l JOIN corpus c ON l.doc_id = c.doc_id""", "corpus", extra={"lits": FIX_LIT_SQL}))
 def j13_grounding(spark, sf):
     g = GR.grounding(_fixture_literals(spark, sf), V.corpus(spark, sf))
-    return g.select("doc_id", "which", "grounded")
+    return g.select("doc_id", "which", F.md5("o").alias("literal_md5"), "grounded")
 
 
 def _example_triples(spark):
@@ -818,7 +824,8 @@ def _example_keys_sql():
 
 
 LEAK_SQL = """
-SELECT doc_id, 'own' AS which, ':doc_' || doc_id AS s, split_part(text, chr(10), 1) AS o FROM corpus
+SELECT doc_id, 'own' AS which, ':doc_' || doc_id AS s, o FROM (
+  SELECT DISTINCT doc_id, o FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS o FROM corpus) WHERE regexp_matches(o, '[^ \\t\\r\\f\\x0B]'))
 UNION ALL SELECT doc_id, 'example', ':HautRhin', 'Haut-Rhin' FROM corpus WHERE lang = 'es'"""
 
 
@@ -829,8 +836,7 @@ WHERE regexp_replace(translate(lower(l.o), '{C.ACCENTED}', '{C.PLAIN}'), '[^\\p{
                                           "corpus", extra={"leaklits": LEAK_SQL, "ex": _example_keys_sql()}))
 def j14_example_leakage(spark, sf):
     c = V.corpus(spark, sf)
-    first = F.element_at(F.split(F.col("text"), "\n"), 1)
-    own = c.select("doc_id", F.lit("own").alias("which"), F.concat(F.lit(":doc_"), "doc_id").alias("s"), first.alias("o"))
+    own = _lines(spark, sf).select("doc_id", F.lit("own").alias("which"), F.concat(F.lit(":doc_"), "doc_id").alias("s"), "o")
     ex = c.where(F.col("lang") == "es").select("doc_id", F.lit("example").alias("which"), F.lit(":HautRhin").alias("s"),
                                                F.lit("Haut-Rhin").alias("o"))
     t = own.unionByName(ex).withColumn("p", F.lit("skos:prefLabel")).withColumn("o_kind", F.lit("literal"))

@@ -68,12 +68,21 @@ def test_corpus_and_graph_files(spark, tmp_dir):
 def test_timings_append_and_read(spark, tmp_dir):
     path = os.path.join(tmp_dir, "t")
     df = spark.createDataFrame([("zero_shot", "qwen2:7b", "case1.txt", 87.444)], "regime string, model string, file_name string, seconds double")
-    W.write_timings(df, path)
-    W.write_timings(df, path)
+    W.write_timings(df, path, mode="append")
+    W.write_timings(df, path, mode="append")
     t = SRC.read_timings(spark, path).collect()
     assert len(t) == 2 and t[0].model == "qwen2:7b" and abs(t[0].seconds - 87.44) < 1e-9
 
 
+def test_a_rerun_replaces_its_timings(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    df = spark.createDataFrame([("z", "qwen2:7b", "a.txt", 1.0), ("z", "qwen2:7b", "b.txt", 2.0), ("z", "llama3:8b", "a.txt", 3.0)],
+                               "regime string, model string, file_name string, seconds double")
+    W.write_timings(df, path)
+    W.write_timings(df.where("model = 'qwen2:7b'").withColumn("seconds", df.seconds + 10), path)
+    assert sorted((r.model, r.seconds) for r in SRC.read_timings(spark, path).collect()) == [("llama3:8b", 3.0), ("qwen2:7b", 11.0), ("qwen2:7b", 12.0)]
+
+
 def test_read_ontology(spark, tmp_dir):
     from graphloom.vocab import ONTO_NS as NS
     ttl = f"""@prefix owl: <http://www.w3.org/2002/07/owl#> .
