@@ -237,3 +237,49 @@ def k3_rerun(spark, sf):
     W.write_timings(t.where("model <> 'click'"), path)
     r = SRC.read_timings(spark, path)
     return r.select("model", F.col("log_file_name").alias("file_name"), F.round("seconds", 2).alias("seconds"))
+
+
+# ---------------------------------------------------------------- S2: an ontology of part types by brand, in one file for each
+_S2_SQL = """
+WITH t AS (SELECT DISTINCT lower(p_type) || '-' || replace(lower(p_brand), '#', '') AS name, replace(lower(p_brand), '#', '') AS brand,
+                  lower(p_type) AS line FROM part)
+SELECT DISTINCT kind, a, b, c FROM (
+  SELECT 'class' AS kind, name AS a, 'type ' || name AS b, CAST(NULL AS VARCHAR) AS c FROM t
+  UNION ALL SELECT 'subclass', name, brand, NULL FROM t UNION ALL SELECT 'subclass', name, line, NULL FROM t
+  UNION ALL SELECT 'restriction', name, 'hasCost', 'xsd:decimal' FROM t
+  UNION ALL SELECT 'restriction', name, 'madeBy', brand FROM t
+  UNION ALL SELECT 'property', 'hasCost', 'data', NULL FROM t UNION ALL SELECT 'domain', 'hasCost', name, NULL FROM t
+  UNION ALL SELECT 'range', 'hasCost', 'xsd:decimal', NULL FROM t)"""
+
+
+@register("s2_read_ontology", _S2_SQL)
+def s2_read_ontology(spark, sf):
+    """Restrictions stand two nodes deep, in an intersection written as list nodes
+    and in an equivalence; each type's file numbers its own nodes."""
+    from graphloom.sources.ontology import read_ontology
+    from graphloom.vocab import ONTO_NS as NS
+
+    parts = V.table(spark, sf, "part").select(F.lower("p_type").alias("line"), F.replace(F.lower("p_brand"), F.lit("#"), F.lit("")).alias("brand")).distinct()
+    name = F.concat("line", F.lit("-"), "brand")
+    iri = lambda c: F.concat(F.lit(f"<{NS}"), c, F.lit(">"))
+    head = ("@prefix owl: <http://www.w3.org/2002/07/owl#> .\n@prefix rdf: <http://www.w3.org/1999/02/22-rdf-syntax-ns#> .\n"
+            "@prefix rdfs: <http://www.w3.org/2000/01/rdf-schema#> .\n@prefix skos: <http://www.w3.org/2004/02/skos/core#> .\n"
+            "@prefix xsd: <http://www.w3.org/2001/XMLSchema#> .\n")
+    brand, line = iri(F.col("brand")), iri(F.col("line"))
+    cost = f"<{NS}hasCost>"
+    text = F.concat(
+        F.lit(head), iri(name), F.lit(' a owl:Class ; skos:prefLabel "type '), name, F.lit('"@en ; rdfs:subClassOf '), line,
+        F.lit(", _:both ;\n    owl:equivalentClass [ a owl:Class ; rdfs:subClassOf [ a owl:Restriction ; owl:onProperty <" + NS + "madeBy> ; owl:someValuesFrom "), brand,
+        F.lit(" ] ] .\n_:both a owl:Class ; owl:intersectionOf _:l1 .\n_:l1 rdf:first "), brand,
+        F.lit(" ; rdf:rest _:l2 .\n_:l2 rdf:first [ a owl:Restriction ; owl:onProperty " + cost + " ; owl:someValuesFrom xsd:decimal ] ; rdf:rest rdf:nil .\n"
+              + cost + " a owl:DatatypeProperty ; rdfs:range xsd:decimal ; rdfs:domain "), iri(name), F.lit(" .\n"))
+    root = scratch_path(spark, "ontology")
+    W.write_named_files(parts.select(F.concat(name, F.lit(".ttl")).alias("name"), text.alias("text")), root)
+    o = read_ontology(spark, root)
+    rows = lambda kind, df, *cols: df.select(F.lit(kind).alias("kind"), *[
+        (F.col(cols[i]) if i < len(cols) else F.lit(None).cast("string")).alias(x) for i, x in enumerate("abc")])
+    out = rows("class", o.classes, "name", "pref_label")
+    for part in (rows("subclass", o.subclass, "child", "parent"), rows("restriction", o.restriction, "cls", "property", "filler"),
+                 rows("property", o.properties, "name", "kind"), rows("domain", o.domain, "property", "cls"), rows("range", o.range, "property", "rng")):
+        out = out.unionByName(part)
+    return out.distinct()
