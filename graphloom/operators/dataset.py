@@ -33,11 +33,17 @@ def _ranked(df: DataFrame, slim: DataFrame, order: list[str], id_col: str) -> Da
 
 
 def train_test_split(df: DataFrame, id_col: str = "id", test_size: float = 0.1, seed: int = 65) -> DataFrame:
-    """Exact split; the first ceil(test_size * n) rows in hash order are ``test``."""
-    r = _ranked(df, df.select(id_col, hash_order(id_col, seed).alias("_h")), ["_h", id_col], id_col)
-    n_test = F.ceil(F.col("_r_total") * F.lit(test_size))
-    return r.withColumn("split", F.when(F.col("_r") <= n_test, "test").otherwise("train")) \
-            .drop("_r", "_r_total")
+    """Exact split; the first ceil(test_size * n) rows in hash order are ``test``.
+
+    Only (hash, id) is ranked, to find the last test row; every row is then
+    compared with that one place, so no payload is shuffled or joined."""
+    r = global_rank(df.select(id_col, hash_order(id_col, seed).alias("_h")), ["_h", id_col], out_col="_r")
+    last = r.where(F.col("_r") == F.ceil(F.col("_r_total") * F.lit(test_size))).select("_h", id_col).first()
+    if last is None:
+        return df.withColumn("split", F.lit("train"))
+    h = hash_order(id_col, seed)
+    test = (h < last["_h"]) | ((h == last["_h"]) & (F.col(id_col) <= F.lit(last[id_col])))
+    return df.withColumn("split", F.when(test, "test").otherwise("train"))
 
 
 def length_batches(df: DataFrame, length_col: str, id_col: str = "id", size: int = 8) -> DataFrame:
