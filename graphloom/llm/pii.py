@@ -37,6 +37,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.llm import worker
 from graphloom.llm.spans import digest, joined, ordered, replaced
 from graphloom.session import ship_package, stored
 
@@ -187,7 +188,7 @@ def disguised(text: str, start: int, end: int, turn: int) -> tuple[str, int, int
 
 SPELT_AT = (" (at) ", "(at)", " [at] ", "[at]", " @ ")
 FILLER = "the of and with for is see this our new der die und mit para con les des pour total code order number part from today".split()
-FEWEST = 100
+FEWEST = 300
 
 
 def generated(kind: str, n: int) -> list[tuple[list[float], bool]]:
@@ -350,6 +351,7 @@ def train(docs: DataFrame) -> Model | None:
     def rows(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        worker.none()
         for b in batches:
             out = [(key, *e) for key, t in zip(b.column(0).to_pylist(), b.column(1)) for e in examples(t.as_py() or "")]
             h, x, y, start, end = zip(*out) if out else [()] * 5
@@ -384,6 +386,7 @@ def scan_documents(docs: DataFrame) -> DataFrame:
     def scan(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        worker.none()
         for b in batches:
             found = [find_personal(t.as_py() or "", model.value) for t in b.column(1)]
             n = {k: pa.array([sum(x[0] == k for x in every) for _, every in found], pa.int64()) for k in KINDS}
@@ -411,6 +414,7 @@ def redact_documents(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        worker.none()
         for b in batches:
             cols = list(b.columns)
             texts = cols[at].to_pylist()

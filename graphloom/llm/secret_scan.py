@@ -3,7 +3,8 @@ stand in a credential context.
 
 Base patterns find assignments, access keys and long hex strings.  The method
 looks at every other value that a credential word introduces ("pwd: ...",
-"user_auth=...", "login is ..."), whole, up to a space or the closing quote,
+"user_auth=...", "Kennwort: ...", "mot de passe est ..."), that follow "Bearer"
+or stand as a URL's password, whole, up to a space or the closing quote,
 however long: the cheapest way to segment the value into known words, dates,
 repeats, keyboard walks and brute-force stretches is its guess cost (log10 of
 the number of guesses), and a value that takes ``HARD`` or more is reported as
@@ -26,7 +27,9 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,12 +47,19 @@ ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:
 # a run too short holds no longer match, so the least length can stand in the pattern
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-#: Words that introduce a credential, then how a value follows.
-CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "key", "credential", "login", "auth", "pin")
+#: Words that introduce a credential (English, German, French, Spanish), then how a value follows.
+CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "key", "credential", "login", "auth", "pin", "kennwort", "zugang", "schl", "mot", "mdp", "jeton",
+                 "contrase", "clave", "secreto")
+_INTRODUCES = (r"(?:pass(?:[ _-]?word|wd|phrase|code|wort)?|pwd|secret|token|(?:api|access|private|secret)[_ -]?key|credentials?|login|auth|pin"
+               r"|kennwort|zugangs(?:code|daten|schl\u00fcssel)|geheim(?:nis|wort)|schl\u00fcssel|mot[ _-]de[ _-]passe|mdp|jeton|cl[e\u00e9] (?:secr[e\u00e8]te|priv[e\u00e9]e)"
+               r"|contrase(?:\u00f1|n)a|clave|secreto)")
 CONTEXT = re.compile(
-    r"""(?i:(?<![A-Za-z0-9])(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|(?:api|access|private|secret)[_ -]?key|credentials?|login|auth|pin))"""
+    rf"""(?i:(?<![^\W_]){_INTRODUCES})"""
     # a quoted value ends at its own quote, another one at any quote or markup; <...> is a blank to fill in
-    r"""["']?\x20*(?:[:=]>?|->|\x20is\x20)\x20*(?:"(?!<)([^\s"]{4,})|'(?!<)([^\s']{4,})|([^\s"'<>]{4,}))""", re.A)
+    r"""["']?\x20*(?:[:=]>?|->|\x20(?:is|ist|est|es)\x20)\x20*(?:"(?!<)([^\s"]{4,})|'(?!<)([^\s']{4,})|([^\s"'<>]{4,}))""")
+#: Schemes of an authorization header, and the password of a URL.
+SCHEMES = re.compile(r"(?i:(?<![^\W_])(?:bearer|basic|digest|authorization:\x20*token))\x20+([A-Za-z0-9+/_.~=-]{4,})")
+URL_PASSWORD = re.compile(r"://[^\s/@:?#\"'<>]*:([^\s/@?#\"'<>]{4,})@")
 
 ROWS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz")
 WALKS = "\n".join(ROWS + tuple(r[::-1] for r in ROWS))
@@ -178,22 +188,40 @@ def guess_cost(value: str, ranks: dict[str, int] | AnyWord, hard: float = math.i
 
 
 def context_values(text: str) -> Iterator[tuple[int, int]]:
-    """Values that a credential word introduces."""
-    low = text.lower()
-    if not any(k in low for k in CONTEXT_WORDS):
-        return
-    for m in CONTEXT.finditer(text):
-        s, e = m.span(m.lastindex)
+    """Values that a credential word introduces, that follow the scheme of an
+    authorization header, or stand as the password in a URL; each once, in order."""
+    low, out = text.lower(), set()
+    if any(k in low for k in CONTEXT_WORDS):
+        out.update(m.span(m.lastindex) for m in CONTEXT.finditer(text))
+    if any(k in low for k in ("bearer", "basic", "digest", "authorization")):
+        out.update(m.span(1) for m in SCHEMES.finditer(text))
+    if "@" in text and "://" in text:
+        out.update(m.span(1) for m in URL_PASSWORD.finditer(text))
+    reach = -1
+    for s, e in sorted(out):
         e = s + len(text[s:e].rstrip(".,;:!?)]}"))
-        if e - s >= 4:
+        if e - s >= 4 and e > reach:  # not inside a value before it
             yield s, e
+            reach = e
+
+
+class Within:
+    """Base spans, for asking whether one of them holds a span."""
+
+    def __init__(self, base: list):
+        spans = sorted((s, e) for _, s, e in base)
+        self.starts, self.reach = [s for s, _ in spans], list(accumulate((e for _, e in spans), max))
+
+    def __contains__(self, span: tuple[int, int]) -> bool:
+        at = bisect_right(self.starts, span[0])
+        return at > 0 and self.reach[at - 1] >= span[1]
 
 
 def find_secrets(text: str, ranks: dict[str, int], hard: float = HARD) -> tuple[list, list]:
     """-> base spans, all spans, each in order."""
     base = base_spans(text)
-    more = [("guess", s, e) for s, e in context_values(text)
-            if not any(a <= s and e <= b for _, a, b in base) and guess_cost(text[s:e], ranks, hard) >= hard]
+    held = Within(base)
+    more = [("guess", s, e) for s, e in context_values(text) if (s, e) not in held and guess_cost(text[s:e], ranks, hard) >= hard]
     return ordered(base, KINDS), ordered(base + more, KINDS)
 
 
@@ -243,8 +271,9 @@ def _scan(hard: float):
             for t in b.column(1):
                 text = t.as_py() or ""
                 base, more, todo, values = base_spans(text), [], [], list(context_values(text))
+                held = Within(base)
                 for s, e in values:
-                    if not any(x <= s and e <= y for _, x, y in base):
+                    if (s, e) not in held:
                         sure = without_words(text[s:e], hard)
                         if sure:
                             more.append(("guess", s, e))

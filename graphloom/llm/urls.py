@@ -11,7 +11,8 @@ Labelled URLs come from the caller (``labelled``: url, label 1 for block), or
 else from the table itself: what a rule decides has the rule's label, a host
 with one of the ``SEEDS`` words is blocked, and every other URL counts as
 allowed (positive and unlabelled learning).  Statistics cover all labelled
-URLs; the trees are fitted on a bounded sample (``SAMPLE``, by hash order).
+URLs, for a labelled URL those of other hosts only; the trees are fitted on a
+bounded sample of distinct URLs of each label (``SAMPLE``, by hash order).
 
 Defined results: a null URL, or one without "://", has an empty host and path,
 fits no rule with a path and is judged by its features; repeated URLs get the
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 from graphloom.llm.common import lookup
 from graphloom.session import stored
 
-SAMPLE = 20_000
+#: Distinct URLs of each label that the trees are fitted on.
+SAMPLE = 10_000
 #: Host words that mark a labelled bad URL.
 SEEDS = ("casino", "pills", "adult", "ads", "track", "porn", "viagra")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -78,21 +80,33 @@ def lexical(d: DataFrame) -> DataFrame:
         "_suffix1": F.substring_index("host", ".", -1), "_suffix2": F.substring_index("host", ".", -2)})
 
 
-def suffix_shares(labelled: DataFrame, overall: float) -> dict[str, DataFrame]:
-    """Blocked share and count of all labelled URLs by last one and two host parts."""
+def suffix_counts(labelled: DataFrame) -> dict[str, DataFrame]:
+    """Blocked and all labelled URLs by last one and two host parts (1, 2), and by host (0)."""
     out = {}
-    for k in ("1", "2"):
-        g = labelled.groupBy(f"_suffix{k}").agg(F.sum("label").alias("bad"), F.count(F.lit(1)).alias("n"))
-        out[k] = stored(g.select(F.col(f"_suffix{k}").alias(f"_k{k}"), ((F.col("bad") + SMOOTH * overall) / (F.col("n") + SMOOTH)).alias(f"f_share{k}"),
-                                 F.log1p(F.col("n")).alias(f"f_seen{k}")), "suffix-shares")
+    for k, c in (("0", "host"), ("1", "_suffix1"), ("2", "_suffix2")):
+        g = labelled.groupBy(F.col(c).alias(f"_k{k}")).agg(F.sum("label").alias(f"_bad{k}"), F.count(F.lit(1)).alias(f"_n{k}"))
+        out[k] = stored(g, "suffix-counts")
     return out
 
 
-def with_shares(d: DataFrame, shares: dict[str, DataFrame], overall: float) -> DataFrame:
-    for k, s in shares.items():
-        d = lookup(d, s, F.col(f"_suffix{k}") == F.col(f"_k{k}"), F.col("url")).drop(f"_k{k}") \
-            .fillna({f"f_share{k}": overall, f"f_seen{k}": 0.0})
-    return d
+def with_shares(d: DataFrame, counts: dict[str, DataFrame], overall: float, own: bool) -> DataFrame:
+    """Add blocked share and count of the labelled URLs under the same suffixes;
+    ``own``: without those of the URL's own host, so that a label is never told
+    by itself or by its copies."""
+    for k, c in (("0", "host"), ("1", "_suffix1"), ("2", "_suffix2")):
+        d = lookup(d, counts[k], F.col(c) == F.col(f"_k{k}"), F.col("url")).drop(f"_k{k}")
+    d = d.fillna(0, [f"_{x}{k}" for x in ("bad", "n") for k in "012"])
+    for k in "12":
+        bad, n = (F.col(f"_{x}{k}") - (F.col(f"_{x}0") if own else F.lit(0)) for x in ("bad", "n"))
+        d = d.withColumns({f"f_share{k}": (bad + SMOOTH * overall) / (n + SMOOTH), f"f_seen{k}": F.log1p(n)})
+    return d.drop(*[f"_{x}{k}" for x in ("bad", "n") for k in "012"])
+
+
+def sampled(train: DataFrame) -> DataFrame:
+    """Up to ``SAMPLE`` distinct URLs of each label, by hash order, with the number of their rows."""
+    distinct = train.groupBy(*[c for c in train.columns if c not in ("page_id", "_ruled", "rule")]).agg(F.count(F.lit(1)).cast("double").alias("_weight"))
+    parts = [distinct.where(F.col("label") == k).orderBy(F.xxhash64("url"), "url").limit(SAMPLE) for k in (0, 1)]
+    return parts[0].unionByName(parts[1])
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], labelled: DataFrame | None = None,
@@ -123,13 +137,11 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], labelled: Da
     if overall in (0.0, 1.0):  # labels of one kind: nothing to fit
         return all_urls.withColumn("_score", F.lit(overall)).select(*result)
 
-    shares = suffix_shares(train, overall)
-    sample = train.orderBy(F.xxhash64("url"), "url").limit(SAMPLE)
+    counts = suffix_counts(train)
     vectors = VectorAssembler(inputCols=NUMBERS, outputCol="_x")
-    rows = stored(with_shares(sample, shares, overall).select("label", *NUMBERS), "url-sample")
-    if rows.agg(F.count_distinct("label")).first()[0] < 2:
-        return all_urls.withColumn("_score", F.lit(overall)).select(*result)
-    model = GBTClassifier(featuresCol="_x", labelCol="label", maxIter=15, maxDepth=4, stepSize=0.2, seed=7) \
-        .fit(vectors.transform(rows).select("label", "_x"))
-    scored = model.transform(vectors.transform(with_shares(all_urls, shares, overall)))
+    rows = stored(with_shares(sampled(train), counts, overall, True).select("label", "_weight", *NUMBERS), "url-sample")
+    model = GBTClassifier(featuresCol="_x", labelCol="label", weightCol="_weight", maxIter=15, maxDepth=4, stepSize=0.2, seed=7) \
+        .fit(vectors.transform(rows).select("label", "_weight", "_x"))
+    # labels taken from the table itself are not known of the URL that is judged
+    scored = model.transform(vectors.transform(with_shares(all_urls, counts, overall, labelled is None)))
     return scored.withColumn("_score", vector_to_array("probability")[1]).select(*result)
