@@ -812,11 +812,13 @@ def _example_triples(spark):
 
 
 def _example_keys_sql():
-    from graphloom.operators.turtle_reader import parse_turtle
+    """The example's subjects (they stand at the start of a line) and labels, by
+    plain patterns: the twin does not read them with the parser."""
+    import re
+
     from graphloom.plans.oracle_views import _values
-    tr, _ = parse_turtle(P.EXAMPLE_GRAPH)
-    names = sorted({s for _, s, *_ in tr})
-    labels = sorted({o for _, s, p, o, k, *_ in tr if k == "literal" and p in ("skos:prefLabel", "rdfs:label")})
+    names = sorted(set(re.findall(r"(?m)^(:\S+)", P.EXAMPLE_GRAPH)))
+    labels = sorted(set(re.findall(r'(?:skos:prefLabel|rdfs:label)\s+"([^"]*)"', P.EXAMPLE_GRAPH)))
     fold = "regexp_replace(translate(lower({c}), '" + C.ACCENTED + "', '" + C.PLAIN + "'), '[^\\p{{L}}\\p{{N}}]', '', 'g')"
     loc = "regexp_replace(trim({c}), '" + "^<?(?:[^#>]*#|[A-Za-z][\\w.-]*:|:)?([^>]*)>?$" + "', '\\1')"
     return (f"SELECT DISTINCT k FROM (SELECT {fold.format(c=loc.format(c='v'))} AS k FROM ({_values([(n,) for n in names], 'v')}) "
