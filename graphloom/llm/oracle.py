@@ -8,31 +8,37 @@ _WORDS = "regexp_extract_all(coalesce({}, ''), '[^\\x20\\x09-\\x0D]+')"
 #: op12 by plain counting: every phrase of one to five words in a table, cuts by joins.
 OP12 = r"""
 WITH d AS (
-  SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+  SELECT coalesce(lang, 'und') AS lang,
          string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                             '[.,;:!?\x0A-\x0D]') AS pieces
   FROM documents),
-p AS (SELECT lang, regexp_extract_all(unnest(pieces), '[^ \x09]+') AS w FROM d),
-g AS (
-  SELECT lang, k, list_slice(w, i, i + k - 1) AS g FROM (
-    SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, range(1, 6) AS t(k) WHERE len(w) >= k)),
-f AS (SELECT lang, k, g, count(*) AS f FROM g GROUP BY ALL),
+p AS (SELECT row_number() OVER () AS pid, lang, regexp_extract_all(piece, '[^ \x09]+') AS ws FROM (SELECT lang, unnest(pieces) AS piece FROM d)),
+t AS (SELECT pid, lang, unnest(ws) AS w, unnest(range(len(ws))) AS pos FROM p),
+o AS (
+  SELECT lang, w AS a, lead(w, 1) OVER s AS b, lead(w, 2) OVER s AS c, lead(w, 3) OVER s AS d, lead(w, 4) OVER s AS e
+  FROM t WINDOW s AS (PARTITION BY pid ORDER BY pos)),
+f AS (
+  SELECT lang, k, g, count(*) AS f FROM (
+    SELECT lang, 1 AS k, a AS g FROM o
+    UNION ALL SELECT lang, 2, a || ' ' || b FROM o WHERE b IS NOT NULL
+    UNION ALL SELECT lang, 3, a || ' ' || b || ' ' || c FROM o WHERE c IS NOT NULL
+    UNION ALL SELECT lang, 4, a || ' ' || b || ' ' || c || ' ' || d FROM o WHERE d IS NOT NULL
+    UNION ALL SELECT lang, 5, a || ' ' || b || ' ' || c || ' ' || d || ' ' || e FROM o WHERE e IS NOT NULL) GROUP BY ALL),
 n AS (SELECT lang, sum(f)::HUGEINT AS n FROM f WHERE k = 1 GROUP BY lang),
-c AS (SELECT lang, k, g, f AS a FROM f WHERE k >= 2 AND f >= 100),
-cuts AS (
-  SELECT c.lang, c.g, c.a, x.f AS l, y.f AS r, n.n, j,
-         (1000::HUGEINT * c.a * n.n) // (x.f::HUGEINT * y.f::HUGEINT) AS score
-  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
-  JOIN f x ON x.lang = c.lang AND x.g = list_slice(c.g, 1, c.j)
-  JOIN f y ON y.lang = c.lang AND y.g = list_slice(c.g, c.j + 1, c.k)
-  JOIN n ON n.lang = c.lang),
-best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
-inner_parts AS (
-  SELECT lang, list_slice(g, s, s + m - 1) AS g, max(a) AS longest FROM (
-    SELECT lang, g, a, m, unnest(range(1, k - m + 2)) AS s FROM c, range(2, 5) AS t(m) WHERE m < k) GROUP BY ALL),
+c AS (SELECT lang, k, g, f AS a, string_split(g, ' ') AS ws FROM f WHERE k >= 2 AND f >= 100),
+halves AS (
+  SELECT lang, g, a, j, array_to_string(ws[1:j], ' ') AS first_part, array_to_string(ws[j + 1:k], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+best AS (
+  SELECT h.lang, h.g, h.a, x.f AS l, y.f AS r, n.n, (1000::HUGEINT * h.a * n.n) // (x.f::HUGEINT * y.f::HUGEINT) AS score
+  FROM halves h JOIN f x ON x.lang = h.lang AND x.g = h.first_part JOIN f y ON y.lang = h.lang AND y.g = h.rest JOIN n ON n.lang = h.lang
+  QUALIFY row_number() OVER (PARTITION BY h.lang, h.g ORDER BY score, j) = 1),
+inside AS (
+  SELECT lang, g, max(a) AS longest FROM (
+    SELECT lang, a, array_to_string(ws[s:s + m - 1], ' ') AS g
+    FROM (SELECT *, unnest(range(1, k - m + 2)) AS s FROM (SELECT *, unnest(range(2, k)) AS m FROM c))) GROUP BY ALL),
 kept AS (
-  SELECT best.lang, array_to_string(best.g, ' ') AS phrase, a, l, r, n, score FROM best
-  LEFT JOIN inner_parts i ON i.lang = best.lang AND i.g = best.g
+  SELECT b.lang, b.g AS phrase, a, l, r, n, score FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.g = b.g
   WHERE i.longest IS NULL OR 100 * i.longest < 100 * a)
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
        phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
