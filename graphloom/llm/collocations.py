@@ -2,8 +2,14 @@
 
 Counts are never looked up in tables; they are streams in a sorted order.
 
+0. A phrase of the least count has words and word pairs of the least count.  One
+   pass counts words and pairs by a 64-bit checksum; those that reach it are marked
+   in bitmaps of fixed size (``SIEVE_BITS``), which tasks ask.  Two keys that share
+   a mark cost a little work, no key is missed, so results do not depend on the
+   bitmaps; where vocabularies outgrow them, less is sieved.
 1. Each word occurrence gives one window: the word and up to four before it in
-   its piece, last word first.  Tasks count equal windows before they leave.
+   its piece, last word first, as far as all pairs pass.  A word that does not
+   pass gives the empty window.  Tasks count equal windows before they leave.
 2. Windows in *suffix order* (range partitions, sorted): all windows that begin
    with the same k reversed words stand together, so one pass gives the count of
    every phrase of every length, and of each language as the phrase of no words.
@@ -29,13 +35,14 @@ ignored.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from graphloom.llm import worker
+from graphloom.llm.shingles import mix
 from graphloom.session import cut_lineage, ship_package, stored
 
 LONGEST = 5
@@ -44,45 +51,145 @@ WINDOWS_HELD = 400_000
 SALTS = 64
 #: A word's end in a key.  No word holds it, so equal beginnings stand together.
 END = b"\n"
-_PIECE_ENDS = re.compile(rb"[.,;:!?\x0a-\x0d]")
+#: Piece ends as full stops (no word holds one); A-Z lower-cased.
+_PLAIN = bytes.maketrans(b"\n,;:!?\x0b\x0c\rABCDEFGHIJKLMNOPQRSTUVWXYZ", b"." * 9 + b"abcdefghijklmnopqrstuvwxyz")
+_STOP = b"."
+SIEVE_BITS = 1 << 25
+#: Words whose checksum is kept, and checksums that are counted at once.
+WORDS_KEPT, SUMS_HELD = 200_000, 2_000_000
 
 
-def _windows(batches: Iterator) -> Iterator:
-    """(lang, text bytes) -> lang, key of a window, how often."""
+class _Checksums(dict):
+    """word (bytes) -> 64-bit checksum; 0 is the end of a piece."""
+
+    def __missing__(self, w: bytes) -> int:
+        import xxhash
+
+        if len(self) > WORDS_KEPT:
+            self.clear()
+        h = 0 if w == _STOP else xxhash.xxh3_64_intdigest(w) | 1
+        if len(w) <= 64:
+            self[w] = h
+        return h
+
+
+def _words(text: bytes, sums: _Checksums, lang: int):
+    """Words of a text with stops between its pieces; checksums of each word and
+    of each pair with the word before it (0 where there is none)."""
+    import numpy as np
+
+    words = text.translate(_PLAIN).replace(_STOP, b" . ").split()
+    h = np.fromiter(map(sums.__getitem__, words), np.uint64, len(words))
+    pair = np.zeros_like(h)
+    inside = (h[1:] != 0) & (h[:-1] != 0)
+    pair[1:][inside] = mix(h[:-1][inside] * np.uint64(0x9E3779B97F4A7C15) + h[1:][inside] + np.uint64(lang)) | np.uint64(1)
+    some = h != 0
+    h[some] = mix(h[some] + np.uint64(lang)) | np.uint64(1)
+    return words, h, pair
+
+
+def _lang_sum(lang: str) -> int:
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(lang.encode())
+
+
+def _sums(batches: Iterator) -> Iterator:
+    """(lang, text bytes) -> kind (0 word, 1 pair), checksum, how often."""
+    import numpy as np
     import pyarrow as pa
 
-    held: dict[str, Counter] = {}
+    worker.none()
+    sums, held, n = _Checksums(), [[], []], 0
 
     def out():
-        for lang, found in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found.keys(), pa.binary()),
-                                              pa.array(found.values(), pa.int64())], names=["lang", "key", "n"])
-        held.clear()
+        for kind, parts in enumerate(held):
+            if parts:
+                h, k = np.unique(np.concatenate(parts), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), kind, np.int8)), pa.array(h.view(np.int64)), pa.array(k)], names=["kind", "h", "n"])
+                parts.clear()
 
     for b in batches:
         for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
             text = text.as_py()
             if not text:
                 continue
-            found = held.setdefault(lang, Counter())
-            for piece in _PIECE_ENDS.split(text.lower()):  # of bytes: A-Z only
-                words = piece.split()
-                if not words:
-                    continue
-                words.reverse()
-                at, ends = 0, [0]
-                for w in words:
-                    at += len(w) + 1
-                    ends.append(at)
-                joined = END.join(words) + END
-                last = ends[LONGEST:]
-                last += [at] * (len(words) - len(last))
-                found.update([joined[x:y] for x, y in zip(ends, last)])
-            if sum(map(len, held.values())) > WINDOWS_HELD:
+            for parts, h in zip(held, _words(text, sums, _lang_sum(lang))[1:]):
+                parts.append(h[h != 0])
+                n += len(h)
+            if n > SUMS_HELD:
                 yield from out()
+                n = 0
     yield from out()
 
 
+def _sieves(texts: DataFrame, least: int) -> list[bytes]:
+    """The bitmaps of the words and pairs whose n reaches ``least``: SIEVE_BITS / 8
+    bytes each, whatever there is to mark."""
+    counts = texts.mapInArrow(_sums, "kind byte, h long, n long").groupBy("kind", "h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    at = F.shiftrightunsigned("h", 1).bitwiseAND(F.lit(SIEVE_BITS - 1)) + 1  # the last bit is always set
+    parts = counts.select("kind", at.alias("at")).groupBy("kind", F.bitmap_bucket_number("at").alias("b")) \
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    out = [bytearray(SIEVE_BITS // 8), bytearray(SIEVE_BITS // 8)]
+    for r in parts.collect():
+        first = (r["b"] - 1) * len(r["bits"])
+        out[r["kind"]][first:first + len(r["bits"])] = r["bits"]
+    return [bytes(o) for o in out]
+
+
+def _windows(texts: DataFrame, sieves: list[bytes]) -> DataFrame:
+    """(lang, text bytes) -> lang, key of a window, how often, counted as far as a task holds them."""
+    sent = texts.sparkSession.sparkContext.broadcast(sieves)
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        worker.none()
+        sums, held = _Checksums(), {}
+        marks = [np.frombuffer(s, np.uint8) for s in sent.value]
+
+        def passes(bits, h):
+            at = (h >> np.uint64(1)) & np.uint64(SIEVE_BITS - 1)
+            return (h != 0) & ((bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+
+        def out():
+            for lang, found in held.items():
+                keys = [k + END if k else k for k in found]
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(keys, pa.binary()),
+                                                  pa.array(found.values(), pa.int64())], names=["lang", "key", "n"])
+            held.clear()
+
+        for b in batches:
+            for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
+                text = text.as_py()
+                if not text:
+                    continue
+                words, h, pair = _words(text, sums, _lang_sum(lang))
+                linked = np.append(passes(marks[1], pair), False)  # with the word before; one more for what follows the last
+                run_of = linked[:-1] | linked[1:]
+                alone = passes(marks[0], h) & ~run_of
+                found = held.setdefault(lang, Counter())
+                found.update([words[i] for i in np.flatnonzero(alone).tolist()])
+                found[b""] += int((h != 0).sum() - alone.sum() - run_of.sum())
+                edge = np.diff(linked.astype(np.int8), prepend=0)
+                for first, after in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()):
+                    run = words[first - 1:after]  # a run of words whose pairs all pass
+                    run.reverse()
+                    ends = [0]
+                    for w in run:
+                        ends.append(ends[-1] + len(w) + 1)
+                    joined = END.join(run) + END
+                    last = ends[LONGEST:]
+                    last += [ends[-1]] * (len(run) - len(last))
+                    found.update([joined[x:y - 1] for x, y in zip(ends, last)])
+                if sum(map(len, held.values())) > WINDOWS_HELD:
+                    yield from out()
+        yield from out()
+
+    return texts.mapInArrow(run, "lang string, key binary, n long")
+
+
 def _fold(least: int):
     """Sorted (lang, key, n) -> the phrases of each length with their counts:
     those of ``least`` at least, and those that touch an end of the partition
@@ -296,7 +403,7 @@ def phrase_scores(docs: DataFrame, least: int = 100, percent: int = 100, text_co
     that occurs ``least`` times and lies in no longer one of ``percent`` of its count."""
     ship_package(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.encode(F.col(text_col), "utf-8").alias("text"))
-    windows = stored(texts.mapInArrow(_windows, "lang string, key binary, n long"), "windows")
+    windows = stored(_windows(texts, _sieves(texts, least)), "windows")
     folded = windows.repartitionByRange("lang", "key").sortWithinPartitions("lang", "key") \
         .mapInArrow(_fold(least), "lang string, key binary, size long, f long, edge boolean")
     folded = stored(folded, "folded")
