@@ -27,8 +27,8 @@ _CUT = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: pre-tokenizer here cuts it between the two and nowhere else, and no
 #: normaliser but lower-casing changes it.
 _PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
-#: Units of a generation, and cores, that are kept (about 150 bytes each).
-UNITS_KEPT = 350_000
+#: Units of a generation that are kept (about 170 bytes each), and runs of marks.
+UNITS_KEPT, MARKS_KEPT = 250_000, 10_000
 LONGEST_KEPT = 64
 
 
@@ -84,7 +84,7 @@ class Encoder:
         self.lower = "Lowercase" in str(self.tok.normalizer)
         self.model = self.tok.model
         self.chars = _Chars()
-        self.pieces: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
         self.kept: dict[str | bytes, bytes] = {}
         self.older: dict[str | bytes, bytes] = {}
 
@@ -99,12 +99,19 @@ class Encoder:
         ids = [t.id for t in self.model.tokenize("".join(map(self.chars.__getitem__, piece)))]
         return array("I", ids).tobytes() if sys.byteorder == "little" else struct.pack(f"<{len(ids)}I", *ids)
 
-    def kept_piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
+    def core(self, text: str, blank: bool) -> bytes:
+        """Ids of a run of letters, kept under the unit that it is by itself."""
+        key = (text if blank else "\x00" + text) if self.spaced else text.encode()
+        ids = self.kept.get(key) or self.older.get(key) or self.piece(" " + text if blank else text)
+        self.kept[key] = ids
+        return ids
+
+    def mark(self, marks: str) -> bytes:
+        ids = self.marks.get(marks)
         if ids is None:
-            if len(self.pieces) > UNITS_KEPT:
-                self.pieces.clear()
-            ids = self.pieces[piece] = self.piece(piece)
+            if len(self.marks) > MARKS_KEPT:
+                self.marks.clear()
+            ids = self.marks[marks] = self.piece(marks)
         return ids
 
     def unit(self, unit: str | bytes) -> bytes | None:
@@ -118,14 +125,10 @@ class Encoder:
         if not got or len(text) > LONGEST_KEPT:
             return None
         core, marks = got.groups()
-        if self.lower:
-            core = core.lower()
-        elif self.spaced and first not in "\x00\n":
-            core = " " + core
-        ids = self.kept_piece(core)
+        ids = self.core(core.lower() if self.lower else core, self.spaced and first not in "\x00\n")
         if marks:
-            ids += self.kept_piece(marks)
-        return self.kept_piece("\n") + ids if first == "\n" else ids
+            ids += self.mark(marks)
+        return self.mark("\n") + ids if first == "\n" else ids
 
     def encode(self, text: str | None) -> bytes:
         """Ids of one text; a null text is empty."""
