@@ -1,8 +1,7 @@
 """Weakly connected components of each graph (stronger form of J8).
 
-The rounds grow with the logarithm of a component's size and there is no limit
-on them (``operators.linking``); individuals without an edge are components of
-their own.
+The rounds grow with the logarithm of the nodes and there is no limit on them
+(``operators.linking``); individuals without an edge are components of their own.
 """
 
 from __future__ import annotations
@@ -21,8 +20,5 @@ def components(canon: DataFrame, graph: list[str] | None = None) -> DataFrame:
     graph = graph or GRAPH
     e = canon.where((F.col("o_kind") != "literal") & (F.col("p_canon") != "rdf:type")) \
         .select(*graph, F.col("s_key").alias("a"), F.col("o_key").alias("b"))
-    comp = connected_components(e, graph)
-    # nodes with an edge are in comp; the others are subjects, or point at themselves
-    nodes = canon.select(*graph, F.col("s_key").alias("node")).distinct()
-    alone = nodes.join(comp, [*graph, "node"], "left_anti").withColumn("component", F.col("node"))
-    return comp.unionByName(alone)
+    # subjects without an edge are components of their own
+    return connected_components(e, graph, canon.select(*graph, F.col("s_key").alias("node")))

@@ -1,62 +1,115 @@
 """Connected components of an edge list, as a general helper.
 
-Alternating large-star / small-star rounds (Kiveris et al., "Connected
-Components in MapReduce and Beyond"): each round rewires edges towards the
-smallest neighbour, so the number of rounds grows with the logarithm of the
-component size, not with its diameter.  There is no round limit: the loop ends
-when a round leaves the edge set as it was.  The pass that compares the edge
-sets of two rounds also sketches their frequent ends, and the next round's joins
-deal the edges of such hubs over all tasks.
+Randomised contraction (Boegeholz, Brand and Todor, "In-database connected
+component analysis"): in each round every node goes to the node of least hash in
+its closed neighbourhood, with another hash each round, and the edges are
+rewritten to those.  A constant share of the nodes goes in each round on any
+graph, so the rounds grow with the logarithm of the nodes, their cost falls
+geometrically, and all of them together cost a few passes over the edges.
+Nodes are 64-bit numbers meanwhile, and names are put back once.  Edges of hubs
+are dealt over all tasks (``skew.split_join``).  There is no round limit; what a
+round leaves below ``LEFT`` edges is finished in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.operators.skew import hot_limit, sketch_of, split_join
+from graphloom.operators.skew import hot_keys, hot_limit, sketch_of, split_join
 from graphloom.session import stored
 
+#: Edges, at most, that one task finishes.
+LEFT = 100_000
+#: Edges below which no hub is looked for.
+FEW = 100_000
+
+
+def _size_and_hubs(e: DataFrame) -> tuple[int, list[int], list[int]]:
+    r = e.agg(F.count(F.lit(1)).alias("n"), sketch_of(["a"]).alias("ta"), sketch_of(["b"]).alias("tb")).first()
+    if r["n"] <= FEW:
+        return r["n"], [], []
+    limit = hot_limit(r["n"], int(e.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ta, tb = ([x["item"] for x in r[t] or [] if x["count"] > limit] for t in ("ta", "tb"))
+    return r["n"], ta, tb
+
+
+def _finish(batches):
+    """(a, b) of all edges left -> (v, root) by union and find."""
+    import pyarrow as pa
+
+    up: dict[int, int] = {}
+
+    def find(x):
+        while up.setdefault(x, x) != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for t in batches:
+        for a, b in zip(t.column(0).to_pylist(), t.column(1).to_pylist()):
+            a, b = find(a), find(b)
+            up[max(a, b)] = min(a, b)
+    v = list(up)
+    for i in range(0, len(v), 20000):
+        part = v[i:i + 20000]
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([find(x) for x in part], pa.int64())], names=["v", "root"])
 
-def _mark(edges: DataFrame, keys: list[str]) -> tuple:
-    """Order-insensitive fingerprint of a (distinct) edge set, two scalars, and
-    the hashes of the ends that hold much of it."""
-    r = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*edges.columns).cast("decimal(38,0)")).alias("h"),
-                  sketch_of([*keys, "a"]).alias("ta"), sketch_of([*keys, "b"]).alias("tb")).first()
-    limit = hot_limit(r["n"], int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return (r["n"], r["h"]), sorted({x["item"] for t in ("ta", "tb") for x in r[t] or [] if x["count"] > limit})
 
+def _roots(edges: DataFrame) -> DataFrame:
+    """edges (a, b) of bigint, no loops -> (v, root): one row per node, one root
+    per component."""
+    e = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    n, hot_a, hot_b = _size_and_hubs(e)
+    steps = []
+    while n > LEFT:
+        def h(c: str) -> Column:
+            return F.xxhash64(F.lit(len(steps)), F.col(c))
 
-def _large_star(e: DataFrame, keys: list[str], hot: list[int]) -> DataFrame:
-    both = e.select(*keys, "a", "b").unionByName(e.select(*keys, F.col("b").alias("a"), F.col("a").alias("b")))
-    low = both.groupBy(*keys, "a").agg(F.min(F.least("a", "b")).alias("_m"))
-    return split_join(both.where("b > a"), low, [*keys, "a"], "inner", hot).select(*keys, F.col("b").alias("a"), F.col("_m").alias("b")) \
-        .where("a <> b").distinct()
+        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min(F.struct(h("b").alias("h"), "b")).alias("m"))
+        own = F.struct(h("a").alias("h"), F.col("a").alias("b"))
+        to = stored(least.select(F.col("a").alias("v"), F.least(own, "m")["b"].alias("r")), "contraction")
+        steps.append(to)
+        e = split_join(e, to.select(F.col("v").alias("a"), F.col("r").alias("ra")), ["a"], "inner", hot_a)
+        e = split_join(e, to.select(F.col("v").alias("b"), F.col("r").alias("rb")), ["b"], "inner", hot_b)
+        e = stored(e.where("ra <> rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct(), "edges")
+        n, hot_a, hot_b = _size_and_hubs(e)
+    # (no more than LEFT rows)
+    roots = e.coalesce(1).mapInArrow(_finish, "v long, root long")
+    for to in reversed(steps):
+        hot = hot_keys(to, ["r"])[0]
+        roots = split_join(to, roots.withColumnRenamed("v", "r"), ["r"], "left", hot).select("v", F.coalesce("root", "r").alias("root"))
+    return stored(roots, "roots")
 
 
-def _small_star(e: DataFrame, keys: list[str], hot: list[int]) -> DataFrame:
-    down = e.select(*keys, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    low = down.groupBy(*keys, "a").agg(F.min("b").alias("_m"))
-    moved = split_join(down, low, [*keys, "a"], "inner", hot).where("b <> _m").select(*keys, F.col("b").alias("a"), F.col("_m").alias("b"))
-    return moved.unionByName(low.select(*keys, "a", F.col("_m").alias("b"))).distinct()
+def _number(keys: list[str], c: str, seed: int) -> Column:
+    """A node's number: a hash of graph and name (nulls told from one another)."""
+    cols = [F.col(x) for x in [*keys, c]]
+    return F.xxhash64(F.lit(seed), *cols, *[x.isNull() for x in cols])
 
 
-def connected_components(edges: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def connected_components(edges: DataFrame, keys: list[str] | None = None, nodes: DataFrame | None = None) -> DataFrame:
     """edges (keys..., a, b) -> (keys..., node, component) for every node that
     has an edge to another node; ``component`` is the smallest node reachable.
     Components never cross ``keys``.  Loops and repeated edges change nothing;
-    rows with a null end are ignored; no edges give no rows."""
+    rows with a null end or key are ignored; no edges give no rows.  ``nodes``
+    (keys..., node), repeated or not, are in the result whether they have an edge
+    or not."""
     keys = keys or []
-    e = edges.where("a is not null and b is not null and a <> b") \
-        .select(*keys, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    e = stored(e, "edges")
-    before, hot = _mark(e, keys)
-    while before[0]:
-        e = stored(_small_star(_large_star(e, keys, hot), keys, hot), "edges")
-        now, hot = _mark(e, keys)
-        if now == before:
-            break
-        before = now
-    # every remaining edge points from a node to its component's smallest node
-    roots = e.select(*keys, F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return e.select(*keys, F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+    e = edges.where(reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in [*keys, "a", "b"]]) & (F.col("a") != F.col("b")))
+    if not keys and nodes is None and all(dict(edges.dtypes)[c] == "bigint" for c in "ab"):
+        named = _roots(e.select("a", "b")).select(F.col("v").alias("node"), "root")
+    else:
+        # both ends in one pass over the edges
+        ends = e.select(*keys, F.explode(F.array("a", "b")).alias("node"))
+        ends = stored((ends if nodes is None else ends.unionByName(nodes.select(*keys, "node"))).distinct(), "nodes")
+        seed = 0
+        while not ends.groupBy(_number(keys, "node", seed).alias("v")).count().where("count > 1").isEmpty():
+            seed += 1  # two nodes of one number: other numbers
+        roots = _roots(e.select(_number(keys, "a", seed).alias("a"), _number(keys, "b", seed).alias("b")))
+        named = stored(ends.withColumn("v", _number(keys, "node", seed)).join(roots, "v", "left")
+                       .select(*keys, "node", F.coalesce("root", "v").alias("root")), "labels")
+    least = named.groupBy("root").agg(F.min("node").alias("component"))
+    return split_join(named, least, ["root"], "inner").select(*keys, "node", "component")

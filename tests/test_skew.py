@@ -89,3 +89,35 @@ def test_components_of_a_star(spark, without_aqe):
         .unionByName(spark.createDataFrame([(9000, 9001), (9001, 9002)], "a long, b long"))
     got = {r.node: r.component for r in connected_components(edges).collect()}
     assert got == {**{i: 0 for i in [*range(2000), 5000]}, 9000: 9000, 9001: 9000, 9002: 9000}
+
+
+def test_components_by_contraction_match_union_find(spark, monkeypatch):
+    """Every round on Spark: a path, a star, repeated edges, loops, nulls, names of
+    two graphs, and nodes without an edge; a path takes few rounds."""
+    import random
+
+    from graphloom.operators import linking as L
+
+    monkeypatch.setattr(L, "LEFT", 0)
+    made = []
+    monkeypatch.setattr(L, "stored", lambda df, name: (made.append(name), df.localCheckpoint())[1])
+    rnd = random.Random(5)
+    pairs = [("g", f"p{i:04}", f"p{i + 1:04}") for i in range(1500)] + [("g", "hub", f"leaf{i}") for i in range(300)]
+    pairs += [("h", f"p{rnd.randrange(300):04}", f"p{rnd.randrange(300):04}") for _ in range(200)] + [("g", "p0000", "p0001"), ("g", "q", "q")]
+    nodes = [("g", "alone"), ("g", "q"), ("g", "p0003"), (None, "p0003"), ("g", None)]
+    up = {}
+
+    def find(x):
+        while up.setdefault(x, x) != x:
+            x = up[x]
+        return x
+
+    for g, a, b in pairs:
+        x, y = sorted((find((g, a)), find((g, b))))
+        up[y] = x
+    want = {(g, a): find((g, a))[1] for g, a, b in pairs for a in (a, b) if not (g == "h" and len({p for p in pairs if p[0] == "h" and a in p[1:] and p[1] != p[2]}) == 0)}
+    want.update({(g, n): find((g, n))[1] if (g, n) in up else n for g, n in nodes})
+    null = [(None, "a", "b"), ("g", None, "b"), ("g", "a", None)]
+    got = connected_components(spark.createDataFrame(pairs + null, "g string, a string, b string"), ["g"], spark.createDataFrame(nodes, "g string, node string")).collect()
+    assert {(r.g, r.node): r.component for r in got} == want and len(got) == len(want)
+    assert made.count("contraction") < 25
