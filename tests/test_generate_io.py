@@ -141,3 +141,15 @@ def test_scores_are_strict(spark):
     df = spark.createDataFrame([(i, a) for i, a in enumerate(answers)], "i long, response string")
     got = [(r.s.score, r.s.status) for r in df.orderBy("i").select(parse_score().alias("s")).collect()]
     assert got == [(4.0, "ok"), (None, "not_json"), (None, "not_json"), (None, "out_of_range"), (3.5, "ok"), (None, "no_score"), (None, "empty"), (None, "empty")]
+
+
+def test_a_corpus_is_written_as_files_and_read_back(spark, tmp_dir):
+    rows = [("001", "a\nb"), ("x_en", "é\r\n"), ("a/b%2F", "c"), ("é +", "d"), ("twice", "2"), ("twice", "1"), ("none", None)]
+    W.write_corpus(spark.createDataFrame(rows, "doc_id string, text string"), f"{tmp_dir}/corpus", folders=3)
+    back = SRC.read_corpus(spark, f"{tmp_dir}/corpus", folders=True)
+    got = {r.doc_id: (r.file_name, r.lang, r.text) for r in back.collect()}
+    assert got == {"001": ("001.txt", "fr", "a\nb\n"), "x_en": ("x_en.txt", "en", "é\n\n"), "a/b%2F": ("a/b%2F.txt", "fr", "c\n"),
+                   "é +": ("é +.txt", "fr", "d\n"), "twice": ("twice.txt", "fr", "1\n2\n"), "none": ("none.txt", "fr", "\n")}
+    # few folders, and no commit of a folder per document
+    import os
+    assert len(os.listdir(f"{tmp_dir}/corpus")) <= 3
