@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.session import local_table
+from graphloom.session import local_table, stored
 
 from graphloom.functions.literals import datatype_local, type_literal, value_type
 from graphloom.operators.ontology import GRAPH, Ontology, infer_types, subclass_closure
@@ -336,6 +336,7 @@ def resolve_individuals(canon: DataFrame) -> DataFrame:
     inds = canon.select(*GRAPH, "s_key").unionByName(
         _edges(canon).select(*GRAPH, F.col("o_key").alias("s_key"))).distinct() \
         .withColumn("fold", F.coalesce(F.nullif(fold_name("s_key"), F.lit("")), F.col("s_key")))
+    inds = stored(inds, "individuals")  # the sketch and both sides of the join read it
     best = inds.groupBy(*GRAPH, "fold").agg(F.min("s_key").alias("canonical"),
                                             F.count(F.lit(1)).alias("n_variants"))
     return split_join(inds, best, [*GRAPH, "fold"], "inner").drop("fold")

@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows over as many tasks as a shuffle has: what is made of each row then
+    does not run in the few tasks that a compact file is read by."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents -> corpus(doc_id, file_name, lang, text); CRLF folded to LF."""
     d = table(spark, sf_dir, "documents")
@@ -108,9 +114,10 @@ def kg_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     cust = table(spark, sf_dir, "customer")
     orders = table(spark, sf_dir, "orders")
-    li = table(spark, sf_dir, "lineitem")
+    li = dealt(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     part = table(spark, sf_dir, "part")
     supp = table(spark, sf_dir, "supplier")
+    measures = dealt(orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_totalprice"))
     nation = table(spark, sf_dir, "nation")
 
     cdoc = F.concat(F.lit("cust_"), F.col("c_custkey").cast("string"))
@@ -122,7 +129,7 @@ def kg_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
         _t(cdoc, F.lit(1), cs, "skos:prefLabel", F.col("c_name"), "literal", None, "en"),
     )).alias("t"))
 
-    oc = orders.join(cust.select("c_custkey", "c_nationkey"), orders.o_custkey == cust.c_custkey)
+    oc = measures.join(cust.select("c_custkey", "c_nationkey"), measures.o_custkey == cust.c_custkey)
     odoc = F.concat(F.lit("cust_"), F.col("o_custkey").cast("string"))
     os_ = _iri("order", F.col("o_orderkey"))
     base = F.col("o_orderkey") * 100
