@@ -139,9 +139,9 @@ LEFT JOIN (SELECT *, regexp_replace(p_canon, '^:', '') AS prop, coalesce(o_key,
   ON m.run_id = v.run_id AND m.regime = v.regime AND m.model = v.model AND m.doc_id = v.doc_id AND m.s_key = v.s_key
  AND v.prop IN ('associatedTo', 'hasMainContractor')""", "canon", "types"))
 def a7_entity_values(spark, sf):
-    from graphloom.plans.catalog import _canon
+    from graphloom.plans.catalog import _canon_kept
 
-    e = GS.entity_values(_canon(spark, sf), builtin_ontology(spark), "restorationMeasure", ["associatedTo", "hasMainContractor"])
+    e = GS.entity_values(_canon_kept(spark, sf, "s_key", "o_key", "o", "p_canon", "o_canon", "o_match"), builtin_ontology(spark), "restorationMeasure", ["associatedTo", "hasMainContractor"])
     return e.select("doc_id", "s_key", "prop", "val")
 
 
