@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FENCE = r"```[A-Za-z]*[ \t]*\n([\s\S]*?)```"
+#: The same, read faster: a dot for every character instead of a union of two classes.
+FENCE_READ = "(?s)" + FENCE.replace(r"[\s\S]", ".")
 TURTLE_HINT = r"(?m)(^\s*@prefix\s|^\s*PREFIX\s|^\s*[:\w-]*:[^\s]*\s+(a|[\w-]*:[\w-]+)\s)"
 RDFXML_HINT = r"<rdf:RDF|<\?xml|<owl:Ontology"
+WHITE = " \t\n\x0b\f\r"
 PLACEHOLDER = r":<[^>\s]*>|<\"[^\"]*\">|<add [^>]*>"
 
 
@@ -16,14 +19,19 @@ def clean_response(text: str | Column) -> Column:
     dropped), else the whole text, without prefix lines that repeat an earlier
     one; format = turtle | rdfxml | prose | empty."""
     t = F.col(text) if isinstance(text, str) else text
-    fences = F.regexp_extract_all(t, F.lit(FENCE), 1)
-    body = F.when(F.size(fences) > 0, F.array_join(fences, "\n")).otherwise(t)
-    body = drop_repeated_prefixes(F.regexp_replace(body, r"^\s+|\s+$", ""))
-    fmt = (F.when(body.isNull() | (body == ""), "empty")
-           .when(body.rlike(RDFXML_HINT), "rdfxml")
-           .when(body.rlike(TURTLE_HINT), "turtle")
-           .otherwise("prose"))
-    return F.struct(body.alias("body"), fmt.alias("format"))
+    # (the arrays hold a value: it is not made again wherever it is read)
+    joined = F.element_at(F.transform(F.array(F.regexp_extract_all(t, F.lit(FENCE_READ), 1)),
+                                      lambda found: F.when(F.size(found) > 0, F.array_join(found, "\n")).otherwise(t)), 1)
+    whole = F.transform(F.array(F.btrim(joined, F.lit(WHITE))), drop_repeated_prefixes)
+
+    def read(body: Column) -> Column:
+        fmt = (F.when(body.isNull() | (body == ""), "empty")
+               .when(body.rlike(RDFXML_HINT), "rdfxml")
+               .when(body.rlike(TURTLE_HINT), "turtle")
+               .otherwise("prose"))
+        return F.struct(body.alias("body"), fmt.alias("format"))
+
+    return F.element_at(F.transform(whole, read), 1)
 
 
 PREFIX_LINE = r"^\s*(?:@prefix|PREFIX)\s"
