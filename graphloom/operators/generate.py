@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom import prompt_texts as P
-from graphloom.functions.prompts import render_chat
+from graphloom.functions.prompts import expand_models, render_chat
 from graphloom.session import ship_package
 
 _BACKENDS: dict = {}
@@ -26,6 +26,8 @@ class HashBackend:
     """Deterministic offline backend: the answer is md5(prompt).  Lets every
     stage after the model run, and be checked, without a model."""
 
+    reads_messages = False
+
     def generate(self, prompt: str, messages_json: str | None, options: dict) -> str:
         return hashlib.md5(prompt.encode("utf-8")).hexdigest()
 
@@ -33,6 +35,8 @@ class HashBackend:
 class EchoBackend:
     """Answers with the prompt text itself (for plumbing tests)."""
 
+    reads_messages = False
+
     def generate(self, prompt: str, messages_json: str | None, options: dict) -> str:
         return prompt
 
@@ -45,6 +49,8 @@ class JudgeBackend:
     the first hex digit of md5(prompt) picks a score, in or out of range, or
     one of the answers that models give instead."""
 
+    reads_messages = False
+
     def generate(self, prompt: str, messages_json: str | None, options: dict) -> str:
         n = int(hashlib.md5(prompt.encode("utf-8")).hexdigest()[0], 16)
         if n < 12:
@@ -56,6 +62,8 @@ class PickyBackend:
     """Answers like ``hash`` but fails on prompts whose md5 starts with a digit
     under ``fail_below`` (an option), for checks of the failure policy."""
 
+    reads_messages = False
+
     def generate(self, prompt: str, messages_json: str | None, options: dict) -> str:
         h = hashlib.md5(prompt.encode("utf-8")).hexdigest()
         if int(h[0], 16) < int(options.get("fail_below", 4)):
@@ -67,6 +75,8 @@ class GraphBackend:
     """Answers with a small fenced graph named after md5(prompt); with the
     option ``echo`` the prompt comes first, as local generation returns it."""
 
+    reads_messages = False
+
     def generate(self, prompt: str, messages_json: str | None, options: dict) -> str:
         h = hashlib.md5(prompt.encode("utf-8")).hexdigest()
         body = f':m_{h[:8]} a :restorationMeasure ;\n  :hasCost "{int(h[0], 16) * 1000}"^^xsd:decimal .'
@@ -102,15 +112,18 @@ def generate(prompts: DataFrame, backend="hash", options: dict | None = None, ke
     model, or a client of a model server).  ``options`` (max tokens,
     temperature, top_p, repetition penalty...) are passed through.  A backend
     with ``generate_batch(prompts, messages, options) -> list`` gets an Arrow
-    batch at once; if that raises, its rows are tried one by one.
+    batch at once; if that raises, its rows are tried one by one.  The messages
+    are sent as JSON beside the prompt, which holds the same text once more, unless
+    a backend says that it does not read them (``reads_messages = False``).
     U3: ``on_error='keep'`` records the exception text in ``error`` and goes
     on; ``'fail'`` stops the job naming the failing row.
     """
     ship_package(prompts.sparkSession)
     opts = dict(options or {})
     keys = keys or [c for c in prompts.columns if c not in (prompt_col, messages_col)]
+    reads = getattr(BUILTIN[backend] if isinstance(backend, str) else backend, "reads_messages", True)
     sel = prompts.select(*keys, prompt_col,
-                         (F.to_json(messages_col) if messages_col and messages_col in prompts.columns
+                         (F.to_json(messages_col) if reads and messages_col and messages_col in prompts.columns
                           else F.lit(None).cast("string")).alias("_msgs"))
     key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in prompts.schema.fields if f.name in keys)
     schema = f"{key_schema}, response string, seconds double, error string"
@@ -185,6 +198,25 @@ def generate_once(prompts: DataFrame, path: str, keys: list[str], **kw) -> DataF
     return latest_answers(spark.read.parquet(path), keys)
 
 
+def generate_sweep(docs: DataFrame, models: list[str], ask, path: str, keys: list[str], **kw) -> DataFrame:
+    """``generate_once`` over every document x every model, where ``ask(docs,
+    models)`` makes the prompts (``expand_models`` takes the models as a list or as
+    a column).  A resumed run finds what is unanswered by keys alone and takes each
+    document once, with the models it lacks: the prompts, several times the texts,
+    are made after that join and not moved by it."""
+    spark = docs.sparkSession
+    rows = [k for k in keys if k != "model"]
+    prompts = ask(docs, models)
+    if path_exists(spark, path):
+        todo = unanswered(expand_models(docs.select(*rows), models), path, keys).groupBy(*rows).agg(F.collect_set("model").alias("_models"))
+        todo = todo.select(*[F.col(k).alias(f"_{k}") for k in rows], "_models")
+        same = [docs[k].eqNullSafe(todo[f"_{k}"]) for k in rows]
+        prompts = ask(docs.join(todo, same, "inner"), F.col("_models"))
+    generate(prompts.select(*keys, *[c for c in prompts.columns if c in ("prompt", "messages")]), keys=keys, **kw) \
+        .write.mode("append").parquet(path)
+    return latest_answers(spark.read.parquet(path), keys)
+
+
 def judge_prompts(graphs: DataFrame, docs: DataFrame, graph_col: str = "turtle",
                   criteria: list[str] | None = None) -> DataFrame:
     """U2 (prompt side): one judge prompt per (graph, criterion): system text

@@ -126,11 +126,14 @@ FROM (SELECT *, strpos('0123456789abcdef', substr(h, 1, 1)) - 1 AS d FROM (
 def u3_failure_policy(spark, sf):
     """A backend that refuses a quarter of the prompts; the second run answers
     just those."""
-    pr = PR.expand_models(PR.build_prompts(V.corpus(spark, sf), "fine_tuned"), MODELS)
-    pr = pr.withColumn("prompt", F.concat(PR.render_chat("messages", add_generation_prompt=True), "model")).select("doc_id", "model", "prompt")
+    def ask(docs, models):
+        pr = PR.expand_models(PR.build_prompts(docs, "fine_tuned"), models)
+        return pr.withColumn("prompt", F.concat(PR.render_chat("messages", add_generation_prompt=True), "model")).select("doc_id", "model", "prompt")
+
+    docs = V.corpus(spark, sf, dealt_rows=True).select("doc_id", "text")
     path, keys = scratch_path(spark, "answers"), ["doc_id", "model"]
-    GEN.generate_once(pr, path, keys, backend="picky", messages_col=None)
-    done = GEN.generate_once(pr, path, keys, backend="hash", messages_col=None)
+    GEN.generate_sweep(docs, MODELS, ask, path, keys, backend="picky", messages_col=None)
+    done = GEN.generate_sweep(docs, MODELS, ask, path, keys, backend="hash", messages_col=None)
     first = spark.read.parquet(path).where("error is not null").select(*keys, F.col("error").alias("first_error"))
     return done.where("error is null").join(first, keys, "left").select("doc_id", "model", "first_error", "response")
 
