@@ -246,14 +246,14 @@ SELECT regime, model, doc_id, s, p, o FROM (
 @register("flow_zero_shot", _flow_sql("zero_shot"))
 def flow_zero_shot(spark, sf):
     out = scratch_path(spark, "flow")
-    answers = LC.zero_shot(V.corpus(spark, sf), MODELS, out, backend="graph")
+    answers = LC.zero_shot(V.corpus(spark, sf, dealt_rows=True), MODELS, out, backend="graph")
     return LC.save_graphs(answers, out).select("regime", "model", "doc_id", "s", "p", "o")
 
 
 @register("flow_zero_shot_template", _flow_sql("zero_shot_template"))
 def flow_zero_shot_template(spark, sf):
     out = scratch_path(spark, "flow")
-    answers = LC.zero_shot(V.corpus(spark, sf), MODELS, out, backend="graph", template=True)
+    answers = LC.zero_shot(V.corpus(spark, sf, dealt_rows=True), MODELS, out, backend="graph", template=True)
     return LC.save_graphs(answers, out).select("regime", "model", "doc_id", "s", "p", "o")
 
 

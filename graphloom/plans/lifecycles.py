@@ -29,8 +29,9 @@ def zero_shot(corpus: DataFrame, models: list[str], out: str, backend="hash", te
               options: dict | None = None, partitions: int | None = None) -> DataFrame:
     """§3.1: (doc x model) -> system + text prompt -> answer -> saved responses."""
     regime = "zero_shot_template" if template else "zero_shot"
-    pr = PR.expand_models(PR.build_prompts(corpus, regime), models, partitions)
-    pr = pr.withColumn("prompt", PR.render_chat("messages", add_generation_prompt=True))
+    # (every model is asked the same: the prompt is made once a document)
+    pr = PR.build_prompts(corpus, regime).withColumn("prompt", PR.render_chat("messages", add_generation_prompt=True))
+    pr = PR.expand_models(pr, models, partitions)
     return generate_once(pr.select(*KEYS, "prompt", "messages"), f"{out}/responses", KEYS, backend=backend,
                          options=options)
 
