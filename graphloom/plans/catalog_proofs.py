@@ -212,11 +212,13 @@ FROM documents JOIN {_STYLE_SQL} ON v.i = doc_id % {len(_STYLES)} WHERE text IS
 def s3_reference_layout(spark, sf):
     """Files ``<root>/<regime>/<doc>_<model suffix>.ttl``: doc and model are taken
     from the name (parentheses dropped, the longest known suffix), the text is
-    read whole and its statement parsed."""
-    d = V.table(spark, sf, "documents").where("text is not null")
+    read whole and its statement parsed.  They lie in 256 such trees under one
+    root (one folder of all files could not be listed in parallel)."""
+    d = V.dealt(V.table(spark, sf, "documents").where("text is not null").select("doc_id", "text"))
     suffix = F.element_at(F.array(*(F.lit(s) for _, s in _STYLES)), (F.col("doc_id") % len(_STYLES) + 1).cast("int"))
     key = F.col("doc_id").cast("string")
-    name = F.concat(F.lit("answers/Site_("), key, F.lit(")_no__"), (F.col("doc_id") % 3).cast("string"), F.lit("_"), suffix, F.lit(".ttl"))
+    tree = F.lpad(F.pmod(F.xxhash64("doc_id"), F.lit(256)).cast("string"), 4, "0")
+    name = F.concat(tree, F.lit("/answers/Site_("), key, F.lit(")_no__"), (F.col("doc_id") % 3).cast("string"), F.lit("_"), suffix, F.lit(".ttl"))
     quoted = F.replace(F.replace(F.replace(F.replace("text", F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')),
                                  F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
     body = F.concat(F.lit(":Site_"), key, F.lit(' skos:definition "'), quoted, F.lit('" .\n'))
