@@ -78,12 +78,25 @@ def grounding(triples: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 #: Numbers and dates as texts write them; what N18 parses, cut out of running text.
-TEXT_NUMBER = (r"(?<![0-9.,])-?(?:[0-9]{1,3}(?:[ ,\u00a0\u202f][0-9]{3})+(?:\.[0-9]+)?|[0-9]{1,3}(?:[ \u00a0\u202f][0-9]{3})*,[0-9]+|[0-9]+(?:\.[0-9]+)?)"
+# Each begins with the characters it may begin with: most places of a text are left at once.
+TEXT_NUMBER = (r"(?=[-0-9])(?<![0-9.,])-?(?:[0-9]{1,3}(?:[ ,\u00a0\u202f][0-9]{3})+(?:\.[0-9]+)?|[0-9]{1,3}(?:[ \u00a0\u202f][0-9]{3})*,[0-9]+|[0-9]+(?:\.[0-9]+)?)"
                r"(?![0-9]|[.,][0-9])")
-_NAMES = "|".join(MONTHS_EN + MONTHS_FR)
-TEXT_DATE = (rf"(?i)(?<![0-9-])[0-9]{{4}}-[0-9]{{2}}(?:-[0-9]{{2}})?(?![0-9-])"
-             rf"|(?<![0-9])(?:[0-9]{{1,2}}(?:er)?\s+)?(?:{_NAMES})\s+(?:[0-9]{{1,2}}(?:st|nd|rd|th)?,?\s+)?[0-9]{{4}}(?![0-9])")
-TEXT_YEAR = r"(?<![0-9.,])[0-9]{4}(?![0-9]|[.,][0-9])"
+
+
+def _one_of(words: list[str]) -> str:
+    """A pattern for any of the words, equal beginnings written once."""
+    if words == [""]:
+        return ""
+    firsts = sorted({w[:1] for w in words})
+    rest = [c + _one_of([w[1:] for w in words if w[:1] == c]) if c else "" for c in reversed(firsts)]
+    return rest[0] if len(rest) == 1 else "(?:" + "|".join(rest) + ")"
+
+
+_MONTHS = sorted({*MONTHS_EN, *MONTHS_FR})
+_NAMES = _one_of(_MONTHS)
+TEXT_DATE = (rf"(?i)(?=[0-9{''.join(sorted({m[0] for m in _MONTHS}))}])(?:(?<![0-9-])[0-9]{{4}}-[0-9]{{2}}(?:-[0-9]{{2}})?(?![0-9-])"
+             rf"|(?<![0-9])(?:[0-9]{{1,2}}(?:er)?\s+)?(?:{_NAMES})\s+(?:[0-9]{{1,2}}(?:st|nd|rd|th)?,?\s+)?[0-9]{{4}}(?![0-9]))")
+TEXT_YEAR = r"(?=[0-9])(?<![0-9.,])[0-9]{4}(?![0-9]|[.,][0-9])"
 
 
 def _date_keys(value: Column, precision: Column) -> Column:
@@ -98,16 +111,17 @@ def text_values(docs: DataFrame) -> DataFrame:
     ``number`` (plain decimal) or ``date`` (yyyy, yyyy-MM or yyyy-MM-dd; a day
     also stands as its month and year, a four-digit number as a year)."""
     spans = lambda p: F.regexp_extract_all(F.col("text"), F.lit(p), 0)
-    kinds = F.explode(F.concat(
+    # (explode would make the optimiser ask first whether the array is empty, by making it)
+    kinds = F.explode_outer(F.concat(
         F.transform(spans(TEXT_NUMBER), lambda x: F.struct(F.lit("number").alias("kind"), x.alias("lex"))),
         F.transform(spans(TEXT_DATE), lambda x: F.struct(F.lit("date").alias("kind"), x.alias("lex"))),
         F.transform(spans(TEXT_YEAR), lambda x: F.struct(F.lit("date").alias("kind"), x.alias("lex")))))
-    found = docs.select("doc_id", kinds.alias("x")).select("doc_id", "x.*").distinct()
-    number = found.where("kind = 'number'").select("doc_id", "kind", parse_number(F.col("lex"))["value"].cast("string").alias("value"))
+    found = docs.select("doc_id", kinds.alias("x")).where("x is not null").select("doc_id", "x.*").distinct()
     # (the array holds the parsed date as a value: it is not parsed again for each key)
-    keys = F.flatten(F.transform(F.array(parse_date(F.col("lex"))), lambda d: _date_keys(d["value"], d["precision"])))
-    dates = found.where("kind = 'date'").select("doc_id", "kind", F.explode(keys).alias("value"))
-    return number.where("value is not null").unionByName(dates).distinct()
+    dates = F.element_at(F.transform(F.array(parse_date(F.col("lex"))), lambda d: _date_keys(d["value"], d["precision"])), 1)
+    # numbers and dates in one pass: as two branches each would cut the texts again
+    keys = F.when(F.col("kind") == "number", F.array(parse_number(F.col("lex"))["value"].cast("string"))).otherwise(dates)
+    return found.select("doc_id", "kind", F.explode_outer(keys).alias("value")).where("value is not null").distinct()
 
 
 def grounding_by_value(typed: DataFrame, docs: DataFrame) -> DataFrame:

@@ -161,10 +161,11 @@ def j13_by_value(spark, sf):
     """Numbers, a day and a year that the texts write in other ways, a number no
     text holds, and words."""
     docs = V.table(spark, sf, "documents").where("text is not null")
+    texts = V.dealt(docs.select("doc_id", "lang", "text"))
     tail = F.when(F.col("lang") == "en", _TAILS["en"]).when(F.col("lang") == "fr", _TAILS["fr"]).otherwise(_TAILS[None])
-    texts = docs.select("doc_id", F.concat("text", tail).alias("text"))
+    texts = texts.select("doc_id", F.concat("text", tail).alias("text"))
     asked = F.explode(F.array(*(F.struct(F.lit(w).alias("which"), F.lit(o).alias("o"), F.lit(d).cast("string").alias("o_datatype")) for w, o, d in _ASKED)))
-    lits = docs.select("doc_id", asked.alias("x")).select(
+    lits = V.dealt(docs.select("doc_id")).select("doc_id", asked.alias("x")).select(
         F.lit("r1").alias("run_id"), F.lit("fixture").alias("regime"), F.lit("fixture").alias("model"), "doc_id", "x.*",
         F.lit("literal").alias("o_kind"), F.lit(":anyValue").alias("p_canon"))
     typed = C.type_literals(lits, builtin_ontology(spark))
@@ -210,7 +211,7 @@ _STYLE_SQL = "(VALUES " + ", ".join(f"({i}, {q(m)})" for i, (m, _) in enumerate(
 SELECT 'answers' AS regime, v.model, 'Site_' || doc_id || '_no__' || (doc_id % 3) AS doc_id, md5(text) AS text_md5, ':Site_' || doc_id AS s
 FROM documents JOIN {_STYLE_SQL} ON v.i = doc_id % {len(_STYLES)} WHERE text IS NOT NULL""")
 def s3_reference_layout(spark, sf):
-    """Files ``<root>/<regime>/<doc>_<model suffix>.ttl``: doc and model are taken
+    """Files ``<regime>/<doc>_<model suffix>.ttl``: doc and model are taken
     from the name (parentheses dropped, the longest known suffix), the text is
     read whole and its statement parsed.  They lie in 256 such trees under one
     root (one folder of all files could not be listed in parallel)."""
