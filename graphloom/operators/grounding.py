@@ -68,13 +68,12 @@ def fold_text(c: str | Column) -> Column:
 
 def grounding(triples: DataFrame, docs: DataFrame) -> DataFrame:
     """Is each literal of a graph found in its source text (case and
-    whitespace folded)?  Whole texts, joined by doc_id to the distinct values
-    of their graphs; the statements then join the value's finding."""
-    lit = triples.where(F.col("o_kind") == "literal").withColumn("_fo", fold_text("o"))
-    values = lit.select("doc_id", "_fo").distinct()
-    found = values.join(docs.select("doc_id", fold_text("text").alias("_ft")), "doc_id") \
-        .select("doc_id", "_fo", (F.instr("_ft", F.col("_fo")) > 0).alias("grounded"))
-    return lit.join(found, ["doc_id", "_fo"]).drop("_fo")
+    whitespace folded)?  Whole texts, folded once, meet the literals of their
+    graphs by doc_id: literals and texts are moved once, and a literal is folded
+    where it is looked for.  A literal without a value has no finding."""
+    lit = triples.where((F.col("o_kind") == "literal") & F.col("o").isNotNull())
+    return lit.join(docs.select("doc_id", fold_text("text").alias("_ft")), "doc_id") \
+        .withColumn("grounded", F.instr("_ft", fold_text("o")) > 0).drop("_ft")
 
 
 #: Numbers and dates as texts write them; what N18 parses, cut out of running text.
