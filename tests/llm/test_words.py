@@ -170,6 +170,44 @@ def test_windows_folded_over_many_batches(spark, partitions):
     assert got == plain_phrases(rows, 3, 100)
 
 
+def test_windows_follow_the_phrases_not_the_places_where_pairs_meet(spark, partitions):
+    """Each of 40 words before a hub and each of 40 behind it: 80 frequent pairs, 1,600 rare triples."""
+    from graphloom.llm.collocations import _sieves, _windows, phrase_scores
+    from graphloom.session import ship_package
+    from pyspark.sql import functions as F
+
+    partitions(4)
+    rows = [(40 * i + j, f"u{i} hub v{j}", "en") for i in range(40) for j in range(40)]
+    rows += [(5000 + i, "one two three four five six", "en") for i in range(40)]
+    table = docs(spark, [(*r, "s") for r in rows]).coalesce(1)
+    ship_package(spark)
+    texts = table.select("lang", F.encode("text", "utf-8").alias("text"))
+    windows = {bytes(r["key"]): r["n"] for r in _windows(texts, _sieves(texts, 40)).collect()}
+    assert len(windows) <= 1 + 3 * 40 + 6
+    assert sum(windows.values()) == 3 * 1600 + 6 * 40
+    assert windows[b"v7\nhub\n"] == 40 and windows[b"hub\nu3\n"] == 40 and windows[b"six\nfive\nfour\nthree\ntwo\n"] == 40
+    got = {tuple(r) for r in phrase_scores(table, 40, 100).select("lang", "phrase", "a", "l", "r", "n", "score").collect()}
+    assert got == plain_phrases(rows, 40, 100) and {x[1] for x in got} >= {"u3 hub", "hub v7", "one two three four five"}
+
+
+def test_windows_reach_back_as_far_as_pairs_and_triples_pass():
+    import numpy as np
+    from graphloom.llm.collocations import _back, _triples
+
+    rng = np.random.RandomState(3)
+    for n in [0, 1, 2, 3, 4, 5, 40, 400]:
+        linked, triple = rng.rand(n) < .8, rng.rand(n) < .8
+        if n:
+            linked[0] = False
+        for i, m in enumerate(_back(linked, triple).tolist()):
+            fits = [k for k in range(1, 6) if i - k + 1 >= 0 and linked[i - k + 2:i + 1].all() and triple[i - k + 3:i + 1].all()]
+            assert m == max(fits)
+    pair = np.array([0, 5, 7, 0, 5, 7, 9], np.uint64)
+    three = _triples(pair)
+    assert np.flatnonzero(three).tolist() == [2, 5, 6] and three[2] == three[5] != three[6]
+    assert len(_triples(pair[:0])) == 0 and not _triples(pair[:1]).any()
+
+
 # ---- spelling variants ---------------------------------------------------------
 
 def near(a, b):
