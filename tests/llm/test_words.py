@@ -186,6 +186,8 @@ def test_windows_follow_the_phrases_not_the_places_where_pairs_meet(spark, parti
     assert len(windows) <= 1 + 3 * 40 + 6
     assert sum(windows.values()) == 3 * 1600 + 6 * 40
     assert windows[b"v7\nhub\n"] == 40 and windows[b"hub\nu3\n"] == 40 and windows[b"six\nfive\nfour\nthree\ntwo\n"] == 40
+    cores = spark.sparkContext.defaultParallelism
+    assert _windows(texts.repartition(4 * cores), [b"", b"", b""]).rdd.getNumPartitions() == cores
     got = {tuple(r) for r in phrase_scores(table, 40, 100).select("lang", "phrase", "a", "l", "r", "n", "score").collect()}
     assert got == plain_phrases(rows, 40, 100) and {x[1] for x in got} >= {"u3 hub", "hub v7", "one two three four five"}
 
