@@ -8,7 +8,9 @@ graph, so the rounds grow with the logarithm of the nodes, their cost falls
 geometrically, and all of them together cost a few passes over the edges.
 Nodes are 64-bit numbers meanwhile, and names are put back once.  Edges of hubs
 are dealt over all tasks (``skew.split_join``).  There is no round limit; what a
-round leaves below ``LEFT`` edges is finished in one task.
+round leaves below ``LEFT`` edges is finished in one task.  Where components lie
+within groups (graphs), groups of up to ``LEFT`` rows are moved once and each is
+finished where it then lies; only larger ones go through the rounds.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.operators.skew import hot_keys, hot_limit, sketch_of, split_join
+from graphloom.operators.skew import by_size, hot_keys, hot_limit, sketch_of, split_join
 from graphloom.session import stored
 
 #: Edges, at most, that one task finishes.
@@ -36,25 +38,51 @@ def _size_and_hubs(e: DataFrame) -> tuple[int, list[int], list[int]]:
     return r["n"], ta, tb
 
 
-def _finish(batches):
-    """(a, b) of all edges left -> (v, root) by union and find."""
-    import pyarrow as pa
-
-    up: dict[int, int] = {}
+def _united(pairs) -> dict:
+    """node -> the smallest node of its component, by union and find."""
+    up: dict = {}
 
     def find(x):
         while up.setdefault(x, x) != x:
             up[x] = x = up[up[x]]
         return x
 
-    for t in batches:
-        for a, b in zip(t.column(0).to_pylist(), t.column(1).to_pylist()):
-            a, b = find(a), find(b)
+    for a, b in pairs:
+        a, b = find(a), find(b)
+        if a != b:
             up[max(a, b)] = min(a, b)
-    v = list(up)
+    return {x: find(x) for x in list(up)}
+
+
+def _finish(batches):
+    """(a, b) of all edges left -> (v, root)."""
+    import pyarrow as pa
+
+    to = _united((a, b) for t in batches for a, b in zip(t.column(0).to_pylist(), t.column(1).to_pylist()))
+    v = list(to)
     for i in range(0, len(v), 20000):
         part = v[i:i + 20000]
-        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([find(x) for x in part], pa.int64())], names=["v", "root"])
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([to[x] for x in part], pa.int64())], names=["v", "root"])
+
+
+def _finish_each(batches):
+    """(keys..., pairs) with the pairs of a whole group -> (keys..., node, component)."""
+    import pyarrow as pa
+
+    for t in batches:
+        pairs, names = t.column(t.num_columns - 1), [*t.schema.names[:-1], "node", "component"]
+        flat = pairs.flatten()
+        a, b, at = flat.field(0).to_pylist(), flat.field(1).to_pylist(), 0
+        group, nodes, least = [], [], []
+        for i, n in enumerate(pairs.value_lengths().to_pylist()):
+            to = _united(zip(a[at:at + n], b[at:at + n]))
+            at += n
+            group += [i] * len(to)
+            nodes += to
+            least += to.values()
+        kind = flat.type.field(0).type
+        yield pa.RecordBatch.from_arrays([*[t.column(k).take(pa.array(group, pa.int64())) for k in range(t.num_columns - 1)],
+                                          pa.array(nodes, kind), pa.array(least, kind)], names=names)
 
 
 def _roots(edges: DataFrame) -> DataFrame:
@@ -98,8 +126,25 @@ def connected_components(edges: DataFrame, keys: list[str] | None = None, nodes:
     (keys..., node), repeated or not, are in the result whether they have an edge
     or not."""
     keys = keys or []
-    e = edges.where(reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in [*keys, "a", "b"]]) & (F.col("a") != F.col("b")))
-    if not keys and nodes is None and all(dict(edges.dtypes)[c] == "bigint" for c in "ab"):
+    e = edges.where(reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in [*keys, "a", "b"]]) & (F.col("a") != F.col("b"))).select(*keys, "a", "b")
+    if not keys:
+        return _by_rounds(e, keys, nodes)
+    # a node by itself is a loop
+    pairs = e if nodes is None else e.unionByName(nodes.select(*keys, F.col("node").alias("a"), F.col("node").alias("b")))
+    small, large = by_size(pairs, keys, LEFT)
+    kind, kinds = dict(e.dtypes)["a"], [f"`{k}` {t}" for k, t in e.dtypes if k in keys]
+    whole = small.groupBy(*keys).agg(F.collect_set(F.struct("a", "b")).alias("pairs")) \
+        .mapInArrow(_finish_each, ", ".join([*kinds, f"node {kind}", f"component {kind}"]))
+    if large is None:
+        return whole
+    loops = F.col("a").eqNullSafe(F.col("b"))
+    alone = None if nodes is None else large.where(loops).select(*keys, F.col("a").alias("node"))
+    return whole.unionByName(_by_rounds(large.where(~loops), keys, alone))
+
+
+def _by_rounds(e: DataFrame, keys: list[str], nodes: DataFrame | None) -> DataFrame:
+    """The same for edges without loops and nulls, by contraction."""
+    if not keys and nodes is None and all(dict(e.dtypes)[c] == "bigint" for c in "ab"):
         named = _roots(e.select("a", "b")).select(F.col("v").alias("node"), "root")
     else:
         # both ends in one pass over the edges

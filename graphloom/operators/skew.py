@@ -9,9 +9,15 @@ keys are joined as ever.  This does not rest on adaptive execution.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.session import stored
+
+#: Rows, at most, of a group that one task takes up whole.
+WHOLE = 100_000
 #: Hot keys that are looked for at once, and items that the sketch tracks: a key
 #: of 1 / MOST of the rows is found for certain.
 MOST, TRACKED = 1024, 16384
@@ -61,3 +67,23 @@ def split_join(big: DataFrame, small: DataFrame, keys: list, how: str, hot: list
     every = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
     repeated = small.withColumn("_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0).cast("long")))))
     return dealt.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
+def by_size(rows: DataFrame, keys: list, most: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of the groups that hold at most ``most`` (``WHOLE``) rows, and rows of
+    larger ones, None if there are none.  A null key is a group like any other."""
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > (WHOLE if most is None else most))
+    large = stored(sizes.select(*[F.col(k).alias(f"_large{i}") for i, k in enumerate(keys)]), "large-groups")
+    if large.isEmpty():
+        return rows, None
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_large{i}")) for i, k in enumerate(keys)])
+    return rows.join(large, same, "left_anti"), rows.join(large, same, "left_semi")
+
+
+def gathered(rows: DataFrame, keys: list, once: bool = False) -> DataFrame:
+    """The same rows (``once``: without repeats), those of a group in one task: what
+    is grouped or windowed by ``keys`` and more next moves no row again.  A key
+    travels once for all rows that a task has of it.  Groups must be bounded (``by_size``)."""
+    rest = F.struct(*[c for c in rows.columns if c not in keys])
+    each = rows.groupBy(*keys).agg((F.collect_set if once else F.collect_list)(rest).alias("_rows"))
+    return each.select(*keys, F.inline("_rows"))
