@@ -10,18 +10,22 @@ read from a file is not forced on every task.  Joins between graph data are
 keyed by (graph, individual), never by graph alone, so one huge graph still
 spreads over many tasks; individuals that hold much of the statements themselves
 are found by a sketch and their rows dealt over all tasks (``skew.split_join``).
+That is for graphs of more than ``skew.WHOLE`` statements.  J5, J6 and J15 move what
+they need of a smaller graph once, to one task, and look things up there.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphloom.session import local_table, stored
 
 from graphloom.functions.literals import datatype_local, type_literal, value_type
 from graphloom.operators.ontology import GRAPH, Ontology, infer_types, subclass_closure
-from graphloom.operators.skew import hot_keys, split_join
+from graphloom.operators.skew import by_size, gathered, hot_keys, split_join
 
 RDF_TYPE = "rdf:type"
 
@@ -333,13 +337,23 @@ def resolve_individuals(canon: DataFrame) -> DataFrame:
     """Map each individual of a graph to the smallest name sharing its
     folded key; returns (graph, s_key, canonical, n_variants).  A name without
     a letter or digit folds to nothing and stands for itself."""
-    inds = canon.select(*GRAPH, "s_key").unionByName(
-        _edges(canon).select(*GRAPH, F.col("o_key").alias("s_key"))).distinct() \
-        .withColumn("fold", F.coalesce(F.nullif(fold_name("s_key"), F.lit("")), F.col("s_key")))
-    inds = stored(inds, "individuals")  # the sketch and both sides of the join read it
+    edge = (F.col("o_kind") != "literal") & (F.col("p_canon") != RDF_TYPE)
+    names = canon.select(*GRAPH, F.explode(F.when(edge, F.array("s_key", "o_key")).otherwise(F.array("s_key"))).alias("s_key")) \
+        .where(_known([*GRAPH, "s_key"]))  # (null is no name)
+    fold = F.coalesce(F.nullif(fold_name("s_key"), F.lit("")), F.col("s_key"))
+    small, large = by_size(names, GRAPH)
+    same = gathered(small, GRAPH, once=True).groupBy(*GRAPH, fold.alias("fold")).agg(F.collect_list("s_key").alias("_same"))
+    out = same.select(*GRAPH, F.explode("_same").alias("s_key"), F.array_min("_same").alias("canonical"), F.size("_same").cast("long").alias("n_variants"))
+    if large is None:
+        return out
+    inds = stored(large.distinct().withColumn("fold", fold), "individuals")  # the sketch and both sides of the join read it
     best = inds.groupBy(*GRAPH, "fold").agg(F.min("s_key").alias("canonical"),
                                             F.count(F.lit(1)).alias("n_variants"))
-    return split_join(inds, best, [*GRAPH, "fold"], "inner").drop("fold")
+    return out.unionByName(split_join(inds, best, [*GRAPH, "fold"], "inner").drop("fold"))
+
+
+def _known(cols: list) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in cols])
 
 
 def apply_resolution(canon: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -60,3 +60,50 @@ def test_lines_are_moved_once_to_their_orders(spark, tmp_path):
         assert kg.count() == 2 and not any("Exchange RoundRobin" in x and "l_orderkey" in x for x in plan.split("\n"))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _canon(spark, rows):
+    from graphloom.operators.conform import canonicalise
+    from graphloom.operators.ontology import builtin_ontology
+
+    full = [("r", "z", "m", g, i, *r) for i, (g, *r) in enumerate(rows)]
+    t = spark.createDataFrame(full, "run_id string, regime string, model string, doc_id string, stmt_idx long, s string, p string, o string, "
+                                    "o_kind string, o_datatype string, o_lang string")
+    onto = builtin_ontology(spark)
+    return canonicalise(t, onto), onto
+
+
+def test_components_of_small_graphs_are_found_where_they_lie(spark, monkeypatch):
+    from graphloom.operators import linking as L
+
+    made = []
+    monkeypatch.setattr(L, "stored", lambda df, name: (made.append(name), df.localCheckpoint())[1])
+    edges = spark.createDataFrame([("g", "c", "b"), ("g", "b", "é"), ("g", "x", "x"), ("h", "b", "a"), (None, "p", "q"), ("g", None, "b"), *[("big", f"n{i}", f"n{i + 1}") for i in range(20)]],
+                                  "k string, a string, b string")
+    nodes = spark.createDataFrame([("g", "alone"), ("g", "c"), ("g", None), (None, "q"), ("big", "n0"), ("big", "m")], "k string, node string")
+    want = {("g", "c"): "b", ("g", "b"): "b", ("g", "é"): "b", ("g", "alone"): "alone", ("g", None): None, ("h", "a"): "a", ("h", "b"): "a",
+            (None, "q"): "q", ("big", "m"): "m", **{("big", f"n{i}"): "n0" for i in range(21)}}
+    for left, stores in ((1000, False), (10, True), (0, True)):
+        monkeypatch.setattr(L, "LEFT", left)
+        made.clear()
+        got = [((r.k, r.node), r.component) for r in L.connected_components(edges, ["k"], nodes).collect()]
+        assert dict(got) == want and len(got) == len(want) and bool(made) == stores
+
+
+def test_names_of_a_graph_are_moved_once(spark, monkeypatch):
+    from graphloom.operators import conform as C
+    from graphloom.operators import skew
+
+    canon, _ = _canon(spark, [("g", ":Weir_1", ":includes", ":weir-1", "iri", None, None), ("g", ":--", ":includes", "x", "literal", None, None),
+                              ("h", ":weir1", ":includes", None, "iri", None, None), ("h", ":weir1", ":includes", ":weir1", "iri", None, None)])
+    want = {("g", "Weir_1"): ("Weir_1", 2), ("g", "weir-1"): ("Weir_1", 2), ("g", "--"): ("--", 1), ("h", "weir1"): ("weir1", 1)}
+    made = []
+    monkeypatch.setattr(C, "stored", lambda df, name: (made.append(name), df)[1])
+    for whole in (100, 2, 0):
+        monkeypatch.setattr(skew, "WHOLE", whole)
+        got = C.resolve_individuals(canon).collect()
+        assert {(r.doc_id, r.s_key): (r.canonical, r.n_variants) for r in got} == want and len(got) == 4
+        assert bool(made) == (whole < 3)
+    monkeypatch.setattr(skew, "WHOLE", 100)
+    plan = C.resolve_individuals(canon)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
