@@ -176,20 +176,93 @@ def individual_types(canon: DataFrame, onto: Ontology) -> DataFrame:
     return infer_types(asserted_types(canon), subclass_closure(onto, reflexive=True))
 
 
-def check_domain_range(canon: DataFrame, onto: Ontology, strict: bool = False) -> DataFrame:
+def check_domain_range(canon: DataFrame, onto: Ontology, strict: bool = False, columns: tuple = ("stmt_idx", "s", "o")) -> DataFrame:
     """Domain and range status per statement of an ontology property.
 
     Domain (any listed class suffices; ``strict`` demands all, the OWL
     reading): ok | violation | untyped (subject has no known type in its
     graph) | none (no domain declared).  Range for object properties the same
     on the object; for data properties: ok | violation | untyped_literal
-    (no datatype written) | none.
+    (no datatype written) | none.  ``columns`` of the statements are carried.
 
-    Each typed individual is summarised once -- the properties whose domain
-    (and, separately, range) its types satisfy -- so the statements are
-    shuffled twice: once by subject, once by object.
+    What a statement tells by itself is decided where it is read; the rest needs
+    the types of its subject and of its object, which lie in the same graph.
     """
-    spark = canon.sparkSession
+    small, large = by_size(canon, GRAPH)
+    out = _domain_range_gathered(small, onto, strict, columns)
+    if large is not None:
+        out = out.unionByName(_domain_range_joined(large, onto, strict, columns))
+    last = [c for c in columns if c == "o"]
+    return out.select(*GRAPH, *[c for c in columns if c not in last], "p_canon", *last, "domain_status", "range_status")
+
+
+def _with_own_range(props: DataFrame, onto: Ontology) -> DataFrame:
+    """Adds ``n_dom`` and ``_range``, the range status where a statement tells it by
+    itself; null where the object's types decide."""
+    rng = onto.range
+    n_dom = onto.domain.groupBy(F.col("property").alias("prop")).agg(F.count(F.lit(1)).alias("n_dom"))
+    dat_rng = rng.where(F.col("rng").contains(":")).select(F.col("property").alias("prop"),
+                                                         F.regexp_replace("rng", "^[a-z]+:", "").alias("rng_local"))
+    has_rng = rng.select(F.col("property").alias("prop")).distinct().withColumn("_has_rng", F.lit(True))
+    compat = local_table(props.sparkSession, RANGE_COMPAT, "rng_local string, dt string")
+    dt_ok = dat_rng.join(compat, "rng_local", "left") \
+        .select("prop", F.explode(F.array_distinct(F.array("rng_local", F.coalesce("dt", "rng_local")))).alias("dt"))
+    dt_ok = dt_ok.distinct().withColumn("_dsat", F.lit(True))
+    t = props.join(n_dom, "prop", "left").join(has_rng, "prop", "left") \
+        .withColumn("dt", datatype_local(F.col("o_datatype"))).join(dt_ok, ["prop", "dt"], "left")
+    is_lit = F.col("o_kind") == "literal"
+    own = (F.when(F.col("_has_rng").isNull(), "none")
+           .when(F.col("p_kind") == "object", F.when(is_lit, "violation"))
+           .when(~is_lit, "violation")
+           .when(F.col("o_datatype").isNull(), "untyped_literal")
+           .when(F.col("_dsat").isNotNull(), "ok").otherwise("violation"))
+    return t.withColumn("_range", own).drop("_has_rng", "dt", "_dsat")
+
+
+def _is_property() -> Column:
+    return F.coalesce(F.col("p_match").isin("exact", "case", "alias"), F.lit(False))
+
+
+def _is_known_type() -> Column:
+    return F.coalesce((F.col("p_canon") == RDF_TYPE) & (F.col("o_match") != "unknown"), F.lit(False))
+
+
+def _domain_range_gathered(canon: DataFrame, onto: Ontology, strict: bool, columns: tuple) -> DataFrame:
+    """J5 where each graph fits a task: its statements are moved once."""
+    typing = _is_known_type() & _known([*GRAPH, "s_key"])
+    rows = canon.where(_is_property() | typing) \
+        .withColumn("prop", F.when(_is_property(), F.regexp_replace("p_canon", "^:", ""))).withColumn("_cls", F.when(~_is_property(), F.col("o_canon")))
+    rows = _with_own_range(rows, onto)
+    # (what is not asked of a row is not moved)
+    asks = F.col("prop").isNotNull() & F.col("_range").isNull()
+    rows = rows.select(*GRAPH, *[F.when(F.col("prop").isNotNull(), F.col(c)).alias(f"_c{i}") for i, c in enumerate(columns)], "s_key", F.when(asks, F.col("o_key")).alias("o_key"),
+                       F.when(F.col("prop").isNotNull(), F.col("p_canon")).alias("p_canon"), F.when(F.col("prop").isNotNull(), F.col("n_dom")).alias("n_dom"),
+                       F.when(F.col("prop").isNotNull(), F.col("_range")).alias("_range"), "_cls")
+    up = subclass_closure(onto, reflexive=True).select(F.col("child").alias("_cls"), F.col("ancestor").alias("cls"))
+    dom = up.join(onto.domain, "cls").groupBy("_cls").agg(F.collect_set(F.struct("property", "cls")).alias("_dom"))
+    of = up.join(onto.range.where(~F.col("rng").contains(":")).select("property", F.col("rng").alias("cls")), "cls") \
+        .groupBy("_cls").agg(F.collect_set("property").alias("_rng"))
+    # (stored: a table of classes whose size is known, or it could be joined by moving the statements)
+    facts = stored(up.select("_cls").distinct().join(dom, "_cls", "left").join(of, "_cls", "left").withColumn("_typed", F.lit(True)), "class-facts")
+    t = gathered(rows, GRAPH).join(facts, "_cls", "left").withColumn("prop", F.regexp_replace("p_canon", "^:", ""))
+
+    subject = Window.partitionBy("doc_id", "s_key", "model", "regime", "run_id")
+    t = t.withColumn("_dom", F.flatten(F.collect_set("_dom").over(subject))).withColumn("_subject", F.max("_typed").over(subject))
+    held = F.filter("_dom", lambda x: x["property"] == F.col("prop"))
+    enough = F.size(F.array_distinct(held)) >= F.col("n_dom") if strict else F.size(held) > 0
+    t = t.withColumn("domain_status", F.when(F.col("n_dom").isNull(), "none").when(enough, "ok").when(F.col("_subject").isNull(), "untyped").otherwise("violation")) \
+        .drop("_dom", "_subject").withColumn("_key", F.when(F.col("prop").isNull(), F.col("s_key")).otherwise(F.col("o_key")))
+    object_ = Window.partitionBy("doc_id", "_key", "model", "regime", "run_id")
+    t = t.withColumn("_rng", F.flatten(F.collect_set("_rng").over(object_))).withColumn("_object", F.max("_typed").over(object_)).where("prop is not null")
+    named = F.col("o_key").isNotNull() & _known(GRAPH)
+    rstat = F.coalesce("_range", F.when(named & F.array_contains("_rng", F.col("prop")), "ok").when(~named | F.col("_object").isNull(), "untyped").otherwise("violation"))
+    return t.select(*GRAPH, *[F.col(f"_c{i}").alias(c) for i, c in enumerate(columns)], "p_canon", "domain_status", rstat.alias("range_status"))
+
+
+def _domain_range_joined(canon: DataFrame, onto: Ontology, strict: bool, columns: tuple) -> DataFrame:
+    """J5 for graphs of any size.  Each typed individual is summarised once -- the
+    properties whose domain (and, separately, range) its types satisfy -- so the
+    statements are shuffled twice: once by subject, once by object."""
     types = individual_types(canon, onto)
     props = canon.where(F.col("p_match").isin("exact", "case", "alias")) \
         .withColumn("prop", F.regexp_replace("p_canon", "^:", ""))
@@ -204,40 +277,22 @@ def check_domain_range(canon: DataFrame, onto: Ontology, strict: bool = False) -
                      F.col("property"))
     subj = sat.groupBy(*GRAPH, "s_key").agg(F.collect_set(ok_prop).alias("_dom_ok"))
 
-    rng = onto.range
-    obj_rng = rng.where(~F.col("rng").contains(":")).select("property", F.col("rng").alias("cls"))
+    obj_rng = onto.range.where(~F.col("rng").contains(":")).select("property", F.col("rng").alias("cls"))
     obj = types.join(obj_rng, "cls", "left").groupBy(*GRAPH, F.col("s_key").alias("o_key")) \
         .agg(F.collect_set("property").alias("_rng_ok"))
 
-    dat_rng = rng.where(F.col("rng").contains(":")).select(F.col("property").alias("prop"),
-                                                         F.regexp_replace("rng", "^[a-z]+:", "").alias("rng_local"))
-    has_rng = rng.select(F.col("property").alias("prop")).distinct().withColumn("_has_rng", F.lit(True))
-    compat = local_table(spark, RANGE_COMPAT, "rng_local string, dt string")
-    dt_ok = dat_rng.join(compat, "rng_local", "left") \
-        .select("prop", F.explode(F.array_distinct(F.array("rng_local", F.coalesce("dt", "rng_local")))).alias("dt"))
-    dt_ok = dt_ok.distinct().withColumn("_dsat", F.lit(True))
-
     hot_s, hot_o = hot_keys(props, [*GRAPH, "s_key"], [*GRAPH, "o_key"])
-    t = props.join(n_dom.withColumnRenamed("property", "prop"), "prop", "left")
-    t = split_join(t, subj, [*GRAPH, "s_key"], "left", hot_s).join(has_rng, "prop", "left")
-    # literals have no key on the object side: they skip that join instead of meeting under null
-    named = split_join(t.where("o_key is not null"), obj, [*GRAPH, "o_key"], "left", hot_o)
-    literal = t.where("o_key is null").withColumn("_rng_ok", F.lit(None).cast("array<string>"))
-    t = named.unionByName(literal) \
-        .withColumn("dt", datatype_local(F.col("o_datatype"))) \
-        .join(dt_ok, ["prop", "dt"], "left")
+    t = _with_own_range(props, onto).select(*GRAPH, *columns, "s_key", F.when(F.col("_range").isNull(), F.col("o_key")).alias("o_key"), "p_canon", "prop", "n_dom", "_range")
     dstat = (F.when(F.col("n_dom").isNull(), "none").when(F.array_contains("_dom_ok", F.col("prop")), "ok")
              .when(F.col("_dom_ok").isNull(), "untyped").otherwise("violation"))
-    is_lit = F.col("o_kind") == "literal"
-    rstat = (F.when(F.col("_has_rng").isNull(), "none")
-             .when(F.col("p_kind") == "object",
-                   F.when(is_lit, "violation").when(F.array_contains("_rng_ok", F.col("prop")), "ok")
-                   .when(F.col("_rng_ok").isNull(), "untyped").otherwise("violation"))
-             .when(~is_lit, "violation")
-             .when(F.col("o_datatype").isNull(), "untyped_literal")
-             .when(F.col("_dsat").isNotNull(), "ok").otherwise("violation"))
-    return t.withColumn("domain_status", dstat).withColumn("range_status", rstat).select(
-        *GRAPH, "stmt_idx", "s", "p_canon", "o", "domain_status", "range_status")
+    t = split_join(t, subj, [*GRAPH, "s_key"], "left", hot_s).withColumn("domain_status", dstat) \
+        .select(*GRAPH, *columns, "o_key", "p_canon", "prop", "domain_status", "_range")
+    # literals and what is decided have no key: they skip that join instead of meeting under null
+    named = split_join(t.where("o_key is not null"), obj, [*GRAPH, "o_key"], "left", hot_o)
+    decided = t.where("o_key is null").withColumn("_rng_ok", F.lit(None).cast("array<string>"))
+    t = named.unionByName(decided)
+    rstat = F.coalesce("_range", F.when(F.array_contains("_rng_ok", F.col("prop")), "ok").when(F.col("_rng_ok").isNull(), "untyped").otherwise("violation"))
+    return t.select(*GRAPH, *columns, "p_canon", "domain_status", rstat.alias("range_status"))
 
 
 def check_restrictions(canon: DataFrame, onto: Ontology) -> DataFrame:
@@ -245,10 +300,53 @@ def check_restrictions(canon: DataFrame, onto: Ontology) -> DataFrame:
     each individual's (inferred) classes: ``present`` if the graph states the
     property for it, ``filled`` if with an object of the filler's class, or of
     its datatype.  Coverage, not errors: absence is not falsity (open world)."""
+    small, large = by_size(canon, GRAPH)
+    out = _restrictions_gathered(small, onto)
+    return out if large is None else out.unionByName(_restrictions_joined(large, onto))
+
+
+def _of_restricted(canon: DataFrame, onto: Ontology) -> DataFrame:
+    """Statements of properties that a restriction names, with ``property`` (no others are asked for)."""
+    return canon.where(_is_property()).withColumn("property", F.regexp_replace("p_canon", "^:", "")) \
+        .join(onto.restriction.select("property"), "property", "left_semi")
+
+
+def _restrictions_gathered(canon: DataFrame, onto: Ontology) -> DataFrame:
+    """J6 where each graph fits a task: what is asked of it is moved once."""
+    asked = onto.restriction.select(F.col("property").alias("_asked")).distinct()
+    rows = canon.where(_is_property() | _is_known_type()) \
+        .withColumn("property", F.when(_is_property() & _known([*GRAPH, "s_key"]), F.regexp_replace("p_canon", "^:", ""))) \
+        .withColumn("_cls", F.when(~_is_property(), F.col("o_canon")))
+    rows = rows.join(asked, F.col("property") == F.col("_asked"), "left").where("_cls is not null or _asked is not null")
+    stated = F.col("_asked").isNotNull()
+    rows = rows.select(*GRAPH, "s_key", F.col("_asked").alias("property"), F.when(stated & (F.col("o_kind") != "literal"), F.col("o_key")).alias("o_key"),
+                       F.when(stated, datatype_local(F.col("o_datatype"))).alias("_dt"), "_cls")
+    up = subclass_closure(onto, reflexive=True).select(F.col("child").alias("_cls"), F.col("ancestor").alias("cls"))
+    expected = up.join(onto.restriction, "cls").groupBy("_cls").agg(F.collect_set(F.struct("property", "filler")).alias("_expected"))
+    fills = up.join(onto.restriction.select(F.col("filler").alias("cls")).distinct(), "cls").groupBy("_cls").agg(F.collect_set("cls").alias("_fills"))
+    # (stored: a table of classes whose size is known, or it could be joined by moving the statements)
+    facts = stored(expected.join(fills, "_cls", "full"), "class-facts")
+    t = gathered(rows, GRAPH, once=True).join(facts, "_cls", "left")
+
+    subject = Window.partitionBy("doc_id", "s_key", "model", "regime", "run_id")
+    wanted = F.filter(F.array_distinct(F.flatten(F.collect_set("_expected").over(subject))), lambda x: x["property"] == F.col("property"))
+    t = t.withColumn("_wanted", F.when(F.col("property").isNull(), F.col("_expected")).otherwise(wanted)).drop("_expected") \
+        .withColumn("_key", F.when(F.col("property").isNull(), F.col("s_key")).otherwise(F.col("o_key")))
+    object_ = Window.partitionBy("doc_id", "_key", "model", "regime", "run_id")
+    t = t.withColumn("_fills", F.flatten(F.collect_set("_fills").over(object_)))
+    t = t.select(*GRAPH, "s_key", F.col("property").isNotNull().alias("present"), "o_key", "_dt", "_fills", F.inline("_wanted"))
+    filled = F.when(F.col("o_key").isNotNull(), F.array_contains("_fills", F.col("filler"))) \
+        .otherwise(F.col("_dt").isNotNull() & (F.regexp_replace("filler", "^[a-z]+:", "") == F.col("_dt")))
+    return t.groupBy(*GRAPH, "s_key", "property", "filler").agg(
+        F.max(F.coalesce(F.col("present") & filled, F.lit(False))).alias("filled"), F.max("present").alias("present"))
+
+
+def _restrictions_joined(canon: DataFrame, onto: Ontology) -> DataFrame:
+    """J6 for graphs of any size."""
     types = individual_types(canon, onto)
     exp = types.join(onto.restriction, "cls").select(*GRAPH, "s_key", "property", "filler").distinct()
-    stated = canon.where(F.col("p_match").isin("exact", "case", "alias")) \
-        .select(*GRAPH, "s_key", F.regexp_replace("p_canon", "^:", "").alias("property"),
+    stated = _of_restricted(canon, onto) \
+        .select(*GRAPH, "s_key", "property",
                 F.when(F.col("o_kind") != "literal", F.col("o_key")).alias("o_key"),
                 datatype_local(F.col("o_datatype")).alias("_dt")).distinct()
     hot_p, hot_o = hot_keys(stated, [*GRAPH, "s_key", "property"], [*GRAPH, "o_key"])
