@@ -107,3 +107,64 @@ def test_names_of_a_graph_are_moved_once(spark, monkeypatch):
     monkeypatch.setattr(skew, "WHOLE", 100)
     plan = C.resolve_individuals(canon)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def _checked(spark):
+    """Two graphs with typed and untyped subjects and objects, literals, nulls and repeats."""
+    rows = [("g", ":m", "rdf:type", ":restorationMeasure", "iri", None, None), ("g", ":m", "rdf:type", ":restorationMeasure", "iri", None, None),
+            ("g", ":w", "rdf:type", ":weir", "iri", None, None), ("g", ":w", "rdf:type", ":noSuch", "iri", None, None), ("g", ":o", "rdf:type", ":projectOwner", "iri", None, None),
+            ("g", ":f", "rdf:type", ":fishLift", "iri", None, None), ("g", ":d", "rdf:type", ":dam", "iri", None, None), ("g", None, "rdf:type", ":fishLift", "iri", None, None),
+            ("g", ":f", ":associatedTo", ":d", "iri", None, None), ("g", ":f", ":associatedTo", ":o", "iri", None, None), ("g", ":f", ":hasCost", "5", "literal", "xsd:decimal", None),
+            ("g", ":f", ":realizedIn", "x", "literal", None, None), ("g", ":f", ":associatedMeas", None, "iri", None, None), ("g", None, ":hasCost", "5", "literal", "xsd:decimal", None)]
+    for s in (":m", ":w", ":u", None):
+        rows += [("g", s, ":isManagedBy", ":o", "iri", None, None), ("g", s, ":isManagedBy", ":u", "iri", None, None), ("g", s, ":isManagedBy", "x", "literal", None, None),
+                 ("g", s, ":hasCost", "1", "literal", "xsd:decimal", None), ("g", s, ":hasCost", "1", "literal", None, None), ("g", s, ":hasCost", ":o", "iri", None, None),
+                 ("g", s, ":startsAt", "x", "literal", "xsd:string", None), ("g", s, ":isManagedBy", None, "iri", None, None), ("g", s, ":nothing", ":o", "iri", None, None)]
+    rows += [("h", s, p, o, *r) for _, s, p, o, *r in rows if s in (":m", ":f")] + [(None, *r[1:]) for r in rows if r[1] in (":m", ":f", ":o")]
+    return _canon(spark, rows)
+
+
+def test_domain_and_range_are_the_same_gathered_and_joined(spark, monkeypatch):
+    from collections import Counter
+
+    from graphloom.operators import conform as C
+    from graphloom.operators import skew
+
+    canon, onto = _checked(spark)
+    canon = canon.localCheckpoint()
+    for strict in (True, False):
+        found = []
+        for whole in (1000, 12, 0):
+            monkeypatch.setattr(skew, "WHOLE", whole)
+            found.append(Counter(map(tuple, C.check_domain_range(canon, onto, strict).collect())))
+        assert found[0] == found[1] == found[2] and sum(found[0].values()) == canon.where("p_match in ('exact', 'case', 'alias')").count()
+    assert {(k[8], k[9]) for k in found[0]} >= {("ok", "ok"), ("violation", "ok"), ("untyped", "untyped"), ("ok", "violation"), ("ok", "untyped_literal")}
+
+
+def test_restrictions_are_the_same_gathered_and_joined(spark, monkeypatch):
+    from collections import Counter
+
+    from graphloom.operators import conform as C
+    from graphloom.operators import skew
+
+    canon, onto = _checked(spark)
+    canon, found = canon.localCheckpoint(), []
+    for whole in (1000, 12, 0):
+        monkeypatch.setattr(skew, "WHOLE", whole)
+        rows = C.check_restrictions(canon, onto).select("doc_id", "s_key", "property", "filler", "present", "filled").collect()
+        found.append(Counter(map(tuple, rows)))
+    assert found[0] == found[1] == found[2] and max(found[0].values()) == 1
+    got = {(k[2], k[3]): k[4:] for k in found[0] if k[:2] == ("g", "f")}
+    assert got[("associatedTo", "structure")] == (True, True) and got[("hasCost", "xsd:decimal")] == (True, True)
+    assert got[("realizedIn", "geographicZone")] == (True, False) and got[("isSubjectTo", "restorationMonitoring")] == (False, False)
+
+
+def test_statements_of_a_graph_are_moved_once(spark):
+    from graphloom.operators import conform as C
+
+    canon, onto = _checked(spark)
+    canon = canon.localCheckpoint()
+    for out in (C.check_domain_range(canon, onto, columns=()), C.check_restrictions(canon, onto)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(run_id") == 1 and plan.count("Window") >= 2
+        assert not any("Exchange hashpartitioning(_cls" in x for x in plan.split("\n"))
