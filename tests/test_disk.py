@@ -168,3 +168,20 @@ def test_statements_of_a_graph_are_moved_once(spark):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning(run_id") == 1 and plan.count("Window") >= 2
         assert not any("Exchange hashpartitioning(_cls" in x for x in plan.split("\n"))
+
+
+def test_files_of_a_tree_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """The same rows as Spark's own reader, odd names among them, and no list of files on the driver."""
+    from graphloom.sources import files as S
+
+    texts = {"0001/a b.txt": b"x\r\ny", "0001/50%25 + [é] .txt": "ü".encode(), "0002/deep/c.txt": b"\xff\x00z", "0002/empty.txt": b"", "0002/.hidden.txt": b"h",
+             "_skipped/d.txt": b"d", "x=1/_k=2/e.txt": b"e", "top.txt": b"t", "0001/f.md": b"no", "0002/#q?.txt": b"q"}
+    for name, text in texts.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(text)
+    got = S._whole_files(spark, str(tmp_path), "*.txt", recursive=True)
+    assert "FileScan" not in got._jdf.queryExecution().executedPlan().toString()
+    cols = ["file_name", F.regexp_extract("file_path", "([^/]+)/[^/]+$", 1).alias("folder"), F.hex(F.col("value").cast("binary")).alias("v")]
+    mine = sorted(tuple(r) for r in got.select(*cols).collect())
+    monkeypatch.setattr(S, "_store", lambda root: None)
+    assert mine == sorted(tuple(r) for r in S._whole_files(spark, str(tmp_path), "*.txt", recursive=True).select(*cols).collect()) and len(mine) == 6
