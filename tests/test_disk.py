@@ -185,3 +185,14 @@ def test_files_of_a_tree_are_listed_by_tasks(spark, tmp_path, monkeypatch):
     mine = sorted(tuple(r) for r in got.select(*cols).collect())
     monkeypatch.setattr(S, "_store", lambda root: None)
     assert mine == sorted(tuple(r) for r in S._whole_files(spark, str(tmp_path), "*.txt", recursive=True).select(*cols).collect()) and len(mine) == 6
+
+
+def test_saved_answers_are_read_by_tasks_and_long_ones_in_pieces(spark, tmp_path):
+    (tmp_path / "0001" / "answers").mkdir(parents=True)
+    for i in range(6):
+        (tmp_path / "0001" / "answers" / f"Site_({i})_m.ttl").write_text(f':s{i} :p "{"x" * 400_000}\\"" ; :q {i} .\n')
+    g = SRC.read_graphs(spark, str(tmp_path), models=["m"])
+    assert "FileScan" not in g._jdf.queryExecution().executedPlan().toString()
+    one = g.select("doc_id", "text").coalesce(1)
+    got = {(r.doc_id, r.stmt_idx, r.s, r.p, r.n) for r in T.triples_of(T.parse_graphs(one, "text", ["doc_id"])).select("*", F.length("o").alias("n")).collect()}
+    assert got == {x for i in range(6) for x in ((f"Site_{i}", 0, f":s{i}", ":p", 400_001), (f"Site_{i}", 1, f":s{i}", ":q", 1))}
